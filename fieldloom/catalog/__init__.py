@@ -1,6 +1,7 @@
 """All registered queries with their SQL oracles."""
 
-from . import aggregates, joins, projections, sinks, sources  # noqa: F401
+from . import (aggregates, checks, geometry, increments, joins, projections,  # noqa: F401
+               rasters, scalars, sinks, sources, studies)
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

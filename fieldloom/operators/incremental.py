@@ -24,15 +24,15 @@ def todo(selected: DataFrame, written: DataFrame, keys: list[str] | None = None)
 
 
 def run_increment(selected: DataFrame, path: str,
-                  process: Callable[[DataFrame], DataFrame]) -> None:
-    """Process the scenes whose (date, tile) partition is absent and add those
-    partitions.  Running it again adds nothing; a run that failed half-way is
+                  process: Callable[[DataFrame], DataFrame], unit: list[str] | None = None) -> None:
+    """Process the scenes whose restart unit, a (date, tile) partition unless
+    ``unit`` names other columns, is absent and add those partitions.  Running it again adds nothing; a run that failed half-way is
     repeated as a whole, because its partitions are replaced, not doubled."""
-    spark = selected.sparkSession
+    spark, unit = selected.sparkSession, unit or PART
     if sink.exists(spark, path):
-        selected = todo(selected, spark.read.parquet(path))
+        selected = todo(selected, spark.read.parquet(path), unit)
     # scenes of one restart unit are spread by scene, all in one job
-    sink.replace_partitions(process(selected.repartition("scene_id")), path, PART)
+    sink.replace_partitions(process(selected.repartition("scene_id")), path, unit)
 
 
 def trailing(items: DataFrame, days: int = DEFAULTS.trailing_days) -> DataFrame:

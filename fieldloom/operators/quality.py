@@ -107,7 +107,7 @@ def plausible_check(series: DataFrame, day, lo: float, hi: float, scope: str,
     """Class mean on one date within physical bounds; no such date fails."""
     got = series.filter(F.col("date") == F.to_date(F.lit(day))).agg(F.max(value).alias("v"))
     return got.select(*_row("crop_mean_plausible", scope, f"in [{lo}, {hi}]",
-                            F.coalesce(F.format_string("%.4f", F.col("v")), F.lit("no rows")),
+                            F.when(F.col("v").isNull(), "no rows").otherwise(F.format_string("%.4f", F.col("v"))),
                             F.col("v").between(lo, hi)))
 
 

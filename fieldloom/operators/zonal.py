@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import SCL_MASKED
@@ -46,6 +46,18 @@ def drop_masked(tiles: DataFrame, scl: DataFrame, masked: Sequence[int] = SCL_MA
     return tiles.join(keep.select(*TILE), TILE, "left_semi")
 
 
+def sum_at(value: str, idx: str = "idx") -> Column:
+    """struct<s, n>: sum and count of the non-null array values at ``idx``."""
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n"))
+
+    def add(acc, i):
+        return G.let(F.get(F.col(value), i), lambda v: F.struct(
+            (acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"),
+            (acc["n"] + F.when(v.isNotNull(), 1).otherwise(0)).alias("n")))
+
+    return F.aggregate(idx, start, add)
+
+
 def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi",
                assigned: DataFrame | None = None) -> DataFrame:
     """Sum and count of the valid pixels of every (tile, field) pair.
@@ -56,16 +68,8 @@ def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi",
     split over several tasks.  ``assigned`` (the cheap table the masks were
     made from) tells which spots these are, if the masks are not stored."""
     pairs = skew_join(masks, tiles, SPOT, spread=F.xxhash64("field_id"), counts_from=assigned)
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n"))
-
-    def add(acc, i):
-        return G.let(F.get(F.col(value), i), lambda v: F.struct(
-            (acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"),
-            (acc["n"] + F.when(v.isNotNull(), 1).otherwise(0)).alias("n")))
-
     kept = [c for c in pairs.columns if c not in ("idx", value)]
-    return (pairs.select(*kept, G.keep_if(F.aggregate("idx", start, add),
-                                          lambda st: st["n"] > 0).alias("st"))
+    return (pairs.select(*kept, G.keep_if(sum_at(value), lambda st: st["n"] > 0).alias("st"))
             .select(*kept, F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
 
 
@@ -151,3 +155,17 @@ def slope_per_tile(dem: DataFrame) -> DataFrame:
 
     return joined.withColumn("slope", F.transform(
         F.sequence(F.lit(0), F.size("data") - 1), slope))
+
+
+def terrain(dem: DataFrame, masks: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
+    """Mean elevation and mean slope per (scene_id, field_id).
+
+    ``dem``: elevation tiles with SPOT, w, h, scale_x and ``data``."""
+    sloped = (slope_per_tile(dem).join(dem.select("scene_id", *SPOT), TILE)
+              .select("scene_id", *SPOT, "data", "slope"))
+    pairs = skew_join(masks, sloped, SPOT, spread=F.xxhash64("field_id"), counts_from=assigned)
+    stats = pairs.select("scene_id", "field_id", sum_at("data").alias("e"),
+                         sum_at("slope").alias("s"))
+    return stats.groupBy("scene_id", "field_id").agg(
+        F.sum("e.n").alias("n"), (F.sum("e.s") / F.sum("e.n")).alias("elev"),
+        F.try_divide(F.sum("s.s"), F.sum("s.n")).alias("slope"))

@@ -103,3 +103,12 @@ def event_study(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: Col
     wind = spatial.zone_class(fields, zones, "field_id", cell)
     frame = study.event_frame(wide, fields, wind, crop, t.valid_frac_min)
     return frame, study.matched(frame, lat_band, lon_band, t.min_controls)
+
+
+def feature_table(obs: DataFrame, fields: DataFrame, zones: DataFrame, event_day: str,
+                  cell: float) -> DataFrame:
+    """Model features: observation, anomaly, field attributes, event label."""
+    wind = spatial.zone_class(fields, zones, "field_id", cell)
+    attrs = fields.select("field_id", "crop", "area_m2").join(wind, "field_id")
+    return (study.anomaly(obs).join(attrs, "field_id")
+            .withColumn("after_event", F.col("date") >= F.to_date(F.lit(event_day))))
