@@ -1,8 +1,5 @@
 """Queries: aggregations, windows, sorts and set operations."""
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -98,11 +95,11 @@ def _(spark, sf):
     return wind.groupBy("wind").agg(count("n"))
 
 
-@query("a10_class_mean", "frame", """SELECT wind, count(*) AS n, round_even(avg(delta), 4) AS mean_delta
+@query("a10_class_mean", "frame", """SELECT wind, count(*) AS n, round_even(avg(delta::DECIMAL(20, 12)), 4) AS mean_delta
   FROM frame WHERE usable GROUP BY wind""")
 def _(spark, sf):
     return frame(spark, sf).filter("usable").groupBy("wind").agg(
-        count("n"), F.bround(F.avg("delta"), 4).alias("mean_delta"))
+        count("n"), F.bround(study.exact_avg("delta"), 4).alias("mean_delta"))
 
 
 @query("a11_did_summary", "m10", f"{DID} FROM m10 GROUP BY wind")
@@ -159,7 +156,7 @@ def _(spark, sf):
 
 
 TERCILE = """SELECT wind, CASE WHEN lon <= c1 THEN 'west' WHEN lon <= c2 THEN 'mid' ELSE 'east' END AS bin,
-  count(*) AS n, round_even(avg(did), 4) AS did FROM {m}, (SELECT quantile_cont(lon, 1/3) AS c1,
+  count(*) AS n, round_even(avg(did::DECIMAL(20, 12)), 4) AS did FROM {m}, (SELECT quantile_cont(lon, 1/3) AS c1,
   quantile_cont(lon, 2/3) AS c2 FROM {m}) GROUP BY ALL"""
 
 
@@ -183,8 +180,8 @@ def _(spark, sf):
     return scenes.selected_counts(scenes.season_mode(scenes.quality_gate(fx.scenes(spark, sf))))
 
 
-SERIES = """SELECT date, count(*) AS fields, round(avg(mean_ndvi), 4) AS corn_mean_ndvi,
-  round(avg(valid_frac), 3) AS avg_valid_frac FROM ob JOIN fl USING (field_id)
+SERIES = """SELECT date, count(*) AS fields, round(avg(mean_ndvi::DECIMAL(20, 12)), 4) AS corn_mean_ndvi,
+  round(avg(valid_frac::DECIMAL(20, 12)), 3) AS avg_valid_frac FROM ob JOIN fl USING (field_id)
   WHERE crop = 1 AND valid_frac >= 0.5 GROUP BY date"""
 
 
@@ -205,21 +202,20 @@ def _(spark, sf):
                          F.round(F.sum("v"), 4).alias("sum_frac"))
 
 
-SWEEP = """SELECT '{label}' AS label, wind, count(*) AS fields, round_even(avg(did), 4) AS did FROM (
+SWEEP = """SELECT '{label}' AS label, wind, count(*) AS fields, round_even(avg(did::DECIMAL(20, 12)), 4) AS did FROM (
   SELECT t.wind, t.delta - avg(c.delta) AS did FROM fr t JOIN fr c ON c.lat BETWEEN t.lat - {b} AND t.lat + {b}
   WHERE t.pre_vf >= {v} AND t.post_vf >= {v} AND c.pre_vf >= {v} AND c.post_vf >= {v} AND t.wind > 0
   AND c.wind = 0 GROUP BY t.field_id, t.wind, t.delta HAVING count(*) >= 5) GROUP BY wind"""
 
 
+VARIANTS = (("vf0.5", 30, 0.5), ("vf0.8", 30, 0.8), ("narrow", 10, 0.5))
+
+
 @query("a22_sensitivity", "frame", "SELECT * FROM (WITH fr AS (SELECT * FROM frame WHERE pre IS NOT NULL "
        "AND post IS NOT NULL) " + " UNION ALL ".join(
-           SWEEP.format(label=n, b=b, v=v) for n, b, v in
-           (("vf0.5", 30, 0.5), ("vf0.8", 30, 0.8), ("narrow", 10, 0.5))) + ")")
+           SWEEP.format(label=n, b=b, v=v) for n, b, v in VARIANTS) + ")")
 def _(spark, sf):
-    out = [study.did_table(study.matched(frame(spark, sf, valid_min=v), b))
-           .select(F.lit(n).alias("label"), "wind", "fields", "did")
-           for n, b, v in (("vf0.5", 30, 0.5), ("vf0.8", 30, 0.8), ("narrow", 10, 0.5))]
-    return reduce(DataFrame.unionByName, out)
+    return study.sensitivity(frame(spark, sf), {n: (v, b) for n, b, v in VARIANTS})
 
 
 @query("a23_distinct_keys", "sc", "SELECT DISTINCT season, mgrs_tile, date FROM sc")

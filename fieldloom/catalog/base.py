@@ -73,8 +73,8 @@ for _name, _cond in {
   FROM frame t JOIN frame c ON {_cond} WHERE t.usable AND t.wind > 0 AND c.usable AND c.wind = 0
   GROUP BY ALL HAVING count(*) >= 5)"""
 
-DID = """SELECT wind, count(*) AS fields, round_even(avg(delta), 4) AS mean_delta,
-  round_even(avg(ctrl_delta), 4) AS mean_ctrl, round_even(avg(did), 4) AS did,
+DID = """SELECT wind, count(*) AS fields, round_even(avg(delta::DECIMAL(20, 12)), 4) AS mean_delta,
+  round_even(avg(ctrl_delta::DECIMAL(20, 12)), 4) AS mean_ctrl, round_even(avg(did::DECIMAL(20, 12)), 4) AS did,
   round_even(stddev_samp(did) / sqrt(count(*)), 4) AS did_se,
   ['control', '60-79 mph', '80-99 mph', '100+ mph'][wind + 1] AS label"""
 

@@ -103,7 +103,7 @@ def _(spark, sf):
 
 @query("q8_plausible_mean", "ob fl", "SELECT " + row(
     "crop_mean_plausible", "'in [0.1, 0.9]'", "coalesce(printf('%.4f', max(v)), 'no rows')",
-    "coalesce(max(v) BETWEEN 0.1 AND 0.9, false)") + """ FROM (SELECT round(avg(mean_ndvi), 4) AS v FROM ob
+    "coalesce(max(v) BETWEEN 0.1 AND 0.9, false)") + """ FROM (SELECT round(avg(mean_ndvi::DECIMAL(20, 12)), 4) AS v FROM ob
   JOIN fl USING (field_id) WHERE crop = 1 AND valid_frac >= 0.5 AND date = DATE '1995-07-07' GROUP BY date)""")
 def _(spark, sf):
     series = study.crop_series(OBS(spark, sf), fx.fields(spark, sf), 1)

@@ -128,23 +128,23 @@ def sides(spark, sf):
 
 
 @query("j12_band_match", "frame", """SELECT t.field_id, count(c.delta) AS ctrl_n,
-  CASE WHEN count(c.delta) >= 5 THEN round(avg(c.delta), 6) END AS ctrl_delta
+  CASE WHEN count(c.delta) >= 5 THEN round(avg(c.delta), 9) END AS ctrl_delta
   FROM (SELECT * FROM frame WHERE usable AND wind > 0) t
   LEFT JOIN (SELECT * FROM frame WHERE usable AND wind = 0) c ON c.lat BETWEEN t.lat - 10 AND t.lat + 10
   GROUP BY ALL""")
 def _(spark, sf):
     return bands.match_lat(*sides(spark, sf), 10).select(
-        "field_id", "ctrl_n", F.round("ctrl_delta", 6).alias("ctrl_delta"))
+        "field_id", "ctrl_n", F.round("ctrl_delta", 9).alias("ctrl_delta"))
 
 
 @query("j13_band_match_2d", "frame", """SELECT t.field_id, count(c.delta) AS ctrl_n,
-  CASE WHEN count(c.delta) >= 5 THEN round(avg(c.delta), 6) END AS ctrl_delta
+  CASE WHEN count(c.delta) >= 5 THEN round(avg(c.delta), 9) END AS ctrl_delta
   FROM (SELECT * FROM frame WHERE usable AND wind > 0) t
   LEFT JOIN (SELECT * FROM frame WHERE usable AND wind = 0) c ON c.lat >= t.lat - 160
   AND c.lat < t.lat + 160 AND abs(c.lon - t.lon) <= 160 GROUP BY ALL""")
 def _(spark, sf):
     return bands.match_lat_lon(*sides(spark, sf), 160, 160).select(
-        "field_id", "ctrl_n", F.round("ctrl_delta", 6).alias("ctrl_delta"))
+        "field_id", "ctrl_n", F.round("ctrl_delta", 9).alias("ctrl_delta"))
 
 
 @query("j14_overlap_area", "fl wz", """SELECT field_id, CAST(sum(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..shared import spread
 
 
 def min_area(polygons: DataFrame, limit: float) -> DataFrame:
@@ -29,7 +30,9 @@ def inset_nonempty(polygons: DataFrame, inset: float, step: float) -> DataFrame:
 
     prepared = G.let(G.bbox("poly"), lambda b: F.struct(
         b.alias("b"), G.all_edges("poly").alias("e"), axis(b["xmin"], b["xmax"]).alias("xs")))
-    return polygons.filter(G.let(prepared, some))
+    # a generator, not a filter: a filter would move below the spreading
+    deep = F.explode(F.filter(F.array(prepared), some)).alias("__deep")
+    return spread(polygons).select("*", deep).drop("__deep")
 
 
 def ordinal_class(df: DataFrame, label: str, classes: dict[str, int],

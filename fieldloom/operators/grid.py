@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..shared import sized_join
+from ..shared import sized_join, spread
 from .spatial import cell_range
 
 GRID = ["epsg", "x0", "y0", "stride", "x_hi", "y_hi"]
@@ -79,7 +79,7 @@ def overlapping(ranged: DataFrame, ix0: str = "__ix0", ix1: str = "__ix1", iy0:
 
 def field_boxes(fields: DataFrame) -> DataFrame:
     """fields(field_id, epsg, poly, ...) -> + box ``b`` and edge list."""
-    return (fields.withColumn("b", G.bbox("poly")).withColumn("__edges", G.all_edges("poly"))
+    return (spread(fields, "field_id").withColumn("b", G.bbox("poly")).withColumn("__edges", G.all_edges("poly"))
             .drop("poly"))
 
 

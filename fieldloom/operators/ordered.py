@@ -25,13 +25,14 @@ def _bucket(cuts: Column, value: Column, bits: int) -> Column:
 
 
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
-                 ties: list[str] | None = None, bits: int = BUCKET_BITS) -> DataFrame:
+                 ties: list[str] | None = None, bits: int = BUCKET_BITS,
+                 stored: bool = False) -> DataFrame:
     """Add ``sums[out] = running sum of column`` in ``order`` (then ``ties``)
     within ``keys``.  Pre-aggregate ``df`` to one row per (keys, order, ties).
 
     The rows are read for the quantiles, for the totals and for the sums, so
-    they are stored first."""
-    df = materialize(df, "ordered")
+    they are stored first, unless the caller says that they are."""
+    df = df if stored else materialize(df, "ordered")
     n = 1 << bits
     cuts = df.agg(F.percentile_approx(
         F.col(order).cast("double"), [i / n for i in range(1, n)], 10_000)).scalar()
@@ -76,9 +77,9 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float
 
     Values are first counted, so repeated values cost one row; the two order
     statistics around each quantile are then picked by their running count."""
-    counted = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
-               .agg(F.count(F.lit(1)).alias("__n")))
-    ranked = running_sums(counted, keys, value, {"__upto": "__n"})
+    counted = materialize(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
+                          .agg(F.count(F.lit(1)).alias("__n")), "counted")
+    ranked = running_sums(counted, keys, value, {"__upto": "__n"}, stored=True)
     sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     if keys:
         cells = ranked.join(sizes, keys)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..shared import sized_join
+from ..shared import sized_join, spread
 
 
 def cell_range(lo: Column, hi: Column, cell: float) -> Column:
@@ -24,7 +24,7 @@ def polygon_cells(polygons: DataFrame, cell: float, poly: str = "poly") -> DataF
     left, low, high = F.col("__cx") * cell, F.col("__cy") * cell, (F.col("__cy") + 1) * cell
     near = F.filter("__edges", lambda e: (F.greatest(e["ay"], e["by"]) > low)
                     & (F.least(e["ay"], e["by"]) <= high) & (F.greatest(e["ax"], e["bx"]) >= left))
-    return cells.select(*attrs, "__cx", "__cy", near.alias("__edges"))
+    return cells.select(*attrs, "__cx", "__cy", F.col("b").alias("__b"), near.alias("__edges"))
 
 
 def locate(points: DataFrame, polygons: DataFrame, cell: float, poly: str = "poly") -> DataFrame:
@@ -32,8 +32,11 @@ def locate(points: DataFrame, polygons: DataFrame, cell: float, poly: str = "pol
     spots = (points.withColumn("__cx", F.floor(F.col("x") / cell).cast("bigint"))
              .withColumn("__cy", F.floor(F.col("y") / cell).cast("bigint")))
     pairs = sized_join(spots, polygon_cells(polygons, cell, poly), ["__cx", "__cy"])
-    return (pairs.filter(G.edges_contain(F.col("__edges"), F.col("x"), F.col("y")))
-            .drop("__cx", "__cy", "__edges"))
+    x, y, b = F.col("x"), F.col("y"), F.col("__b")
+    # the box test is cheap and comes first
+    in_box = (x >= b["xmin"]) & (x <= b["xmax"]) & (y >= b["ymin"]) & (y <= b["ymax"])
+    return (pairs.filter(in_box & G.edges_contain(F.col("__edges"), x, y))
+            .drop("__cx", "__cy", "__b", "__edges"))
 
 
 def zone_class(points: DataFrame, zones: DataFrame, key: str, cell: float,
@@ -57,12 +60,13 @@ def overlap_area(regions: DataFrame, zones: DataFrame, key: str, step: float,
     exact when the edges lie on grid lines.  Only the regions are rasterised,
     their cell centres are then located in the zones."""
     b = F.col("__b")
-    centre = lambda c: (F.col(c) + 0.5) * step
-    grid = (regions.select(key, G.all_edges("poly").alias("__e"), G.bbox("poly").alias("__b"))
-            .withColumn("__i", F.explode(cell_range(b["xmin"], b["xmax"], step)))
-            .withColumn("__j", F.explode(cell_range(b["ymin"], b["ymax"], step)))
-            .withColumn("x", centre("__i")).withColumn("y", centre("__j"))
-            .filter(G.edges_contain(F.col("__e"), F.col("x"), F.col("y")))
-            .select(key, "x", "y"))
+    rows = (spread(regions.select(key, "poly"), key)
+            .select(key, G.all_edges("poly").alias("__e"), G.bbox("poly").alias("__b"))
+            .select("*", F.explode(cell_range(b["ymin"], b["ymax"], step)).alias("__j"))
+            .withColumn("y", (F.col("__j") + 0.5) * step))
+    centres = F.transform(cell_range(b["xmin"], b["xmax"], step), lambda i: (i + 0.5) * step)
+    inner = G.let(G.scan_row(F.col("__e"), F.col("y")),
+                  lambda row: F.filter(centres, lambda x: G.on_row(row, x)))
+    grid = rows.select(key, "y", F.explode(inner).alias("x"))
     return (locate(grid, zones.select("poly"), cell).groupBy(key)
             .agg((F.count(F.lit(1)) * F.lit(float(step * step))).alias("area")))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import CLASS_LABELS, DEFAULTS
@@ -12,6 +14,11 @@ from .bands import match_lat, match_lat_lon
 from .ordered import quantiles
 
 
+def exact_avg(column: str) -> Column:
+    """Mean that does not depend on the order of the rows (decimal sum)."""
+    return F.avg(F.col(column).cast("decimal(20,12)")).cast("double")
+
+
 def usable(frame: DataFrame, valid_min: float = DEFAULTS.valid_frac_min) -> DataFrame:
     ok = (F.col("pre").isNotNull() & F.col("post").isNotNull()
           & (F.col("pre_vf") >= valid_min) & (F.col("post_vf") >= valid_min))
@@ -53,12 +60,23 @@ def did_table(match: DataFrame) -> DataFrame:
     (halves to even)."""
     r = lambda c: F.bround(c, 4)
     return (match.groupBy("wind").agg(
-        F.count(F.lit(1)).alias("fields"), r(F.avg("delta")).alias("mean_delta"),
-        r(F.avg("ctrl_delta")).alias("mean_ctrl"), r(F.avg("did")).alias("did"),
+        F.count(F.lit(1)).alias("fields"), r(exact_avg("delta")).alias("mean_delta"),
+        r(exact_avg("ctrl_delta")).alias("mean_ctrl"), r(exact_avg("did")).alias("did"),
         r(F.try_divide(F.stddev_samp("did"), F.sqrt(F.count(F.lit(1))))).alias("did_se"))
         .withColumn("label", S.label("wind", CLASS_LABELS)))
 
 
+def sensitivity(frame: DataFrame, variants: dict[str, tuple[float, float]],
+                min_n: int = DEFAULTS.min_controls) -> DataFrame:
+    """Effect per class for each labelled (validity threshold, lat band); the
+    frame is computed once for all of them."""
+    base = materialize(frame.drop("usable"), "frame")
+    out = [did_table(matched(usable(base, valid_min), band, min_n=min_n))
+           .select(F.lit(name).alias("label"), "wind", "fields", "did")
+           for name, (valid_min, band) in variants.items()]
+    return reduce(DataFrame.unionByName, out)
+
+
 def monotonic(table: DataFrame) -> DataFrame:
     """One row: is the rounded effect strictly lower in every next class?
     (The table has one row per class.)"""
@@ -99,18 +117,18 @@ def tercile_effect(match: DataFrame, by: str = "lon",
     for i in reversed(range(n - 1)):
         name = F.when(F.col(by) <= F.col("__cuts")[i], F.lit(names[i])).otherwise(name)
     return (binned.withColumn("bin", name).groupBy("wind", "bin")
-            .agg(F.count(F.lit(1)).alias("n"), F.bround(F.avg("did"), 4).alias("did")))
+            .agg(F.count(F.lit(1)).alias("n"), F.bround(exact_avg("did"), 4).alias("did")))
 
 
 def raw_drop(wide: DataFrame, fields: DataFrame, wind: DataFrame, crop: int | None = None) -> DataFrame:
     """Uncontrolled change per class."""
     if crop is not None:
         fields = fields.filter(F.col("crop") == crop)
-    zoned = wide.join(fields.select("field_id"), "field_id").join(wind, "field_id")
+    zoned = (wide.withColumn("change", F.col("post") - F.col("pre"))
+             .join(fields.select("field_id"), "field_id").join(wind, "field_id"))
     return zoned.groupBy(F.col("wind").alias("gust_class")).agg(
-        F.count(F.lit(1)).alias("fields"), F.round(F.avg("pre"), 4).alias("pre"),
-        F.round(F.avg("post"), 4).alias("post"),
-        F.round(F.avg(F.col("post") - F.col("pre")), 4).alias("drop"))
+        F.count(F.lit(1)).alias("fields"), F.round(exact_avg("pre"), 4).alias("pre"),
+        F.round(exact_avg("post"), 4).alias("post"), F.round(exact_avg("change"), 4).alias("drop"))
 
 
 def crop_series(obs: DataFrame, fields: DataFrame, crop: int,
@@ -119,8 +137,8 @@ def crop_series(obs: DataFrame, fields: DataFrame, crop: int,
     chosen = fields.filter(F.col("crop") == crop).select("field_id")
     return (obs.filter(F.col("valid_frac") >= valid_min).join(chosen, "field_id")
             .groupBy("date").agg(F.count(F.lit(1)).alias("fields"),
-                                 F.round(F.avg("mean_ndvi"), 4).alias("corn_mean_ndvi"),
-                                 F.round(F.avg("valid_frac"), 3).alias("avg_valid_frac")))
+                                 F.round(exact_avg("mean_ndvi"), 4).alias("corn_mean_ndvi"),
+                                 F.round(exact_avg("valid_frac"), 3).alias("avg_valid_frac")))
 
 
 def climatology(obs: DataFrame) -> DataFrame:

@@ -29,6 +29,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hash the rows over all cores before work that is heavy per row: small
+    files with few splits would otherwise do it in few tasks."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+            spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *by)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows (reads no further)."""
     return df.limit(max_rows + 1).count() <= max_rows
