@@ -38,7 +38,8 @@ def _range_sums(points: DataFrame, ranges: DataFrame, keys: list[str], ids: list
                          {"__s": "__sum", "__c": "__cnt"}, ["__tie"])
             .filter(F.col("__tie") != 1).select(*spot, "__s", "__c"))
     return marks.join(upto, spot).groupBy(*ids).agg(
-        F.sum((F.col("__sign") * F.col("__s")).cast(EXACT)).cast(EXACT).alias("__sum"),
+        F.sum(F.when(F.col("__sign") > 0, F.col("__s")).otherwise(-F.col("__s")))
+        .cast(EXACT).alias("__sum"),
         F.sum(F.col("__sign") * F.col("__c")).alias("__cnt"))
 
 

@@ -33,6 +33,17 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
     The rows are read for the quantiles, for the totals and for the sums, so
     they are stored first, unless the caller says that they are."""
     df = df if stored else materialize(df, "ordered")
+    types = dict(df.dtypes)
+
+    def total(column: str) -> Column:
+        # decimal sums keep their type: a wider one would lose decimal places
+        s = F.sum(column)
+        return s.cast(types[column]) if types[column].startswith("decimal") else s
+
+    def add(a: Column, b: Column, column: str) -> Column:
+        out = a + F.coalesce(b, F.lit(0).cast(types[column]))
+        return out.cast(types[column]) if types[column].startswith("decimal") else out
+
     n = 1 << bits
     cuts = df.agg(F.percentile_approx(
         F.col(order).cast("double"), [i / n for i in range(1, n)], 10_000)).scalar()
@@ -49,20 +60,23 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
 
     cell = [*keys, "__bucket"]
     totals = (tagged.filter(F.col("__hot").isNotNull()).groupBy(*cell)
-              .agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sums.items()]))
+              .agg(*[total(c).alias(f"__t_{o}") for o, c in sums.items()]))
     # at most n groups of n buckets: small enough for a broadcast, always
     before = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__bucket")
               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = totals.select(*cell, *[F.sum(f"__t_{o}").over(before).alias(f"__b_{o}")
-                                    for o in sums])
+    starts = totals.select(*cell, *[
+        F.sum(f"__t_{o}").over(before).cast(totals.schema[f"__t_{o}"].dataType).alias(f"__b_{o}")
+        for o in sums])
     inside = (Window.partitionBy(*cell).orderBy(order, *(ties or []))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     summed = tagged.select(*df.columns, "__bucket", *[
         F.sum(c).over(inside).alias(f"__r_{o}") for o, c in sums.items()])
+    for o, c in sums.items():
+        if types[c].startswith("decimal"):
+            summed = summed.withColumn(f"__r_{o}", F.col(f"__r_{o}").cast(types[c]))
     return (summed.join(F.broadcast(starts), cell, "left")
             .select(*df.columns, *[
-                (F.col(f"__r_{o}") + F.coalesce(F.col(f"__b_{o}"), F.lit(0))).alias(o)
-                for o in sums]))
+                add(F.col(f"__r_{o}"), F.col(f"__b_{o}"), c).alias(o) for o, c in sums.items()]))
 
 
 def dense_ids(df: DataFrame, key: str, out: str = "fid") -> DataFrame:

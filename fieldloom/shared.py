@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the folder that the cluster names in
     ``spark.checkpoint.dir``.  Only a local master may fall back to /tmp."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="fieldloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldloom-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
