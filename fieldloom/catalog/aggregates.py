@@ -80,6 +80,12 @@ PIVOT = ", ".join(f"CAST(coalesce(max(q) FILTER (dekad = {d}), 255) AS INT) AS d
 
 @query("a7_season_pivot", "ob", f"""SELECT field_id, {PIVOT} FROM (SELECT *, CASE WHEN valid_frac >= 0.5
   THEN {QUANT} ELSE 255 END AS q FROM ({BEST})) GROUP BY field_id""")
+def _(spark, sf):
+    return publish.season_wide(OBS(spark, sf), F.lit(1997), list(range(12, 28)))
+
+
+@query("a7_pivot_of_best_rows", "ob", f"""SELECT field_id, {PIVOT} FROM (SELECT *, CASE WHEN valid_frac >= 0.5
+  THEN {QUANT} ELSE 255 END AS q FROM ({BEST})) GROUP BY field_id""")
 def _(spark, sf):
     return publish.season_pivot(publish.best_row(OBS(spark, sf), F.lit(1997)), list(range(12, 28)))
 

@@ -101,7 +101,7 @@ def _(spark, sf):
 @query("g8_wkb_round_trip", "fl", f"""SELECT field_id, CAST(13 + 16 * CASE WHEN {CUT} THEN 7 ELSE 5 END AS INT)
   AS n_bytes, true AS same FROM fl""")
 def _(spark, sf):
-    coded = ells(spark, sf).select("field_id", polygons.encode_wkb("poly").alias("wkb"))
+    coded = polygons.encode_wkb(ells(spark, sf).select("field_id", "poly"), "poly", "wkb")
     kept = coded.withColumn("n_bytes", F.length("wkb"))
     back = polygons.decode_wkb(kept, "wkb", "again")
     return back.join(ells(spark, sf).select("field_id", "poly"), "field_id").select(

@@ -52,8 +52,8 @@ ITEM_SQL = """SELECT *, CAST(scene_id AS VARCHAR) AS id,
   CAST(CASE WHEN field_id % 4 = 0 THEN 7 ELSE 5 END AS INT) AS n_points FROM fl""")
 def _(spark, sf):
     path = shared_folder(spark, "s1")
-    fx.fields(spark, sf, ell=True).select(
-        "field_id", polygons.encode_wkb("poly").alias("geometry")).write.parquet(path)
+    polygons.encode_wkb(fx.fields(spark, sf, ell=True).select("field_id", "poly"),
+                        "poly").write.parquet(path)
     return polygons.read_wkb_polygons(spark, path).select(
         "field_id", G.area("poly").alias("area"), F.size(F.col("poly")[0]).alias("n_points"))
 

@@ -71,6 +71,7 @@ def catch_up_report(selected: DataFrame, written: DataFrame) -> DataFrame:
                  F.count_if(F.col("__w").isNull()).alias("missing")))
 
 
-def batches(df: DataFrame, n: int) -> DataFrame:
-    """Spread the work by scene over ``n`` tasks (memory lever, same rows)."""
-    return df.repartition(n, "scene_id")
+def batches(tiles: DataFrame, n: int) -> DataFrame:
+    """Spread the work over ``n`` tasks (memory lever, same rows).  By tile,
+    not by scene: one scene may hold a large share of all tiles."""
+    return tiles.repartition(n, "scene_id", "x", "y")

@@ -47,13 +47,24 @@ def best_row(obs: DataFrame, season: Column | None = None) -> DataFrame:
 def season_pivot(narrow: DataFrame, dekads: list[int],
                  valid_min: float = DEFAULTS.valid_frac_min) -> DataFrame:
     """Narrow (field, dekad) rows -> one code column ``d<dekad>`` per period,
-    255 where the field has no valid row.  The period list is given, so the
-    pivot needs no extra pass."""
+    255 where the field has no valid row."""
     codes = narrow.select("field_id", "dekad",
                           S.quantise("mean_ndvi", "valid_frac", valid_min=valid_min).alias("q"))
-    wide = codes.groupBy("field_id").pivot("dekad", dekads).agg(F.first("q"))
-    return wide.select("field_id", *[F.coalesce(F.col(f"`{d}`"), F.lit(255)).alias(f"d{d}")
-                                     for d in dekads])
+    return codes.groupBy("field_id").agg(*[
+        F.coalesce(F.max(F.when(F.col("dekad") == d, F.col("q"))), F.lit(255)).alias(f"d{d}")
+        for d in dekads])
+
+
+def season_wide(obs: DataFrame, season: Column, dekads: list[int],
+                valid_min: float = DEFAULTS.valid_frac_min) -> DataFrame:
+    """best_row and season_pivot in one aggregation, so with one shuffle of
+    at most one row per field and map task."""
+    row = F.struct("valid_frac", "mean_ndvi")
+    best = (obs.filter(F.col("season") == season).groupBy("field_id")
+            .agg(*[F.max(F.when(F.col("dekad") == d, row)).alias(f"b{d}") for d in dekads]))
+    return best.select("field_id", *[
+        S.quantise(F.col(f"b{d}.mean_ndvi"), F.col(f"b{d}.valid_frac"), valid_min=valid_min)
+        .alias(f"d{d}") for d in dekads])
 
 
 def first_dates(obs: DataFrame, season: Column | None = None) -> DataFrame:

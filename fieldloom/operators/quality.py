@@ -92,14 +92,17 @@ def delta_check(table: DataFrame, runs: DataFrame, scope: str) -> DataFrame:
         first | (F.col("now") >= F.col("was"))))
 
 
-def domain_check(df: DataFrame, column: str, domain: list, scope: str) -> DataFrame:
-    """Values outside the domain are listed (distinct, and at most the number
-    of distinct values of a label column)."""
-    odd = df.filter(~F.col(column).isin(domain)).select(F.col(column).cast("string").alias("v"))
-    got = odd.distinct().agg(F.sort_array(F.collect_list("v")).alias("vs"))
+def domain_check(df: DataFrame, column: str, domain: list, scope: str, show: int = 100) -> DataFrame:
+    """Values outside the domain; the report names the first ``show`` of them
+    and counts the rest."""
+    odd = (df.filter(~F.col(column).isin(domain)).select(F.col(column).cast("string").alias("v"))
+           .distinct())
+    named = odd.orderBy("v").limit(show).agg(F.sort_array(F.collect_list("v")).alias("vs"))
+    got = named.withColumn("n", odd.agg(F.count(F.lit(1))).scalar())
+    more = F.when(F.col("n") > show, F.format_string(" (+%d more)", F.col("n") - show)).otherwise("")
     return got.select(*_row(f"{column}_domain", scope, ", ".join(map(str, domain)),
-                            F.concat(F.lit("unexpected: "), F.array_join("vs", ", ")),
-                            F.size("vs") == 0))
+                            F.concat(F.lit("unexpected: "), F.array_join("vs", ", "), more),
+                            F.col("n") == 0))
 
 
 def plausible_check(series: DataFrame, day, lo: float, hi: float, scope: str,

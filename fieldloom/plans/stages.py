@@ -70,7 +70,7 @@ def publish_stage(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: C
                   after: Column, season: Column, dekads: list[int], cell: float) -> DataFrame:
     """Wide, quantised feature table: one row per field."""
     wide = publish.coded(publish.before_after(obs, before, after))
-    codes = publish.season_pivot(publish.best_row(obs, season), dekads)
+    codes = publish.season_wide(obs, season, dekads)
     wind = spatial.zone_class(fields, zones, "field_id", cell)
     masked = [F.coalesce(f"d{d}", F.lit(255)).alias(f"d{d}") for d in dekads]
     attrs = [c for c in ("crop", "area_m2", "poly") if c in fields.columns]

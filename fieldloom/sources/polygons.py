@@ -6,12 +6,10 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..contracts import POLYGON
 from ..functions import geometry as G
@@ -30,37 +28,61 @@ def _rings_from_wkb(blob: bytes) -> list[np.ndarray]:
     return rings
 
 
-def decode_wkb(df: DataFrame, wkb: str, out: str = "poly") -> DataFrame:
-    """Replace a WKB polygon column by rings, one Arrow batch at a time."""
-    schema = T.StructType([f for f in df.schema.fields if f.name != wkb]
-                          + [T.StructField(out, POLYGON)])
-    poly_type = to_arrow_type(POLYGON)
+def _swap_column(df: DataFrame, column: str, out: str, kind: T.DataType, convert) -> DataFrame:
+    """Replace a column, one Arrow batch at a time."""
+    schema = T.StructType([f for f in df.schema.fields if f.name != column]
+                          + [T.StructField(out, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            polys = [None if b is None else
-                     [[{"x": x, "y": y} for x, y in ring.tolist()] for ring in _rings_from_wkb(b)]
-                     for b in batch.column(wkb).to_pylist()]
-            keep = [n for n in batch.schema.names if n != wkb]
+            keep = [n for n in batch.schema.names if n != column]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in keep), pa.array(polys, type=poly_type)],
+                [*(batch.column(n) for n in keep), convert(batch.column(column))],
                 names=[*keep, out])
 
     return df.mapInArrow(run, schema)
 
 
-@F.pandas_udf(T.BinaryType())
-def encode_wkb(polys: pd.Series) -> pd.Series:
-    """Rings -> little-endian WKB polygon."""
-    def one(poly):
-        if poly is None:
-            return None
-        out = [struct.pack("<BII", 1, 3, len(poly))]
-        for ring in poly:
-            pts = np.array([(p["x"], p["y"]) for p in ring], dtype="<f8")
-            out += [struct.pack("<I", len(pts)), pts.tobytes()]
-        return b"".join(out)
-    return polys.map(one)
+def _decode(blobs: pa.Array) -> pa.Array:
+    polys = [None if b is None else _rings_from_wkb(b) for b in blobs.to_pylist()]
+    rings = [ring for p in polys if p is not None for ring in p]
+    points = np.concatenate(rings) if rings else np.empty((0, 2))
+    xy = pa.StructArray.from_arrays([pa.array(points[:, k], pa.float64()) for k in (0, 1)],
+                                    names=["x", "y"])
+    ends = np.cumsum([0, *map(len, rings)])
+    firsts = np.cumsum([0, *(0 if p is None else len(p) for p in polys)])
+    missing = np.array([p is None for p in polys], dtype=bool)
+    return pa.ListArray.from_arrays(
+        pa.array(firsts, pa.int32()),
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), xy),
+        mask=pa.array(missing) if missing.any() else None)
+
+
+def _encode(polys: pa.Array) -> pa.Array:
+    rings = polys.values
+    points = rings.values
+    xy = np.column_stack([points.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+                         ).astype("<f8")
+    first, at = polys.offsets.to_numpy(), rings.offsets.to_numpy()
+
+    def one(k: int) -> bytes:
+        parts = [struct.pack("<BII", 1, 3, first[k + 1] - first[k])]
+        for r in range(first[k], first[k + 1]):
+            parts += [struct.pack("<I", at[r + 1] - at[r]), xy[at[r]:at[r + 1]].tobytes()]
+        return b"".join(parts)
+
+    return pa.array([one(k) if ok else None for k, ok in enumerate(polys.is_valid().to_pylist())],
+                    pa.binary())
+
+
+def decode_wkb(df: DataFrame, wkb: str, out: str = "poly") -> DataFrame:
+    """Replace a WKB polygon column by rings."""
+    return _swap_column(df, wkb, out, POLYGON, _decode)
+
+
+def encode_wkb(df: DataFrame, poly: str, out: str = "geometry") -> DataFrame:
+    """Replace rings by little-endian WKB polygons."""
+    return _swap_column(df, poly, out, T.BinaryType(), _encode)
 
 
 def read_wkb_polygons(spark: SparkSession, path: str, wkb: str = "geometry") -> DataFrame:
