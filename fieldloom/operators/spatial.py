@@ -27,25 +27,34 @@ def polygon_cells(polygons: DataFrame, cell: float, poly: str = "poly") -> DataF
     return cells.select(*attrs, "__cx", "__cy", F.col("b").alias("__b"), near.alias("__edges"))
 
 
-def locate(points: DataFrame, polygons: DataFrame, cell: float, poly: str = "poly") -> DataFrame:
-    """Pairs (point row, polygon attributes) where the polygon contains (x, y)."""
-    spots = (points.withColumn("__cx", F.floor(F.col("x") / cell).cast("bigint"))
-             .withColumn("__cy", F.floor(F.col("y") / cell).cast("bigint")))
-    pairs = sized_join(spots, polygon_cells(polygons, cell, poly), ["__cx", "__cy"])
+def _spots(points: DataFrame, cell: float) -> DataFrame:
+    return (points.withColumn("__cx", F.floor(F.col("x") / cell).cast("bigint"))
+            .withColumn("__cy", F.floor(F.col("y") / cell).cast("bigint")))
+
+
+def _hit() -> Column:
     x, y, b = F.col("x"), F.col("y"), F.col("__b")
     # the box test is cheap and comes first
     in_box = (x >= b["xmin"]) & (x <= b["xmax"]) & (y >= b["ymin"]) & (y <= b["ymax"])
-    return (pairs.filter(in_box & G.edges_contain(F.col("__edges"), x, y))
-            .drop("__cx", "__cy", "__b", "__edges"))
+    return in_box & G.edges_contain(F.col("__edges"), x, y)
+
+
+def locate(points: DataFrame, polygons: DataFrame, cell: float, poly: str = "poly") -> DataFrame:
+    """Pairs (point row, polygon attributes) where the polygon contains (x, y)."""
+    pairs = sized_join(_spots(points, cell), polygon_cells(polygons, cell, poly), ["__cx", "__cy"])
+    return pairs.filter(_hit()).drop("__cx", "__cy", "__b", "__edges")
 
 
 def zone_class(points: DataFrame, zones: DataFrame, key: str, cell: float,
                value: str = "gust_class", out: str = "wind") -> DataFrame:
-    """(key, highest zone value that contains the point, 0 outside all)."""
-    hits = (locate(points.select(key, "x", "y"), zones.select(value, "poly"), cell)
-            .groupBy(key).agg(F.max(value).alias(out)))
-    return (points.select(key).join(hits, key, "left")
-            .select(key, F.coalesce(out, F.lit(0)).alias(out)))
+    """(key, highest zone value that contains the point, 0 outside all).
+
+    The outer join keeps the points outside, so that the maximum per key is
+    the only shuffle when the zone cells fit a broadcast."""
+    pairs = sized_join(_spots(points.select(key, "x", "y"), cell),
+                       polygon_cells(zones.select(value, "poly"), cell), ["__cx", "__cy"], "left")
+    return pairs.groupBy(key).agg(
+        F.coalesce(F.max(F.when(_hit(), F.col(value))), F.lit(0)).alias(out))
 
 
 def inside(points: DataFrame, regions: DataFrame, key: str, cell: float) -> DataFrame:
