@@ -60,11 +60,10 @@ def _(spark, sf):
         F.count("v").alias("n"), r6(F.sum(F.col("v") * F.col("i"))).alias("checksum"))
 
 
-@query("ra5_ndvi_udf", "px", NDVI)
+@query("ra5_ndvi_arrow", "px", NDVI)
 def _(spark, sf):
-    arrays = fx.tiles(spark, sf).withColumn("ndvi", R.nodata_to_null(
-        R.tile_ndvi_udf("red", "nir", "scl")))
-    return checksum(arrays, "ndvi")
+    return checksum(fx.tiles(spark, sf).withColumn(
+        "ndvi", R.tile_ndvi_arrow("red", "nir", "scl")), "ndvi")
 
 
 @query("ra6_masked_fraction", "px", """SELECT scene_id, x, y,

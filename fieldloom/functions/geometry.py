@@ -149,9 +149,12 @@ def scan_row(edges: Column, y: Column, inset: float = 0.0, strict: bool = False)
         return F.struct(xs.alias("xs"), near.alias("near"))
     d = F.lit(float(inset))
 
-    def too_close(e):
-        dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
-        length = F.sqrt(dx * dx + dy * dy)
+    def too_close(edge):
+        step = F.struct((edge["bx"] - edge["ax"]).alias("dx"), (edge["by"] - edge["ay"]).alias("dy"))
+        return let(step, lambda s: capsule(edge, s["dx"], s["dy"], F.sqrt(
+            s["dx"] * s["dx"] + s["dy"] * s["dy"])))
+
+    def capsule(e, dx, dy, length):
         reach = lambda v: F.when(F.abs(y - v) <= d, F.sqrt(d * d - (y - v) * (y - v)))
 
         def side(sign: float) -> Column:
@@ -178,7 +181,7 @@ def scan_row(edges: Column, y: Column, inset: float = 0.0, strict: bool = False)
 def on_row(scan: Column, x: Column, strict: bool = False) -> Column:
     """Is (x, y of the scan) inside, at least (``strict``: more than) the
     inset away from every edge?"""
-    hit = F.size(F.filter(scan["xs"], lambda at: x < at)) % 2 == 1
+    hit = F.aggregate(scan["xs"], F.lit(False), lambda odd, at: odd != (x < at))
     close = ((lambda g: (g["lo"] <= x) & (x <= g["hi"])) if strict
              else (lambda g: (g["lo"] < x) & (x < g["hi"])))
     return hit & ~F.exists(scan["near"], close)

@@ -96,12 +96,14 @@ def field_pixels(assigned: DataFrame, tile_px: int, inset: float = 0.0) -> DataF
     clip = lambda c: F.greatest(F.lit(0), F.least(F.lit(w - 1), F.floor(c).cast("int")))
 
     def rows(t: Column) -> Column:
-        cols = F.sequence(t["c0"], t["c1"])
-        return F.flatten(F.transform(F.sequence(t["r0"], t["r1"]), lambda r: G.let(
-            G.scan_row(F.col("__edges"), t["uly"] - (r + 0.5) * t["px"], inset),
-            lambda row: F.transform(
-                F.filter(cols, lambda c: G.on_row(row, t["ulx"] + (c + 0.5) * t["px"])),
-                lambda c: r * w + c))))
+        # column centres once per tile; every pixel row is scanned once
+        centres = F.transform(F.sequence(t["c0"], t["c1"]), lambda c: F.struct(
+            c.alias("c"), (t["ulx"] + (c + 0.5) * t["px"]).alias("x")))
+        return G.let(centres, lambda cols: F.flatten(F.transform(
+            F.sequence(t["r0"], t["r1"]), lambda r: G.let(
+                G.scan_row(F.col("__edges"), t["uly"] - (r + 0.5) * t["px"], inset),
+                lambda row: F.transform(F.filter(cols, lambda p: G.on_row(row, p["x"])),
+                                        lambda p: r * w + p["c"])))))
 
     tile = F.struct(
         px.alias("px"), ulx.alias("ulx"), uly.alias("uly"),

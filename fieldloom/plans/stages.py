@@ -55,14 +55,14 @@ def zone_raster(tiles: DataFrame, meta: DataFrame, fields: DataFrame, tile_px: i
 
 
 def zonal_stage(tiles: DataFrame, meta: DataFrame, masks: DataFrame,
-                pixel_m2: float = 100.0) -> DataFrame:
+                pixel_m2: float = 100.0, engine: str = "arrow") -> DataFrame:
     """Stacked tiles + scene attributes + stored zone raster -> field
     observations.  Tiles that no field needs are dropped before the index is
     computed; tile arrays are shuffled once, to their fields."""
     scene_grid = sized_join(grid.scene_grids(tiles), meta.select("scene_id", "epsg"), ["scene_id"])
     named = sized_join(tiles, grid.grid_of_scene(scene_grid), ["scene_id"])
     needed = zonal.keep_needed(named, masks).select(
-        "scene_id", *zonal.SPOT, R.tile_ndvi("red", "nir", "scl").alias("ndvi"))
+        "scene_id", *zonal.SPOT, R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
     return zonal.roll_up(zonal.pair_stats(masks, needed), meta, pixel_m2)
 
 

@@ -143,13 +143,14 @@ def test_projection_known_points(spark):
 
 
 def test_ndvi_engines_agree(spark, sf):
-    df = fx.tiles(spark, sf).select(
-        "red", "nir", "scl", R.tile_ndvi("red", "nir", "scl").alias("a"),
-        R.nodata_to_null(R.tile_ndvi_udf("red", "nir", "scl")).alias("b"))
+    df = fx.tiles(spark, sf).select("red", "nir", "scl").unionByName(
+        spark.createDataFrame([([0.0, -0.1, 0.2], [0.0, 0.5, -0.1], [4, 4, 4]), ([], [], [])],
+                              "red array<float>, nir array<float>, scl array<int>")).select(
+        R.tile_ndvi("red", "nir", "scl").alias("a"), R.tile_ndvi_arrow("red", "nir", "scl").alias("b"))
     assert df.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
-    nan = spark.createDataFrame([([float("nan"), 0.2, 0.0], [0.5, 0.6, 0.0], [4, 9, 4])],
+    nan = spark.createDataFrame([([float("nan"), 0.2, 0.1], [0.5, 0.6, None], [4, 9, 4])],
                                 "red array<float>, nir array<float>, scl array<int>")
-    assert nan.select(R.tile_ndvi_udf("red", "nir", "scl").alias("v")).first().v == [-9999.0] * 3
+    assert nan.select(R.tile_ndvi_arrow("red", "nir", "scl").alias("v")).first().v == [None] * 3
 
 
 def test_zone_raster_equals_direct_path(spark, sf):
