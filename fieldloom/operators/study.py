@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import CLASS_LABELS, DEFAULTS
 from ..functions import scalars as S
-from ..shared import materialize
+from ..shared import materialize, skew_join
 from .bands import match_lat, match_lat_lon
 from .ordered import quantiles
 
@@ -134,11 +134,19 @@ def raw_drop(wide: DataFrame, fields: DataFrame, wind: DataFrame, crop: int | No
 def crop_series(obs: DataFrame, fields: DataFrame, crop: int,
                 valid_min: float = DEFAULTS.valid_frac_min) -> DataFrame:
     """Mean of the crop's fields per date."""
+    # summed per field and date first: a field with very many rows joins as few
+    exact = lambda c: F.sum(F.col(c).cast("decimal(20,12)")).alias(c)
+    daily = obs.filter(F.col("valid_frac") >= valid_min).groupBy("field_id", "date").agg(
+        F.count(F.lit(1)).alias("n"), exact("mean_ndvi"), exact("valid_frac"))
     chosen = fields.filter(F.col("crop") == crop).select("field_id")
-    return (obs.filter(F.col("valid_frac") >= valid_min).join(chosen, "field_id")
-            .groupBy("date").agg(F.count(F.lit(1)).alias("fields"),
-                                 F.round(exact_avg("mean_ndvi"), 4).alias("corn_mean_ndvi"),
-                                 F.round(exact_avg("valid_frac"), 3).alias("avg_valid_frac")))
+
+    def mean(c: str, places: int) -> Column:
+        quotient = F.sum(c).cast("decimal(24,12)") / F.sum("n").cast("decimal(10,0)")
+        return F.round(quotient.cast("double"), places)
+
+    return daily.join(chosen, "field_id").groupBy("date").agg(
+        F.sum("n").alias("fields"), mean("mean_ndvi", 4).alias("corn_mean_ndvi"),
+        mean("valid_frac", 3).alias("avg_valid_frac"))
 
 
 def climatology(obs: DataFrame) -> DataFrame:
@@ -152,5 +160,5 @@ def anomaly(obs: DataFrame) -> DataFrame:
     """Observations with a robust z-score against the field's own history
     (null where the range is zero)."""
     spread = F.col("iqr") / 1.349  # range of the standard normal's quartiles
-    return (obs.join(climatology(obs), ["field_id", "dekad"])
+    return (skew_join(obs, climatology(obs), ["field_id", "dekad"])
             .withColumn("z", F.when(F.col("iqr") > 0, (F.col("mean_ndvi") - F.col("median")) / spread)))

@@ -10,7 +10,7 @@ from ..functions import geometry as G
 from ..functions import projection as P
 from ..functions import raster as R
 from ..operators import grid, publish, quality, scenes, spatial, study, zonal
-from ..shared import sized_join
+from ..shared import sized_join, skew_join
 
 
 def fields_stage(polygons: DataFrame, key: str, t: Thresholds = DEFAULTS,
@@ -110,5 +110,5 @@ def feature_table(obs: DataFrame, fields: DataFrame, zones: DataFrame, event_day
     """Model features: observation, anomaly, field attributes, event label."""
     wind = spatial.zone_class(fields, zones, "field_id", cell)
     attrs = fields.select("field_id", "crop", "area_m2").join(wind, "field_id")
-    return (study.anomaly(obs).join(attrs, "field_id")
+    return (skew_join(study.anomaly(obs), attrs, ["field_id"], counts_from=obs)
             .withColumn("after_event", F.col("date") >= F.to_date(F.lit(event_day))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,9 +81,11 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     hot = F.broadcast(hot_keys(counts_from if counts_from is not None else left, on, share))
     spread = spread if spread is not None else F.xxhash64(
         *[c for c, t in left.dtypes if not t.startswith("map")])
+    no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    # rows without a key match nothing: they only have to be spread
+    split = F.when(no_key, F.lit(1 << 16)).otherwise(F.col("__split"))
     salted_left = (left.join(hot, on, "left")
-                   .withColumn("__salt", F.when(F.col("__split").isNull(), F.lit(0))
-                               .otherwise(F.pmod(spread, F.col("__split"))).cast("int"))
+                   .withColumn("__salt", F.coalesce(F.pmod(spread, split), F.lit(0)).cast("int"))
                    .drop("__split"))
     salted_right = (right.join(hot, on, "left")
                     .withColumn("__salt", F.explode(

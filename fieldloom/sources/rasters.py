@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import raster as R
+from ..shared import sized_join
 
 
 def pixels_to_tiles(pixels: DataFrame, keys: list[str], tile_px: int, value: str = "value",
@@ -37,7 +38,7 @@ def read_tagged(spark: SparkSession, root: str, manifest: DataFrame, folder: str
     files = spark.read.option("recursiveFileLookup", "true").parquet(root)
     tagged = files.select("*", F.regexp_extract(
         F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1).alias(folder))
-    return tagged.join(manifest.select(folder, tag), folder).drop(folder)
+    return sized_join(tagged, manifest.select(folder, tag), [folder]).drop(folder)
 
 
 def in_window(tiles: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:

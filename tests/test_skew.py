@@ -24,6 +24,21 @@ def test_skew_join_equals_plain_join(spark, how):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_rows_without_a_key_are_kept(spark, how):
+    left, right = sides(spark)
+    left = left.withColumn("k", F.when(F.col("v") % 4 != 0, F.col("k")))
+    got, want = shared.skew_join(left, right, ["k"], how), left.join(right, ["k"], how)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_top_k_is_cut_before_the_shuffle(spark):
+    from fieldloom.sources.tables import newest_per_key
+    left, _ = sides(spark)
+    plan = newest_per_key(left, ["k"], ["v"], 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # partial and final
+
+
 def test_hot_key_is_split(spark):
     left, _ = sides(spark)
     hot = shared.hot_keys(left, ["k"], 0.005).collect()
