@@ -62,6 +62,25 @@ VIEWS = {
   coalesce(pre IS NOT NULL AND post IS NOT NULL AND pre_vf >= 0.5 AND post_vf >= 0.5, false) AS usable
   FROM wide JOIN fl USING (field_id) JOIN wind USING (field_id)""",
 }
+
+
+def quant_sql(value: str, valid: str, lo: str = "-0.2", hi: str = "1.0") -> str:
+    code = f"round_even(greatest(0, least(1, (({value}) - {lo}) / ({hi} - {lo}))) * 200, 0)"
+    return (f"CAST(CASE WHEN ({value}) IS NOT NULL AND coalesce({valid}, 0) >= 0.5 THEN {code} "
+            "ELSE 255 END AS INT)")
+
+
+VIEWS["codes"] = f"""SELECT field_id, coalesce(max(q) FILTER (dekad = 3), 255) AS d3,
+  coalesce(max(q) FILTER (dekad = 20), 255) AS d20 FROM (SELECT field_id, dekad,
+  {quant_sql('b.m', 'b.v')} AS q FROM (SELECT field_id, dekad,
+  max(struct_pack(v := valid_frac, m := mean_ndvi)) AS b FROM ob WHERE season = 1998
+  GROUP BY field_id, dekad)) GROUP BY field_id"""
+VIEWS["pub"] = f"""SELECT wide.*, crop, area_m2, wind, {quant_sql('pre', 'pre_vf')} AS pre_q,
+  {quant_sql('post', 'post_vf')} AS post_q,
+  {quant_sql('post - pre', 'CASE WHEN pre_vf IS NOT NULL AND post_vf IS NOT NULL THEN least(pre_vf, post_vf) END',
+             '-0.4', '0.1')} AS drop_q, CAST(coalesce(d3, 255) AS INT) AS d3,
+  CAST(coalesce(d20, 255) AS INT) AS d20, x0, y0, w, h FROM wide JOIN fl USING (field_id)
+  JOIN wind USING (field_id) LEFT JOIN codes USING (field_id)"""
 # direct (pair by pair) matching: the definition, not the method
 for _name, _cond in {
     "m30": "c.lat BETWEEN t.lat - 30 AND t.lat + 30",
@@ -82,7 +101,8 @@ DID = """SELECT wind, count(*) AS fields, round_even(avg(delta::DECIMAL(20, 12))
 def with_views(names: str, sql: str) -> str:
     """Prefix ``sql`` with the views it needs (dependencies are pulled in)."""
     needs = {"sg": "sc", "sel": "sg", "wind": "fl wz", "meta": "rt", "px": "rt", "wide": "ob",
-             "frame": "wide wind", "m30": "frame", "m10": "frame", "m2": "frame"}
+             "frame": "wide wind", "codes": "ob",
+             "pub": "wide wind codes", "m30": "frame", "m10": "frame", "m2": "frame"}
     order: list[str] = []
 
     def visit(n: str) -> None:

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..operators import publish, quality
-from ..shared import shared_folder
+from ..operators import ordered, quality
+from ..plans import stages
+from ..shared import materialize, shared_folder
 from ..sinks import features
 from ..sinks import tables as sink
 from .base import query
@@ -58,21 +59,35 @@ def _(spark, sf):
     return spark.read.parquet(path).drop("run_at")
 
 
-@query("k5_wide_drop", "wide", "SELECT * FROM wide")
+def published(spark, sf):
+    """Wide feature table of the event, with two season periods."""
+    return stages.publish_stage(
+        fx.observations(spark, sf), fx.field_points(spark, sf), fx.zones(spark, sf),
+        F.expr(fx.BEFORE), F.expr(fx.AFTER), F.lit(1998), [3, 20], fx.CELL)
+
+
+@query("k5_wide_drop", "pub", """SELECT field_id, pre, pre_vf, post, post_vf, crop, area_m2, wind, pre_q,
+  post_q, drop_q FROM pub""")
 def _(spark, sf):
     path = shared_folder(spark, "k5")
-    sink.write_wide(publish.before_after(fx.observations(spark, sf), F.expr(fx.BEFORE),
-                                         F.expr(fx.AFTER)), path)
-    return spark.read.parquet(path)
+    sink.write_wide(published(spark, sf).drop("d3", "d20"), path)
+    return spark.read.parquet(path).drop("poly")
+
+
+PROPS = ["fid", "crop", "wind", "pre_q", "post_q", "drop_q", "d3", "d20"]
 
 
-@query("k6_feature_lines", "fl", """SELECT '{"type":"Feature","properties":{"field_id":' || field_id ||
-  ',"crop":' || crop || '},"geometry":{"type":"Polygon","coordinates":[[[' || x0 || '.0,' || y0 || '.0],['
-  || (x0 + w) || '.0,' || y0 || '.0],[' || (x0 + w) || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,'
-  || (y0 + h) || '.0],[' || x0 || '.0,' || y0 || '.0]]]}}' AS value FROM fl""")
+@query("k6_feature_lines", "pub", """SELECT '{"type":"Feature","properties":{"fid":' || (row_number() OVER (
+  ORDER BY field_id) - 1) || ',"crop":' || crop || ',"wind":' || wind || ',"pre_q":' || pre_q || ',"post_q":'
+  || post_q || ',"drop_q":' || drop_q || ',"d3":' || d3 || ',"d20":' || d20 || '},"geometry":{"type":"Polygon",'
+  || '"coordinates":[[[' || x0 || '.0,' || y0 || '.0],[' || (x0 + w) || '.0,' || y0 || '.0],[' || (x0 + w)
+  || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || y0 || '.0]]]}}'
+  AS value FROM pub""")
 def _(spark, sf):
     path = shared_folder(spark, "k6")
-    features.write_features(fx.fields(spark, sf), ["field_id", "crop"], path)
+    wide = materialize(published(spark, sf), "published")
+    ids = ordered.dense_ids(wide.select("field_id"), "field_id")
+    features.write_features(wide.join(ids, "field_id"), PROPS, path)
     return spark.read.text(path)
 
 
