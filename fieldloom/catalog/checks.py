@@ -6,7 +6,6 @@ from .. import fixtures as fx
 from ..functions import geometry as G
 from ..operators import grid, incremental, quality, scenes, study
 from ..plans import stages
-from ..shared import sized_join
 from .base import query
 from .joins import COVERAGE
 from .sources import runs
@@ -147,14 +146,15 @@ def _(spark, sf):
 @query("q13_centroid_in_envelope", "fl", "SELECT " + row(
     "centroid_in_envelope", "'centroid inside the scene'",
     "count(*) FILTER (bad) || ' of ' || count(*) || ' rows failed'", "count(*) FILTER (bad) = 0")
-    + " FROM (SELECT NOT (mx BETWEEN 0 AND 400 AND my BETWEEN 0 AND 400) AS bad FROM fl)")
+    + " FROM (SELECT NOT (mx >= 0 AND mx < 400 AND my >= 0 AND my < 400) AS bad FROM fl)")
 def _(spark, sf):
-    g = grid.shared_grids(scene_grid(spark, sf)).select(
-        "epsg", F.col("x0").alias("xmin"), F.col("y0").alias("ymax"),
-        (F.col("x0") + F.col("stride") * (F.col("x_hi") + 1)).alias("xmax"),
-        (F.col("y0") - F.col("stride") * (F.col("y_hi") + 1)).alias("ymin"))
-    points = fx.fields(spark, sf).select(F.lit(fx.EPSG).alias("epsg"), G.centroid("poly").alias("c"))
-    return quality.envelope_check(sized_join(points, g, ["epsg"]).select("*", "c.x", "c.y"), "demo")
+    span = F.col("stride")
+    outline = grid.shared_grids(scene_grid(spark, sf)).select(G.rectangle(
+        "x0", F.col("y0") - span * (F.col("y_hi") + 1), F.col("x0") + span * (F.col("x_hi") + 1),
+        "y0").alias("poly"))
+    points = fx.fields(spark, sf).select("field_id", G.centroid("poly").alias("c")).select(
+        "field_id", "c.x", "c.y")
+    return quality.envelope_check(points, outline, "field_id", "demo", fx.CELL)
 
 
 @query("q14_run_metrics", "ob", """SELECT 'publish' AS stage, 'demo' AS scope, count(*) AS rows_in,

@@ -38,7 +38,8 @@ TILE_HIT = """t.x BETWEEN floor(x0 / 40) AND floor((x0 + w) / 40)
 @query("j3_needed_tiles", "rt fl", f"""SELECT scene_id, x, y FROM rt t WHERE EXISTS (SELECT 1 FROM fl
   WHERE {TILE_HIT})""")
 def _(spark, sf):
-    return zonal.keep_needed(scene_tiles(spark, sf), assigned(spark, sf)).select(
+    grids = scene_grid(spark, sf)
+    return zonal.keep_needed(scene_tiles(spark, sf, grids), assigned(spark, sf, grids=grids)).select(
         "scene_id", "x", "y")
 
 
@@ -55,17 +56,19 @@ def _(spark, sf):
 @query("j5_tile_assignment", "rt fl", f"""SELECT t.scene_id, field_id, t.x, t.y FROM rt t JOIN fl
   ON {TILE_HIT}""")
 def _(spark, sf):
-    spots = assigned(spark, sf).select("grid_id", "field_id", "x", "y")
-    return (spots.join(grid.grid_of_scene(scene_grid(spark, sf)), "grid_id")
-            .select("scene_id", "field_id", "x", "y"))
+    grids = scene_grid(spark, sf)
+    spots = assigned(spark, sf, grids=grids).select("grid_id", "field_id", "x", "y")
+    return sized_join(spots, grids.select("grid_id", "scene_id"), ["grid_id"]).select(
+        "scene_id", "field_id", "x", "y")
 
 
 @query("j6_tile_field_pairs", "px fl", f"""SELECT scene_id, field_id, x, y, count(*) AS n_pixels
   FROM px JOIN fl ON {PAIR_ON} GROUP BY ALL""")
 def _(spark, sf):
-    spots = assigned(spark, sf)
+    grids = scene_grid(spark, sf)
+    spots = assigned(spark, sf, grids=grids)
     masks = grid.field_pixels(spots, fx.TILE_PX).select("grid_id", "x", "y", "field_id", "idx")
-    ones = scene_tiles(spark, sf).select("scene_id", *zonal.SPOT,
+    ones = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT,
                                          F.transform("scl", lambda v: F.lit(1.0)).alias("one"))
     return zonal.pair_stats(masks, ones, "one", spots).select(
         "scene_id", "field_id", "x", "y", F.col("count").alias("n_pixels"))
@@ -170,9 +173,11 @@ def _(spark, sf):
 def _(spark, sf):
     tiles = fx.tiles(spark, sf)
     # pairs = tiles per spot x fields per spot: counted without building them
-    per_spot = assigned(spark, sf).groupBy(*zonal.SPOT).agg(F.count(F.lit(1)).alias("f"))
-    spots = (tiles.select("scene_id", "x", "y")
-             .join(grid.grid_of_scene(scene_grid(spark, sf)), "scene_id")
+    grids = scene_grid(spark, sf)
+    per_spot = assigned(spark, sf, grids=grids).groupBy(*zonal.SPOT).agg(
+        F.count(F.lit(1)).alias("f"))
+    spots = (sized_join(tiles.select("scene_id", "x", "y"), grids.select("scene_id", "grid_id"),
+                        ["scene_id"])
              .groupBy(*zonal.SPOT).agg(F.count(F.lit(1)).alias("t")))
     n_pairs = spots.join(per_spot, zonal.SPOT).agg(F.sum(F.col("t") * F.col("f"))).scalar()
     n_fields = field_boxes(spark, sf).agg(F.count(F.lit(1))).scalar()

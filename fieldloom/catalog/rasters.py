@@ -6,7 +6,7 @@ from .. import fixtures as fx
 from ..functions import raster as R
 from ..operators import grid, zonal
 from .base import query
-from .zonal_parts import assigned, pairs, scene_tiles
+from .zonal_parts import assigned, pairs, scene_grid, scene_tiles
 
 ELL_ON = """cx >= x0 AND cx < x0 + w AND cy >= y0 AND cy < y0 + h
   AND NOT (field_id % 4 = 0 AND cx >= mx AND cy >= my)"""
@@ -75,8 +75,9 @@ def _(spark, sf):
 
 @query("ra7_zonal_direct", "px fl", ZONAL)
 def _(spark, sf):
-    tiles = scene_tiles(spark, sf).select("scene_id", *zonal.SPOT, "ndvi")
-    stats = zonal.pixel_stats(tiles, assigned(spark, sf, ell=True), fx.TILE_PX)
+    grids = scene_grid(spark, sf)
+    tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "ndvi")
+    stats = zonal.pixel_stats(tiles, assigned(spark, sf, True, grids), fx.TILE_PX)
     return stats.select("scene_id", "field_id", "x", "y", F.col("count").alias("n"),
                         r6("sum").alias("total"))
 
@@ -110,7 +111,8 @@ def _(spark, sf):
   LEFT JOIN px s ON s.scene_id = px.scene_id AND s.col = px.col AND s.row_ = px.row_ + 1
   LEFT JOIN px n_ ON n_.scene_id = px.scene_id AND n_.col = px.col AND n_.row_ = px.row_ - 1 GROUP BY ALL""")
 def _(spark, sf):
-    dem = scene_tiles(spark, sf).withColumn("data", F.col("red").cast("array<double>"))
-    spots = assigned(spark, sf, ell=True)
+    grids = scene_grid(spark, sf)
+    dem = scene_tiles(spark, sf, grids).withColumn("data", F.col("red").cast("array<double>"))
+    spots = assigned(spark, sf, True, grids)
     out = zonal.terrain(dem, grid.field_pixels(spots, fx.TILE_PX), spots)
     return out.select("scene_id", "field_id", "n", r6("elev").alias("elev"), r6("slope").alias("slope"))

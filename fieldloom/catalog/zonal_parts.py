@@ -9,7 +9,8 @@ from ..operators import grid, zonal
 
 
 def scene_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return grid.scene_grids(fx.tiles(spark, sf)).withColumn("epsg", F.lit(fx.EPSG))
+    """Stored scene table."""
+    return grid.scene_table(grid.scene_grids(fx.tiles(spark, sf)).withColumn("epsg", F.lit(fx.EPSG)))
 
 
 def field_boxes(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
@@ -19,22 +20,23 @@ def field_boxes(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
     return grid.field_boxes(f)
 
 
-def assigned(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
+def assigned(spark: SparkSession, sf: str, ell: bool = False,
+             grids: DataFrame | None = None) -> DataFrame:
     """(grid_id, x, y, field) assignment."""
-    return grid.assign_tiles(grid.shared_grids(scene_grid(spark, sf)),
-                             field_boxes(spark, sf, ell), fx.CELL)
+    grids = grids if grids is not None else scene_grid(spark, sf)
+    return grid.assign_tiles(grid.shared_grids(grids), field_boxes(spark, sf, ell), fx.CELL)
 
 
-def scene_tiles(spark: SparkSession, sf: str) -> DataFrame:
+def scene_tiles(spark: SparkSession, sf: str, grids: DataFrame | None = None) -> DataFrame:
     """Tiles with their grid_id and the index array."""
-    named = zonal.sized_join(fx.tiles(spark, sf), grid.grid_of_scene(scene_grid(spark, sf)),
-                             ["scene_id"])
+    grids = grids if grids is not None else scene_grid(spark, sf)
+    named = zonal.sized_join(fx.tiles(spark, sf), grids.select("scene_id", "grid_id"), ["scene_id"])
     return named.withColumn("ndvi", R.tile_ndvi("red", "nir", "scl"))
 
 
 def pairs(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
     """Per (scene, tile, field) sum and count of the valid pixels."""
-    spots = assigned(spark, sf, ell)
-    return zonal.pair_stats(grid.field_pixels(spots, fx.TILE_PX),
-                            scene_tiles(spark, sf).select("scene_id", *zonal.SPOT, "ndvi"),
-                            assigned=spots)
+    grids = scene_grid(spark, sf)
+    spots = assigned(spark, sf, ell, grids)
+    tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "ndvi")
+    return zonal.pair_stats(grid.field_pixels(spots, fx.TILE_PX), tiles, assigned=spots)

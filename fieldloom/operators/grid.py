@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..shared import sized_join, spread
+from ..shared import materialize, sized_join, spread
 from .spatial import cell_range
 
 GRID = ["epsg", "x0", "y0", "stride", "x_hi", "y_hi"]
@@ -23,16 +23,17 @@ def scene_grids(tiles: DataFrame) -> DataFrame:
         F.max("x").alias("x_hi"), F.max("y").alias("y_hi"))
 
 
-def shared_grids(scene_grid: DataFrame) -> DataFrame:
-    """Distinct grids with a grid_id.  All dates of a tile share one grid, so
-    polygons are assigned once per grid and not once per scene."""
-    return scene_grid.groupBy(*GRID).agg(F.min("scene_id").alias("grid_id"))
+def scene_table(scene_grid: DataFrame) -> DataFrame:
+    """Scene grids (scene_id, epsg, x0, ...) stored with a grid_id: one small
+    row per scene.  All dates of a tile share one grid, so polygons are
+    assigned once per grid and not once per scene."""
+    named = scene_grid.groupBy(*GRID).agg(F.min("scene_id").alias("grid_id"))
+    return materialize(scene_grid.join(named, GRID), "grids")
 
 
-def grid_of_scene(scene_grid: DataFrame) -> DataFrame:
-    """(scene_id, grid_id)."""
-    named = shared_grids(scene_grid)
-    return scene_grid.join(named, GRID).select("scene_id", "grid_id")
+def shared_grids(scenes: DataFrame) -> DataFrame:
+    """Distinct grids of a :func:`scene_table`."""
+    return scenes.filter(F.col("scene_id") == F.col("grid_id")).select("grid_id", *GRID)
 
 
 def assign_tiles(grids: DataFrame, fields: DataFrame, cell: float = 100_000.0) -> DataFrame:

@@ -44,23 +44,27 @@ def scenes_stage(manifest: DataFrame, t: Thresholds = DEFAULTS, event: bool = Fa
     return scenes.event_mode(gated) if event else scenes.season_mode(gated, gate_first)
 
 
-def zone_raster(tiles: DataFrame, meta: DataFrame, fields: DataFrame, tile_px: int,
-                inset: float = 0.0, cell: float = 100_000.0) -> DataFrame:
+def scene_grids(tiles: DataFrame, meta: DataFrame) -> DataFrame:
+    """Stored scene table (scene_id, grid_id, grid): reads georeferences only."""
+    return grid.scene_table(sized_join(grid.scene_grids(tiles), meta.select("scene_id", "epsg"),
+                                       ["scene_id"]))
+
+
+def zone_raster(grids: DataFrame, fields: DataFrame, tile_px: int, inset: float = 0.0,
+                cell: float = 100_000.0) -> DataFrame:
     """The fields' pixels per grid tile.  It depends on the grids and fields
     only: compute it once, store it, use it for every scene and every run."""
-    scene_grid = sized_join(grid.scene_grids(tiles), meta.select("scene_id", "epsg"), ["scene_id"])
     boxes = grid.field_boxes(fields.select("field_id", "area_m2", "epsg", "poly"))
-    return grid.field_pixels(grid.assign_tiles(grid.shared_grids(scene_grid), boxes, cell),
+    return grid.field_pixels(grid.assign_tiles(grid.shared_grids(grids), boxes, cell),
                              tile_px, inset)
 
 
-def zonal_stage(tiles: DataFrame, meta: DataFrame, masks: DataFrame,
+def zonal_stage(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: DataFrame,
                 pixel_m2: float = 100.0, engine: str = "arrow") -> DataFrame:
-    """Stacked tiles + scene attributes + stored zone raster -> field
-    observations.  Tiles that no field needs are dropped before the index is
-    computed; tile arrays are shuffled once, to their fields."""
-    scene_grid = sized_join(grid.scene_grids(tiles), meta.select("scene_id", "epsg"), ["scene_id"])
-    named = sized_join(tiles, grid.grid_of_scene(scene_grid), ["scene_id"])
+    """Stacked tiles + scene attributes + scene table + stored zone raster ->
+    field observations.  Tiles that no field needs are dropped before the
+    index is computed; tile arrays are shuffled once, to their fields."""
+    named = sized_join(tiles, grids.select("scene_id", "grid_id"), ["scene_id"])
     needed = zonal.keep_needed(named, masks).select(
         "scene_id", *zonal.SPOT, R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
     return zonal.roll_up(zonal.pair_stats(masks, needed), meta, pixel_m2)

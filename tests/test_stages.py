@@ -48,8 +48,9 @@ def test_fields_to_observations_end_to_end(spark, sf):
     day = dt.date(2020, 8, 4)
     meta = spark.createDataFrame([(e, str(e), day, 21, 2020, e) for e in (32614, 32615)],
                                  "scene_id int, mgrs_tile string, date date, dekad int, season int, epsg int")
-    masks = materialize(stages.zone_raster(tiles, meta, utm, 64, inset=15.0), "masks")
-    obs = stages.zonal_stage(tiles, meta, masks)
+    grids = stages.scene_grids(tiles, meta)
+    masks = materialize(stages.zone_raster(grids, utm, 64, inset=15.0), "masks")
+    obs = stages.zonal_stage(tiles, meta, grids, masks)
     rows = {r.field_id: r for r in obs.collect()}
     assert set(obs.columns) == {f.name for f in FIELD_NDVI}
     for f in prepared.select("field_id", "area_m2").collect():
