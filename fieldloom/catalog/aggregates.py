@@ -292,14 +292,14 @@ def _(spark, sf):
     return tables.latest_runs(runs(spark, sf)).select("run_seq")
 
 
-@query("t3_top_overlap", "rg wz", """SELECT geoid, CAST(sum(
-  greatest(0, least(rx0 + 200, zx1) - greatest(rx0, zx0)) * greatest(0, least(ry0 + 200, zy1)
-  - greatest(ry0, zy0))) AS DOUBLE) AS area FROM rg, wz WHERE gust_class = 3 GROUP BY geoid HAVING area > 0
-  ORDER BY area DESC, geoid LIMIT 3""")
+@query("t3_top_overlap", "fl wz", """SELECT field_id, CAST(sum(
+  greatest(0, least(x0 + w, zx1) - greatest(x0, zx0)) * greatest(0, least(y0 + h, zy1) - greatest(y0, zy0)))
+  AS DOUBLE) AS area FROM fl, wz WHERE gust_class = 3 GROUP BY field_id HAVING area > 0
+  ORDER BY area DESC, field_id LIMIT 5""")
 def _(spark, sf):
     top = fx.zones(spark, sf).filter("gust_class = 3")
-    area = spatial.overlap_area(fx.regions(spark, sf), top, "geoid", 5.0, fx.CELL)
-    return area.orderBy(F.desc("area"), "geoid").limit(3)
+    area = spatial.overlap_area(fx.fields(spark, sf), top, "field_id", 1.0, fx.CELL)
+    return area.orderBy(F.desc("area"), "field_id").limit(5)
 
 
 @query("u1_union_by_name", "ob", """SELECT season, count(*) AS n FROM ob GROUP BY season

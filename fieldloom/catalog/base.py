@@ -32,6 +32,8 @@ VIEWS = {
   150 + 60 * r_regionkey AS ya, 800 - 90 * r_regionkey AS yb FROM region)""",
     "rg": """SELECT n_nationkey AS geoid, n_regionkey AS state, (n_nationkey % 5) * 200 AS rx0,
   (n_nationkey // 5) * 200 AS ry0 FROM nation""",
+    "pc": """SELECT s_suppkey AS geoid, s_nationkey % 5 AS state, (s_suppkey * 53) % 1000 AS rx0,
+  (s_suppkey * 71) % 1000 AS ry0 FROM supplier""",
     "wind": """SELECT fl.field_id, CAST(coalesce(max(gust_class), 0) AS INT) AS wind FROM fl
   LEFT JOIN wz ON mx >= zx0 AND mx < zx1 AND my >= zy0 AND my < zy1 GROUP BY fl.field_id""",
     "rt": """SELECT vec_id // 100 AS scene_id, CAST(vec_id % 10 AS INT) AS x,

@@ -108,15 +108,12 @@ def _(spark, sf):
         "field_id", "n_bytes", (F.col("again") == F.col("poly")).alias("same"))
 
 
-@query("g9_overlap_by_class", "rg wz", """SELECT geoid, gust_class, CAST(sum(
-  greatest(0, least(rx0 + 200, zx1) - greatest(rx0, zx0)) * greatest(0, least(ry0 + 200, zy1)
-  - greatest(ry0, zy0))) AS DOUBLE) AS area FROM rg, wz GROUP BY ALL HAVING area > 0""")
+@query("g9_overlap_by_class", "fl wz", """SELECT field_id, gust_class, CAST(sum(
+  greatest(0, least(x0 + w, zx1) - greatest(x0, zx0)) * greatest(0, least(y0 + h, zy1) - greatest(y0, zy0)))
+  AS DOUBLE) AS area FROM fl, wz GROUP BY ALL HAVING area > 0""")
 def _(spark, sf):
-    parts = [spatial.overlap_area(fx.regions(spark, sf),
-                                  fx.zones(spark, sf).filter(F.col("gust_class") == c),
-                                  "geoid", 5.0, fx.CELL)
-             .withColumn("gust_class", F.lit(c)) for c in (1, 2, 3)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return spatial.overlap_area(fx.fields(spark, sf), fx.zones(spark, sf), "field_id", 1.0, fx.CELL,
+                                by="gust_class")
 
 
 @query("g10_text", "fl", """SELECT field_id, 'POLYGON ((' || x0 || ' ' || y0 || ', ' || (x0 + w) || ' ' || y0

@@ -85,12 +85,12 @@ def _(spark, sf):
     return wide.select("field_id", *polygons.with_prefix_columns(wide, "CDL"))
 
 
-@query("f11_ordinal_class", "wz", """SELECT zone_id, gust_class,
-  ['60-79 mph', '80-99 mph', '100+ mph'][gust_class] AS label FROM wz""")
+@query("f11_ordinal_class", "fl", """SELECT field_id, CAST(crop % 3 + 1 AS INT) AS gust_class,
+  ['60-79 mph', '80-99 mph', '100+ mph'][crop % 3 + 1] AS label FROM fl""")
 def _(spark, sf):
     names = F.array(*[F.lit(n) for n in GUST_CLASSES])
-    labelled = fx.zones(spark, sf).select(
-        "zone_id", F.element_at(names, F.col("gust_class")).alias("label"))
+    labelled = fx.fields(spark, sf).select(
+        "field_id", F.element_at(names, F.col("crop") % 3 + 1).alias("label"))
     return fields.ordinal_class(labelled, "label", GUST_CLASSES)
 
 

@@ -91,13 +91,13 @@ def _(spark, sf):
     return spark.read.text(path)
 
 
-@query("k7_boundary", "rg", """SELECT '{"type":"Feature","properties":{"geoid":' || geoid ||
-  '},"geometry":{"type":"Polygon","coordinates":[[[' || rx0 || '.0,' || ry0 || '.0],[' || (rx0 + 200) || '.0,'
-  || ry0 || '.0],[' || (rx0 + 200) || '.0,' || (ry0 + 200) || '.0],[' || rx0 || '.0,' || (ry0 + 200) || '.0],['
-  || rx0 || '.0,' || ry0 || '.0]]]}}' AS value FROM rg WHERE geoid = 7""")
+@query("k7_boundary", "pc", """SELECT '{"type":"Feature","properties":{"geoid":' || geoid ||
+  '},"geometry":{"type":"Polygon","coordinates":[[[' || rx0 || '.0,' || ry0 || '.0],[' || (rx0 + 50) || '.0,'
+  || ry0 || '.0],[' || (rx0 + 50) || '.0,' || (ry0 + 50) || '.0],[' || rx0 || '.0,' || (ry0 + 50) || '.0],['
+  || rx0 || '.0,' || ry0 || '.0]]]}}' AS value FROM pc WHERE geoid = 7""")
 def _(spark, sf):
     path = shared_folder(spark, "k7")
-    features.write_features(fx.regions(spark, sf).filter("geoid = 7"), ["geoid"], path)
+    features.write_features(fx.parcels(spark, sf).filter("geoid = 7"), ["geoid"], path)
     return spark.read.text(path)
 
 

@@ -125,14 +125,14 @@ def _(spark, sf):
                         F.to_date(F.substring("properties.datetime", 1, 10)).alias("date"))
 
 
-@query("s7_vector_layer", "rg", f"""SELECT geoid, round(lon, 6) AS lon, round(lat, 6) AS lat FROM (
-  SELECT geoid, {lonlat_sql('100000.0 + 100 * rx0', '2000000.0 + 100 * ry0')} FROM rg WHERE state = 2)""")
+@query("s7_vector_layer", "pc", f"""SELECT geoid, round(lon, 6) AS lon, round(lat, 6) AS lat FROM (
+  SELECT geoid, {lonlat_sql('100000.0 + 100 * rx0', '2000000.0 + 100 * ry0')} FROM pc WHERE state = 2)""")
 def _(spark, sf):
     path = shared_folder(spark, "s7")
-    moved = fx.regions(spark, sf).withColumn(
+    moved = fx.parcels(spark, sf).withColumn(
         "poly", G.map_points("poly", lambda x, y: (100000.0 + 100 * x, 2000000.0 + 100 * y)))
     features.write_features(moved, ["geoid", "state"], path)
-    props = T.StructType([T.StructField("geoid", T.IntegerType()),
+    props = T.StructType([T.StructField("geoid", T.LongType()),
                           T.StructField("state", T.IntegerType())])
     layer = polygons.read_geojson_lines(spark, path, props).filter("state = 2")
     degrees = layer.withColumn("poly", polygons.reprojected("poly", P.conus_to_degrees))

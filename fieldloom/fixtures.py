@@ -90,6 +90,15 @@ def regions(spark: SparkSession, sf: str) -> DataFrame:
         G.rectangle(x, y, x + 200, y + 200).alias("poly"))
 
 
+def parcels(spark: SparkSession, sf: str) -> DataFrame:
+    """Boundary layer of 50 x 50 unit squares, by supplier."""
+    k = F.col("s_suppkey")
+    x, y = (k * 53) % 1000, (k * 71) % 1000
+    return table(spark, sf, "supplier").select(
+        k.alias("geoid"), (F.col("s_nationkey") % 5).alias("state"),
+        G.rectangle(x, y, x + 50, y + 50).alias("poly"))
+
+
 def tiles(spark: SparkSession, sf: str) -> DataFrame:
     v = F.col("vec_id")
     x, y = (v % 10).cast("int"), (F.floor(v / 10) % 10).cast("int")

@@ -64,9 +64,9 @@ def inside(points: DataFrame, regions: DataFrame, key: str, cell: float) -> Data
 
 
 def overlap_area(regions: DataFrame, zones: DataFrame, key: str, step: float,
-                 cell: float) -> DataFrame:
-    """(key, area) of region x zone overlap, measured on a grid of ``step``:
-    exact when the edges lie on grid lines.  Only the regions are rasterised,
+                 cell: float, by: str | None = None) -> DataFrame:
+    """(key, area), or (key, ``by``, area) per zone class, of the overlap, measured on
+    a grid of ``step``: exact when the edges lie on grid lines.  Only the regions are rasterised,
     their cell centres are then located in the zones."""
     b = F.col("__b")
     rows = (spread(regions.select(key, "poly"), key)
@@ -77,5 +77,6 @@ def overlap_area(regions: DataFrame, zones: DataFrame, key: str, step: float,
     inner = G.let(G.scan_row(F.col("__e"), F.col("y")),
                   lambda row: F.filter(centres, lambda x: G.on_row(row, x)))
     grid = rows.select(key, "y", F.explode(inner).alias("x"))
-    return (locate(grid, zones.select("poly"), cell).groupBy(key)
+    by_cols = [by] if by else []
+    return (locate(grid, zones.select(*by_cols, "poly"), cell).groupBy(key, *by_cols)
             .agg((F.count(F.lit(1)) * F.lit(float(step * step))).alias("area")))
