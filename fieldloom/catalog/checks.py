@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions import geometry as G
-from ..operators import grid, incremental, quality, scenes, study
+from ..operators import grid, quality, scenes, study
 from ..plans import stages
 from .base import query
 from .joins import COVERAGE

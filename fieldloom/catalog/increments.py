@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..operators import incremental, scenes
 from ..shared import shared_folder
-from ..sinks import tables as sink
 from ..streaming import arrivals
 from .aggregates import count
 from .base import query

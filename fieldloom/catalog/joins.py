@@ -7,7 +7,7 @@ from ..functions import raster as R
 from ..operators import bands, grid, incremental, publish, scenes, spatial, study, zonal
 from ..shared import materialize, sized_join
 from .base import query
-from .zonal_parts import assigned, field_boxes, pairs, scene_grid, scene_tiles
+from .zonal_parts import assigned, field_boxes, scene_grid, scene_tiles
 
 PAIR_ON = "cx > x0 AND cx < x0 + w AND cy > y0 AND cy < y0 + h"
 

@@ -52,7 +52,8 @@ def _(spark, sf):
 
 
 REGION = """SELECT frame.* FROM frame JOIN (SELECT field_id, mx, my FROM fl) USING (field_id)
-  WHERE EXISTS (SELECT 1 FROM rg WHERE state <> 2 AND mx >= rx0 AND mx < rx0 + 200 AND my >= ry0 AND my < ry0 + 200)"""
+  WHERE EXISTS (SELECT 1 FROM rg WHERE state <> 2 AND mx >= rx0 AND mx < rx0 + 200 AND my >= ry0
+  AND my < ry0 + 200)"""
 
 
 @query("e7_subregion_did", "frame rg", f"""{DID} FROM (SELECT *, delta - ctrl_delta AS did FROM (

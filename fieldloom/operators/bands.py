@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import materialize
+from ..shared import materialize, skew_join
 from .ordered import running_sums
 
 EXACT = "decimal(30,12)"
@@ -37,7 +37,7 @@ def _range_sums(points: DataFrame, ranges: DataFrame, keys: list[str], ids: list
     upto = (running_sums(line.unionByName(stops), keys, "__at",
                          {"__s": "__sum", "__c": "__cnt"}, ["__tie"])
             .filter(F.col("__tie") != 1).select(*spot, "__s", "__c"))
-    return marks.join(upto, spot).groupBy(*ids).agg(
+    return skew_join(marks, upto, spot).groupBy(*ids).agg(
         F.sum(F.when(F.col("__sign") > 0, F.col("__s")).otherwise(-F.col("__s")))
         .cast(EXACT).alias("__sum"),
         F.sum(F.col("__sign") * F.col("__c")).alias("__cnt"))
@@ -51,7 +51,7 @@ def _weights(controls: DataFrame, by: list[Column]) -> DataFrame:
 
 def _finish(treated: DataFrame, sums: DataFrame, on: list[str], min_n: int) -> DataFrame:
     mean = F.col("__sum").cast("double") / F.col("__cnt")
-    return (treated.join(sums, on, "left")
+    return (skew_join(treated, sums, on, "left")
             .withColumn("ctrl_n", F.coalesce(F.col("__cnt"), F.lit(0)).cast("bigint"))
             .withColumn("ctrl_delta", F.when(F.col("ctrl_n") >= min_n, mean))
             .drop("__sum", "__cnt"))
@@ -93,12 +93,13 @@ def match_lat_lon(treated: DataFrame, controls: DataFrame, lat_band, lon_band, m
             F.col("__at").alias(at), (F.col("__upto") - shift).alias(out))
 
     spots = materialize(
-        spots.join(rank_of(0, "__w", "__r0"), "__w").join(rank_of(2, "__e", "__r1"), "__e")
+        skew_join(skew_join(spots, rank_of(0, "__w", "__r0"), ["__w"]),
+                  rank_of(2, "__e", "__r1"), ["__e"], counts_from=spots)
         .filter(F.col("__r1") > F.col("__r0")), "spots")
     levels = spots.agg(F.floor(F.log2(F.max(F.col("__r1") - F.col("__r0")))).cast("int")).scalar()
 
     # controls: one block per level; no level is wider than the widest band
-    points = (weights.join(rank_of(1, "lon", "__rank", 1), "lon")
+    points = (skew_join(weights, rank_of(1, "lon", "__rank", 1), ["lon"])
               .withColumn("__top", F.coalesce(levels, F.lit(0)))
               .withColumn("__level", F.explode(F.sequence(F.lit(0), F.col("__top"))))
               .withColumn("__block", F.expr("shiftright(__rank, __level)"))

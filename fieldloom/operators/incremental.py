@@ -24,7 +24,8 @@ def todo(selected: DataFrame, written: DataFrame, keys: list[str] | None = None)
 
 
 def run_increment(selected: DataFrame, path: str,
-                  process: Callable[[DataFrame], DataFrame], unit: list[str] | None = None) -> None:
+                  process: Callable[[DataFrame], DataFrame],
+                  unit: list[str] | None = None) -> None:
     """Process the scenes whose restart unit, a (date, tile) partition unless
     ``unit`` names other columns, is absent and add those partitions.  Running it again adds nothing; a run that failed half-way is
     repeated as a whole, because its partitions are replaced, not doubled."""

@@ -1,7 +1,7 @@
 """Order statistics without one task ever holding a whole group.
 
-The building block is a running sum over a sort order.  Groups that hold more
-than a bucket's share of all rows are cut at the quantiles of the order column
+The building block is a running sum over a sort order.  The largest groups
+are cut at the quantiles of the order column
 (a one-row sketch, read as a scalar subquery): the running sum is taken per
 (group, bucket) and the bucket totals before it are added.  So a group that
 owns a third of the data, or all of it, is spread over many tasks.
@@ -49,8 +49,7 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
         F.col(order).cast("double"), [i / n for i in range(1, n)], 10_000)).scalar()
     tagged = df.withColumn("__cuts", cuts)
     if keys:
-        # fewer than n groups are this large
-        hot = hot_keys(df, keys, 1 / n).withColumnRenamed("__split", "__hot")
+        hot = hot_keys(df, keys).withColumnRenamed("__split", "__hot")
         tagged = tagged.join(F.broadcast(hot), keys, "left")
     else:
         tagged = tagged.withColumn("__hot", F.lit(1))
@@ -61,7 +60,7 @@ def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str
     cell = [*keys, "__bucket"]
     totals = (tagged.filter(F.col("__hot").isNotNull()).groupBy(*cell)
               .agg(*[total(c).alias(f"__t_{o}") for o, c in sums.items()]))
-    # at most n groups of n buckets: small enough for a broadcast, always
+    # at most HOT_KEYS groups of n buckets: small enough for a broadcast, always
     before = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__bucket")
               .rowsBetween(Window.unboundedPreceding, -1))
     starts = totals.select(*cell, *[

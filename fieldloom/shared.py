@@ -53,22 +53,24 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
     return skew_join(big, small, on, how)
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows, with a split factor.
+HOT_ROWS = 200_000  # a key with more rows than this may be worth splitting
+HOT_KEYS = 1_000    # at most this many keys are split
 
-    There can be at most ``1/share`` of them, so the result is safe to
-    broadcast whatever the size of ``df``."""
+
+def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    """The largest keys with more than ``HOT_ROWS`` rows, and a split factor.
+
+    There are at most ``HOT_KEYS`` of them, so the result is safe to broadcast
+    whatever the size of ``df``; any other key holds less than
+    ``1 / HOT_KEYS`` of the rows."""
     per_key = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).scalar()
-    return (per_key.withColumn("__limit", total * F.lit(share))
-            .filter(F.col("__n") > F.greatest(F.col("__limit"), F.lit(1.0)))
-            .select(*on, F.ceil(F.col("__n") / F.greatest(F.col("__limit"), F.lit(1.0)))
+    return (per_key.filter(F.col("__n") > HOT_ROWS).orderBy(F.desc("__n")).limit(HOT_KEYS)
+            .select(*on, F.least(F.ceil(F.col("__n") / HOT_ROWS), F.lit(4096))
                     .cast("int").alias("__split")))
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-              share: float = 0.005, spread: Column | None = None,
-              counts_from: DataFrame | None = None) -> DataFrame:
+              spread: Column | None = None, counts_from: DataFrame | None = None) -> DataFrame:
     """Equi-join whose hot left keys are split over several tasks.
 
     A left row of a hot key draws one salt, the right rows of that key are
@@ -78,7 +80,7 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     the split is only a matter of balance, never of the result."""
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join keeps the left side whole; {how!r} does not")
-    hot = F.broadcast(hot_keys(counts_from if counts_from is not None else left, on, share))
+    hot = F.broadcast(hot_keys(counts_from if counts_from is not None else left, on))
     spread = spread if spread is not None else F.xxhash64(
         *[c for c, t in left.dtypes if not t.startswith("map")])
     no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])

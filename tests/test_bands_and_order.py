@@ -7,9 +7,16 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from fieldloom import shared
 from fieldloom.operators import bands, ordered
 
 
+@pytest.fixture(params=[20, 200_000], autouse=True)
+def hot_rows(request, monkeypatch):
+    """Once with hot groups split, once without."""
+    monkeypatch.setattr(shared, "HOT_ROWS", request.param)
+
+
 def people(spark, n, seed, hot=False):
     r = random.Random(seed)
     rows = []

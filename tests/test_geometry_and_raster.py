@@ -153,7 +153,9 @@ def test_ndvi_engines_agree(spark, sf):
     assert nan.select(R.tile_ndvi_arrow("red", "nir", "scl").alias("v")).first().v == [None] * 3
 
 
-def test_zone_raster_equals_direct_path(spark, sf):
+@pytest.mark.parametrize("hot_rows", [5, 200_000])
+def test_zone_raster_equals_direct_path(spark, sf, monkeypatch, hot_rows):
+    monkeypatch.setattr("fieldloom.shared.HOT_ROWS", hot_rows)
     from fieldloom.catalog.zonal_parts import assigned, pairs, scene_tiles
     a = pairs(spark, sf, ell=True).select("scene_id", "field_id", "x", "y", "count", F.round("sum", 9))
     tiles = scene_tiles(spark, sf).select("scene_id", *zonal.SPOT, "ndvi")

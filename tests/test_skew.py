@@ -6,6 +6,11 @@ from pyspark.sql import functions as F
 from fieldloom import shared
 
 
+@pytest.fixture(autouse=True)
+def low_limit(monkeypatch):
+    monkeypatch.setattr(shared, "HOT_ROWS", 40)
+
+
 def sides(spark):
     left = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700 + 1).alias("k"),
@@ -41,7 +46,7 @@ def test_top_k_is_cut_before_the_shuffle(spark):
 
 def test_hot_key_is_split(spark):
     left, _ = sides(spark)
-    hot = shared.hot_keys(left, ["k"], 0.005).collect()
+    hot = shared.hot_keys(left, ["k"]).collect()
     assert [h["k"] for h in hot] == [0] and hot[0]["__split"] >= 60
 
 
