@@ -65,8 +65,9 @@ def _(spark, sf):
                                  regions=fx.regions(spark, sf).filter("state <> 2"))[1])
 
 
-@query("e8_raw_drop", "ob wind", f"""SELECT wind AS gust_class, count(*) AS fields, round(avg(pre::DECIMAL(20, 12)), 4) AS pre,
-  round(avg(post::DECIMAL(20, 12)), 4) AS post, round(avg((post - pre)::DECIMAL(20, 12)), 4) AS drop FROM ({BOTH}) JOIN wind USING (field_id)
+@query("e8_raw_drop", "ob wind", f"""SELECT wind AS gust_class, count(*) AS fields,
+  round(avg(pre::DECIMAL(20, 12)), 4) AS pre, round(avg(post::DECIMAL(20, 12)), 4) AS post,
+  round(avg((post - pre)::DECIMAL(20, 12)), 4) AS drop FROM ({BOTH}) JOIN wind USING (field_id)
   GROUP BY wind""")
 def _(spark, sf):
     wide = publish.before_after(fx.observations(spark, sf), F.expr(fx.BEFORE), F.expr(fx.AFTER),
