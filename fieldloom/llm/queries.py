@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, personal, quality_rules, secrets, simhash, tiling
+from . import (chat, language, mixing, personal, quality_rules, secrets, simhash, tiling, toxicity,
+               warc_zip)
 from .common import table
 
 QUERIES: dict = {}
@@ -64,3 +65,18 @@ def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_personal_data")
 def personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return personal.personal_digest(personal.personal_data(table(spark, sf, "documents")))
+
+
+@query("op3_toxicity")
+def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op8_warc_zip")
+def warc_packages(spark: SparkSession, sf: str) -> DataFrame:
+    return warc_zip.archived(table(spark, sf, "pages"))
+
+
+@query("op9_language")
+def language_of_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return language.languages(table(spark, sf, "documents"))
