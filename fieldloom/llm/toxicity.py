@@ -1,9 +1,8 @@
 """Toxicity by a support vector machine on a subsequence string kernel.
 
 Texts are cut into tokens.  Letters are folded to classes (case, digits that stand
-for letters), punctuation between letters counts as an inserted character, letters
-spelled one by one are put together, and a mark stands on either side.  A token's
-features are its ordered sequences of four letters within ``WINDOW`` places, gaps
+for letters), punctuation between letters is passed over, letters spelled one by
+one are put together, and a mark stands on either side.  A token's features are its ordered sequences of four letters within ``WINDOW`` places, gaps
 allowed, or at every second place, each worth DECAY ** span; tokens are scaled by
 what their length can hold.  The kernel of two tokens is the product of these
 (hashed) features, so an insult keeps most of its value under gaps and insertions.
@@ -11,9 +10,10 @@ what their length can hold.  The kernel of two tokens is the product of these
 Nystroem landmarks are tokens that single out labelled documents.  A linear machine
 on K(x, landmarks) K(landmarks, landmarks)^-1/2 is trained on labelled sentences'
 tokens: only documents are labelled, so the token that speaks most for a
-toxic document is its witness and the strongest tokens of clean ones are the
-counter-examples, in a few rounds.  As the kernel is an explicit product, the machine
-folds into one weight per feature, and a text is scored in one pass.  A document's
+toxic document is its witness (with others that several documents share) and the
+strongest tokens of clean ones are the counter-examples, in a few rounds; witnesses
+with inserted characters are added.  As the kernel is an explicit product, the
+machine folds into one weight per feature, and a text is scored in one pass.  A document's
 ``TOP`` strongest tokens and its length (long texts meet more by chance) enter a
 logistic curve, whose value is the score.
 
@@ -30,6 +30,7 @@ each on its own; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -37,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.shared import materialize
+from fieldloom.shared import fits, materialize
 
 from .common import map_rows
 
 FOLDS, HELD_OUT = 5, 0
 DOCS_PER_LABEL = 2_000
 MAX_FIT_CHARS = 200_000
-WINDOW, DECAY = 6, 0.7
+WINDOW, DECAY = 6, 0.6
 #: places of the 2nd, 3rd and 4th letter after the 1st
 GAPS = [*combinations(range(1, WINDOW), 3), (2, 4, 6)]
 BITS = 18            # of the hashed feature numbers
@@ -86,12 +87,12 @@ def letters(text: str) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
     code = np.where(points < 128, CLASSES[np.minimum(points, 127)], 27 + points % 34).astype(np.uint8)
     word = np.concatenate(([False], (code != 0) & (code != PUNCTUATION), [False]))
-    inside = word[:-2] & word[2:]  # punctuation between two letters is an inserted character
-    code[code == PUNCTUATION] = np.where(inside, INSERTED, 0)[code == PUNCTUATION]
+    joined = (code == PUNCTUATION) & word[:-2] & word[2:]  # punctuation between two letters is passed over
+    code[code == PUNCTUATION] = 0
     blank = np.concatenate(([True], code == 0, [True]))
     solo = np.concatenate(([False], ~blank[1:-1] & blank[:-2] & blank[2:], [False]))
     # a blank between two single letters does not part them
-    part = (code == 0) & ~(solo[:-2] & solo[2:])
+    part = (code == 0) & ~joined & ~(solo[:-2] & solo[2:])
     token, keep = np.cumsum(part), code != 0
     code, token = code[keep], token[keep]
     if not len(code):
@@ -138,14 +139,15 @@ def parts(text: str):
 
 
 def evidence(text: str | None, weights: np.ndarray) -> np.ndarray:
-    """The ``TOP`` largest token values, 0 at least, and the logarithm of the tokens."""
+    """The largest token value, the mean of the next ones up to ``TOP`` (0 at least),
+    and the logarithm of the number of tokens."""
     best, n = np.zeros(TOP), 0
     for p in parts(text or ""):
         values = token_margins(p, weights)[2]
         n += len(values)
         values = np.concatenate((best, values))
         best = -np.sort(-values[np.argpartition(-values, TOP - 1)[:TOP]])
-    return np.append(best, math.log1p(n))
+    return np.array([best[0], best[1:].mean(), math.log1p(n)])
 
 
 def features(tokens: list[bytes], numbers: np.ndarray) -> np.ndarray:
@@ -174,6 +176,14 @@ def machine(x: np.ndarray, y: np.ndarray, steps: int = 400, cost: float = 10.0)
     return w
 
 
+def disguised(token: bytes) -> list[bytes]:
+    """A token with a character put into its middle, and between all its letters."""
+    inner, extra = token[1:-1], bytes([INSERTED])
+    middle = len(inner) // 2
+    return [token[:1] + inner[:middle] + extra + inner[middle:] + token[-1:],
+            token[:1] + extra.join(inner[i:i + 1] for i in range(len(inner))) + token[-1:]]
+
+
 def nystroem_machine(positive: list[bytes], negative: list[bytes]) -> np.ndarray:
     """One weight per feature, of the machine trained on the tokens."""
     half = LANDMARKS * 2 // 3
@@ -211,6 +221,7 @@ def sampled(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
     share = F.when(F.col("toxic") == 1, per_label / max(1, sizes.get(1, 0))).otherwise(
         per_label / max(1, sizes.get(0, 0)))
     chosen = marks.filter(place < share)
+    chosen = F.broadcast(chosen) if fits(chosen, 4 * per_label) else chosen  # about 2 * per_label rows
     return (docs.select("doc_id", "text").filter(F.char_length("text") <= MAX_FIT_CHARS)
             .join(chosen, "doc_id").select("text", "toxic"))
 
@@ -261,18 +272,20 @@ def documents_evidence(sample: DataFrame, weights: np.ndarray) -> tuple[np.ndarr
     def run(cols: dict) -> dict:
         return {"toxic": cols["toxic"], "x": [evidence(t, weights) for t in cols["text"].to_pylist()]}
 
-    rows = map_rows(sample, run, "toxic int, x array<double>").collect()  # TOP + 1 numbers per sampled document
+    rows = map_rows(sample, run, "toxic int, x array<double>").collect()  # three numbers per sampled document
     return np.array([r.x for r in rows]), np.array([float(r.toxic) for r in rows])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights and offset of a logistic curve, by damped Newton steps."""
+    """Weights and offset of a logistic curve, by damped Newton steps.  More token
+    value never lowers the score."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         bend = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
         w = w - np.clip(np.linalg.solve(bend, x.T @ (p - y) + ridge * w), -3, 3)
+        w[:2] = np.maximum(0, w[:2])
     return w
 
 
@@ -287,8 +300,13 @@ def fitted(docs: DataFrame, labels: DataFrame, per_label: int = DOCS_PER_LABEL):
     weights, against = first, set()
     for _ in range(ROUNDS):
         against |= {bytes(r.token) for r in found if not r.toxic}
-        top = [bytes(r.token) for r in found if r.toxic and r.place == 0]
-        weights = nystroem_machine([t for t in top if t not in against] or top, sorted(against))
+        # the strongest token of a toxic document, and those that several put forward
+        support = Counter(bytes(r.token) for r in found if r.toxic)
+        top = [bytes(r.token) for r in found if r.toxic and (
+            r.place == 0 or support[bytes(r.token)] > 1)]
+        top = [t for t in top if t not in against] or top
+        virtual = [v for t in sorted(set(top)) for v in disguised(t)]
+        weights = nystroem_machine(top + virtual, sorted(against))
         found = witnesses(sample, weights)
     return weights, logistic(*documents_evidence(sample, weights))
 
@@ -302,7 +320,7 @@ def scored(docs: DataFrame, model) -> DataFrame:
             score = [0.0] * len(cols["text"])
         else:
             weights, curve = model
-            found = np.array([evidence(t, weights) for t in cols["text"].to_pylist()]).reshape(-1, TOP + 1)
+            found = np.array([evidence(t, weights) for t in cols["text"].to_pylist()]).reshape(-1, 3)
             score = (1 / (1 + np.exp(-np.clip(found @ curve[:-1] + curve[-1], -30, 30)))).tolist()
         return {"doc_id": cols["doc_id"], "held_out": cols["held_out"], "score": score,
                 "predicted": [int(s >= 0.5) for s in score]}

@@ -52,7 +52,8 @@ def groups(prints, distance=4):
     for i, a in enumerate(keys):
         for b in keys[i + 1:]:
             if (a ^ b).bit_count() <= distance and root(a) != root(b):
-                parent[root(b)] = root(a)
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
     return {k: root(k) for k in keys}
 
 
