@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.shared import materialize
+from fieldloom.shared import fits, materialize
 
 from .common import map_rows
 
 FOLDS, HELD_OUT = 4, 2
 DOCS_PER_LANGUAGE = 3_000
 MAX_FIT_CHARS = 200_000
+BROADCAST_LANGUAGES = 10_000  # rows of some 50 bytes; more are joined by a shuffle
 DIMS = 1 << 13
 ROWS = 128           # documents taken into one matrix
 EVIDENCE = 60        # trigrams after which more text adds no certainty
@@ -116,6 +117,7 @@ def sampled(docs: DataFrame, per_language: int) -> DataFrame:
     known = docs.filter(F.col("lang").isNotNull() & ~held_out()
                         & (F.char_length("text") <= MAX_FIT_CHARS)).select("doc_id", "lang", "text")
     sizes = known.groupBy("lang").count().withColumnRenamed("lang", "__lang")
+    sizes = F.broadcast(sizes) if fits(sizes, BROADCAST_LANGUAGES) else sizes
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     return (known.join(sizes, F.col("lang") == F.col("__lang"))
             .filter(place * F.col("count") < per_language).select("lang", "text"))
