@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..operators import grid, incremental, ordered, publish, scenes, spatial, study, zonal
 from ..sources import tables
-from .base import DID, query
+from .base import DEKADS, DID, query
 from .joins import frame
 from .sources import RUNS_SQL, runs
 from .zonal_parts import assigned, pairs
@@ -75,19 +75,19 @@ def _(spark, sf):
 
 QUANT = "round_even(greatest(0, least(1, (mean_ndvi - -0.2) / (1.0 - -0.2))) * 200, 0)"
 PIVOT = ", ".join(f"CAST(coalesce(max(q) FILTER (dekad = {d}), 255) AS INT) AS d{d}"
-                  for d in range(12, 28))
+                  for d in DEKADS)
 
 
 @query("a7_season_pivot", "ob", f"""SELECT field_id, {PIVOT} FROM (SELECT *, CASE WHEN valid_frac >= 0.5
   THEN {QUANT} ELSE 255 END AS q FROM ({BEST})) GROUP BY field_id""")
 def _(spark, sf):
-    return publish.season_wide(OBS(spark, sf), F.lit(1997), list(range(12, 28)))
+    return publish.season_wide(OBS(spark, sf), F.lit(1997), list(DEKADS))
 
 
 @query("a7_pivot_of_best_rows", "ob", f"""SELECT field_id, {PIVOT} FROM (SELECT *, CASE WHEN valid_frac >= 0.5
   THEN {QUANT} ELSE 255 END AS q FROM ({BEST})) GROUP BY field_id""")
 def _(spark, sf):
-    return publish.season_pivot(publish.best_row(OBS(spark, sf), F.lit(1997)), list(range(12, 28)))
+    return publish.season_pivot(publish.best_row(OBS(spark, sf), F.lit(1997)), list(DEKADS))
 
 
 @query("a8_first_date", "ob", "SELECT dekad, min(date) AS min_date FROM ob WHERE season = 1997 GROUP BY dekad")

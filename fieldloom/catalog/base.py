@@ -72,16 +72,17 @@ def quant_sql(value: str, valid: str, lo: str = "-0.2", hi: str = "1.0") -> str:
             "ELSE 255 END AS INT)")
 
 
-VIEWS["codes"] = f"""SELECT field_id, coalesce(max(q) FILTER (dekad = 3), 255) AS d3,
-  coalesce(max(q) FILTER (dekad = 20), 255) AS d20 FROM (SELECT field_id, dekad,
+DEKADS = range(37)  # every ten days of a year
+VIEWS["codes"] = f"""SELECT field_id, {", ".join(f"coalesce(max(q) FILTER (dekad = {d}), 255) AS d{d}" for d in DEKADS)}
+  FROM (SELECT field_id, dekad,
   {quant_sql('b.m', 'b.v')} AS q FROM (SELECT field_id, dekad,
   max(struct_pack(v := valid_frac, m := mean_ndvi)) AS b FROM ob WHERE season = 1998
   GROUP BY field_id, dekad)) GROUP BY field_id"""
 VIEWS["pub"] = f"""SELECT wide.*, crop, area_m2, wind, {quant_sql('pre', 'pre_vf')} AS pre_q,
   {quant_sql('post', 'post_vf')} AS post_q,
   {quant_sql('post - pre', 'CASE WHEN pre_vf IS NOT NULL AND post_vf IS NOT NULL THEN least(pre_vf, post_vf) END',
-             '-0.4', '0.1')} AS drop_q, CAST(coalesce(d3, 255) AS INT) AS d3,
-  CAST(coalesce(d20, 255) AS INT) AS d20, x0, y0, w, h FROM wide JOIN fl USING (field_id)
+             '-0.4', '0.1')} AS drop_q, {", ".join(f"CAST(coalesce(d{d}, 255) AS INT) AS d{d}" for d in DEKADS)},
+  x0, y0, w, h FROM wide JOIN fl USING (field_id)
   JOIN wind USING (field_id) LEFT JOIN codes USING (field_id)"""
 # direct (pair by pair) matching: the definition, not the method
 for _name, _cond in {

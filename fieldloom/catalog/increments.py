@@ -18,12 +18,12 @@ def chosen(spark, sf):
   FROM sel WHERE selected GROUP BY season""")
 def _(spark, sf):
     path = shared_folder(spark, "i1")
-    todo = chosen(spark, sf).filter("selected").select("scene_id", "season", "date", "mgrs_tile")
-    unit = ["season", "mgrs_tile"]
+    todo = chosen(spark, sf).filter("selected").select("scene_id", "season", "dekad", "date", "mgrs_tile")
+    layout = ["season"]
     same = lambda df: df
-    incremental.run_increment(todo.filter("season < 1996"), path, same, unit)
-    incremental.run_increment(todo, path, same, unit)  # only what is absent
-    incremental.run_increment(todo, path, same, unit)  # nothing left
+    incremental.run_increment(todo.filter("dekad < 18"), path, same, layout)
+    incremental.run_increment(todo, path, same, layout)  # late scenes of the same seasons
+    incremental.run_increment(todo, path, same, layout)  # nothing left
     return spark.read.parquet(path).groupBy("season").agg(count("n"), F.sum("scene_id").alias("ids"))
 
 

@@ -50,7 +50,7 @@ def _(spark, sf):
     k = F.col("scene_id") * 100 + F.col("y") * 10 + F.col("x")
     tiles = fx.tiles(spark, sf).withColumn("scl", F.when(
         k % 7 == 0, F.transform("scl", lambda v: F.lit(9))).otherwise(F.col("scl")))
-    return zonal.drop_masked(tiles, tiles).select("scene_id", "x", "y")
+    return zonal.drop_masked(tiles, tiles.select(*zonal.TILE, "scl")).select("scene_id", "x", "y")
 
 
 @query("j5_tile_assignment", "rt fl", f"""SELECT t.scene_id, field_id, t.x, t.y FROM rt t JOIN fl
@@ -70,7 +70,7 @@ def _(spark, sf):
     masks = grid.field_pixels(spots, fx.TILE_PX).select("grid_id", "x", "y", "field_id", "idx")
     ones = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT,
                                          F.transform("scl", lambda v: F.lit(1.0)).alias("one"))
-    return zonal.pair_stats(masks, ones, "one", spots).select(
+    return zonal.pair_stats(masks, ones, "one").select(
         "scene_id", "field_id", "x", "y", F.col("count").alias("n_pixels"))
 
 

@@ -73,9 +73,10 @@ def _(spark, sf):
     index = lambda v: F.floor(v / fx.STRIDE).cast("int")
     ranged = fx.fields(spark, sf).select(
         "field_id", index(b["xmin"]).alias("ix0"), index(b["xmax"]).alias("ix1"),
-        index(fx.GRID_TOP - b["ymax"]).alias("iy0"), index(fx.GRID_TOP - b["ymin"]).alias("iy1"),
-        F.lit(9).alias("x_hi"), F.lit(9).alias("y_hi"))
-    return grid.overlapping(ranged, "ix0", "ix1", "iy0", "iy1").drop("x_hi", "y_hi")
+        index(fx.GRID_TOP - b["ymax"]).alias("iy0"), index(fx.GRID_TOP - b["ymin"]).alias("iy1"))
+    last = F.lit(9)
+    return ranged.filter(grid.numbers_between(F.col("ix0"), F.col("ix1"), last).isNotNull()
+                         & grid.numbers_between(F.col("iy0"), F.col("iy1"), last).isNotNull())
 
 
 @query("f10_prefix_columns", "fl", """SELECT field_id, crop AS "CDL2020", (crop + 1) % 5 AS "cdl2021" FROM fl""")

@@ -114,5 +114,5 @@ def _(spark, sf):
     grids = scene_grid(spark, sf)
     dem = scene_tiles(spark, sf, grids).withColumn("data", F.col("red").cast("array<double>"))
     spots = assigned(spark, sf, True, grids)
-    out = zonal.terrain(dem, grid.field_pixels(spots, fx.TILE_PX), spots)
+    out = zonal.terrain(dem, grid.field_pixels(spots, fx.TILE_PX))
     return out.select("scene_id", "field_id", "n", r6("elev").alias("elev"), r6("slope").alias("slope"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..operators import ordered, quality
+from ..operators import incremental, ordered, quality
 from ..plans import stages
 from ..shared import materialize, shared_folder
 from ..sinks import features
@@ -40,8 +40,10 @@ def _(spark, sf):
 def _(spark, sf):
     path = shared_folder(spark, "k3")
     df = fx.observations(spark, sf)
-    sink.append(df.filter("season < 1996"), path, ["season"])
-    sink.append(df.filter("season >= 1996"), path, ["season"])
+    day = ["date", "mgrs_tile"]
+    incremental.append_new(df.filter("dekad < 20"), path, ["season"], day)
+    incremental.append_new(df, path, ["season"], day)  # the rest
+    incremental.append_new(df, path, ["season"], day)  # nothing
     return spark.read.parquet(path).groupBy("season").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("mean_ndvi"), 6).alias("total"))
 
@@ -63,25 +65,27 @@ def published(spark, sf):
     """Wide feature table of the event, with two season periods."""
     return stages.publish_stage(
         fx.observations(spark, sf), fx.field_points(spark, sf), fx.zones(spark, sf),
-        F.expr(fx.BEFORE), F.expr(fx.AFTER), F.lit(1998), [3, 20], fx.CELL)
+        F.expr(fx.BEFORE), F.expr(fx.AFTER), F.lit(1998), list(fx.DEKADS), fx.CELL)
 
 
 @query("k5_wide_drop", "pub", """SELECT field_id, pre, pre_vf, post, post_vf, crop, area_m2, wind, pre_q,
   post_q, drop_q FROM pub""")
 def _(spark, sf):
     path = shared_folder(spark, "k5")
-    sink.write_wide(published(spark, sf).drop("d3", "d20"), path)
+    sink.write_wide(published(spark, sf).drop(*[f"d{d}" for d in fx.DEKADS]), path)
     return spark.read.parquet(path).drop("poly")
 
 
-PROPS = ["fid", "crop", "wind", "pre_q", "post_q", "drop_q", "d3", "d20"]
+DEKAD_PROPS = [f"d{d}" for d in fx.DEKADS]
+PROPS = ["fid", "crop", "wind", "pre_q", "post_q", "drop_q", *DEKAD_PROPS]
+DEKAD_TEXT = "".join(f""" || ',"{d}":' || {d}""" for d in DEKAD_PROPS)
 
 
-@query("k6_feature_lines", "pub", """SELECT '{"type":"Feature","properties":{"fid":' || (row_number() OVER (
+@query("k6_feature_lines", "pub", f"""SELECT '{{"type":"Feature","properties":{{"fid":' || (row_number() OVER (
   ORDER BY field_id) - 1) || ',"crop":' || crop || ',"wind":' || wind || ',"pre_q":' || pre_q || ',"post_q":'
-  || post_q || ',"drop_q":' || drop_q || ',"d3":' || d3 || ',"d20":' || d20 || '},"geometry":{"type":"Polygon",'
+  || post_q || ',"drop_q":' || drop_q{DEKAD_TEXT} || '}},"geometry":{{"type":"Polygon",'
   || '"coordinates":[[[' || x0 || '.0,' || y0 || '.0],[' || (x0 + w) || '.0,' || y0 || '.0],[' || (x0 + w)
-  || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || y0 || '.0]]]}}'
+  || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || y0 || '.0]]]}}}}'
   AS value FROM pub""")
 def _(spark, sf):
     path = shared_folder(spark, "k6")

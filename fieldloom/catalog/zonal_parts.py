@@ -39,4 +39,4 @@ def pairs(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
     grids = scene_grid(spark, sf)
     spots = assigned(spark, sf, ell, grids)
     tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "ndvi")
-    return zonal.pair_stats(grid.field_pixels(spots, fx.TILE_PX), tiles, assigned=spots)
+    return zonal.pair_stats(grid.field_pixels(spots, fx.TILE_PX), tiles)

@@ -14,6 +14,7 @@ TILE_PX = 8
 PIXEL = 5.0
 STRIDE = 40.0
 GRID_TOP = 400.0
+DEKADS = range(37)  # every ten days of a year
 EPSG = 32615
 CELL = 100.0
 BEFORE = "season = 1998 and dekad < 18"

@@ -32,8 +32,10 @@ def stack(red, nir, scl) -> Column:
 
 
 def tile_ndvi(red, nir, scl, masked: Sequence[int] = SCL_MASKED) -> Column:
-    return F.transform(stack(red, nir, scl),
-                       lambda p: pixel_ndvi(p["red"], p["nir"], p["scl"], masked))
+    """Index array of a tile; null unless all bands are there and of one length."""
+    n = F.size(_col(red))
+    return F.when((n == F.size(_col(nir))) & (n == F.size(_col(scl))), F.transform(
+        stack(red, nir, scl), lambda p: pixel_ndvi(p["red"], p["nir"], p["scl"], masked)))
 
 
 def _flat(tiles: pa.ListArray) -> np.ndarray:
@@ -46,6 +48,12 @@ def _flat(tiles: pa.ListArray) -> np.ndarray:
 def tile_ndvi_arrow(red: pa.Array, nir: pa.Array, scl: pa.Array) -> pa.Array:
     """Second engine for :func:`tile_ndvi`: one vector operation per Arrow
     batch; null, and for NaN inputs too, where the pixel is masked."""
+    # a tile counts only if all three bands are there and of one length
+    lengths = [b.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False) for b in (red, nir, scl)]
+    whole = (lengths[0] >= 0) & (lengths[0] == lengths[1]) & (lengths[0] == lengths[2])
+    if not whole.all():
+        rows = pa.array(np.arange(len(red)), mask=~whole)
+        red, nir, scl = (b.take(rows) for b in (red, nir, scl))
     r, n, s = _flat(red), _flat(nir), _flat(scl)
     total = n + r
     keep = ~np.isin(s, SCL_MASKED) & ~np.isnan(s) & (total > 0) & (r >= 0) & (n >= 0)

@@ -25,15 +25,25 @@ def todo(selected: DataFrame, written: DataFrame, keys: list[str] | None = None)
 
 def run_increment(selected: DataFrame, path: str,
                   process: Callable[[DataFrame], DataFrame],
-                  unit: list[str] | None = None) -> None:
-    """Process the scenes whose restart unit, a (date, tile) partition unless
-    ``unit`` names other columns, is absent and add those partitions.  Running it again adds nothing; a run that failed half-way is
-    repeated as a whole, because its partitions are replaced, not doubled."""
-    spark, unit = selected.sparkSession, unit or PART
+                  layout: list[str] | None = None) -> None:
+    """Process the scenes whose (date, tile) is not in the table yet and add them.
+
+    The restart unit is one scene's own (date, tile), whatever folders (``layout``)
+    the table is cut into: a scene that arrives late in a season long written is still
+    missing.  Running it again adds nothing.  The rows of a run appear when its
+    job commits, so a run that failed half-way has added none and is repeated."""
+    spark = selected.sparkSession
     if sink.exists(spark, path):
-        selected = todo(selected, spark.read.parquet(path), unit)
-    # scenes of one restart unit are spread by scene, all in one job
-    sink.replace_partitions(process(selected.repartition("scene_id")), path, unit)
+        selected = todo(selected, spark.read.parquet(path))
+    # scenes are spread one by one, all in one job
+    sink.append(process(selected.repartition("scene_id")), path, layout or PART)
+
+
+def append_new(df: DataFrame, path: str, parts: list[str], keys: list[str]) -> None:
+    """Append the rows whose ``keys`` the table does not hold: a repeat adds none."""
+    if sink.exists(df.sparkSession, path):
+        df = todo(df, df.sparkSession.read.parquet(path), keys)
+    sink.append(df, path, parts)
 
 
 def trailing(items: DataFrame, days: int = DEFAULTS.trailing_days) -> DataFrame:
@@ -72,7 +82,9 @@ def catch_up_report(selected: DataFrame, written: DataFrame) -> DataFrame:
                  F.count_if(F.col("__w").isNull()).alias("missing")))
 
 
-def batches(tiles: DataFrame, n: int) -> DataFrame:
-    """Spread the work over ``n`` tasks (memory lever, same rows).  By tile,
-    not by scene: one scene may hold a large share of all tiles."""
-    return tiles.repartition(n, "scene_id", "x", "y")
+def batches(tiles: DataFrame, n: int | None = None) -> DataFrame:
+    """Spread the work over ``n`` tasks, or the session's number of shuffle
+    partitions (memory lever, same rows).  By tile, not by scene: one scene may
+    hold a large share of all tiles."""
+    by = [F.col(c) for c in ("scene_id", "x", "y")]
+    return tiles.repartition(n, *by) if n else tiles.repartition(*by)

@@ -1,10 +1,11 @@
 """Order statistics without one task ever holding a whole group.
 
-The building block is a running sum over a sort order.  The largest groups
-are cut at the quantiles of the order column
-(a one-row sketch, read as a scalar subquery): the running sum is taken per
-(group, bucket) and the bucket totals before it are added.  So a group that
-owns a third of the data, or all of it, is spread over many tasks.
+The building block is a running sum over a sort order.  Rows are range
+partitioned by (keys, order, ties), so a group of any size, or the whole table,
+is cut by the partitions' own bounds.  The running sum is taken inside each
+(partition, group), and what the partitions before hold of the same group is added:
+a group reaches into the next partition at most once per bound, so there are
+fewer such starts than partitions.
 """
 
 from __future__ import annotations
@@ -12,74 +13,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import hot_keys, materialize
-
-BUCKET_BITS = 6
-
-
-def _bucket(cuts: Column, value: Column, bits: int) -> Column:
-    """Binary search: how many of the sorted cuts lie at or below the value."""
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
-    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
-        F.get(cuts, at + step - 1) <= value, step).otherwise(F.lit(0)))
+from ..shared import materialize
 
 
 def running_sums(df: DataFrame, keys: list[str], order: str, sums: dict[str, str],
-                 ties: list[str] | None = None, bits: int = BUCKET_BITS,
-                 stored: bool = False) -> DataFrame:
-    """Add ``sums[out] = running sum of column`` in ``order`` (then ``ties``)
-    within ``keys``.  Pre-aggregate ``df`` to one row per (keys, order, ties).
-
-    The rows are read for the quantiles, for the totals and for the sums, so
-    they are stored first, unless the caller says that they are."""
-    df = df if stored else materialize(df, "ordered")
+                 ties: list[str] | None = None) -> DataFrame:
+    """Add ``sums[out] = running sum of column`` in ``order`` (any type that
+    sorts, then ``ties``) within ``keys``.  Pre-aggregate ``df`` to one row per
+    (keys, order, ties).  The rows are stored once, as the bounds must not move."""
+    line = [order, *(ties or [])]
     types = dict(df.dtypes)
 
-    def total(column: str) -> Column:
+    def like(total: Column, column: str) -> Column:
         # decimal sums keep their type: a wider one would lose decimal places
-        s = F.sum(column)
-        return s.cast(types[column]) if types[column].startswith("decimal") else s
-
-    def add(a: Column, b: Column, column: str) -> Column:
-        out = a + F.coalesce(b, F.lit(0).cast(types[column]))
-        return out.cast(types[column]) if types[column].startswith("decimal") else out
+        return total.cast(types[column]) if types[column].startswith("decimal") else total
 
-    n = 1 << bits
-    cuts = df.agg(F.percentile_approx(
-        F.col(order).cast("double"), [i / n for i in range(1, n)], 10_000)).scalar()
-    tagged = df.withColumn("__cuts", cuts)
-    if keys:
-        hot = hot_keys(df, keys).withColumnRenamed("__split", "__hot")
-        tagged = tagged.join(F.broadcast(hot), keys, "left")
-    else:
-        tagged = tagged.withColumn("__hot", F.lit(1))
-    tagged = tagged.withColumn("__bucket", F.when(
-        F.col("__hot").isNotNull(), _bucket(F.col("__cuts"), F.col(order), bits)
-    ).otherwise(F.lit(0))).drop("__cuts")
-
-    cell = [*keys, "__bucket"]
-    totals = (tagged.filter(F.col("__hot").isNotNull()).groupBy(*cell)
-              .agg(*[total(c).alias(f"__t_{o}") for o, c in sums.items()]))
-    # at most HOT_KEYS groups of n buckets: small enough for a broadcast, always
-    before = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    starts = totals.select(*cell, *[
-        F.sum(f"__t_{o}").over(before).cast(totals.schema[f"__t_{o}"].dataType).alias(f"__b_{o}")
-        for o in sums])
-    inside = (Window.partitionBy(*cell).orderBy(order, *(ties or []))
+    parts = materialize(df.repartitionByRange(*keys, *line)
+                        .withColumn("__part", F.spark_partition_id()), "ordered")
+    inside = (Window.partitionBy("__part", *keys).orderBy(*line)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = tagged.select(*df.columns, "__bucket", *[
-        F.sum(c).over(inside).alias(f"__r_{o}") for o, c in sums.items()])
-    for o, c in sums.items():
-        if types[c].startswith("decimal"):
-            summed = summed.withColumn(f"__r_{o}", F.col(f"__r_{o}").cast(types[c]))
-    return (summed.join(F.broadcast(starts), cell, "left")
-            .select(*df.columns, *[
-                add(F.col(f"__r_{o}"), F.col(f"__b_{o}"), c).alias(o) for o, c in sums.items()]))
+    totals = parts.groupBy("__part", *keys).agg(
+        *[like(F.sum(c), c).alias(f"__t_{o}") for o, c in sums.items()])
+    before = (Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__part")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select(
+        F.col("__part").alias("__in"), *[F.col(k).alias(f"__k_{k}") for k in keys],
+        F.count(F.lit(1)).over(before).alias("__ahead"),
+        *[like(F.sum(f"__t_{o}").over(before), c).alias(f"__b_{o}") for o, c in sums.items()])
+    on = F.col("__part") == F.col("__in")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    summed = parts.select("*", *[like(F.sum(c).over(inside), c).alias(f"__r_{o}")
+                                 for o, c in sums.items()])
+    # one start per partition bound at most
+    return (summed.join(F.broadcast(starts.filter("__ahead > 0")), on, "left").select(
+        *df.columns, *[like(F.col(f"__r_{o}") + F.coalesce(F.col(f"__b_{o}"), F.lit(0)), c).alias(o)
+                       for o, c in sums.items()]))
 
 
 def dense_ids(df: DataFrame, key: str, out: str = "fid") -> DataFrame:
-    """0-based dense id in the order of ``key`` (numeric, unique)."""
+    """0-based dense id in the order of ``key`` (unique, any type that sorts)."""
     numbered = running_sums(df.select(key).withColumn("__one", F.lit(1).cast("bigint")),
                             [], key, {"__rank": "__one"})
     return df.join(numbered.select(key, (F.col("__rank") - 1).cast("int").alias(out)), key)
@@ -92,7 +65,7 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float
     statistics around each quantile are then picked by their running count."""
     counted = materialize(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
                           .agg(F.count(F.lit(1)).alias("__n")), "counted")
-    ranked = running_sums(counted, keys, value, {"__upto": "__n"}, stored=True)
+    ranked = running_sums(counted, keys, value, {"__upto": "__n"})
     sizes = counted.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     if keys:
         cells = ranked.join(sizes, keys)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import CLASS_LABELS, DEFAULTS
 from ..functions import scalars as S
-from ..shared import materialize, skew_join
+from ..shared import materialize
 from .bands import match_lat, match_lat_lon
 from .ordered import quantiles
 
@@ -151,14 +151,17 @@ def crop_series(obs: DataFrame, fields: DataFrame, crop: int,
 
 def climatology(obs: DataFrame) -> DataFrame:
     """(field, dekad) median and interquartile range over the seasons."""
-    q = quantiles(obs, ["field_id", "dekad"], "mean_ndvi",
-                  {"__q1": 0.25, "median": 0.5, "__q3": 0.75})
-    return q.select("field_id", "dekad", "median", (F.col("__q3") - F.col("__q1")).alias("iqr"))
+    # a group holds the seasons of one field and ten days: the exact percentile's own
+    # aggregation (value -> count, combined before the shuffle) is enough
+    q = obs.groupBy("field_id", "dekad").agg(
+        F.percentile("mean_ndvi", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    return q.select("field_id", "dekad", F.col("q")[1].alias("median"),
+                    (F.col("q")[2] - F.col("q")[0]).alias("iqr"))
 
 
 def anomaly(obs: DataFrame) -> DataFrame:
     """Observations with a robust z-score against the field's own history
     (null where the range is zero)."""
     spread = F.col("iqr") / 1.349  # range of the standard normal's quartiles
-    return (skew_join(obs, climatology(obs), ["field_id", "dekad"])
+    return (obs.join(climatology(obs), ["field_id", "dekad"])
             .withColumn("z", F.when(F.col("iqr") > 0, (F.col("mean_ndvi") - F.col("median")) / spread)))

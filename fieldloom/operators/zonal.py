@@ -11,7 +11,7 @@ from ..contracts import SCL_MASKED
 from ..functions import geometry as G
 from ..functions import raster as R
 from ..functions import scalars as S
-from ..shared import sized_join, skew_join
+from ..shared import sized_join
 
 TILE = ["scene_id", "x", "y"]
 SPOT = ["grid_id", "x", "y"]
@@ -31,19 +31,29 @@ def keep_needed(tiles: DataFrame, keys: DataFrame, on: list[str] | None = None)
     return sized_join(tiles, keys.select(*on).distinct(), on, "left_semi", max_rows=1_000_000)
 
 
+def blank(scl: str = "scl", masked: Sequence[int] = SCL_MASKED) -> Column:
+    """Is every pixel of the class band masked?  (An empty or missing band is not.)"""
+    return R.masked_fraction(scl, masked) == 1.0
+
+
 def mask_tally(tiles: DataFrame, scl: str = "scl",
                masked: Sequence[int] = SCL_MASKED) -> DataFrame:
-    """Number of tiles and of fully masked tiles."""
-    share = F.coalesce(R.masked_fraction(scl, masked), F.lit(0.0))
+    """Number of tiles, and of tiles with nothing to see."""
     return tiles.agg(F.count(F.lit(1)).alias("total"),
-                     F.count_if(share >= 1.0).alias("fully_masked"))
+                     F.count_if(blank(scl, masked)).alias("fully_masked"))
+
 
+def drop_masked(tiles: DataFrame, scl: DataFrame | None = None,
+                masked: Sequence[int] = SCL_MASKED) -> DataFrame:
+    """Tiles without those that hold no visible pixel; the statistics stay the same.
 
-def drop_masked(tiles: DataFrame, scl: DataFrame, masked: Sequence[int] = SCL_MASKED) -> DataFrame:
-    """Drop tiles whose class band is masked everywhere (an optional pre-pass:
-    it changes no result, as such tiles hold no valid pixel)."""
-    keep = scl.filter(F.coalesce(R.masked_fraction("scl", masked), F.lit(0.0)) < 1.0)
-    return tiles.join(keep.select(*TILE), TILE, "left_semi")
+    Where the class band stands in the tiles' own rows this is a filter.  A class
+    table of its own gives the keys of its blank tiles, and they are taken away: narrow
+    rows, and the few rather than the many."""
+    if scl is None:
+        return tiles.filter(~blank("scl", masked))
+    return sized_join(tiles, scl.filter(blank("scl", masked)).select(*TILE), TILE, "left_anti",
+                      max_rows=1_000_000)
 
 
 def sum_at(value: str, idx: str = "idx") -> Column:
@@ -58,16 +68,14 @@ def sum_at(value: str, idx: str = "idx") -> Column:
     return F.aggregate(idx, start, add)
 
 
-def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi",
-               assigned: DataFrame | None = None) -> DataFrame:
+def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi") -> DataFrame:
     """Sum and count of the valid pixels of every (tile, field) pair.
 
     ``masks``: SPOT, field_id, idx;  ``tiles``: SPOT, scene_id, value array
     (null = not valid).  The tile arrays are only read at the field's pixels,
-    inside the join's own stage; a tile spot that holds very many fields is
-    split over several tasks.  ``assigned`` (the cheap table the masks were
-    made from) tells which spots these are, if the masks are not stored."""
-    pairs = skew_join(masks, tiles, SPOT, spread=F.xxhash64("field_id"), counts_from=assigned)
+    inside the join's own stage; adaptive execution splits a spot that holds very
+    many fields over several tasks."""
+    pairs = masks.join(tiles, SPOT)
     kept = [c for c in pairs.columns if c not in ("idx", value)]
     return (pairs.select(*kept, G.keep_if(sum_at(value), lambda st: st["n"] > 0).alias("st"))
             .select(*kept, F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
@@ -81,7 +89,7 @@ def pixel_stats(tiles: DataFrame, assigned: DataFrame, tile_px: int,
     px = F.col("stride") / tile_px
     pixels = (tiles.select("scene_id", *SPOT, F.posexplode("ndvi").alias("at", "v"))
               .filter(F.col("v").isNotNull()))
-    pairs = skew_join(pixels, assigned, SPOT, spread=F.xxhash64("scene_id", "at"))
+    pairs = pixels.join(assigned, SPOT)
     px_x = F.col("x0") + F.col("x") * F.col("stride") + (F.col("at") % tile_px + 0.5) * px
     px_y = (F.col("y0") - F.col("y") * F.col("stride")
             - (F.floor(F.col("at") / tile_px) + 0.5) * px)
@@ -100,16 +108,18 @@ def roll_up(pairs: DataFrame, meta: DataFrame, pixel_m2: float = 100.0) -> DataF
     """Pairs -> one row per field and scene date, with validity.
 
     ``meta``: scene_id, mgrs_tile, date, dekad, season, epsg."""
-    keys = ["field_id", "date", "dekad", "season", "mgrs_tile", "epsg"]
-    area = F.first("area_m2").alias("area_m2")
     # scene attributes are added in place when the manifest fits a broadcast,
-    # so the roll-up is the only shuffle
-    per_field = (sized_join(pairs, meta, ["scene_id"]).groupBy(*keys).agg(
-        F.min("scene_id").alias("scene_id"),
-        (F.sum("sum") / F.sum("count")).alias("mean_ndvi"),
-        F.sum("count").cast("int").alias("valid_px"), area))
-    return with_validity(per_field, pixel_m2).withColumn(
-        "utm_zone", (F.col("epsg") - 32600).cast("int")).drop("area_m2", "epsg")
+    # so that the observation key below is the only shuffle
+    seen = sized_join(pairs, meta, ["scene_id"])
+    total = F.struct(F.sum("sum").alias("value"), F.sum("count").alias("pixels"),
+                     F.min("scene_id").alias("scene"), F.max("area_m2").alias("area"))
+    obs = seen.groupBy("field_id", "date", "dekad", "season", "mgrs_tile", "epsg").agg(total.alias("a"))
+    measured = obs.select(
+        "field_id", "date", "dekad", "season", "mgrs_tile", F.col("a.scene").alias("scene_id"),
+        (F.col("a.value") / F.col("a.pixels")).alias("mean_ndvi"),
+        F.col("a.pixels").cast("int").alias("valid_px"), F.col("a.area").alias("area_m2"),
+        (F.col("epsg") % 100).cast("int").alias("utm_zone"))
+    return with_validity(measured, pixel_m2).drop("area_m2")
 
 
 def with_validity(df: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
@@ -132,7 +142,8 @@ def slope_per_tile(dem: DataFrame) -> DataFrame:
 
     pick = lambda first, step, n: F.transform(
         F.sequence(F.lit(0), n - 1), lambda k: F.get(data, (first + k * step).cast("int")))
-    parts = dem.select("scene_id", "x", "y", "w", "h", "scale_x", "data")
+    carried = [c for c in ("grid_id",) if c in dem.columns]
+    parts = dem.select("scene_id", "x", "y", "w", "h", "scale_x", "data", *carried)
     for side in (strip(1, 0, "west", pick(w - 1, w, h)),
                  strip(-1, 0, "east", pick(F.lit(0), w, h)),
                  strip(0, 1, "north", pick((h - 1) * w, F.lit(1), w)),
@@ -140,7 +151,7 @@ def slope_per_tile(dem: DataFrame) -> DataFrame:
         parts = parts.unionByName(side, allowMissingColumns=True)
     joined = parts.groupBy("scene_id", "x", "y").agg(
         *[F.first(c, ignorenulls=True).alias(c)
-          for c in ("w", "h", "scale_x", "data", "west", "east", "north", "south")]
+          for c in ("w", "h", "scale_x", "data", *carried, "west", "east", "north", "south")]
     ).filter(F.col("data").isNotNull())
 
     def slope(i):
@@ -157,13 +168,11 @@ def slope_per_tile(dem: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.size("data") - 1), slope))
 
 
-def terrain(dem: DataFrame, masks: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
+def terrain(dem: DataFrame, masks: DataFrame) -> DataFrame:
     """Mean elevation and mean slope per (scene_id, field_id).
 
     ``dem``: elevation tiles with SPOT, w, h, scale_x and ``data``."""
-    sloped = (slope_per_tile(dem).join(dem.select("scene_id", *SPOT), TILE)
-              .select("scene_id", *SPOT, "data", "slope"))
-    pairs = skew_join(masks, sloped, SPOT, spread=F.xxhash64("field_id"), counts_from=assigned)
+    pairs = masks.join(slope_per_tile(dem).select("scene_id", *SPOT, "data", "slope"), SPOT)
     stats = pairs.select("scene_id", "field_id", sum_at("data").alias("e"),
                          sum_at("slope").alias("s"))
     return stats.groupBy("scene_id", "field_id").agg(

@@ -1,24 +1,23 @@
-"""Cluster helpers: shared scratch folder, size-checked broadcast, skew-safe join."""
+"""Cluster helpers: shared scratch folder, size-checked broadcast."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the folder that the cluster names in
-    ``spark.checkpoint.dir``.  Only a local master may fall back to /tmp."""
+    ``spark.checkpoint.dir``.  Only a local master may go without: it gets a
+    folder of the application's own, and its settings stay as they are."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldloom-"))
-        root = spark.sparkContext.getCheckpointDir()
+        root = f"{tempfile.gettempdir()}/fieldloom-{spark.sparkContext.applicationId}"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -46,51 +45,7 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``small`` only after its row count was checked, otherwise take
-    the skew-safe shuffle join."""
-    if fits(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    return skew_join(big, small, on, how)
-
-
-HOT_ROWS = 200_000  # a key with more rows than this may be worth splitting
-HOT_KEYS = 1_000    # at most this many keys are split
-
-
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """The largest keys with more than ``HOT_ROWS`` rows, and a split factor.
-
-    There are at most ``HOT_KEYS`` of them, so the result is safe to broadcast
-    whatever the size of ``df``; any other key holds less than
-    ``1 / HOT_KEYS`` of the rows."""
-    per_key = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    return (per_key.filter(F.col("__n") > HOT_ROWS).orderBy(F.desc("__n")).limit(HOT_KEYS)
-            .select(*on, F.least(F.ceil(F.col("__n") / HOT_ROWS), F.lit(4096))
-                    .cast("int").alias("__split")))
-
-
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-              spread: Column | None = None, counts_from: DataFrame | None = None) -> DataFrame:
-    """Equi-join whose hot left keys are split over several tasks.
-
-    A left row of a hot key draws one salt, the right rows of that key are
-    repeated once per salt; every left row still meets every matching right
-    row exactly once, so inner, left, semi and anti joins stay exact.
-    ``counts_from`` may name a cheaper table with (about) the same key counts:
-    the split is only a matter of balance, never of the result."""
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"skew_join keeps the left side whole; {how!r} does not")
-    hot = F.broadcast(hot_keys(counts_from if counts_from is not None else left, on))
-    spread = spread if spread is not None else F.xxhash64(
-        *[c for c, t in left.dtypes if not t.startswith("map")])
-    no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
-    # rows without a key match nothing: they only have to be spread
-    split = F.when(no_key, F.lit(1 << 16)).otherwise(F.col("__split"))
-    salted_left = (left.join(hot, on, "left")
-                   .withColumn("__salt", F.coalesce(F.pmod(spread, split), F.lit(0)).cast("int"))
-                   .drop("__split"))
-    salted_right = (right.join(hot, on, "left")
-                    .withColumn("__salt", F.explode(
-                        F.sequence(F.lit(0), F.coalesce(F.col("__split"), F.lit(1)) - 1)))
-                    .drop("__split"))
-    return salted_left.join(salted_right.hint("merge"), [*on, "__salt"], how).drop("__salt")
+    """Broadcast ``small`` only after its row count was checked (by the caller's
+    bound on narrow rows), otherwise leave the join to Spark: adaptive execution
+    splits the partitions of hot keys."""
+    return big.join(F.broadcast(small) if fits(small, max_rows) else small, on, how)

@@ -7,16 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom import shared
 from fieldloom.operators import bands, ordered
 
 
-@pytest.fixture(params=[20, 200_000], autouse=True)
-def hot_rows(request, monkeypatch):
-    """Once with hot groups split, once without."""
-    monkeypatch.setattr(shared, "HOT_ROWS", request.param)
-
-
 def people(spark, n, seed, hot=False):
     r = random.Random(seed)
     rows = []
@@ -83,6 +76,8 @@ def test_running_sums_over_hot_and_cold_groups(spark):
     got = ordered.running_sums(df, ["k"], "at", {"total": "v"}).toPandas()
     pdf = got.sort_values(["k", "at"])
     assert (pdf.groupby("k").v.cumsum() == pdf.total).all() and len(pdf) == 900
+    none = ordered.running_sums(df.withColumn("k", F.when(F.col("k") != "hot", F.col("k"))), ["k"], "at", {"total": "v"})
+    assert none.agg(F.sum("total")).first()[0] == got.total.sum()  # a missing key is a group too
     every = ordered.running_sums(df, [], "at", {"total": "v"}).toPandas().sort_values("at")
     assert (every.v.cumsum() == every.total).all()
 
@@ -104,3 +99,22 @@ def test_dense_ids_are_dense_and_ordered(spark):
     df = spark.range(0, 3000, 3).withColumnRenamed("id", "key").orderBy(F.rand(1))
     rows = ordered.dense_ids(df, "key").orderBy("key").collect()
     assert [x.fid for x in rows] == list(range(1000))
+
+
+def test_dense_ids_of_text_keys(spark):
+    names = [f"IA-{i}" for i in range(400)] + [str(i) for i in range(400)]
+    rows = ordered.dense_ids(spark.createDataFrame([(n,) for n in names], "key string"), "key").collect()
+    assert {r.key: r.fid for r in rows} == {n: i for i, n in enumerate(sorted(names))}
+
+
+def test_a_hot_group_in_a_narrow_range_spreads(spark):
+    # all rows of the largest group lie close together; more than 1,000 other groups tie in size
+    df = spark.range(60_000).select(
+        F.when(F.col("id") < 20_000, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 2_000)).alias("k"),
+        F.when(F.col("id") < 20_000, 500 + F.col("id") / 1e9).otherwise(F.col("id").cast("double")).alias("at"),
+        F.lit(1).alias("one"))
+    got = ordered.running_sums(df, ["k"], "at", {"n": "one"})
+    tops = got.groupBy("k").agg(F.max("n").alias("top"), F.count("*").alias("rows"), F.countDistinct("n").alias("d"))
+    assert tops.filter("top <> rows OR d <> rows").count() == 0 and tops.count() == 2_001
+    cuts = df.repartitionByRange("k", "at").withColumn("p", F.spark_partition_id())
+    assert cuts.filter("k = 'hot'").select("p").distinct().count() >= 2

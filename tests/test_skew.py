@@ -1,4 +1,4 @@
-"""Hot keys: joins stay whole and the hot key is really split."""
+"""Joins by size, and the shared folder."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,11 +6,6 @@ from pyspark.sql import functions as F
 from fieldloom import shared
 
 
-@pytest.fixture(autouse=True)
-def low_limit(monkeypatch):
-    monkeypatch.setattr(shared, "HOT_ROWS", 40)
-
-
 def sides(spark):
     left = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700 + 1).alias("k"),
@@ -19,24 +14,6 @@ def sides(spark):
     return left, right.unionByName(right.withColumn("w", F.col("w") + 1))
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_join_equals_plain_join(spark, how):
-    left, right = sides(spark)
-    got = shared.skew_join(left, right, ["k"], how)
-    want = left.join(right, ["k"], how)
-    assert got.columns == want.columns
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_rows_without_a_key_are_kept(spark, how):
-    left, right = sides(spark)
-    left = left.withColumn("k", F.when(F.col("v") % 4 != 0, F.col("k")))
-    got, want = shared.skew_join(left, right, ["k"], how), left.join(right, ["k"], how)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
 def test_top_k_is_cut_before_the_shuffle(spark):
     from fieldloom.sources.tables import newest_per_key
     left, _ = sides(spark)
@@ -44,18 +21,6 @@ def test_top_k_is_cut_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2  # partial and final
 
 
-def test_hot_key_is_split(spark):
-    left, _ = sides(spark)
-    hot = shared.hot_keys(left, ["k"]).collect()
-    assert [h["k"] for h in hot] == [0] and hot[0]["__split"] >= 60
-
-
-def test_right_joins_are_refused(spark):
-    left, right = sides(spark)
-    with pytest.raises(ValueError):
-        shared.skew_join(left, right, ["k"], "right")
-
-
 @pytest.mark.parametrize("limit", [10, 100_000])
 def test_sized_join_both_ways(spark, limit):
     left, right = sides(spark)
