@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import grid, incremental, ordered, publish, scenes, spatial, study, zonal
+from ..shared import materialize
 from ..sources import tables
 from .base import DEKADS, DID, query
 from .joins import frame
@@ -116,13 +117,13 @@ def _(spark, sf):
 ATTRITION = """SELECT f.wind, corn_fields, cloud_ok, matched,
   round_even(100 * (1 - cloud_ok / corn_fields), 1) AS dropped_pct,
   ['control', '60-79 mph', '80-99 mph', '100+ mph'][f.wind + 1] AS label FROM
-  (SELECT wind, count(*) AS corn_fields, count(*) FILTER (usable) AS cloud_ok FROM frame GROUP BY wind) f
+  (SELECT wind, count(*) AS corn_fields, count(*) FILTER (usable) AS cloud_ok FROM {f} GROUP BY wind) f
   LEFT JOIN (SELECT wind, count(*) AS matched FROM {m} GROUP BY wind) m USING (wind)"""
 
 
-@query("a12_attrition", "m10", ATTRITION.format(m="m10"))
+@query("a12_attrition", "m10", ATTRITION.format(m="m10", f="frame"))
 def _(spark, sf):
-    f = frame(spark, sf)
+    f = materialize(frame(spark, sf), "frame")
     return study.attrition(f, study.matched(f, 10))
 
 

@@ -44,7 +44,7 @@ def matched(frame: DataFrame, lat_band, lon_band=None, min_n: int = DEFAULTS.min
     """Usable treated fields with their control mean and ``did``; fields with
     too few controls are dropped."""
     # one row per field; treated and controls are both cut from it
-    ok = materialize(frame.filter("usable"), "frame")
+    ok = materialize(frame.filter("usable"), "usable")
     treated, controls = ok.filter(F.col("wind") > 0), ok.filter(F.col("wind") == 0)
     if lon_band is None:
         pairs = match_lat(treated, controls, lat_band, min_n, bool(upper_open))

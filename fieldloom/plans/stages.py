@@ -10,7 +10,7 @@ from ..functions import geometry as G
 from ..functions import projection as P
 from ..functions import raster as R
 from ..operators import grid, publish, quality, scenes, spatial, study, zonal
-from ..shared import sized_join
+from ..shared import materialize, sized_join
 
 
 def fields_stage(polygons: DataFrame, key: str, t: Thresholds = DEFAULTS,
@@ -105,7 +105,7 @@ def event_study(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: Col
         fields = spatial.inside(fields, regions, "field_id", cell)
     wide = publish.before_after(obs, before, after, valid)
     wind = spatial.zone_class(fields, zones, "field_id", cell)
-    frame = study.event_frame(wide, fields, wind, crop, t.valid_frac_min)
+    frame = materialize(study.event_frame(wide, fields, wind, crop, t.valid_frac_min), "study")
     return frame, study.matched(frame, lat_band, lon_band, t.min_controls)
 
 
