@@ -299,8 +299,8 @@ def _(spark, sf):
   ORDER BY area DESC, field_id LIMIT 5""")
 def _(spark, sf):
     top = fx.zones(spark, sf).filter("gust_class = 3")
-    area = spatial.overlap_area(fx.fields(spark, sf), top, "field_id", 1.0, fx.CELL)
-    return area.orderBy(F.desc("area"), "field_id").limit(5)
+    area = spatial.overlap_area(fx.fields(spark, sf), top, "field_id", fx.CELL)
+    return area.withColumn("area", F.round("area", 6)).orderBy(F.desc("area"), "field_id").limit(5)
 
 
 @query("u1_union_by_name", "ob", """SELECT season, count(*) AS n FROM ob GROUP BY season

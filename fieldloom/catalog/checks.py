@@ -85,12 +85,19 @@ AUDIT = " UNION ALL ".join([
     "SELECT " + row("scene_coverage_nonempty", "'>= 1 (season, tile) pair in scope'",
                     "count(*) || ' pairs'", "count(*) > 0") + f" FROM ({COVERAGE})",
     COVER_ROW, range_row("mean_ndvi", -1.0, 1.0), range_row("valid_frac", 0.0, 1.0), COUNT_ROW,
-    unique_row("field_ndvi_no_duplicate_field_date", "field_id, date, mgrs_tile", "ob")])
+    unique_row("field_ndvi_no_duplicate_field_date", "field_id, date, mgrs_tile", "ob"),
+    "SELECT " + row("field_ndvi_row_count_vs_previous_snapshot", "'>= previous (' || was || ')'",
+                    "now || ' (delta +' || (now - was) || ')'", "now >= was")
+    + """ FROM (SELECT count(*) AS now, count(*) FILTER (season < (SELECT max(season) FROM ob)) AS was FROM ob)"""])
+# the scope's rows only
+AUDIT = AUDIT.replace("FROM ob", f"FROM (SELECT * FROM ob WHERE season IN {tuple(SEASONS)})")
 
 
 @query("q6_audit", "sel ob", AUDIT)
 def _(spark, sf):
-    return stages.quality_stage(manifest(spark, sf), OBS(spark, sf), "demo", SEASONS)
+    obs = OBS(spark, sf).withColumn("run_seq", F.col("season"))
+    return stages.quality_stage(manifest(spark, sf), obs, "demo", SEASONS,
+                                runs=runs(spark, sf).filter(F.col("run_seq").isin(SEASONS)))
 
 
 @query("q7_unexpected_values", "", """SELECT event_type AS value, count(*) AS rows FROM events

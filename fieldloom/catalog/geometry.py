@@ -112,8 +112,9 @@ def _(spark, sf):
   greatest(0, least(x0 + w, zx1) - greatest(x0, zx0)) * greatest(0, least(y0 + h, zy1) - greatest(y0, zy0)))
   AS DOUBLE) AS area FROM fl, wz GROUP BY ALL HAVING area > 0""")
 def _(spark, sf):
-    return spatial.overlap_area(fx.fields(spark, sf), fx.zones(spark, sf), "field_id", 1.0, fx.CELL,
+    area = spatial.overlap_area(fx.fields(spark, sf), fx.zones(spark, sf), "field_id", fx.CELL,
                                 by="gust_class")
+    return area.withColumn("area", F.round("area", 6))
 
 
 @query("g10_text", "fl", """SELECT field_id, 'POLYGON ((' || x0 || ' ' || y0 || ', ' || (x0 + w) || ' ' || y0

@@ -155,7 +155,8 @@ def _(spark, sf):
   AS DOUBLE) AS area FROM fl, wz WHERE gust_class = 3 GROUP BY field_id HAVING area > 0""")
 def _(spark, sf):
     top = fx.zones(spark, sf).filter("gust_class = 3")
-    return spatial.overlap_area(fx.fields(spark, sf), top, "field_id", 1.0, fx.CELL)
+    area = spatial.overlap_area(fx.fields(spark, sf), top, "field_id", fx.CELL)
+    return area.withColumn("area", F.round("area", 6))
 
 
 @query("j15_subregion", "frame rg", """SELECT frame.field_id, wind, usable FROM frame

@@ -1,11 +1,14 @@
 """Queries: scalar functions."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..contracts import CLASS_LABELS, CROP_LABELS
 from ..functions import scalars as S
 from ..operators import ordered, publish, quality
+from ..shared import shared_folder
 from ..sources import catalogue
 from .base import query
 from .aggregates import QUANT
@@ -88,10 +91,13 @@ def _(spark, sf):
 
 @query("x10_ingest_time", "sc", "SELECT scene_id, true AS stamped FROM sc")
 def _(spark, sf):
-    # the stamp itself changes with every run: it must lie within the last day
-    df = fx.scenes(spark, sf).withColumn("ingested_at", F.current_timestamp())
-    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("ingested_at")
-    return df.select("scene_id", age.between(0, 86400).alias("stamped"))
+    # stored first: every row keeps the moment of that write, between two clock readings
+    path, before = shared_folder(spark, "x10"), datetime.now(timezone.utc)
+    (fx.scenes(spark, sf).select("scene_id", F.current_timestamp().alias("ingested_at"))
+     .write.parquet(path))
+    after = datetime.now(timezone.utc)
+    in_time = F.col("ingested_at").between(F.lit(before), F.lit(after))
+    return spark.read.parquet(path).select("scene_id", in_time.alias("stamped"))
 
 
 @query("x11_labels", "wind", """SELECT field_id,

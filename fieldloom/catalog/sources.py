@@ -1,5 +1,7 @@
 """Queries: scans and sources."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,11 +101,17 @@ def _(spark, sf):
   CASE WHEN scene_id % 4 <> 0 THEN 0.0001 ELSE 1.0 END::DOUBLE AS red_scale,
   CASE WHEN scene_id % 4 <> 0 THEN -0.1 ELSE 0.0 END::DOUBLE AS red_offset,
   CASE WHEN scene_id % 4 <> 0 THEN 0.0001 ELSE 1.0 END::DOUBLE AS nir_scale,
-  CASE WHEN scene_id % 4 <> 0 THEN -0.1 ELSE 0.0 END::DOUBLE AS nir_offset FROM ({ITEM_SQL})""")
+  CASE WHEN scene_id % 4 <> 0 THEN -0.1 ELSE 0.0 END::DOUBLE AS nir_offset, true AS stamped FROM ({ITEM_SQL})""")
 def _(spark, sf):
     path = shared_folder(spark, "s5")
     items(spark, sf).write.json(path)
-    return catalogue.manifest_rows(catalogue.read_items(spark, path), HOSTS)
+    stored = shared_folder(spark, "s5-manifest")
+    before = datetime.now(timezone.utc)
+    catalogue.manifest_rows(catalogue.read_items(spark, path), HOSTS).write.parquet(stored)
+    after = datetime.now(timezone.utc)
+    rows = spark.read.parquet(stored)
+    in_time = F.col("ingested_at").between(F.lit(before), F.lit(after))
+    return rows.withColumn("stamped", in_time).drop("ingested_at")
 
 
 @query("s6_item_search", "sc", f"""SELECT id, tile, date FROM ({ITEM_SQL}) WHERE scene_id % 13 <> 0
@@ -135,7 +143,7 @@ def _(spark, sf):
     props = T.StructType([T.StructField("geoid", T.LongType()),
                           T.StructField("state", T.IntegerType())])
     layer = polygons.read_geojson_lines(spark, path, props).filter("state = 2")
-    degrees = layer.withColumn("poly", polygons.reprojected("poly", P.conus_to_degrees))
+    degrees = layer.withColumn("poly", G.map_points("poly", P.conus_to_degrees))
     corner = F.col("poly")[0][0]
     return degrees.select("geoid", F.round(corner["x"], 6).alias("lon"),
                           F.round(corner["y"], 6).alias("lat"))

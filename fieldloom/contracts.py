@@ -71,6 +71,9 @@ SCENES = T.StructType([
     T.StructField("red_offset", T.DoubleType()),
     T.StructField("nir_scale", T.DoubleType()),
     T.StructField("nir_offset", T.DoubleType()),
+    T.StructField("ingested_at", T.TimestampType()),
+    T.StructField("usable", T.BooleanType()),
+    T.StructField("selected", T.BooleanType()),
 ])
 
 FIELD_NDVI = T.StructType([

@@ -1,8 +1,9 @@
 """Polygon functions as Column expressions.
 
 A polygon is ``array<ring>``, a ring ``array<struct<x,y>>`` whose last point
-repeats the first; ring 0 is the shell, the others are holes.  Short rings
-are handled by array functions; nothing here leaves the JVM.
+repeats the first.  Rings follow the even-odd rule: one inside another is a hole,
+one apart is another part, whatever their order and orientation.  Short
+rings are handled by array functions; nothing here leaves the JVM.
 """
 
 from __future__ import annotations
@@ -54,10 +55,19 @@ def _ring_area(ring: Column) -> Column:
                       - (e["bx"] - o["x"]) * (e["ay"] - o["y"]))) / 2
 
 
+def _sign(poly: Column, ring: Column, i: Column) -> Column:
+    """1 for the outline of a part, -1 for a hole: by the number of other rings
+    around the middle of the ring's first edge."""
+    x, y = (ring[0]["x"] + ring[1]["x"]) / 2, (ring[0]["y"] + ring[1]["y"]) / 2
+    around = F.aggregate(F.sequence(F.lit(0), F.size(poly) - 1), F.lit(0), lambda n, j: n + F.when(
+        (j != i) & edges_contain(_edges(F.get(poly, j)), x, y), 1).otherwise(0))
+    return F.when((F.size(poly) == 1) | (around % 2 == 0), F.lit(1.0)).otherwise(F.lit(-1.0))
+
+
 def area(poly) -> Column:
-    """Shell area minus hole areas."""
-    return let(F.transform(_col(poly), _ring_area), lambda areas: 2 * areas[0]
-               - F.aggregate(areas, F.lit(0.0), lambda acc, a: acc + a))
+    """Area of all parts without their holes."""
+    return let(_col(poly), lambda p: F.aggregate(
+        F.transform(p, lambda ring, i: _sign(p, ring, i) * _ring_area(ring)), F.lit(0.0), lambda acc, a: acc + a))
 
 
 def centroid(poly) -> Column:
@@ -74,7 +84,7 @@ def _centroid(poly: Column) -> Column:
                     - (e["bx"] - base["x"]) * (e["ay"] - base["y"]))
         edges = _edges(ring)
         twice = _sum(edges, cross)
-        sign = F.signum(twice) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        sign = F.signum(twice) * _sign(poly, ring, i)
         return F.struct(
             (sign * twice).alias("a"),
             (sign * _sum(edges, lambda e: (e["ax"] + e["bx"] - 2 * base["x"]) * cross(e))).alias("mx"),
@@ -89,12 +99,12 @@ def _centroid(poly: Column) -> Column:
 
 
 def bbox(poly) -> Column:
-    def box(shell: Column) -> Column:
-        xs = F.transform(shell, lambda p: p["x"])
-        ys = F.transform(shell, lambda p: p["y"])
+    def box(points: Column) -> Column:
+        xs = F.transform(points, lambda p: p["x"])
+        ys = F.transform(points, lambda p: p["y"])
         return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
                         F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
-    return let(_col(poly)[0], box)
+    return let(F.flatten(_col(poly)), box)
 
 
 def edges_contain(edges: Column, px: Column, py: Column) -> Column:

@@ -11,6 +11,7 @@ from ..functions import projection as P
 from ..functions import raster as R
 from ..operators import grid, publish, quality, scenes, spatial, study, zonal
 from ..shared import materialize, sized_join
+from ..sources import tables
 
 
 def fields_stage(polygons: DataFrame, key: str, t: Thresholds = DEFAULTS,
@@ -84,14 +85,20 @@ def publish_stage(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: C
 
 
 def quality_stage(manifest: DataFrame, obs: DataFrame, scope: str, seasons: list[int],
-                  tiles: list | None = None) -> DataFrame:
+                  tiles: list | None = None, runs: DataFrame | None = None) -> DataFrame:
+    """Audit rows of one scope: only its seasons (and tiles) are judged, so another
+    scope's rows can't fail it.  With ``runs`` (and run_seq in ``obs``) the row count
+    is compared with that of the previous run, in the same scope."""
     cover = scenes.coverage(manifest, seasons, tiles)
+    obs = tables.in_scope(obs, seasons=seasons, tiles=tiles)
+    delta = [] if runs is None else [quality.delta_check(obs, runs, scope)]
     return quality.audit([
         quality.nonempty_scope_check(cover, scope),
         quality.coverage_check(cover, scope),
         quality.table_checks(obs, scope, {"mean_ndvi": (-1.0, 1.0), "valid_frac": (0.0, 1.0)}),
         quality.unique_check(obs, scope, ["field_id", "date", "mgrs_tile"],
                              "field_ndvi_no_duplicate_field_date"),
+        *delta,
     ])
 
 

@@ -68,7 +68,7 @@ def manifest_rows(items: DataFrame, prefixes: dict[str, str] | None = None) -> D
         number("red", "scale", 1.0).alias("red_scale"),
         number("red", "offset", 0.0).alias("red_offset"),
         number("nir", "scale", 1.0).alias("nir_scale"),
-        number("nir", "offset", 0.0).alias("nir_offset"))
+        number("nir", "offset", 0.0).alias("nir_offset"), F.current_timestamp().alias("ingested_at"))
 
 
 def date_ranges(seasons: DataFrame, doy: tuple[int, int], season: str = "season") -> DataFrame:

@@ -116,5 +116,5 @@ def test_a_hot_group_in_a_narrow_range_spreads(spark):
     got = ordered.running_sums(df, ["k"], "at", {"n": "one"})
     tops = got.groupBy("k").agg(F.max("n").alias("top"), F.count("*").alias("rows"), F.countDistinct("n").alias("d"))
     assert tops.filter("top <> rows OR d <> rows").count() == 0 and tops.count() == 2_001
-    cuts = df.repartitionByRange("k", "at").withColumn("p", F.spark_partition_id())
+    cuts = df.repartitionByRange(8, "k", "at").withColumn("p", F.spark_partition_id())
     assert cuts.filter("k = 'hot'").select("p").distinct().count() >= 2

@@ -183,3 +183,65 @@ def test_slope_of_a_plane(spark):
     assert got == pytest.approx(np.full(16, math.degrees(math.atan(5))))
     corner = zonal.slope_per_tile(dem).filter("x = 0 and y = 0").first().slope
     assert corner[0] is None and corner[5] is not None
+
+
+def outline(*points):
+    return [[{"x": float(x), "y": float(y)} for x, y in (*ring, ring[0])] for ring in points]
+
+
+def test_overlap_is_exact_off_the_grid(spark):
+    from fieldloom.operators import spatial
+    square = lambda x, y, s: ((x, y), (x + s, y), (x + s, y + s), (x, y + s))
+    regions = [(1, outline(square(0.25, 0.25, 0.5))), (2, outline(square(10.05, 3.05, 0.9))),
+               (3, outline(square(-3, -3, 9), square(-1, -1, 2))), (4, outline(((0, 0), (8, 0), (0, 8)))),
+               (5, outline(square(30, 30, 1), square(33, 33, 1)))]
+    zones = [(1, outline(square(0, 0, 20))), (2, outline(((0, 6), (6, 6), (6, 0)))), (1, outline(square(29, 29, 1.5)))]
+    schema = "array<array<struct<x:double,y:double>>>"
+    r = spark.createDataFrame(regions, f"field_id int, poly {schema}")
+    z = spark.createDataFrame(zones, f"k int, poly {schema}")
+    want = {(1, 1): 0.25, (2, 1): 0.81, (3, 1): 36 - 1, (4, 1): 32.0, (5, 1): 0.25, (3, 2): 18.0, (4, 2): 10.0}
+    for cell in (1.0, 2.7, 100.0):
+        got = {(x.field_id, x.k): x.area for x in spatial.overlap_area(r, z, "field_id", cell, "k").collect()}
+        assert got == {k: pytest.approx(v) for k, v in want.items()}, cell
+
+
+def test_multipart_polygons(spark, tmp_path):
+    import json
+    import struct
+
+    from pyspark.sql import types as T
+
+    from fieldloom.sources import polygons
+    rings = [[(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)],
+             [(10, 0), (12, 0), (12, 1), (10, 1), (10, 0)]]
+
+    def wkb(parts, end="<"):
+        out = []
+        for part in parts:
+            body = struct.pack(end + "BII", end == "<", 3, len(part))
+            for r in part:
+                body += struct.pack(end + "I", len(r)) + b"".join(struct.pack(end + "dd", *p) for p in r)
+            out.append(body)
+        return out[0] if len(out) == 1 else struct.pack(end + "BII", end == "<", 6, len(out)) + b"".join(out)
+
+    blobs = [wkb([rings[:2], rings[2:]]), wkb([rings[:2], rings[2:]], ">"), wkb([rings[:2]]), None, wkb([rings[2:]], ">")]
+    for some in (blobs, [blobs[2], None, wkb([rings[2:]]), wkb([rings[:2]])]):
+        df = spark.createDataFrame([(i, bytearray(b) if b else None) for i, b in enumerate(some)], "i int, g binary")
+        got = polygons.decode_wkb(df.coalesce(1), "g").select(
+            "i", G.area("poly").alias("a"), G.bbox("poly")["xmax"].alias("x"), F.size("poly").alias("n")).orderBy("i").collect()
+        both, first, last = (17.0, 12.0, 3), (15.0, 4.0, 2), (2.0, 12.0, 1)
+        want = [both, both, first, None, last] if len(some) == 5 else [first, None, last, first]
+        assert [None if r.a is None else (r.a, r.x, r.n) for r in got] == want
+    with pytest.raises(Exception, match="not a plane polygon"):
+        polygons.decode_wkb(spark.createDataFrame([(bytearray(struct.pack("<BII", 1, 2, 0)),)], "g binary"), "g").collect()
+
+    features = [("MultiPolygon", [rings[:2], rings[2:]]), ("Polygon", rings[:2]), (None, None)]
+    path = tmp_path / "layer.json"
+    path.write_text("\n".join(json.dumps({"type": "Feature", "properties": {"k": i}, "geometry": t and {
+        "type": t, "coordinates": c}}) for i, (t, c) in enumerate(features)))
+    props = T.StructType([T.StructField("k", T.LongType())])
+    rows = polygons.read_geojson_lines(spark, str(path), props).select("k", G.area("poly").alias("a")).orderBy("k").collect()
+    assert [(r.k, r.a) for r in rows] == [(0, 17.0), (1, 15.0), (2, None)]
+    path.write_text(json.dumps({"type": "Feature", "properties": {"k": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}}))
+    with pytest.raises(Exception, match="not a polygon"):
+        polygons.read_geojson_lines(spark, str(path), props).collect()
