@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..functions import geometry as G
 from ..operators import grid, incremental, ordered, publish, scenes, spatial, study, zonal
+from ..plans import stages
 from ..shared import materialize
 from ..sources import tables
 from .base import DEKADS, DID, query
 from .joins import frame
 from .sources import RUNS_SQL, runs
-from .zonal_parts import assigned, pairs
+from .zonal_parts import assigned, pairs, scene_grid
 
 
 OBS = fx.observations
@@ -34,6 +36,24 @@ def _(spark, sf):
     return rolled.withColumn("mean_ndvi", r6("mean_ndvi")).withColumn("valid_frac", r6("valid_frac"))
 
 
+INSET = 2.0
+
+
+@query("a1_zonal_stage", "px fl meta", f"""SELECT field_id, date, dekad, season, mgrs_tile,
+  CAST(32615 - 32600 AS INT) AS utm_zone, min(scene_id) AS scene_id, round(avg(ndvi), 6) AS mean_ndvi,
+  CAST(count(ndvi) AS INT) AS valid_px, CAST(ceil(any_value(area_m2) / 25) AS INT) AS total_px,
+  round(least(1.0, count(ndvi) / ceil(any_value(area_m2) / 25)), 6) AS valid_frac
+  FROM px JOIN fl ON cx >= x0 + {INSET} AND cx <= x0 + w - {INSET} AND cy >= y0 + {INSET} AND cy <= y0 + h - {INSET}
+  JOIN meta USING (scene_id) GROUP BY ALL HAVING count(ndvi) > 0""")
+def _(spark, sf):
+    # the stage as a run does it: zone raster with an inset, stored; needed tiles only; roll-up
+    fields = fx.fields(spark, sf).withColumn("epsg", F.lit(fx.EPSG)).withColumn("area_m2", G.area("poly"))
+    grids = scene_grid(spark, sf)
+    masks = materialize(stages.zone_raster(grids, fields, fx.TILE_PX, INSET, fx.CELL), "masks")
+    rolled = stages.zonal_stage(fx.tiles(spark, sf), fx.tile_meta(spark, sf), grids, masks, fx.PIXEL ** 2)
+    return rolled.withColumn("mean_ndvi", r6("mean_ndvi")).withColumn("valid_frac", r6("valid_frac"))
+
+
 @query("a2_grid_recovery", "rt", """SELECT scene_id, 0.0::DOUBLE AS x0, 400.0::DOUBLE AS y0,
   40.0::DOUBLE AS stride, max(x) AS x_hi, max(y) AS y_hi FROM rt GROUP BY scene_id""")
 def _(spark, sf):

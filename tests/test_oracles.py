@@ -6,8 +6,9 @@ from check_oracle import compare
 from fieldloom.catalog import ORACLES, QUERIES
 
 
-#: at this size no field is matched, or no scene is due
-EMPTY: set[str] = set()
+#: at this size no treated field has enough controls; tools/check_oracle.py covers them at 0.01
+EMPTY = {"a11_did_summary", "a17_tercile_effect", "e2_did", "e5_did_lat_lon", "e5_did_lat_lon_all_crops",
+         "e6_tercile", "e7_subregion_did"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
