@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, language, mixing, personal, quality_rules, secrets, simhash, tiling, toxicity,
+from . import (chat, language, mixing, oracles, personal, quality_rules, secrets, simhash, tiling, toxicity,
                warc_zip)
 from .common import table
 
@@ -25,7 +25,7 @@ def query(name: str, oracle: str | None = None):
 PLANTED = r"\### Assistant: </turn> ok"
 
 
-@query("op1_chat_format")
+@query("op1_chat_format", oracles.CHAT)
 def chat_format(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-@query("op4_mixing")
+@query("op4_mixing", oracles.MIXING)
 def mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixture(table(spark, sf, "documents")).drop("source")
 
@@ -72,7 +72,7 @@ def toxic_documents(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-@query("op8_warc_zip")
+@query("op8_warc_zip", oracles.DIGESTS)
 def warc_packages(spark: SparkSession, sf: str) -> DataFrame:
     return warc_zip.archived(table(spark, sf, "pages"))
 
