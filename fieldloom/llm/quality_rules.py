@@ -7,8 +7,9 @@ the exact binomial test rejects "the rule loses more than its share of good
 documents".  Testing stops at the first failure (fixed sequence, so no further
 correction inside a sequence); strata and rules share the error by Bonferroni
 and the allowed loss is divided among the rules.  Of the certified cutoffs the
-one that catches most bad documents is taken, the most lenient on ties.  Where
-nothing can be certified, the rule rejects nothing in that stratum.
+one with the largest gain is taken (bad documents caught, less ``HARM`` for every
+good one lost), the most lenient on ties.  Where nothing is certified, or nothing
+gained, the rule rejects nothing in that stratum.
 
 Defined results: a null or empty text has no words and fails the fixed rules;
 null languages form a stratum of their own; a document counts as good if all
@@ -35,6 +36,7 @@ from .common import WORD
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
+HARM = 10.0
 #: ratio -> cutoffs from lenient to strict
 CUTOFFS = {
     "symbol_share": (2.0, 1.5, 1.2, 1.0, 0.8, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2),
@@ -136,8 +138,9 @@ def certified(counts: pd.DataFrame, allowed: float, error: float) -> float | Non
         lost, caught = int(good[:j + 1].sum()), bad[:j + 1].sum()
         if n == 0 or binomial_tail(lost, n, allowed) > error:
             break
-        if caught > 0 and (best is None or caught > best[0]):
-            best = (caught, cutoff)
+        gain = caught - HARM * lost
+        if gain > (0 if best is None else best[0]):
+            best = (gain, cutoff)
     return None if best is None else best[1]
 
 
