@@ -63,8 +63,7 @@ def event_stream(spark, sf, pattern="events.parquet"):
 def _(spark, sf):
     out, mark = shared_folder(spark, "r1-out"), shared_folder(spark, "r1-mark")
     twice = event_stream(spark, sf).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    arrivals.drain(arrivals.first_arrivals(arrivals.thin_copies(twice.drop("copy"), "event_id"),
-                                           "event_id"), out, mark)
+    arrivals.drain(arrivals.first_arrivals(twice.drop("copy"), "event_id"), out, mark)
     return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
 
 

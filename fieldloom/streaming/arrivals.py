@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +18,6 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: s
     return reader.format(fmt).load(path)
 
 
-def thin_copies(stream: DataFrame, key: str, ts: str = "ts") -> DataFrame:
-    """Drop repeated keys inside each Arrow batch of the source, before any
-    shuffle, so that a key with very many copies does not fill one state task.
-    The newest copy stays: if any copy is inside the watermark, that one is."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.sort_values(ts, kind="stable").drop_duplicates(key, keep="last")
-
-    return stream.mapInPandas(run, stream.schema)
-
-
 def first_arrivals(stream: DataFrame, key: str, ts: str = "ts", delay: str = "30 days") -> DataFrame:
     """Each key once; copies that arrive within the delay are dropped, rows
     older than the watermark are late and dropped."""

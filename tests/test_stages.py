@@ -203,13 +203,3 @@ def test_stream_keeps_first_arrival(spark, sf):
         arrivals.drain(arrivals.first_arrivals(
             arrivals.read_stream(spark, root, ev.schema), "event_id"), out, mark)
     assert spark.read.parquet(out).count() == ev.count()
-
-
-def test_thinned_copies_lose_no_item(spark, sf):
-    ev = fx.events(spark, sf).select("event_id", "ts")
-    copies = ev.withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(20)))).select(
-        "event_id", F.expr("ts - make_dt_interval(d)").alias("ts")).coalesce(1)
-    thin = arrivals.thin_copies(copies, "event_id")
-    assert thin.count() < copies.count() / 2
-    newest = thin.groupBy("event_id").agg(F.max("ts").alias("ts"))
-    assert newest.exceptAll(ev).count() == 0 and newest.count() == ev.count()
