@@ -221,7 +221,8 @@ def sampled(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
     share = F.when(F.col("toxic") == 1, per_label / max(1, sizes.get(1, 0))).otherwise(
         per_label / max(1, sizes.get(0, 0)))
     chosen = marks.filter(place < share)
-    chosen = F.broadcast(chosen) if fits(chosen, 4 * per_label) else chosen  # about 2 * per_label rows
+    # about 2 * per_label rows: without the broadcast the join would move every text for them
+    chosen = F.broadcast(chosen) if fits(chosen, 4 * per_label) else chosen
     return (docs.select("doc_id", "text").filter(F.char_length("text") <= MAX_FIT_CHARS)
             .join(chosen, "doc_id").select("text", "toxic"))
 
