@@ -117,6 +117,7 @@ def sampled(docs: DataFrame, per_language: int) -> DataFrame:
     known = docs.filter(F.col("lang").isNotNull() & ~held_out()
                         & (F.char_length("text") <= MAX_FIT_CHARS)).select("doc_id", "lang", "text")
     sizes = known.groupBy("lang").count().withColumnRenamed("lang", "__lang")
+    # a row per language: without the broadcast the join would move every text by its language
     sizes = F.broadcast(sizes) if fits(sizes, BROADCAST_LANGUAGES) else sizes
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     return (known.join(sizes, F.col("lang") == F.col("__lang"))
