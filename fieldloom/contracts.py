@@ -104,8 +104,14 @@ TILES = T.StructType([
     T.StructField("data", T.ArrayType(T.FloatType())),
 ])
 
-DQ_RESULTS = ("check_name string, scope string, expected string, "
-              "observed string, passed boolean, run_at timestamp")
+DQ_RESULTS = T.StructType([
+    T.StructField("check_name", T.StringType()),
+    T.StructField("scope", T.StringType()),
+    T.StructField("expected", T.StringType()),
+    T.StructField("observed", T.StringType()),
+    T.StructField("passed", T.BooleanType()),
+    T.StructField("run_at", T.TimestampType()),
+])
 
 # One catalogue item (GeoJSON feature with asset map), read with an explicit
 # schema so that malformed or missing members become nulls, not inference.

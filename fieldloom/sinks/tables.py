@@ -39,8 +39,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def append_audit(checks: DataFrame, path: str) -> None:
     """Check rows (few, one per check) into one file of the audit table."""
-    names = [c.split()[0] for c in DQ_RESULTS.split(", ")]
-    (checks.withColumn("run_at", F.current_timestamp()).select(*names)
+    (checks.withColumn("run_at", F.current_timestamp()).select(*DQ_RESULTS.names)
      .coalesce(1).write.mode("append").parquet(path))
 
 

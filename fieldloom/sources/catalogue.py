@@ -12,7 +12,7 @@ from ..functions import scalars as S
 
 def rewrite_prefix(href: Column, prefixes: dict[str, str]) -> Column:
     """Replace a known leading prefix; an unknown one fails the job."""
-    out = F.raise_error(F.concat(F.lit("unrecognized asset host: "), href))
+    out = F.raise_error(F.concat(F.lit("no rewrite is known for the link "), href))
     for old, new in reversed(prefixes.items()):
         out = F.when(href.startswith(old),
                      F.concat(F.lit(new), F.substring(href, F.lit(len(old) + 1), F.length(href)))
