@@ -38,7 +38,8 @@ PATTERNS = {
     "hex": r"(?<![0-9a-f])[0-9a-f]{32,}+",
     "user": rf"(?<![A-Za-z0-9_])(?i:user(?:name)?|login|account|client_?id)[\"']?\x20*+[:=]\x20*+[\"']?"
             r"[A-Za-z0-9@+/_.-]{3,}+",
-    "key": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,64}+={0,2}+(?![A-Za-z0-9+/_=-])",
+    # '=' may stand before (name=value), and there is no upper length: the scope decides
+    "key": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])",
     "endpoint": r"https?://[A-Za-z0-9._~:/?#@!&()*+,;=%-]++|"
                 r"(?<![A-Za-z0-9.-])(?:[a-z0-9-]++\.)++[a-z]{2,}+:[0-9]{2,5}+",
 }
