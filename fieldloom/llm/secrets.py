@@ -3,11 +3,12 @@
 Assignments to secret-like names, access key ids and long hexadecimal runs are always
 reported.  Weak candidates - user names, mixed random-looking tokens, endpoints -
 mean little alone.  They are rows of an interval join: a weak part opens a scope of
-``SCOPE`` code points around its start, and it is reported only when a complementary
-part of the same document starts inside (a secret for identifiers and endpoints; an
-identifier or an endpoint for secrets).  The join is on document and cell of the
-scope's width, and a semi-join, so the number of parts in a scope does not
-multiply rows; spans do not overlap within a kind, so a scope holds few.
+``SCOPE`` code points before its start and after its stop, and it is reported only when
+a complementary part of the same document reaches into it (a secret for identifiers and
+endpoints; an identifier or an endpoint for secrets).  The join is on document and cell
+of the scope's width, a part having a row for each cell it touches, and a semi-join, so
+the number of parts in a scope does not multiply rows; spans do not overlap within a
+kind, so a scope holds few.
 
 Defined results: a null or empty text has no spans; rows of one doc_id with different
 texts are told apart by the text; repeated rows give the same result each; other
@@ -83,20 +84,25 @@ def linked(found: DataFrame) -> DataFrame:
     names = list(ROLES)
     role = F.element_at(F.array(*[F.lit(ROLES[k]) for k in names]), F.col("p.rank") + 1)
     rows = (found.filter(F.size("weak") > 0).distinct()
-            .select(*keys, F.size("base").alias("n"), F.explode(F.concat("base", "weak")).alias("p"))
+            .select(*keys, F.explode(F.concat("base", "weak")).alias("p"))
             .select(*keys, "p", role.alias("role"), F.col("p.start").alias("start"),
-                    F.floor(F.col("p.start") / SCOPE).cast("int").alias("cell")))
+                    F.col("p.stop").alias("stop")))
+
+    def cells(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(F.floor(F.greatest(first, F.lit(0)) / SCOPE).cast("int"),
+                                    F.floor(last / SCOPE).cast("int")))
+
     needs = F.explode(F.array(*[F.struct(F.lit(r).alias("have"), F.lit(c).alias("need"))
                                 for r, cs in COMPLEMENTS.items() for c in cs]))
     weak = (rows.filter(F.col("p.rank") >= len(BASE)).select("*", needs.alias("x"))
-            .filter("x.have = role").withColumn("near", F.explode(F.array(
-                F.col("cell") - 1, F.col("cell"), F.col("cell") + 1))))
+            .filter("x.have = role").withColumn("near", cells(
+                F.col("start") - SCOPE - 1, F.col("stop") + SCOPE)))
     other = rows.select(F.col("doc_id").alias("o_id"), F.col("text_key").alias("o_key"),
-                        F.col("role").alias("o_role"), F.col("cell").alias("o_cell"),
-                        F.col("start").alias("o_start"))
+                        F.col("role").alias("o_role"), F.col("start").alias("o_start"),
+                        F.col("stop").alias("o_stop"), cells(F.col("start"), F.col("stop") - 1).alias("o_cell"))
     scope = (F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("text_key") == F.col("o_key"))
              & (F.col("near") == F.col("o_cell")) & (F.col("x.need") == F.col("o_role"))
-             & (F.abs(F.col("start") - F.col("o_start")) <= SCOPE))
+             & (F.col("o_start") - F.col("stop") <= SCOPE) & (F.col("start") - F.col("o_stop") <= SCOPE))
     return (weak.join(other, scope, "left_semi").groupBy(*keys)
             .agg(F.collect_set("p").alias("added")))
 

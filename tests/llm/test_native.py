@@ -134,6 +134,22 @@ def test_weak_keys_after_equals_and_long_ones(documents):
     assert len(got[7]) == 600
 
 
+def test_scope_counts_from_the_end_of_a_part(documents):
+    value = "Ab1." * 75
+    url = "https://a.example/" + "p" * 900
+    key = "Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZg12"
+    gap = " wor " * 40  # 200 code points
+    texts = [f"token={value}\nuser: bob", f"token={value}\nhttps://a.example/x", f"user: bob\n{'0123456789abcdef' * 20}",
+             f"{'0123456789abcdef' * 20}\nuser: bob", f"{url}\n{key}", f"{key}\n{url}", f"token={value}{gap}user: bob",
+             f"token={value}{gap} user: bob", f"user: bob{gap}token={value}", f"user: bob{gap} token={value}",
+             f"user: bob\ntoken={value * 200}\nuser: eve"]
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",")]
+           for r in secrets.secret_digest(secrets.secrets(documents(texts))).collect()}
+    assert [got[i] for i in range(len(texts))] == [
+        ["assign", "user"], ["assign", "endpoint"], ["user", "hex"], ["hex", "user"], ["endpoint", "key"],
+        ["key", "endpoint"], ["assign", "user"], ["assign"], ["user", "assign"], ["assign"], ["user", "assign", "user"]]
+
+
 def test_redacted(documents):
     texts = ["mail a@b.c or +1 (988) 555-2485, card 4111 1111 1111 1111, at 10.0.0.1", None, "", "nothing 12", "256.1.1.1"]
     docs = documents(texts)
