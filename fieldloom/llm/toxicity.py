@@ -7,7 +7,9 @@ allowed, or at every second place, each worth DECAY ** span; tokens are scaled b
 what their length can hold.  The kernel of two tokens is the product of these
 (hashed) features, so an insult keeps most of its value under gaps and insertions.
 
-Nystroem landmarks are tokens that single out labelled documents.  A linear machine
+Nystroem landmarks are tokens that single out labelled documents: distinct ones, each
+the farthest from those before it, until every witness is near one, however rare; so
+their number follows from the words found in the sample.  A linear machine
 on K(x, landmarks) K(landmarks, landmarks)^-1/2 is trained on labelled sentences'
 tokens: only documents are labelled, so the token that speaks most for a
 toxic document is its witness (with others that several documents share) and the
@@ -50,7 +52,8 @@ WINDOW, DECAY = 6, 0.6
 GAPS = [*combinations(range(1, WINDOW), 3), (2, 4, 6)]
 BITS = 18            # of the hashed feature numbers
 DIMS = 1 << BITS
-LANDMARKS = 96
+COVERED = 0.75       # cosine (in the kernel) to some landmark that every witness must reach
+CLEAN_LANDMARKS = 32
 ROUNDS = 4
 WITNESSES = 3        # tokens a document may put forward in a round
 TOP = 5              # token values of a document that enter its score
@@ -150,22 +153,22 @@ def evidence(text: str | None, weights: np.ndarray) -> np.ndarray:
     return np.array([best[0], best[1:].mean(), math.log1p(n)])
 
 
-def features(tokens: list[bytes], numbers: np.ndarray) -> np.ndarray:
-    """Scaled rows of tokens (given as classes) in the features of ``numbers``."""
-    out = np.zeros((len(tokens), len(numbers)), np.float32)
-    for i, t in enumerate(tokens):
-        code = np.frombuffer(t, np.uint8)
-        for _, feature, worth in sequences(code, np.zeros(1, np.int64)):
-            place = np.minimum(np.searchsorted(numbers, feature), len(numbers) - 1)
-            np.add.at(out[i], place[numbers[place] == feature], worth)
-    return out / scale(np.array([len(t) for t in tokens]))[:, None]
+def features(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scaled features of tokens (given as classes): token number, feature, value, by
+    token, each feature of a token once."""
+    sizes = np.array([len(t) for t in tokens])
+    of, scales = np.repeat(np.arange(len(tokens)), sizes), scale(sizes)
+    found = [(of[at] * DIMS + feature, worth / scales[of[at]]) for at, feature, worth in sequences(
+        np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes)]
+    keys, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    return keys // DIMS, keys % DIMS, np.bincount(place, np.concatenate([v for _, v in found]), len(keys))
 
 
-def machine(x: np.ndarray, y: np.ndarray, steps: int = 400, cost: float = 10.0) -> np.ndarray:
-    """Weights and offset of a linear machine: squared hinge loss, both classes
-    weighing the same, by accelerated gradient steps."""
+def machine(x: np.ndarray, y: np.ndarray, times: np.ndarray, steps: int = 400, cost: float = 10.0) -> np.ndarray:
+    """Weights and offset of a linear machine: squared hinge loss, rows counted
+    ``times`` each, both classes weighing the same, by accelerated gradient steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    share = times * np.where(y > 0, 0.5 / max(1, times[y > 0].sum()), 0.5 / max(1, times[y < 0].sum()))
     rate = 1 / (1e-3 + 2 * cost * np.linalg.norm(x * np.sqrt(share)[:, None], 2) ** 2)
     w, ahead, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
     for _ in range(steps):
@@ -185,24 +188,44 @@ def disguised(token: bytes) -> list[bytes]:
 
 
 def nystroem_machine(positive: list[bytes], negative: list[bytes]) -> np.ndarray:
-    """One weight per feature, of the machine trained on the tokens."""
-    half = LANDMARKS * 2 // 3
-
-    def spread_out(tokens: list[bytes], n: int) -> list[bytes]:
-        return [tokens[int(i)] for i in np.unique(np.linspace(0, len(tokens) - 1, min(n, len(tokens))))]
-
-    chosen = spread_out(positive, half) + spread_out(negative, LANDMARKS - half)
-    # no other feature has a part in the kernel with a landmark
-    numbers = np.unique(np.concatenate([f for t in chosen for _, f, _ in sequences(
-        np.frombuffer(t, np.uint8), np.zeros(1, np.int64))]))
-    landmarks = features(chosen, numbers).astype(float)
-    values, vectors = np.linalg.eigh(landmarks @ landmarks.T)
+    """One weight per feature, of the machine trained on the tokens; a positive token
+    given several times weighs as often."""
+    support = Counter(positive)
+    tokens, n = [*support, *negative], len(support)
+    of, feature, value = features(tokens)
+    ends = np.searchsorted(of, np.arange(len(tokens) + 1))
+    length = np.sqrt(np.bincount(of, value ** 2, len(tokens)))
+
+    def dense(i: int) -> np.ndarray:
+        mine = slice(ends[i], ends[i + 1])
+        return np.bincount(feature[mine], value[mine], DIMS)
+
+    def kernel(i: int) -> np.ndarray:
+        """Of a token with all tokens."""
+        return np.bincount(of, value * dense(i)[feature], len(tokens))
+
+    chosen, columns = [], []
+    near = np.where(length[:n] > 0, 0.0, 1.0)  # cosine to the nearest landmark; some tokens are too short for a feature
+    while near.min() < COVERED:
+        i = int(near.argmin())
+        chosen.append(i), columns.append(kernel(i))
+        near = np.maximum(near, columns[-1][:n] / np.maximum(length[i] * length[:n], 1e-12))
+        near[i] = 1.0
+    spread_out = np.unique(np.linspace(n, len(tokens) - 1, min(CLEAN_LANDMARKS, len(negative))).astype(int))
+    chosen += spread_out.tolist()
+    columns += [kernel(i) for i in spread_out]
+    x = np.stack(columns, axis=1)
+    values, vectors = np.linalg.eigh(x[chosen])
     good = values > 1e-4 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # K(landmarks, landmarks)^-1/2, its null space cut
-    x = features(positive + negative, numbers) @ landmarks.T.astype(np.float32) @ root
-    y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
+    y = np.array([1.0] * n + [-1.0] * len(negative))
+    times = np.array([*support.values()] + [1] * len(negative), float)
+    share = root @ machine(x @ root, y, times)[:-1]
+    # no other feature has a part in the kernel with a landmark
     weights = np.zeros(DIMS)
-    weights[numbers] = landmarks.T @ (root @ machine(x, y)[:-1])
+    for i, s in zip(chosen, share):
+        mine = slice(ends[i], ends[i + 1])
+        weights[feature[mine]] += s * value[mine]
     return weights
 
 

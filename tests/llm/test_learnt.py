@@ -3,6 +3,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from fieldloom.llm import language, toxicity
 from fieldloom.llm.common import table
 from fieldloom.llm.registry import QUERIES
@@ -36,6 +38,55 @@ def test_toxicity_tolerates_insertions(spark, documents):
     assert toxicity.scored(documents(["idiot"], ids=[None]), model).first().held_out
 
 
+def test_toxicity_learns_rare_insults(spark, documents):
+    rnd = random.Random(5)
+
+    def word(alphabet):
+        return "".join(rnd.choice(alphabet) for _ in range(8))
+
+    insults = sorted({word("abcdefghijklmnopqrstuvwxyz") for _ in range(200)})
+    clean = sorted({word("abcdefghijklmnopqrstuvwxyz") for _ in range(150)} - set(insults))
+    times = [max(4, 400 // (k + 1)) for k in range(len(insults))]  # uneven: 400, 200, 133, ... 4
+
+    def text(*extra):
+        words = [rnd.choice(clean) for _ in range(12)] + list(extra)
+        rnd.shuffle(words)
+        return " ".join(words)
+
+    texts = [text(w) for w, n in zip(insults, times) for _ in range(n)]
+    toxic = len(texts)
+    texts += [text() for _ in range(toxic)]
+    labels = spark.createDataFrame([(i, 1, int(i < toxic)) for i in range(len(texts))],
+                                   "doc_id long, quality int, toxic int")
+    model = toxicity.fitted(documents(texts), labels)
+    probes = [text(w) for w in insults] + [text() for _ in insults]
+    got = {r.doc_id: r.predicted for r in toxicity.scored(documents(probes), model).collect()}
+    n = len(insults)
+    rare = [i for i in range(n) if times[i] < 10]
+    assert len(rare) > 100
+    assert sum(got[i] for i in rare) > 0.9 * len(rare)
+    assert sum(got[i] for i in range(n)) > 0.9 * n
+    assert sum(got[n + i] for i in range(n)) < 0.05 * n
+
+
+def test_landmarks_of_distinct_tokens():
+    rnd = random.Random(3)
+
+    def token():
+        return bytes([toxicity.EDGE, *(rnd.randint(1, 26) for _ in range(8)), toxicity.EDGE])
+
+    insults, clean = [token() for _ in range(200)], [token() for _ in range(300)]
+    seen = [t for k, t in enumerate(insults) for _ in range(max(1, 600 // (k + 1)))]
+    weights = toxicity.nystroem_machine(sorted(seen) + [v for t in insults for v in toxicity.disguised(t)], clean)
+
+    def margins(tokens):
+        return [sum(weights[f].sum() * worth for _, f, worth in toxicity.sequences(
+            np.frombuffer(t, np.uint8), np.zeros(1, np.int64))) for t in tokens]
+
+    top = sorted(margins(clean))[-5]
+    assert all(m > top for m in margins(insults))
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r.score for r in toxicity.toxicity(documents(["a b", None]), none).collect()] == [0.0, 0.0]
