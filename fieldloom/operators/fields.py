@@ -2,37 +2,131 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..shared import spread
 
+BLOCK = 1 << 20   # numbers held at a time
+ROUNDING = 1e-9   # of the polygon's size, well above what rounding costs
+
 
 def min_area(polygons: DataFrame, limit: float) -> DataFrame:
     """Whole polygons (before any inset) of at least ``limit``."""
     return polygons.withColumn("area_m2", G.area("poly")).filter(F.col("area_m2") >= limit)
 
 
-def inset_nonempty(polygons: DataFrame, inset: float, step: float) -> DataFrame:
-    """Polygons of which something is left after shrinking by ``inset``:
-    some lattice point of the box (spacing ``step``) lies deeper than that."""
+def _depth(qx: np.ndarray, qy: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Distance of points to the nearest edge, negative outside (even-odd rule)."""
+    out = np.empty(len(qx))
+    ax, ay, bx, by = e.T
+    dx, dy = bx - ax, by - ay
+    length = np.where((dx == 0) & (dy == 0), 1.0, dx * dx + dy * dy)
+    block = max(1, BLOCK // len(e))
+    for i in range(0, len(qx), block):
+        px, py = qx[i:i + block, None], qy[i:i + block, None]
+        t = np.clip(((px - ax) * dx + (py - ay) * dy) / length, 0, 1)
+        gap = np.hypot(px - (ax + t * dx), py - (ay + t * dy)).min(axis=1)
+        spans = (ay > py) != (by > py)
+        crossed = spans & (px < dx * (py - ay) / np.where(dy == 0, 1.0, dy) + ax)
+        out[i:i + block] = np.where(crossed.sum(axis=1) % 2 == 1, gap, -gap)
+    return out
+
+
+def _meetings(i: np.ndarray, j: np.ndarray, e: np.ndarray, d: float):
+    """Points at distance ``d`` from both edges of each pair (and some others): where
+    the lines moved sideways by ``d`` and the circles around the ends meet."""
+    def lines(k):
+        dx, dy = e[k, 2] - e[k, 0], e[k, 3] - e[k, 1]
+        length = np.hypot(dx, dy)
+        for sign in (d, -d):
+            nx, ny = -dy / length, dx / length
+            yield e[k, 0] + sign * nx, e[k, 1] + sign * ny, dx / length, dy / length
+
+    def circles(k):
+        return (e[k, 0], e[k, 1]), (e[k, 2], e[k, 3])
+
+    def line_circle(line, centre):
+        x, y, ux, uy = line
+        along = (centre[0] - x) * ux + (centre[1] - y) * uy
+        fx, fy = x + along * ux, y + along * uy
+        half = np.sqrt(np.maximum(0, d * d - (fx - centre[0]) ** 2 - (fy - centre[1]) ** 2))
+        yield fx + half * ux, fy + half * uy
+        yield fx - half * ux, fy - half * uy
+
+    for a in lines(i):
+        for b in lines(j):
+            turn = a[2] * b[3] - a[3] * b[2]
+            t = ((b[0] - a[0]) * b[3] - (b[1] - a[1]) * b[2]) / turn
+            yield a[0] + t * a[2], a[1] + t * a[3]
+        for c in circles(j):
+            yield from line_circle(a, c)
+    for b in lines(j):
+        for c in circles(i):
+            yield from line_circle(b, c)
+    for p in circles(i):
+        for q in circles(j):
+            gx, gy = q[0] - p[0], q[1] - p[1]
+            gap = np.hypot(gx, gy)
+            half = np.sqrt(np.maximum(0, d * d - gap * gap / 4)) / gap
+            for sign in (half, -half):
+                yield (p[0] + q[0]) / 2 - sign * gy, (p[1] + q[1]) / 2 + sign * gx
+
+
+def has_core(edges: np.ndarray, inset: float) -> bool:
+    """Does some inner point lie deeper than ``inset``?  The points at least ``d`` deep
+    are bounded by lines beside the edges and by arcs around their ends, arcs
+    bulging inwards; so their outermost points are where two of these meet, and it is
+    enough to look there, ``d`` being the inset and what rounding may cost."""
+    edges = edges[(edges[:, 0] != edges[:, 2]) | (edges[:, 1] != edges[:, 3])]
+    if not len(edges):
+        return False
+    e = edges - np.tile(edges[0, :2], 2)
+    slack = ROUNDING * max(inset, float(np.abs(e).max()))
+    d = inset + slack
+    low = np.minimum(e[:, :2], e[:, 2:])
+    high = np.maximum(e[:, :2], e[:, 2:])
+    block = max(1, BLOCK // 16 // len(e))
+    for at in range(0, len(e), block):
+        rows = slice(at, at + block)
+        apart = np.maximum(low[None] - high[rows, None], low[rows, None] - high[None]).max(axis=2)
+        i, j = np.nonzero((apart <= 2 * d + slack) & (np.arange(len(e))[None] > np.arange(len(e))[rows, None]))
+        with np.errstate(all="ignore"):
+            for qx, qy in _meetings(i + at, j, e, d):
+                real = np.isfinite(qx) & np.isfinite(qy)
+                if real.any() and (_depth(qx[real], qy[real], e) > inset + slack / 2).any():
+                    return True
+    return False
+
 
-    def axis(lo: Column, hi: Column) -> Column:
-        n = F.floor((hi - lo) / step).cast("int")
-        return F.transform(F.sequence(F.lit(0), n), lambda i: lo + i * F.lit(float(step)))
+@F.pandas_udf(T.BooleanType())
+def _has_core(edges: pd.Series, inset: pd.Series) -> pd.Series:
+    return pd.Series([None if e is None else has_core(
+        np.array([(s["ax"], s["ay"], s["bx"], s["by"]) for s in e], float).reshape(-1, 4), d)
+        for e, d in zip(edges, inset)], dtype="object")
 
-    def some(p: Column) -> Column:
-        b = p["b"]
-        return F.exists(axis(b["ymin"], b["ymax"]), lambda y: G.let(
-            G.scan_row(p["e"], y, inset, strict=True), lambda row: F.exists(
-                p["xs"], lambda x: G.on_row(row, x, strict=True))))
 
-    prepared = G.let(G.bbox("poly"), lambda b: F.struct(
-        b.alias("b"), G.all_edges("poly").alias("e"), axis(b["xmin"], b["xmax"]).alias("xs")))
-    # a generator, not a filter: a filter would move below the spreading
-    deep = F.explode(F.filter(F.array(prepared), some)).alias("__deep")
-    return spread(polygons).select("*", deep).drop("__deep")
+def inset_nonempty(polygons: DataFrame, inset: float, step: float | None = None) -> DataFrame:
+    """Polygons of which something is left after shrinking by ``inset``: some point
+    lies deeper than that.  Decided from the edges; ``step``, once the spacing of
+    points to try, has no part in it."""
+    d = F.lit(float(inset))
+    middle = G.let(F.struct(G.bbox("poly").alias("b"), G.all_edges("poly").alias("e")), lambda p: G.let(
+        F.struct(((p["b"]["xmin"] + p["b"]["xmax"]) / 2).alias("x"), ((p["b"]["ymin"] + p["b"]["ymax"]) / 2).alias("y")),
+        lambda m: F.struct(
+            # a box no wider than twice the inset holds no circle of that radius
+            (F.least(p["b"]["xmax"] - p["b"]["xmin"], p["b"]["ymax"] - p["b"]["ymin"]) <= 2 * d).alias("narrow"),
+            (G.edges_contain(p["e"], m["x"], m["y"]) & (G.edges_distance(p["e"], m["x"], m["y"]) > d)).alias("deep"),
+            p["e"].alias("e"))))
+    tried = spread(polygons).withColumn("__m", middle)
+    open_ = F.when(~F.col("__m.narrow") & ~F.col("__m.deep"), F.col("__m.e"))
+    # called nondeterministic, or the filter would move below the spreading
+    judged = tried.withColumn("__core", _has_core.asNondeterministic()(open_, d))
+    return judged.filter(F.coalesce("__core", F.col("__m.deep") & ~F.col("__m.narrow"))).drop("__m", "__core")
 
 
 def ordinal_class(df: DataFrame, label: str, classes: dict[str, int],

@@ -9,6 +9,7 @@ from ..contracts import DEFAULTS, Thresholds
 from ..functions import geometry as G
 from ..functions import projection as P
 from ..functions import raster as R
+from ..operators import fields as prepare
 from ..operators import grid, publish, quality, scenes, spatial, study, zonal
 from ..shared import materialize, sized_join
 from ..sources import tables
@@ -18,14 +19,16 @@ def fields_stage(polygons: DataFrame, key: str, t: Thresholds = DEFAULTS,
                  regions: DataFrame | None = None, cell: float = 10_000.0,
                  keep: list[str] | None = None) -> DataFrame:
     """Equal-area polygons -> fields: area filter on the whole polygon,
-    optional region filter by centroid, UTM zone, degrees polygon.  The
-    original ring is kept: the inset is applied at the pixels."""
+    optional region filter by centroid, polygons that the inset leaves empty
+    dropped, UTM zone, degrees polygon.  The original ring is kept: the inset is
+    applied at the pixels."""
     big = (polygons.withColumn("area_m2", G.area("poly"))
            .filter(F.col("area_m2") >= t.min_area_m2))
     if regions is not None:
         c = G.centroid("poly")
         spots = big.withColumn("x", c["x"]).withColumn("y", c["y"])
         big = spatial.inside(spots, regions, key, cell).drop("x", "y")
+    big = prepare.inset_nonempty(big, t.inset_m)
     degrees = big.withColumn("poly_deg", G.map_points("poly", P.conus_to_degrees))
     return degrees.select(
         F.col(key).alias("field_id"), *(keep or []), "area_m2",

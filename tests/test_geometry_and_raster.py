@@ -119,6 +119,49 @@ def test_inset_nonempty_drops_slivers(spark):
     assert [k.id for k in kept] == [2]
 
 
+def test_inset_nonempty_off_grid(spark):
+    """Cores thinner than any lattice: rectangles by their sides (quarter units, turned
+    ones too), triangles by the radius of the circle inside, holes."""
+    rnd = random.Random(11)
+
+    def box(x, y, w, h, angle=0.0):
+        c, s = math.cos(angle), math.sin(angle)
+        return [(x + u * c - v * s, y + u * s + v * c) for u, v in ((0, 0), (w, 0), (w, h), (0, h), (0, 0))]
+
+    shapes, want = [[box(0, 0, 6.4, 6.4)]], [True]  # a core 0.4 wide
+    for _ in range(60):
+        w, h = rnd.randint(20, 30) / 4, rnd.randint(20, 30) / 4
+        x, y = rnd.randint(0, 4000) / 4, rnd.randint(0, 4000) / 4
+        shapes.append([box(x, y, w, h)]), want.append(min(w, h) > 6)
+        off = 6 + rnd.choice([-1, 1]) * 10.0 ** -rnd.randint(1, 5)
+        shapes.append([box(x, y, off, 40, rnd.uniform(0, 6))]), want.append(off > 6)
+        a, b, c = [(x + rnd.uniform(0, 25), y + rnd.uniform(0, 25)) for _ in range(3)]
+        sides = math.dist(a, b), math.dist(b, c), math.dist(c, a)
+        twice = abs((b[0] - a[0]) * (c[1] - a[1]) - (c[0] - a[0]) * (b[1] - a[1]))
+        shapes.append([[a, b, c, a]]), want.append(twice / sum(sides) > 3)
+    for w in (6.0, 6.01):  # what is left beside and around a hole, whose middle is not inside
+        shapes.append([box(0.25, 0.25, 2 * w + 4, 2 * w + 4), box(w + 0.25, w + 0.25, 4, 4)])
+        want.append(True)  # the corners hold more than the sides
+        shapes.append([box(0.25, 0.25, w + 4, 5), box(50.1, 0, w, w)]), want.append(w > 6)
+    kept = {k.id for k in fields.inset_nonempty(poly_df(spark, shapes), 3).collect()}
+    assert [i in kept for i in range(len(shapes))] == want
+
+
+def test_core_of_random_polygons():
+    """Against a fine lattice: what it finds is found, and nothing without a deep point."""
+    rnd = random.Random(12)
+    for _ in range(60):
+        n = rnd.randint(3, 14)
+        ring = [(10 + r * math.cos(2 * math.pi * k / n), 10 + r * math.sin(2 * math.pi * k / n))
+                for k in range(n) for r in [rnd.uniform(1, 10)]]
+        edges = np.array([(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1])])
+        at = np.arange(0, 20, 0.05) + 0.013
+        x, y = (v.ravel() for v in np.meshgrid(at, at))
+        deepest = fields._depth(x, y, edges).max()  # at most 0.036 below the true one
+        assert fields.has_core(edges, deepest - 1e-6)
+        assert not fields.has_core(edges, deepest + 0.036)
+
+
 def test_wkb_round_trip_with_hole(spark):
     df = poly_df(spark, [[SHELL, HOLE], [SHELL]])
     df = df.unionByName(df.select((F.col("id") + 5).alias("id"), F.lit(None).cast(POLYGON).alias("poly")))

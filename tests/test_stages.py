@@ -26,6 +26,13 @@ def failing(df, text):
         df.collect()
 
 
+def test_fields_stage_drops_empty_insets(spark):
+    sides = [(5_000.0, 29.5), (5_000.0, 30.0), (5_000.0, 30.25), (400.25, 400.25)]
+    df = spark.createDataFrame([(i, w, h) for i, (w, h) in enumerate(sides)], "field_id long, w double, h double")
+    metres = df.withColumn("poly", G.rectangle(F.lit(0.25), F.lit(2_100_000.25), F.col("w") + 0.25, F.col("h") + 2_100_000.25))
+    assert {r.field_id for r in stages.fields_stage(metres, "field_id").collect()} == {2, 3}
+
+
 def test_fields_to_observations_end_to_end(spark, sf):
     """Stage 01 -> 03 with real projections: fields in equal-area metres, a
     tile grid in UTM metres around them."""
