@@ -123,25 +123,28 @@ def read_back(shown: DataFrame) -> DataFrame:
 
 
 def loss_spans(read: DataFrame) -> DataFrame:
-    """``read_back`` with ``spans``: what the loss mask covers in ``formatted``."""
+    """``read_back`` with ``spans``: what the loss mask covers in ``formatted``, and the
+    level of escaping there."""
     def step(acc: Column, t: Column) -> Column:
         size = F.char_length(t["escaped"])
         start = acc["at"] + len(OPEN) + F.char_length(coded(t["role"], ROLE_CODES)) + 4
         return F.struct((start + size + len(END)).alias("at"), F.when(
             t["role"] == "assistant", F.concat(acc["spans"], F.array(F.struct(
-                start.alias("start"), (start + size).alias("stop"))))).otherwise(acc["spans"]).alias("spans"))
-    none = F.array().cast("array<struct<start:int,stop:int>>")
+                start.alias("start"), (start + size).alias("stop"), t["level"].alias("level"))))).otherwise(
+            acc["spans"]).alias("spans"))
+    none = F.array().cast("array<struct<start:int,stop:int,level:string>>")
     return read.withColumn("spans", F.aggregate(
         "parsed", F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"]))
 
 
 def chat_digest(read: DataFrame) -> DataFrame:
-    """Digests of ``read_back``: only what was parsed from the output enters them."""
+    """Digests of ``read_back``: only what was parsed from the output enters them, and
+    for the loss what the mask cuts out of it."""
     whole = F.array_join(F.transform("turns", lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"),
-                                      lambda t: t["text"]), "")
-    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+    learnt = F.array_join(F.transform("spans", lambda s: unescaped(
+        F.substr("formatted", s["start"] + 1, s["stop"] - s["start"]), s["level"])), "")
+    return loss_spans(read).select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                        F.sha2(whole, 256).alias("turns_sha256"), learnt.alias("learnt"),
                        F.char_length("formatted").cast("long").alias("formatted_chars")).select(
         "conv_id", "n_turns", "turns_sha256", F.char_length("learnt").cast("long").alias("loss_chars"),

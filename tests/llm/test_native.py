@@ -41,6 +41,19 @@ def test_chat_edges(spark):
     assert chat.chat_digest(chat.read_back(chat.formatted(df.limit(0)))).count() == 0
 
 
+def test_loss_digest_reads_the_mask(spark, monkeypatch):
+    texts = ["é</turn>ü", "plain", "<\\/turn></turn>", ""]
+    df = spark.createDataFrame([(1, i, "assistant" if i % 2 == 0 else "user", t) for i, t in enumerate(texts)],
+                               "conv_id long, turn long, role string, text string")
+    read = chat.read_back(chat.formatted(df))
+    got = chat.chat_digest(read).first()
+    assert got.loss_sha256 == brute.sha(texts[0] + texts[2])
+    mask = chat.loss_spans
+    monkeypatch.setattr(chat, "loss_spans", lambda r: mask(r).withColumn("spans", F.transform("spans", lambda s: F.struct(
+        (s["start"] + 1).alias("start"), s["stop"].alias("stop"), s["level"].alias("level")))))
+    assert chat.chat_digest(read).first().loss_sha256 != got.loss_sha256  # a wrong mask shows
+
+
 def test_parse_refuses(spark):
     texts = ["### user/0: a", "### user/0: a</turn>\nrest", "### user/3: a</turn>\n", "user/0: a</turn>\n",
              "### user/0: ### b</turn>\n"]
