@@ -54,3 +54,58 @@ coded AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(0,
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM coded)"""
+
+# crc32 as a rule: the table of the reflected polynomial, then one step a byte
+CRC_TABLE = """crc AS (SELECT list(list_reduce(range(8), lambda a, b: xor(a >> 1, (a & 1) * 3988292384), i) ORDER BY i) AS t
+  FROM range(256) r(i))"""
+
+
+def crc32(text: str, table: str = "(SELECT t FROM crc)") -> str:
+    octets = (f"list_transform(range(octet_length(encode({text}))), lambda i: "
+              f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))")
+    return (f"xor(list_reduce({octets}, lambda a, b: xor(a >> 8, {table}[xor(a & 255, b) + 1]), "
+            "4294967295::BIGINT), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value}, '-')"
+
+
+def _row(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+CHANGED = f"CASE WHEN {crc32('CAST(doc_id AS VARCHAR)', 't')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+def _grown(name: str, base: str) -> str:
+    """Levels of trees: tree, lvl, pos, h."""
+    return f"""{name} AS ({base} UNION ALL SELECT tree, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}) WHERE n > 1 GROUP BY tree, lvl, pos // 3)"""
+
+
+def _climbed(name: str, base: str, nodes: str) -> str:
+    """Rows that climb a tree: rowno, tree, lvl, pos, h (recomputed), proof."""
+    return f"""{name} AS ({base} UNION ALL SELECT c.rowno, c.tree, c.lvl + 1, c.pos // 3,
+  sha256(string_agg(CASE WHEN n.pos = c.pos THEN c.h ELSE n.h END, '' ORDER BY n.pos)),
+  c.proof || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> c.pos), '')
+  FROM {name} c JOIN {nodes} n ON n.tree = c.tree AND n.lvl = c.lvl AND n.pos // 3 = c.pos // 3
+  JOIN (SELECT tree, max(lvl) AS top FROM {nodes} GROUP BY tree) m ON m.tree = c.tree AND c.lvl < m.top
+  GROUP BY c.rowno, c.tree, c.lvl, c.pos, c.h, c.proof)"""
+
+
+MERKLE = f"""WITH RECURSIVE {CRC_TABLE},
+given AS (SELECT doc_id, source, {_row("text")} AS leaf, {_row("changed")} AS changed
+  FROM (SELECT *, {CHANGED} AS changed FROM documents, crc)),
+rows AS (SELECT *, coalesce('=' || source, '') AS tree, row_number() OVER () AS rowno,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM given),
+{_grown("nodes", "SELECT tree, 0 AS lvl, pos, leaf AS h FROM rows")},
+subroots AS (SELECT tree, arg_max(h, lvl) AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes GROUP BY tree),
+{_grown("outer_nodes", "SELECT '' AS tree, 0 AS lvl, pos, subroot AS h FROM subroots")},
+roots AS (SELECT arg_max(h, lvl) AS root FROM outer_nodes),
+{_climbed("inside", "SELECT rowno, tree, 0 AS lvl, pos, changed AS h, '' AS proof FROM rows", "nodes")},
+at_top AS (SELECT rowno, arg_max(h, lvl) AS h, arg_max(proof, lvl) AS proof, any_value(tree) AS tree FROM inside GROUP BY rowno),
+{_climbed("outside", "SELECT rowno, '' AS tree, 0 AS lvl, s.pos, h, proof FROM at_top JOIN subroots s USING (tree)", "outer_nodes")},
+ended AS (SELECT rowno, arg_max(h, lvl) AS folded_root, arg_max(proof, lvl) AS proof FROM outside GROUP BY rowno)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM rows JOIN subroots USING (tree) JOIN ended USING (rowno), roots"""

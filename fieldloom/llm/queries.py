@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, language, mixing, oracles, personal, quality_rules, secrets, simhash, tiling, toxicity,
+from . import (chat, language, merkle, mixing, oracles, personal, quality_rules, secrets, simhash, tiling, toxicity,
                warc_zip)
 from .common import table
 
@@ -80,3 +80,8 @@ def warc_packages(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_language")
 def language_of_documents(spark: SparkSession, sf: str) -> DataFrame:
     return language.languages(table(spark, sf, "documents"))
+
+
+@query("op13_merkle_manifest", oracles.MERKLE)
+def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.proof_digest(merkle.audit(table(spark, sf, "documents")))
