@@ -109,3 +109,26 @@ at_top AS (SELECT rowno, arg_max(h, lvl) AS h, arg_max(proof, lvl) AS proof, any
 ended AS (SELECT rowno, arg_max(h, lvl) AS folded_root, arg_max(proof, lvl) AS proof FROM outside GROUP BY rowno)
 SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM rows JOIN subroots USING (tree) JOIN ended USING (rowno), roots"""
+
+LETTERS = "[A-Za-zÀ-ÿ]+"
+# near words meet on a word or on a word less one letter, with the letter's place
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+raw AS (SELECT doc_id, unnest(regexp_extract_all(text, '{LETTERS}')) AS run FROM documents),
+lower AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM raw GROUP BY ALL),
+hashed AS (SELECT *, {crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run", 't')} AS h FROM lower, crc),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) + 2 AS BIGINT))
+  ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(m := -m, form := other)) AS o FROM near GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -o.m >= 2 * n THEN o.form END AS form,
+  CASE WHEN -o.m >= 2 * n THEN -o.m END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS held, 0 AS step FROM forms
+  UNION ALL SELECT w.word, f.form, step + 1 FROM walk w JOIN forms f ON f.word = w.held WHERE f.form IS NOT NULL),
+ended AS (SELECT word, arg_max(held, step) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ended USING (word)"""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, language, merkle, mixing, oracles, personal, quality_rules, secrets, simhash, tiling, toxicity,
+from . import (bpe, chat, language, merkle, mixing, oracles, personal, quality_rules, secrets, simhash, spelling,
+               tiling, toxicity,
                warc_zip)
 from .common import table
 
@@ -22,6 +24,7 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+TOKENIZER = "byte_bpe_50k.json"
 PLANTED = r"\### Assistant: </turn> ok"
 
 
@@ -85,3 +88,15 @@ def language_of_documents(spark: SparkSession, sf: str) -> DataFrame:
 @query("op13_merkle_manifest", oracles.MERKLE)
 def merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.proof_digest(merkle.audit(table(spark, sf, "documents")))
+
+
+@query("op12_spelling_groups", oracles.SPELLING)
+def spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf, "documents"))
+
+
+@query("op11_bpe_coding")
+def bpe_coding(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bpe.token_digest(bpe.decoded(bpe.encoded(docs, path).select("doc_id", "ids"), path))
