@@ -1,4 +1,4 @@
-"""Spatial joins as integer grid equi-joins with an exact recheck."""
+"""Spatial joins as integer equi-joins on the cells of adaptive covers, with an exact recheck."""
 
 from __future__ import annotations
 
@@ -8,44 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import geometry as G
-from ..shared import sized_join
+from . import cover
+from .cover import FAN, flat_edges
+from .sweep import Outline, shared_area
+
+CELL = ["__level", "__cx", "__cy"]
+INNER = [*CELL, "__base", "__jumps", "__edges"]
 
 
 def cell_range(lo: Column, hi: Column, cell: float) -> Column:
     return F.sequence(F.floor(lo / cell).cast("bigint"), F.floor(hi / cell).cast("bigint"))
 
 
-def polygon_cells(polygons: DataFrame, cell: float, poly: str = "poly") -> DataFrame:
-    """One row per (polygon, grid cell of its box).  A cell row keeps only the
-    edges that can matter to a point of the cell under the even-odd rule:
-    those that reach the cell's rows and do not lie wholly to its left."""
-    attrs = [c for c in polygons.columns if c != poly]
-    boxed = polygons.select(*attrs, G.all_edges(poly).alias("__edges"), G.bbox(poly).alias("b"))
-    cells = (boxed.withColumn("__cx", F.explode(cell_range(F.col("b.xmin"), F.col("b.xmax"), cell)))
-             .withColumn("__cy", F.explode(cell_range(F.col("b.ymin"), F.col("b.ymax"), cell))))
-    left, low, high = F.col("__cx") * cell, F.col("__cy") * cell, (F.col("__cy") + 1) * cell
-    near = F.filter("__edges", lambda e: (F.greatest(e["ay"], e["by"]) > low)
-                    & (F.least(e["ay"], e["by"]) <= high) & (F.greatest(e["ax"], e["bx"]) >= left))
-    return cells.select(*attrs, "__cx", "__cy", F.col("b").alias("__b"), near.alias("__edges"))
-
-
-def _spots(points: DataFrame, cell: float) -> DataFrame:
-    return (points.withColumn("__cx", F.floor(F.col("x") / cell).cast("bigint"))
-            .withColumn("__cy", F.floor(F.col("y") / cell).cast("bigint")))
-
-
-def _hit() -> Column:
-    x, y, b = F.col("x"), F.col("y"), F.col("__b")
-    # the box test is cheap and comes first
-    in_box = (x >= b["xmin"]) & (x <= b["xmax"]) & (y >= b["ymin"]) & (y <= b["ymax"])
-    return in_box & G.edges_contain(F.col("__edges"), x, y)
+def _met(points: DataFrame, polygons: DataFrame, cell: float, poly: str, how: str) -> DataFrame:
+    """``points`` (x, y) joined with the polygons' cover rows of their cells."""
+    cells = cover.covered(polygons, cell, poly)
+    sizes = cover.level_sizes(cells)
+    return cover.spots(points, cell, sorted(sizes)).join(cover.hinted(cells, sizes), CELL, how)
 
 
 def locate(points: DataFrame, polygons: DataFrame, cell: float, poly: str = "poly") -> DataFrame:
     """Pairs (point row, polygon attributes) where the polygon contains (x, y)."""
-    pairs = sized_join(_spots(points, cell), polygon_cells(polygons, cell, poly), ["__cx", "__cy"])
-    return pairs.filter(_hit()).drop("__cx", "__cy", "__b", "__edges")
+    return _met(points, polygons, cell, poly, "inner").filter(cover.holds(F.col("x"), F.col("y"))).drop(*INNER)
 
 
 def zone_class(points: DataFrame, zones: DataFrame, key: str, cell: float,
@@ -53,11 +37,10 @@ def zone_class(points: DataFrame, zones: DataFrame, key: str, cell: float,
     """(key, highest zone value that contains the point, 0 outside all).
 
     The outer join keeps the points outside, so that the maximum per key is
-    the only shuffle when the zone cells fit a broadcast."""
-    pairs = sized_join(_spots(points.select(key, "x", "y"), cell),
-                       polygon_cells(zones.select(value, "poly"), cell), ["__cx", "__cy"], "left")
-    return pairs.groupBy(key).agg(
-        F.coalesce(F.max(F.when(_hit(), F.col(value))), F.lit(0)).alias(out))
+    the only shuffle when the zones' cover fits a broadcast."""
+    pairs = _met(points.select(key, "x", "y"), zones.select(value, "poly"), cell, "poly", "left")
+    hit = cover.holds(F.col("x"), F.col("y"))
+    return pairs.groupBy(key).agg(F.coalesce(F.max(F.when(hit, F.col(value))), F.lit(0)).alias(out))
 
 
 def inside(points: DataFrame, regions: DataFrame, key: str, cell: float) -> DataFrame:
@@ -66,75 +49,49 @@ def inside(points: DataFrame, regions: DataFrame, key: str, cell: float) -> Data
     return points.join(hits, key, "left_semi")
 
 
-def _flat(edges: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of all rows (ax, ay, bx, by) and where each row's begin."""
-    flat = edges.flatten()
-    columns = [flat.field(c).to_numpy(zero_copy_only=False) for c in ("ax", "ay", "bx", "by")]
-    return np.column_stack(columns), np.concatenate([[0], np.cumsum(edges.value_lengths().to_numpy())])
-
-
-def _crossings(e: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """x of every edge at every height, +inf where the edge does not reach it."""
-    ax, ay, bx, by = (e[:, k][None, :] for k in range(4))
-    hit = (ay > y[:, None]) != (by > y[:, None])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = ax + (bx - ax) * (y[:, None] - ay) / (by - ay)
-    return np.sort(np.where(hit, x, np.inf), axis=1)
-
-
-def _shared(a: np.ndarray, b: np.ndarray, left: float, low: float, cell: float) -> float:
-    """Area two polygons share inside a cell, from their edges that matter there.
-
-    Between two heights at which an edge ends, two edges cross or one crosses a side
-    of the cell, the shared width changes linearly: the middle height is exact."""
-    right, high = left + cell, low + cell
-    e = np.vstack([a, b])
-    heights = [np.array([low, high]), e[:, 1], e[:, 3]]
-    slope = e[:, 2:] - e[:, :2]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        for side in (left, right):
-            heights.append(e[:, 1] + slope[:, 1] * (side - e[:, 0]) / slope[:, 0])
-        # where edge i meets the line of edge j; meetings outside the edges do no harm
-        cross = slope[:, 0][:, None] * slope[:, 1][None, :] - slope[:, 1][:, None] * slope[:, 0][None, :]
-        t = ((e[:, 0][None, :] - e[:, 0][:, None]) * slope[:, 1][None, :]
-             - (e[:, 1][None, :] - e[:, 1][:, None]) * slope[:, 0][None, :]) / cross
-        heights.append(np.where((t >= 0) & (t <= 1), e[:, 1][:, None] + t * slope[:, 1][:, None], low).ravel())
-    ys = np.concatenate(heights)
-    ys = np.unique(ys[(ys >= low) & (ys <= high)])
-    middle, thick = (ys[1:] + ys[:-1]) / 2, np.diff(ys)
-    xa, xb = _crossings(a, middle), _crossings(b, middle)
-    cuts = np.sort(np.clip(np.concatenate(
-        [xa, xb, np.full((len(middle), 1), left), np.full((len(middle), 1), right)], axis=1), left, right), axis=1)
-    centre, width = (cuts[:, 1:] + cuts[:, :-1]) / 2, np.diff(cuts, axis=1)
-
-    def inside(xs: np.ndarray) -> np.ndarray:  # an odd number of edges to the right
-        return ((xs[:, None, :] > centre[:, :, None]) & np.isfinite(xs)[:, None, :]).sum(axis=2) % 2 == 1
-
-    return float((thick * (width * (inside(xa) & inside(xb))).sum(axis=1)).sum())
-
-
 def _shared_areas(cell: float):
     @F.arrow_udf(T.DoubleType())
-    def areas(a: pa.Array, b: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
-        (ea, at), (eb, bt) = _flat(a), _flat(b)
-        xs, ys = cx.to_numpy(zero_copy_only=False), cy.to_numpy(zero_copy_only=False)
-        return pa.array([_shared(ea[at[i]:at[i + 1]], eb[bt[i]:bt[i + 1]], xs[i] * cell, ys[i] * cell, cell)
-                         for i in range(len(xs))], pa.float64())
+    def areas(a: pa.Array, ja: pa.Array, ba: pa.Array, b: pa.Array, jb: pa.Array, bb: pa.Array,
+              level: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
+        sides = []
+        for edges, jumps, base in ((a, ja, ba), (b, jb, bb)):
+            flat, at = flat_edges(edges)
+            heights, to = jumps.flatten().to_numpy(zero_copy_only=False), np.concatenate(
+                [[0], np.cumsum(jumps.value_lengths().to_numpy())])
+            sides.append([Outline(flat[at[i]:at[i + 1]], heights[to[i]:to[i + 1]], odd)
+                          for i, odd in enumerate(base.to_pylist())])
+        out = []
+        for one, two, k, x, y in zip(*sides, level.to_pylist(), cx.to_pylist(), cy.to_pylist()):
+            size = cell * float(FAN) ** k
+            if any(map(len, (one.edges, two.edges, one.jumps, two.jumps))):
+                out.append(shared_area(one, two, x * size, y * size, (x + 1) * size, (y + 1) * size))
+            else:  # the cell lies wholly inside both
+                out.append(size * size)
+        return pa.array(out, pa.float64())
     return areas
 
 
 def overlap_area(regions: DataFrame, zones: DataFrame, key: str, cell: float,
                  by: str | None = None) -> DataFrame:
     """(key, area), or (key, ``by``, area) per zone class, of the exact overlap of
-    every region with every zone.  Regions and zones meet cell by cell of a grid, each
-    with the edges that matter in the cell, so a task never compares whole outlines."""
+    every region with every zone.  Of two cells one holds the other: covers meet at every
+    level of either, and the shared area is taken inside the smaller cell."""
     attrs = [by] if by else []
-    one = polygon_cells(regions.select(key, "poly"), cell).withColumnsRenamed({"__edges": "__ea", "__b": "__ba"})
-    two = polygon_cells(zones.select(*attrs, "poly"), cell).withColumnsRenamed({"__edges": "__eb", "__b": "__bb"})
-    meet = ((F.col("__ba.xmin") < F.col("__bb.xmax")) & (F.col("__bb.xmin") < F.col("__ba.xmax"))
-            & (F.col("__ba.ymin") < F.col("__bb.ymax")) & (F.col("__bb.ymin") < F.col("__ba.ymax")))
-    pairs = one.join(two, ["__cx", "__cy"]).filter(
-        meet & (F.size("__ea") > 0) & (F.size("__eb") > 0))
-    shared = _shared_areas(cell).asNondeterministic()("__ea", "__eb", "__cx", "__cy")
+    one = cover.covered(regions.select(key, "poly"), cell)
+    two = cover.covered(zones.select(*attrs, "poly"), cell)
+    size_one, size_two = cover.level_sizes(one), cover.level_sizes(two)
+    one = one.withColumnsRenamed({c: f"{c}1" for c in INNER})
+    two = two.withColumnsRenamed({c: f"{c}2" for c in INNER})
+
+    def meeting(small: DataFrame, s: str, large: DataFrame, b: str, levels: dict, sizes: dict, equal: bool) -> DataFrame:
+        inner = cover.enclosing(small.withColumnsRenamed({f"{c}{s}": c for c in CELL}), sorted(levels), equal)
+        on = [F.col(i) == F.col(f"{c}{b}") for i, c in zip(("__in", "__ix", "__iy"), CELL)]
+        return inner.join(cover.hinted(large, sizes), on).select(
+            key, *attrs, *CELL, *[f"{c}{x}" for x in "12" for c in ("__edges", "__jumps", "__base")])
+
+    pairs = meeting(one, "1", two, "2", size_two, size_two, True).unionByName(
+        meeting(two, "2", one, "1", size_one, size_one, False))
+    shared = _shared_areas(cell).asNondeterministic()(
+        "__edges1", "__jumps1", "__base1", "__edges2", "__jumps2", "__base2", *CELL)
     return (pairs.select(key, *attrs, shared.alias("part")).groupBy(key, *attrs)
             .agg(F.sum("part").alias("area")).filter("area > 0"))
