@@ -19,7 +19,7 @@ def _(spark, sf):
 
 @query("f2_inset_nonempty", "fl", "SELECT field_id, w, h FROM fl WHERE least(w, h) > 6")
 def _(spark, sf):
-    return fields.inset_nonempty(fx.fields(spark, sf), 3, 0.5).select("field_id", "w", "h")
+    return fields.inset_nonempty(fx.fields(spark, sf), 3).select("field_id", "w", "h")
 
 
 @query("f3_scene_gate", "sg", "SELECT scene_id, cloud_cover, nodata_pct, usable FROM sg")

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..shared import spread
+from .cover import flat_edges
 
 BLOCK = 1 << 20   # numbers held at a time
+PAIRS = 1 << 17   # boxes times edges looked at in one step
+FEW = 12          # edges of a box that is decided exactly
+FAN = 4           # parts of a box
 ROUNDING = 1e-9   # of the polygon's size, well above what rounding costs
 
 
@@ -20,20 +27,23 @@ def min_area(polygons: DataFrame, limit: float) -> DataFrame:
     return polygons.withColumn("area_m2", G.area("poly")).filter(F.col("area_m2") >= limit)
 
 
-def _depth(qx: np.ndarray, qy: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Distance of points to the nearest edge, negative outside (even-odd rule)."""
-    out = np.empty(len(qx))
+def _gaps(px: np.ndarray, py: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Distance of each point to the edge beside it."""
     ax, ay, bx, by = e.T
     dx, dy = bx - ax, by - ay
-    length = np.where((dx == 0) & (dy == 0), 1.0, dx * dx + dy * dy)
+    t = np.clip(((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy), 0, 1)
+    return np.hypot(px - (ax + t * dx), py - (ay + t * dy))
+
+
+def _inside(px: np.ndarray, py: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Even-odd rule for a few points."""
+    ax, ay, bx, by = e.T
+    out = np.zeros(len(px), bool)
     block = max(1, BLOCK // len(e))
-    for i in range(0, len(qx), block):
-        px, py = qx[i:i + block, None], qy[i:i + block, None]
-        t = np.clip(((px - ax) * dx + (py - ay) * dy) / length, 0, 1)
-        gap = np.hypot(px - (ax + t * dx), py - (ay + t * dy)).min(axis=1)
-        spans = (ay > py) != (by > py)
-        crossed = spans & (px < dx * (py - ay) / np.where(dy == 0, 1.0, dy) + ax)
-        out[i:i + block] = np.where(crossed.sum(axis=1) % 2 == 1, gap, -gap)
+    for i in range(0, len(px), block):
+        x, y = px[i:i + block, None], py[i:i + block, None]
+        crossed = ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / np.where(ay == by, 1.0, by - ay) + ax)
+        out[i:i + block] = crossed.sum(axis=1) % 2 == 1
     return out
 
 
@@ -77,43 +87,103 @@ def _meetings(i: np.ndarray, j: np.ndarray, e: np.ndarray, d: float):
                 yield (p[0] + q[0]) / 2 - sign * gy, (p[1] + q[1]) / 2 + sign * gx
 
 
+def _corner_found(boxes: list[tuple], e: np.ndarray, d: float, least: float, slack: float) -> bool:
+    """Is there an inner point deeper than ``least`` among the corners of the deep region
+    that lie in one of ``boxes``, each with the few edges that can be nearest there?"""
+    first, second, box = [], [], []
+    for b, (_, _, _, near) in enumerate(boxes):
+        i, j = np.triu_indices(len(near), 1)
+        first.append(near[i])
+        second.append(near[j])
+        box.append(np.full(len(i), b))
+    i, j, box = (np.concatenate(x) for x in (first, second, box))
+    x, y, half = (np.array([b[k] for b in boxes]) for k in (0, 1, 2))
+    sizes = np.array([len(b[3]) for b in boxes])
+    starts, flat = np.concatenate(([0], np.cumsum(sizes))), np.concatenate([b[3] for b in boxes])
+    with np.errstate(all="ignore"):
+        for qx, qy in _meetings(i, j, e, d):
+            here = np.flatnonzero((np.abs(qx - x[box]) <= half[box] + slack) & (np.abs(qy - y[box]) <= half[box] + slack))
+            if not len(here):
+                continue
+            n = sizes[box[here]]
+            at = np.concatenate(([0], np.cumsum(n)))
+            edge = flat[np.repeat(starts[box[here]] - at[:-1], n) + np.arange(at[-1])]
+            gap = np.minimum.reduceat(_gaps(np.repeat(qx[here], n), np.repeat(qy[here], n), e[edge]), at[:-1])
+            deep = here[gap > least]
+            if len(deep) and _inside(qx[deep], qy[deep], e).any():
+                return True
+    return False
+
+
 def has_core(edges: np.ndarray, inset: float) -> bool:
-    """Does some inner point lie deeper than ``inset``?  The points at least ``d`` deep
-    are bounded by lines beside the edges and by arcs around their ends, arcs
-    bulging inwards; so their outermost points are where two of these meet, and it is
-    enough to look there, ``d`` being the inset and what rounding may cost."""
+    """Does some inner point lie deeper than ``inset``?
+
+    Boxes are split best first: none of a box's points lies deeper than its middle's
+    distance from the edges and half its diagonal, and only edges within twice that
+    half diagonal of the nearest can be nearest in it, so a box passes few edges on.  A box whose
+    middle is deep enough decides; one that can't be is dropped.  Where few edges are
+    left the answer is exact: the points at least ``d`` deep are bounded by lines beside
+    the edges and by arcs around their ends, arcs bulging inwards; so the outermost of
+    them are where two of these meet, and it is enough to look there, ``d`` being the
+    inset and what rounding may cost."""
     edges = edges[(edges[:, 0] != edges[:, 2]) | (edges[:, 1] != edges[:, 3])]
     if not len(edges):
         return False
     e = edges - np.tile(edges[0, :2], 2)
     slack = ROUNDING * max(inset, float(np.abs(e).max()))
-    d = inset + slack
-    low = np.minimum(e[:, :2], e[:, 2:])
-    high = np.maximum(e[:, :2], e[:, 2:])
-    block = max(1, BLOCK // 16 // len(e))
-    for at in range(0, len(e), block):
-        rows = slice(at, at + block)
-        apart = np.maximum(low[None] - high[rows, None], low[rows, None] - high[None]).max(axis=2)
-        i, j = np.nonzero((apart <= 2 * d + slack) & (np.arange(len(e))[None] > np.arange(len(e))[rows, None]))
-        with np.errstate(all="ignore"):
-            for qx, qy in _meetings(i + at, j, e, d):
-                real = np.isfinite(qx) & np.isfinite(qy)
-                if real.any() and (_depth(qx[real], qy[real], e) > inset + slack / 2).any():
-                    return True
+    d, least = inset + slack, inset + slack / 2
+    low, high = e.reshape(-1, 2).min(axis=0), e.reshape(-1, 2).max(axis=0)
+    (x, y), half = (low + high) / 2, float((high - low).max()) / 2 + slack
+    # (bound, turn): box, as a heap
+    waiting, turn = [(0.0, 0, (x, y, half, np.arange(len(e))))], 0
+    while waiting:
+        taken, few, pairs = [], [], 0
+        while waiting and pairs < PAIRS:
+            box = heapq.heappop(waiting)[2]
+            if len(box[3]) <= FEW:
+                few.append(box)
+                pairs += len(box[3]) ** 2
+            else:
+                taken.append(box)
+                pairs += FAN * len(box[3])
+        if few and _corner_found(few, e, d, least, slack):
+            return True
+        if not taken:
+            continue
+        x, y, half = (np.repeat([b[k] for b in taken], FAN) for k in (0, 1, 2))
+        half = half / 2
+        x += half * np.tile([-1, 1, -1, 1], len(taken))
+        y += half * np.tile([-1, -1, 1, 1], len(taken))
+        n = np.repeat([len(b[3]) for b in taken], FAN)
+        edge = np.concatenate([np.tile(b[3], FAN) for b in taken])
+        at = np.concatenate(([0], np.cumsum(n)))
+        gap = _gaps(np.repeat(x, n), np.repeat(y, n), e[edge])
+        near = np.minimum.reduceat(gap, at[:-1])
+        reach = half * math.sqrt(2)
+        open_ = (near + reach >= d) & (reach > slack)
+        deep = np.flatnonzero(near > least)
+        if len(deep):
+            if _inside(x[deep], y[deep], e).any():
+                return True
+            open_[deep] &= near[deep] < reach[deep]  # else the whole box lies outside
+        keep = gap <= np.repeat(near + 2 * reach, n)
+        for k in np.flatnonzero(open_).tolist():
+            turn += 1
+            mine = slice(at[k], at[k + 1])
+            heapq.heappush(waiting, (-(near[k] + reach[k]), turn, (x[k], y[k], half[k], edge[mine][keep[mine]])))
     return False
 
 
-@F.pandas_udf(T.BooleanType())
-def _has_core(edges: pd.Series, inset: pd.Series) -> pd.Series:
-    return pd.Series([None if e is None else has_core(
-        np.array([(s["ax"], s["ay"], s["bx"], s["by"]) for s in e], float).reshape(-1, 4), d)
-        for e, d in zip(edges, inset)], dtype="object")
+@F.arrow_udf(T.BooleanType())
+def _has_core(edges: pa.Array, inset: pa.Array) -> pa.Array:
+    flat, at = flat_edges(edges)
+    return pa.array([has_core(flat[at[i]:at[i + 1]], d) if there else None for i, (there, d) in enumerate(
+        zip(edges.is_valid().to_pylist(), inset.to_pylist()))], pa.bool_())
 
 
-def inset_nonempty(polygons: DataFrame, inset: float, step: float | None = None) -> DataFrame:
+def inset_nonempty(polygons: DataFrame, inset: float) -> DataFrame:
     """Polygons of which something is left after shrinking by ``inset``: some point
-    lies deeper than that.  Decided from the edges; ``step``, once the spacing of
-    points to try, has no part in it."""
+    lies deeper than that."""
     d = F.lit(float(inset))
     middle = G.let(F.struct(G.bbox("poly").alias("b"), G.all_edges("poly").alias("e")), lambda p: G.let(
         F.struct(((p["b"]["xmin"] + p["b"]["xmax"]) / 2).alias("x"), ((p["b"]["ymin"] + p["b"]["ymax"]) / 2).alias("y")),

@@ -115,7 +115,7 @@ def test_inset_membership_of_zone_raster(spark):
 def test_inset_nonempty_drops_slivers(spark):
     thin = [[(0, 0), (20, 0), (20, 3), (0, 3), (0, 0)]]
     exact = [[(0, 0), (20, 0), (20, 4), (0, 4), (0, 0)]]
-    kept = fields.inset_nonempty(poly_df(spark, [thin, exact, [SHELL]]), 2, 0.5).collect()
+    kept = fields.inset_nonempty(poly_df(spark, [thin, exact, [SHELL]]), 2).collect()
     assert [k.id for k in kept] == [2]
 
 
