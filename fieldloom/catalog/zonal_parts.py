@@ -38,5 +38,5 @@ def pairs(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
     """Per (scene, tile, field) sum and count of the valid pixels."""
     grids = scene_grid(spark, sf)
     spots = assigned(spark, sf, ell, grids)
-    tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "ndvi")
+    tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "w", "ndvi")
     return zonal.pair_stats(grid.field_pixels(spots, fx.TILE_PX), tiles)

@@ -79,12 +79,26 @@ def field_boxes(fields: DataFrame) -> DataFrame:
             .drop("poly"))
 
 
+def row_runs(row: Column, inner: Column) -> Column:
+    """Ascending columns of a row as runs of neighbours."""
+    firsts = F.filter(inner, lambda c, i: (i == 0) | (F.get(inner, i - 1) != c - 1))
+    lasts = F.filter(inner, lambda c, i: (i == F.size(inner) - 1) | (F.get(inner, i + 1) != c + 1))
+    return F.zip_with(firsts, lasts, lambda a, b: F.struct(row.alias("row"), a.alias("first"), b.alias("last")))
+
+
+def positions(runs, tile_px: int) -> Column:
+    """Row-major positions of the pixels of ``runs``."""
+    return F.flatten(F.transform(runs, lambda p: F.transform(
+        F.sequence(p["first"], p["last"]), lambda c: p["row"] * tile_px + c)))
+
+
 def field_pixels(assigned: DataFrame, tile_px: int, inset: float = 0.0) -> DataFrame:
-    """Zone raster: per (grid_id, x, y, field_id) the row-major positions of
-    the pixel centres inside the field (at least ``inset`` from its edge).
+    """Zone raster: per (grid_id, x, y, field_id) the ``runs`` of pixel centres inside the
+    field (at least ``inset`` from its edge), as row, first and last column.
 
-    Built once per grid and reused for every scene.  Map-only: the polygons
-    ride along with their assignment."""
+    A mask's size goes with the field's border, not its area.  Built once per grid
+    and reused for every scene.  Map-only: the polygons ride along with their
+    assignment."""
     w = tile_px
     px = F.col("stride") / w
     ulx = F.col("x0") + F.col("x") * F.col("stride")
@@ -98,8 +112,8 @@ def field_pixels(assigned: DataFrame, tile_px: int, inset: float = 0.0) -> DataF
         return G.let(centres, lambda cols: F.flatten(F.transform(
             F.sequence(t["r0"], t["r1"]), lambda r: G.let(
                 G.scan_row(F.col("__edges"), t["uly"] - (r + 0.5) * t["px"], inset),
-                lambda row: F.transform(F.filter(cols, lambda p: G.on_row(row, p["x"])),
-                                        lambda p: r * w + p["c"])))))
+                lambda row: G.let(F.transform(F.filter(cols, lambda p: G.on_row(row, p["x"])), lambda p: p["c"]),
+                                  lambda inner: row_runs(r, inner))))))
 
     tile = F.struct(
         px.alias("px"), ulx.alias("ulx"), uly.alias("uly"),
@@ -108,4 +122,4 @@ def field_pixels(assigned: DataFrame, tile_px: int, inset: float = 0.0) -> DataF
     attrs = [c for c in assigned.columns
              if c not in ("b", "__edges", "x0", "y0", "stride", "epsg", "grid_id", "x", "y")]
     return assigned.select("grid_id", "x", "y", *attrs, G.keep_if(
-        G.let(tile, rows), lambda idx: F.size(idx) > 0).alias("idx"))
+        G.let(tile, rows), lambda runs: F.size(runs) > 0).alias("runs"))

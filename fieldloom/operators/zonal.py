@@ -56,28 +56,35 @@ def drop_masked(tiles: DataFrame, scl: DataFrame | None = None,
                       max_rows=1_000_000)
 
 
-def sum_at(value: str, idx: str = "idx") -> Column:
-    """struct<s, n>: sum and count of the non-null array values at ``idx``."""
+def run_sums(sums: str, width: Column, runs: str = "runs") -> Column:
+    """struct<s, n>: sum and count of a tile's non-null pixels on the runs of a mask, from
+    its ``row_sums``: two reads a run, whatever its length."""
     start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n"))
 
-    def add(acc, i):
-        return G.let(F.get(F.col(value), i), lambda v: F.struct(
-            (acc["s"] + F.coalesce(v, F.lit(0.0))).alias("s"),
-            (acc["n"] + F.when(v.isNotNull(), 1).otherwise(0)).alias("n")))
+    def add(acc, run):
+        at = run["row"] * (width + 1)
+        ends = F.struct((at + run["first"]).alias("a"), (at + run["last"] + 1).alias("b"))
 
-    return F.aggregate(idx, start, add)
+        def part(name, e):
+            return F.coalesce(F.get(F.col(sums)[name], e["b"]) - F.get(F.col(sums)[name], e["a"]), F.lit(0))
+
+        return G.let(ends, lambda e: F.struct((acc["s"] + part("s", e)).alias("s"),
+                                              (acc["n"] + part("n", e)).alias("n")))
+
+    return F.aggregate(runs, start, add)
 
 
 def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi") -> DataFrame:
     """Sum and count of the valid pixels of every (tile, field) pair.
 
-    ``masks``: SPOT, field_id, idx;  ``tiles``: SPOT, scene_id, value array
-    (null = not valid).  The tile arrays are only read at the field's pixels,
-    inside the join's own stage; adaptive execution splits a spot that holds very
-    many fields over several tasks."""
-    pairs = masks.join(tiles, SPOT)
-    kept = [c for c in pairs.columns if c not in ("idx", value)]
-    return (pairs.select(*kept, G.keep_if(sum_at(value), lambda st: st["n"] > 0).alias("st"))
+    ``masks``: SPOT, field_id, runs;  ``tiles``: SPOT, scene_id, w, value array
+    (null = not valid).  Running sums along the tile's rows are made once per tile; a field
+    reads them at the ends of its runs, inside the join's own stage.  Adaptive execution splits
+    a spot that holds very many fields over several tasks."""
+    summed = tiles.withColumn(value, R.row_sums(value, "w"))
+    pairs = masks.join(summed, SPOT)
+    kept = [c for c in pairs.columns if c not in ("runs", "w", value)]
+    return (pairs.select(*kept, G.keep_if(run_sums(value, F.col("w")), lambda st: st["n"] > 0).alias("st"))
             .select(*kept, F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
 
 
@@ -172,9 +179,10 @@ def terrain(dem: DataFrame, masks: DataFrame) -> DataFrame:
     """Mean elevation and mean slope per (scene_id, field_id).
 
     ``dem``: elevation tiles with SPOT, w, h, scale_x and ``data``."""
-    pairs = masks.join(slope_per_tile(dem).select("scene_id", *SPOT, "data", "slope"), SPOT)
-    stats = pairs.select("scene_id", "field_id", sum_at("data").alias("e"),
-                         sum_at("slope").alias("s"))
+    tiles = slope_per_tile(dem).select("scene_id", *SPOT, "w", R.row_sums("data", "w").alias("data"),
+                                       R.row_sums("slope", "w").alias("slope"))
+    stats = masks.join(tiles, SPOT).select("scene_id", "field_id", run_sums("data", F.col("w")).alias("e"),
+                                           run_sums("slope", F.col("w")).alias("s"))
     return stats.groupBy("scene_id", "field_id").agg(
         F.sum("e.n").alias("n"), (F.sum("e.s") / F.sum("e.n")).alias("elev"),
         F.try_divide(F.sum("s.s"), F.sum("s.n")).alias("slope"))

@@ -70,7 +70,7 @@ def zonal_stage(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: Data
     index is computed; tile arrays are shuffled once, to their fields."""
     named = sized_join(tiles, grids.select("scene_id", "grid_id"), ["scene_id"])
     needed = zonal.keep_needed(named, masks).select(
-        "scene_id", *zonal.SPOT, R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
+        "scene_id", *zonal.SPOT, "w", R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
     return zonal.roll_up(zonal.pair_stats(masks, needed), meta, pixel_m2)
 
 

@@ -100,7 +100,8 @@ def test_inset_membership_of_zone_raster(spark):
                               "epsg int, x0 double, y0 double, stride double, x_hi int, y_hi int, grid_id int")
     for inset in (0.0, 6.0):
         masks = grid.field_pixels(grid.assign_tiles(g, grid.field_boxes(f), 50.0), 8, inset)
-        got = {(m.field_id, m.x, m.y, i) for m in masks.collect() for i in m.idx}
+        flat = masks.select("field_id", "x", "y", grid.positions("runs", 8).alias("idx")).collect()
+        got = {(m.field_id, m.x, m.y, i) for m in flat for i in m.idx}
         want = set()
         for k, p in enumerate(polys):
             for tx in range(3):
@@ -157,7 +158,8 @@ def test_core_of_random_polygons():
         edges = np.array([(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1])])
         at = np.arange(0, 20, 0.05) + 0.013
         x, y = (v.ravel() for v in np.meshgrid(at, at))
-        deepest = fields._depth(x, y, edges).max()  # at most 0.036 below the true one
+        gaps = np.min([fields._gaps(x, y, e[None]) for e in edges], axis=0)
+        deepest = gaps[fields._inside(x, y, edges)].max()  # at most 0.036 below the true one
         assert fields.has_core(edges, deepest - 1e-6)
         assert not fields.has_core(edges, deepest + 0.036)
 
@@ -288,3 +290,25 @@ def test_multipart_polygons(spark, tmp_path):
     path.write_text(json.dumps({"type": "Feature", "properties": {"k": 1}, "geometry": {"type": "Point", "coordinates": [1, 2]}}))
     with pytest.raises(Exception, match="not a polygon"):
         polygons.read_geojson_lines(spark, str(path), props).collect()
+
+
+def test_masks_are_runs_and_sums_take_two_reads(spark):
+    """Twice the size: four times the pixels, twice the runs; sums equal a walk over all pixels."""
+    def mask(scale):
+        ring = [(x * scale, y * scale) for x, y in SHELL]
+        f = poly_df(spark, [[ring]]).select(F.col("id").alias("field_id"), F.lit(1).alias("epsg"),
+                                            F.lit(1.0).alias("area_m2"), "poly")
+        g = spark.createDataFrame([(1, 0.0, 512.0, 512.0, 0, 0, 9)],
+                                  "epsg int, x0 double, y0 double, stride double, x_hi int, y_hi int, grid_id int")
+        return grid.field_pixels(grid.assign_tiles(g, grid.field_boxes(f), 1000.0), 256)
+    small, large = mask(4), mask(8)
+    counts = [m.select(F.size("runs").alias("r"), F.size(grid.positions("runs", 256)).alias("p")).first() for m in (small, large)]
+    assert counts[1].r < 2.3 * counts[0].r and counts[1].p > 3.5 * counts[0].p
+    rnd = random.Random(4)
+    values = [None if rnd.random() < .2 else rnd.uniform(-1, 1) for _ in range(256 * 256)]
+    tiles = spark.createDataFrame([(1, 9, 0, 0, 256, values), (2, 9, 0, 0, 256, None), (3, 9, 0, 0, 256, [None] * 65536)],
+                                  "scene_id int, grid_id int, x int, y int, w int, ndvi array<double>")
+    got = zonal.pair_stats(large, tiles).collect()
+    idx = large.select(grid.positions("runs", 256).alias("i")).first().i
+    want = [values[i] for i in idx if values[i] is not None]
+    assert [(r.scene_id, r["count"]) for r in got] == [(1, len(want))] and got[0]["sum"] == pytest.approx(sum(want))
