@@ -35,7 +35,6 @@ from . import sha_states as S
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FAN = 3
 DEPTH = 6
-BLOCK = FAN ** DEPTH
 BROADCAST_PATHS = 10_000  # rows of some 2 kB at most; more are joined by a shuffle
 PATH = "shape binary, states binary, siblings binary"
 
@@ -112,7 +111,7 @@ def digests_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 32)
 
 
-def layer(entries: DataFrame) -> DataFrame:
+def layer(entries: DataFrame, depth: int) -> DataFrame:
     """Adds the path inside its block and the block's top to each of ``entries``
     (key, pos, total, digest, ...)."""
     names = [f.name for f in entries.schema]
@@ -122,16 +121,16 @@ def layer(entries: DataFrame) -> DataFrame:
         table = table.combine_chunks().sort_by("pos")
         nodes = digests_of(table["digest"])
         n, total = len(nodes), table["total"][0].as_py()
-        depth = DEPTH
-        if total <= BLOCK:  # the whole tree: up to its single node
-            depth, left = 0, total
+        high = depth
+        if total <= FAN ** depth:  # the whole tree: up to its single node
+            high, left = 0, total
             while left > 1:
-                depth, left = depth + 1, -(-left // FAN)
-        top, levels = grown(nodes, depth)
+                high, left = high + 1, -(-left // FAN)
+        top, levels = grown(nodes, high)
         cols = {c: table[c] for c in names} | paths(levels, n)
         return pa.table(cols | {"top": pa.array([top[0].tobytes()] * n, pa.binary())})
 
-    return (entries.groupBy("key", F.floor(F.col("pos") / BLOCK).alias("block"))
+    return (entries.groupBy("key", F.floor(F.col("pos") / FAN ** depth).alias("block"))
             .applyInArrow(block, schema))
 
 
@@ -146,34 +145,31 @@ def joined(rows: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(F.broadcast(small) if fits(small, BROADCAST_PATHS) else small, on)
 
 
-def tree(entries: DataFrame) -> DataFrame:
+def tree(entries: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The whole path and the top of the tree for each of ``entries`` (key, pos,
     digest, ...), whose ``pos`` counts from 0 within ``key``."""
+    size = FAN ** depth
     totals = materialize(entries.groupBy("key").agg(F.count(F.lit(1)).alias("total")), "totals")
-    rows = joined(entries, totals, ["key"])
     most = totals.agg(F.max("total")).first()[0] or 0
-    layers = [materialize(layer(rows), "layer")]
-    while most > BLOCK:
-        most = -(-most // BLOCK)
-        tops = layers[-1].filter(F.col("pos") % BLOCK == 0).select(
-            "key", F.floor(F.col("pos") / BLOCK).alias("pos"),
-            F.ceil(F.col("total") / BLOCK).alias("total"), F.col("top").alias("digest"))
-        layers.append(materialize(layer(tops), "layer"))
-    above = None
-    for own in reversed(layers):
-        if above is not None:
-            up = above.select("key", F.col("pos").alias("block"), *[F.col(c).alias(f"up_{c}") for c in
-                                                                   ("shape", "states", "siblings", "top")])
-            own = joined(own.withColumn("block", F.floor(F.col("pos") / BLOCK)), up, ["key", "block"])
-            own = own.select(*entries.columns, *[F.concat(c, f"up_{c}").alias(c) for c in
-                                                 ("shape", "states", "siblings")], F.col("up_top").alias("top"))
-        else:
-            own = own.select(*entries.columns, "shape", "states", "siblings", "top")
-        above = own
-    return above
-
-
-def manifest(found: DataFrame) -> DataFrame:
+    layers = [materialize(layer(joined(entries, totals, ["key"]), depth), "layer")]
+    while most > size:
+        most = -(-most // size)
+        tops = layers[-1].filter(F.col("pos") % size == 0).select(
+            "key", F.floor(F.col("pos") / size).alias("pos"),
+            F.ceil(F.col("total") / size).alias("total"), F.col("top").alias("digest"))
+        layers.append(materialize(layer(tops, depth), "layer"))
+    parts = ("shape", "states", "siblings")
+    whole = layers[-1]
+    for own in layers[-2::-1]:
+        up = whole.select("key", F.col("pos").alias("block"), F.col("top").alias("up_top"),
+                          *[F.col(c).alias(f"up_{c}") for c in parts])
+        own = joined(own.withColumn("block", F.floor(F.col("pos") / size)), up, ["key", "block"])
+        whole = own.select(*[c for c in own.columns if not c.startswith("up_") and c not in (*parts, "top")],
+                           *[F.concat(c, f"up_{c}").alias(c) for c in parts], F.col("up_top").alias("top"))
+    return whole
+
+
+def manifest(found: DataFrame, depth: int = DEPTH) -> DataFrame:
     """From ``leaves``: its columns, subroot, root (32 bytes each) and the packed path
     from the leaf to the root."""
     kept = materialize(found, "leaves")
@@ -181,10 +177,10 @@ def manifest(found: DataFrame) -> DataFrame:
     extra = [c for c in kept.columns if c not in ("doc_id", "source", "leaf")]
     rows = numbered(kept.select(key, "doc_id", F.col("leaf").alias("digest"), *extra),
                     ["key"], "doc_id", ["digest"])
-    inner = tree(rows)
+    inner = tree(rows, depth)
     tops = materialize(inner.filter("pos = 0").select(F.col("key").alias("name"), F.col("top").alias("digest")),
                        "subroots")
-    outer = tree(numbered(tops, [], "name").withColumn("key", F.lit("")))
+    outer = tree(numbered(tops, [], "name").withColumn("key", F.lit("")), depth)
     up = outer.select(F.col("name").alias("key"), F.col("top").alias("root"),
                       *[F.col(c).alias(f"up_{c}") for c in ("shape", "states", "siblings")])
     return joined(inner, up, ["key"]).select(
@@ -237,12 +233,12 @@ def folded(found: DataFrame, replacement: str) -> DataFrame:
     return found.mapInArrow(run, schema)
 
 
-def audit(docs: DataFrame) -> DataFrame:
+def audit(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """doc_id, source, leaf, subroot, root, siblings, changed, folded_root: every row's
     proof, tried on a text without its line ends where 2 divides crc32(doc_id)."""
     tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0,
                       F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
-    return folded(manifest(leaves(docs, tampered)), "changed")
+    return folded(manifest(leaves(docs, tampered), depth), "changed")
 
 
 def proof_digest(found: DataFrame) -> DataFrame:
