@@ -6,8 +6,8 @@ the byte-level pattern.  In each partition the distinct words that are not
 coded yet are laid out in one array of symbols, and an index maps each pair to all its
 positions.  The pairs' ranks are worked off in ascending order: at each
 position that still holds the pair, from left to right, it becomes one symbol, and
-the new pairs with its neighbours enter the lists of their ranks.  Words
-coded are remembered, up to ``REMEMBERED`` of them.
+the new pairs with its neighbours enter the lists of their ranks.  The first
+``REMEMBERED`` words stay coded for the rest of the partition.
 
 Defined results: null texts give no ids and an empty text when decoded; repeated
 rows are coded each; texts of any length are coded whole (an index over a batch holds the
@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 1 << 17   # words of at most LONGEST_REMEMBERED bytes
+REMEMBERED = 1 << 18   # words of at most LONGEST_REMEMBERED bytes
 LONGEST_REMEMBERED = 64
-BATCH_WORDS = 1 << 18  # words gathered before the index is built
+BATCH_WORDS = 1 << 19  # words gathered before the index is built
 MOST_ENTRIES = 1 << 21  # vocabulary entries a broadcast may hold
 # the byte-level pattern; white space is Unicode's, without the separators 1C to 1F
 WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -47,7 +47,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Tables of a tokenizer file: byte -> id, pair of ids -> (rank, id), id -> bytes."""
+    """Tables of a tokenizer file: ids of bytes, ranks of pairs of ids, bytes of ids."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -63,69 +63,75 @@ class Vocabulary:
         if any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
             raise ValueError(f"{path} has added tokens with rules about their neighbours")
         letters, ids = byte_letters(), model["vocab"]
-        self.byte_ids = {b: ids[c] for c, b in letters.items() if c in ids}
+        if not all(c in ids for c in letters):
+            raise ValueError(f"{path} lacks some bytes")
+        self.byte_ids = np.zeros(256, np.int64)
+        for c, b in letters.items():
+            self.byte_ids[b] = ids[c]
         self.text = {i: bytes(letters[c] for c in token) for token, i in ids.items()
                      if all(c in letters for c in token)}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text |= {i: t.encode() for t, i in self.added.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.size = max(ids.values()) + 1
+        self.merges: list[tuple[int, int, int]] = []   # by rank: left, right, the two as one
+        self.rank_of: dict[int, int] = {}              # left * size + right -> rank
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
-
-
-def coded(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    """Ids of each word, by one pair index over all of them."""
-    merges, byte_ids = vocabulary.merges, vocabulary.byte_ids
-    symbol: list[int] = []    # -1: between words, or swallowed by the symbol left of it
-    for word in words:
-        symbol.extend(byte_ids[b] for b in word)
-        symbol.append(-1)
-    size = len(symbol)
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    index: dict[int, list[int]] = {}   # rank -> positions of its pair's left symbol
-    pairs: dict[int, tuple[int, int, int]] = {}
-
-    def enter(at: int, left: int, right: int) -> None:
-        hit = merges.get((left, right))
-        if hit is not None:
-            rank = hit[0]
-            held = index.get(rank)
-            if held is None:
-                index[rank] = [at]
-                pairs[rank] = (left, right, hit[1])
-                heappush(active, rank)
-            else:
-                held.append(at)
-
-    active: list[int] = []
-    for at in range(size - 1):
-        if symbol[at] >= 0 and symbol[at + 1] >= 0:
-            enter(at, symbol[at], symbol[at + 1])
+            self.merges.append((ids[left], ids[right], ids[left + right]))
+            self.rank_of.setdefault(ids[left] * self.size + ids[right], rank)
+        self.keys = np.array(sorted(self.rank_of), np.int64)
+        self.key_ranks = np.array([self.rank_of[k] for k in self.keys.tolist()], np.int64)
+
+
+def coded(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words one after the other, and how many each word has, by one pair
+    index over all of them."""
+    if not words:
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    sizes = np.array([len(w) for w in words])
+    ends = np.cumsum(sizes + 1) - 1
+    laid = np.full(int(ends[-1]) + 1, -1, np.int64)    # -1 stands behind each word
+    inside = np.ones(len(laid), bool)
+    inside[ends] = False
+    laid[inside] = v.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    pair = np.where(inside[:-1] & inside[1:], laid[:-1] * v.size + laid[1:], -1)
+    place = np.minimum(np.searchsorted(v.keys, pair), len(v.keys) - 1)
+    hits = np.flatnonzero(v.keys[place] == pair)
+    ranks = v.key_ranks[place[hits]]
+    order = np.argsort(ranks, kind="stable")
+    active, cuts = np.unique(ranks[order], return_index=True)
+    # rank -> positions of its pair's left symbol, in order
+    index = dict(zip(active.tolist(), (x.tolist() for x in np.split(hits[order], cuts[1:]))))
+    active = active.tolist()                           # sorted, so a heap
+    symbol, after = laid.tolist(), list(range(1, len(laid) + 1))
+    before = list(range(-1, len(laid) - 1))            # the place before the first is the last: -1
+    rank_of, size = v.rank_of.get, v.size
     while active:
         rank = heappop(active)
-        left, right, whole = pairs.pop(rank)
-        for at in sorted(index.pop(rank)):
+        left, right, whole = v.merges[rank]
+        positions = index.pop(rank)
+        positions.sort()
+        for at in positions:
             nxt = after[at]
-            if symbol[at] != left or nxt >= size or symbol[nxt] != right:
-                continue  # the pair went into another one
-            symbol[at] = whole
-            symbol[nxt] = -1
-            far = after[at] = after[nxt]
-            if far < size:
-                before[far] = at
-                if symbol[far] >= 0:
-                    enter(at, whole, symbol[far])
+            if symbol[at] != left or symbol[nxt] != right:
+                continue                               # the pair went into another one
+            symbol[at], symbol[nxt] = whole, -2
+            after[at] = far = after[nxt]
+            before[far] = at
             back = before[at]
-            if back >= 0 and symbol[back] >= 0:
-                enter(back, symbol[back], whole)
-    out, start = [], 0
-    for word in words:
-        stop = start + len(word)
-        out.append([s for s in symbol[start:stop] if s >= 0])
-        start = stop + 1
-    return out
+            for there, a, b in ((at, whole, symbol[far]), (back, symbol[back], whole)):
+                if a >= 0 and b >= 0:
+                    new = rank_of(a * size + b)
+                    if new is not None:
+                        if new in index:
+                            index[new].append(there)
+                        else:
+                            index[new] = [there]
+                            heappush(active, new)
+    made = np.array(symbol)
+    kept = made >= 0
+    counts = np.diff(np.concatenate(([0], np.cumsum(kept)[ends])))
+    return made[kept].astype(np.int32), counts
 
 
 class Encoder:
@@ -152,30 +158,38 @@ class Encoder:
         return out + self.words.findall(text[at:])
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        waiting: list[list[str]] = []
+        waiting: list[tuple[list[str], list]] = []
         held = 0
         for text in texts:
-            waiting.append(self.pieces(text))
-            held += len(waiting[-1])
+            words = self.pieces(text)
+            waiting.append((words, list(map(self.known.get, words))))
+            held += len(words)
             if held >= BATCH_WORDS:
                 yield from self._settled(waiting)
                 waiting, held = [], 0
         yield from self._settled(waiting)
 
-    def _settled(self, waiting: list[list[str]]) -> Iterator[np.ndarray]:
+    def _settled(self, waiting: list[tuple[list[str], list]]) -> Iterator[np.ndarray]:
+        """Ids of the texts, once those of their words that were not known are coded."""
         known, added = self.known, self.vocabulary.added
-        new = [w for w in set(chain.from_iterable(waiting)) if w not in known]
-        once = {w: [added[w]] for w in new if w in added}
-        fresh = [w for w in new if w not in once]
-        once |= dict(zip(fresh, coded([w.encode() for w in fresh], self.vocabulary)))
-        table = known | once if once else known
-        for words in waiting:
-            yield np.fromiter(chain.from_iterable(map(table.__getitem__, words)), np.int32)
-        if len(known) + len(once) > REMEMBERED:
-            known.clear()
-        for w, ids in once.items():
-            if len(w) <= LONGEST_REMEMBERED and len(known) < REMEMBERED:
-                known[w] = ids
+        gaps = [[i for i, own in enumerate(ids) if own is None] if None in ids else [] for _, ids in waiting]
+        once = dict.fromkeys(words[i] for (words, _), at in zip(waiting, gaps) for i in at)
+        fresh = [w for w in once if w not in added]
+        flat, counts = coded([w.encode() for w in fresh], self.vocabulary)
+        flat, start = flat.tolist(), 0
+        for w, n in zip(fresh, counts.tolist()):
+            once[w] = tuple(flat[start:start + n])
+            start += n
+        once.update({w: (added[w],) for w in once if w in added})
+        for (words, ids), at in zip(waiting, gaps):
+            for i in at:
+                ids[i] = once[words[i]]
+            yield np.fromiter(chain.from_iterable(ids), np.int32)
+        for w, own in once.items():  # first come, first kept: frequent words come early
+            if len(known) >= REMEMBERED:
+                break
+            if len(w) <= LONGEST_REMEMBERED:
+                known[w] = own
 
 
 def with_column(df: DataFrame, name: str, kind: T.DataType, fn) -> DataFrame:
@@ -220,9 +234,11 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
         text = shared.value.text
 
         def step(batch: pa.RecordBatch) -> pa.Array:
-            ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
-            return pa.array([b"".join(map(text.__getitem__, row or ())).decode("utf-8", "replace")
-                             for row in ids], pa.string())
+            ids = batch.column(batch.schema.get_field_index("ids"))
+            # row by row: a batch of ids as Python numbers takes ten times the space of its texts
+            rows = (ids[i].values for i in range(len(ids)))
+            return pa.array([b"".join(map(text.__getitem__, () if row is None else row.to_numpy().tolist()))
+                             .decode("utf-8", "replace") for row in rows], pa.string())
 
         return step
 
