@@ -7,7 +7,7 @@ coded yet are laid out in one array of symbols, and an index maps each pair to a
 positions.  The pairs' ranks are worked off in ascending order: at each
 position that still holds the pair, from left to right, it becomes one symbol, and
 the new pairs with its neighbours enter the lists of their ranks.  The first
-``REMEMBERED`` words stay coded for the rest of the partition.
+``REMEMBERED`` words stay coded for the worker's next partitions.
 
 Defined results: null texts give no ids and an empty text when decoded; repeated
 rows are coded each; texts of any length are coded whole (an index over a batch holds the
@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 
 REMEMBERED = 1 << 18   # words of at most LONGEST_REMEMBERED bytes
 LONGEST_REMEMBERED = 64
-BATCH_WORDS = 1 << 19  # words gathered before the index is built
+BATCH_WORDS = 1 << 19  # words gathered before the new ones are coded
+INDEXED = 1 << 12       # new words under one index: its lists stay in the processor's cache
 MOST_ENTRIES = 1 << 21  # vocabulary entries a broadcast may hold
 # the byte-level pattern; white space is Unicode's, without the separators 1C to 1F
 WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -80,6 +81,7 @@ class Vocabulary:
             self.merges.append((ids[left], ids[right], ids[left + right]))
             self.rank_of.setdefault(ids[left] * self.size + ids[right], rank)
         self.keys = np.array(sorted(self.rank_of), np.int64)
+        self.known: dict[str, tuple[int, ...]] = {}    # words coded before, by whoever uses these tables
         self.key_ranks = np.array([self.rank_of[k] for k in self.keys.tolist()], np.int64)
 
 
@@ -119,15 +121,20 @@ def coded(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
             after[at] = far = after[nxt]
             before[far] = at
             back = before[at]
-            for there, a, b in ((at, whole, symbol[far]), (back, symbol[back], whole)):
-                if a >= 0 and b >= 0:
-                    new = rank_of(a * size + b)
-                    if new is not None:
-                        if new in index:
-                            index[new].append(there)
-                        else:
-                            index[new] = [there]
-                            heappush(active, new)
+            new = rank_of(whole * size + symbol[far]) if symbol[far] >= 0 else None
+            if new is not None:
+                if new in index:
+                    index[new].append(at)
+                else:
+                    index[new] = [at]
+                    heappush(active, new)
+            new = rank_of(symbol[back] * size + whole) if symbol[back] >= 0 else None
+            if new is not None:
+                if new in index:
+                    index[new].append(back)
+                else:
+                    index[new] = [back]
+                    heappush(active, new)
     made = np.array(symbol)
     kept = made >= 0
     counts = np.diff(np.concatenate(([0], np.cumsum(kept)[ends])))
@@ -135,14 +142,15 @@ def coded(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Codes texts word by word; words seen before are looked up."""
+    """Codes texts word by word; words seen before are looked up.  They are kept with the
+    tables: a broadcast stays in its Python worker, so the worker's next tasks find them."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.words = regex.compile(WORDS)
         names = sorted(vocabulary.added, key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
-        self.known: dict[str, list[int]] = {}
+        self.known = vocabulary.known
 
     def pieces(self, text: str | None) -> list[str]:
         """Words and added tokens of a text, in order."""
@@ -175,11 +183,13 @@ class Encoder:
         gaps = [[i for i, own in enumerate(ids) if own is None] if None in ids else [] for _, ids in waiting]
         once = dict.fromkeys(words[i] for (words, _), at in zip(waiting, gaps) for i in at)
         fresh = [w for w in once if w not in added]
-        flat, counts = coded([w.encode() for w in fresh], self.vocabulary)
-        flat, start = flat.tolist(), 0
-        for w, n in zip(fresh, counts.tolist()):
-            once[w] = tuple(flat[start:start + n])
-            start += n
+        for first in range(0, len(fresh), INDEXED):
+            part = fresh[first:first + INDEXED]
+            flat, counts = coded([w.encode() for w in part], self.vocabulary)
+            flat, start = flat.tolist(), 0
+            for w, n in zip(part, counts.tolist()):
+                once[w] = tuple(flat[start:start + n])
+                start += n
         once.update({w: (added[w],) for w in once if w in added})
         for (words, ids), at in zip(waiting, gaps):
             for i in at:
