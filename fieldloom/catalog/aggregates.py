@@ -25,12 +25,15 @@ def r6(c):
     return F.round(c, 6)
 
 
-@query("a1_zonal_rollup", "px fl meta", """SELECT field_id, date, dekad, season, mgrs_tile,
+ROLLED = """SELECT field_id, date, dekad, season, mgrs_tile,
   CAST(32615 - 32600 AS INT) AS utm_zone, min(scene_id) AS scene_id, round(avg(ndvi), 6) AS mean_ndvi,
   CAST(count(ndvi) AS INT) AS valid_px, CAST(ceil(any_value(area_m2) / 25) AS INT) AS total_px,
   round(least(1.0, count(ndvi) / ceil(any_value(area_m2) / 25)), 6) AS valid_frac
   FROM px JOIN fl ON cx > x0 AND cx < x0 + w AND cy > y0 AND cy < y0 + h JOIN meta USING (scene_id)
-  GROUP BY ALL HAVING count(ndvi) > 0""")
+  GROUP BY ALL HAVING count(ndvi) > 0"""
+
+
+@query("a1_zonal_rollup", "px fl meta", ROLLED)
 def _(spark, sf):
     rolled = zonal.roll_up(pairs(spark, sf), fx.tile_meta(spark, sf), fx.PIXEL ** 2)
     return rolled.withColumn("mean_ndvi", r6("mean_ndvi")).withColumn("valid_frac", r6("valid_frac"))

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions import raster as R
-from ..operators import bands, grid, incremental, publish, scenes, spatial, study, zonal
-from ..shared import materialize, sized_join
+from ..operators import bands, grid, incremental, ledger, publish, scenes, spatial, study, zonal
+from ..shared import materialize, shared_folder, sized_join
 from .base import query
 from .zonal_parts import assigned, field_boxes, scene_grid, scene_tiles
 
@@ -84,7 +84,9 @@ def _(spark, sf):
 def _(spark, sf):
     chosen = scenes.season_mode(scenes.quality_gate(fx.scenes(spark, sf))).filter("selected")
     written = fx.observations(spark, sf).select("date", (F.col("mgrs_tile") % 29).alias("mgrs_tile"))
-    return incremental.todo(chosen, written).select("scene_id", "date", "mgrs_tile")
+    path = shared_folder(spark, "j8")
+    ledger.adopt(written, path, incremental.PART)
+    return ledger.missing(chosen, path, incremental.PART).select("scene_id", "date", "mgrs_tile")
 
 
 @query("j9_region_filter", "fl rg", """SELECT field_id FROM fl WHERE EXISTS (SELECT 1 FROM rg

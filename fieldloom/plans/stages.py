@@ -10,8 +10,9 @@ from ..functions import geometry as G
 from ..functions import projection as P
 from ..functions import raster as R
 from ..operators import fields as prepare
-from ..operators import grid, publish, quality, scenes, spatial, study, zonal
+from ..operators import grid, incremental, publish, quality, scenes, spatial, study, zonal
 from ..shared import materialize, sized_join
+from ..sinks import tables as sink
 from ..sources import tables
 
 
@@ -68,10 +69,36 @@ def zonal_stage(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: Data
     """Stacked tiles + scene attributes + scene table + stored zone raster ->
     field observations.  Tiles that no field needs are dropped before the
     index is computed; tile arrays are shuffled once, to their fields."""
+    return zonal.roll_up(tile_sums(tiles, grids, masks, engine), meta, pixel_m2)
+
+
+def tile_sums(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str = "arrow") -> DataFrame:
+    """Sum and count of every (tile, field) pair of ``tiles``."""
     named = sized_join(tiles, grids.select("scene_id", "grid_id"), ["scene_id"])
     needed = zonal.keep_needed(named, masks).select(
         "scene_id", *zonal.SPOT, "w", R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
-    return zonal.roll_up(zonal.pair_stats(masks, needed), meta, pixel_m2)
+    return zonal.pair_stats(masks, needed)
+
+
+def zonal_batches(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: DataFrame, path: str,
+                  most: int, pixel_m2: float = 100.0, engine: str = "arrow") -> DataFrame:
+    """:func:`zonal_stage` in batches of about ``most`` bytes of tiles, one job each.
+
+    A batch leaves its (tile, field) sums in a folder of its own under ``path`` and is passed
+    over when that is there, so a run that was stopped goes on where it was.  A field
+    may lie in tiles of several batches: the roll-up comes last, over all sums."""
+    spark = tiles.sparkSession
+    plan = materialize(incremental.batch_plan(tiles, most), "batches")
+    last = plan.agg(F.max("batch")).first()[0]
+    for k in range(0 if last is None else last + 1):
+        folder = f"{path}/batch={k}"
+        if sink.exists(spark, f"{folder}/_SUCCESS"):
+            continue
+        part = sized_join(tiles, plan.filter(F.col("batch") == k).drop("batch"), incremental.BATCHED, "left_semi")
+        tile_sums(part, grids, masks, engine).write.mode("overwrite").parquet(folder)
+    if last is None:
+        return zonal_stage(tiles, meta, grids, masks, pixel_m2, engine)
+    return zonal.roll_up(spark.read.parquet(path).drop("batch"), meta, pixel_m2)
 
 
 def publish_stage(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: Column,

@@ -37,6 +37,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Has anything been written to the table folder yet (other than hidden folders)?"""
+    return any(not n.startswith(("_", ".")) for n in children(spark, path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def append_audit(checks: DataFrame, path: str) -> None:
     """Check rows (few, one per check) into one file of the audit table."""
     (checks.withColumn("run_at", F.current_timestamp()).select(*DQ_RESULTS.names)

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..contracts import DEFAULTS
+from ..operators import incremental
+from ..shared import materialize
+from ..sinks import tables as sink
+
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None,
                 files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -45,6 +50,56 @@ def drain(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def classify(stream: DataFrame, key: str, out: str, checkpoint: str, ts: str = "ts",
+             delay: str = "30 days") -> StreamingQuery:
+    """Every arrived row with its ``kind``: ``first`` of its key, ``copy`` of one that arrived before (or
+    in the same batch: the earliest by time and value is the first), or ``late``: older than
+    the newest time of all earlier batches less the delay.  No row is dropped.
+
+    Rows go to ``out``, cut by batch and kind.  A batch reads what earlier batches left
+    (firsts young enough to have copies, and the newest time), so a batch that is run again
+    replaces its own rows and nothing else."""
+    def step(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        edge = before = None
+        if sink.holds_rows(spark, out):
+            before = spark.read.parquet(out).filter(F.col("batch") < batch)
+            edge = before.agg((F.max(ts) - F.expr(f"INTERVAL {delay}")).alias("edge")).first()[0]
+        old = F.lit(False) if edge is None else F.coalesce(F.col(ts) < F.lit(edge), F.lit(False))
+        # equal rows are counted first, so a key that arrives very often stays small
+        counted = materialize(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__n"))
+                              .withColumn("__late", old), "arrived")
+        line = F.struct(ts, *[c for c in sorted(rows.columns) if c not in (key, ts)])
+        firsts = counted.filter(~F.col("__late")).groupBy(key).agg(F.min(line).alias("__first"))
+        if edge is not None:
+            # a first is remembered until it is older than the edge by the delay
+            known = (before.filter("kind = 'first'").filter(F.col(ts) >= F.lit(edge) - F.expr(f"INTERVAL {delay}"))
+                     .select(F.col(key).alias("__seen")))
+            firsts = firsts.join(known, F.col(key).eqNullSafe(F.col("__seen")), "left_anti")
+        firsts = firsts.select(F.col(key).alias("__key"), "__first")
+        found = counted.join(firsts, F.col(key).eqNullSafe(F.col("__key")) & line.eqNullSafe(F.col("__first"))
+                             & ~F.col("__late"), "left")
+        copies = F.array_repeat(F.when(F.col("__late"), "late").otherwise("copy"), F.col("__n").cast("int") - 1)
+        head = (F.when(F.col("__late"), "late").when(F.col("__first").isNotNull(), "first").otherwise("copy"))
+        sink.replace_partitions(found.select(
+            *rows.columns, F.lit(batch).cast("long").alias("batch"),
+            F.explode(F.concat(F.array(head), copies)).alias("kind")), out, ["batch", "kind"])
+
+    return _each_batch(stream, step, checkpoint)
+
+
+def refresh_from(stream: DataFrame, path: str, checkpoint: str, days: int = DEFAULTS.trailing_days) -> StreamingQuery:
+    """Take arriving items into the stored manifest, batch by batch."""
+    return _each_batch(stream, lambda rows, _: incremental.refresh(path, rows, days), checkpoint)
+
+
+def _each_batch(stream: DataFrame, step, checkpoint: str) -> StreamingQuery:
+    query = (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that all stateful operators dropped as late."""
     return sum(op.numRowsDroppedByWatermark
