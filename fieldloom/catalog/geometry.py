@@ -149,11 +149,41 @@ def _(spark, sf):
     return publish.thin_tiles(in_degrees(spark, sf), 6, 12, 10)
 
 
-@query("v2_size_budget", "fl", """SELECT 'output_size_budget' AS check_name, 'demo' AS scope,
-  '< 90000000 bytes' AS expected, sum(length('{"type":"Feature","properties":{"field_id":' || field_id ||
+LINE = """octet_length(encode('{"type":"Feature","properties":{"field_id":' || field_id ||
   '},"geometry":{"type":"Polygon","coordinates":[[[' || x0 || '.0,' || y0 || '.0],[' || (x0 + w) || '.0,'
   || y0 || '.0],[' || (x0 + w) || '.0,' || (y0 + h) || '.0],[' || x0 || '.0,' || (y0 + h) || '.0],[' || x0
-  || '.0,' || y0 || '.0]]]}}')) || ' bytes' AS observed, true AS passed FROM fl""")
+  || '.0,' || y0 || '.0]]]}}')) + 1"""
+TILE_BYTES = 2000
+BUDGET = f"""SELECT z, tx, ty, field_id, CAST(bytes AS BIGINT) AS bytes FROM (
+  SELECT *, sum(bytes) OVER (PARTITION BY z, tx, ty ORDER BY turn, area_m2 DESC, field_id) AS upto FROM (
+  SELECT *, row_number() OVER (PARTITION BY z, tx, ty, cx, cy ORDER BY area_m2 DESC, field_id) AS turn FROM (
+  SELECT z, field_id, area_m2, {LINE} AS bytes,
+  CAST(floor(east * pow(2, z)) AS INT) AS tx, CAST(floor(south * pow(2, z)) AS INT) AS ty,
+  CAST(floor(east * pow(2, z + 4)) AS INT) AS cx, CAST(floor(south * pow(2, z + 4)) AS INT) AS cy
+  FROM (SELECT *, (lon / 200.0 - 96 + 180) / 360 AS east, (1 - ln(tan(radians(lat / 200.0 + 40))
+  + 1 / cos(radians(lat / 200.0 + 40))) / pi()) / 2 AS south FROM fl),
+  (SELECT CAST(unnest(range(6, 13)) AS INT) AS z)))) WHERE upto <= {TILE_BYTES}"""
+
+
+def budgeted(spark, sf):
+    sized = in_degrees(spark, sf).withColumn("bytes", quality.line_bytes(features.feature_json(["field_id"])))
+    return publish.budget_tiles(sized, 6, 12, TILE_BYTES)
+
+
+@query("v1_budget_tiles", "fl", BUDGET)
+def _(spark, sf):
+    return budgeted(spark, sf)
+
+
+@query("v2_tile_budget", "fl", f"""SELECT 'tile_size_budget' AS check_name, 'demo' AS scope,
+  '<= {TILE_BYTES} bytes a tile' AS expected, '0 of ' || count(*) || ' tiles above, largest ' || max(b) || ' bytes'
+  AS observed, true AS passed FROM (SELECT sum(bytes) AS b FROM ({BUDGET}) GROUP BY z, tx, ty)""")
+def _(spark, sf):
+    return quality.tile_budget_check(budgeted(spark, sf), TILE_BYTES, "demo")
+
+
+@query("v2_size_budget", "fl", f"""SELECT 'output_size_budget' AS check_name, 'demo' AS scope,
+  '< 90000000 bytes' AS expected, sum({LINE}) || ' bytes' AS observed, true AS passed FROM fl""")
 def _(spark, sf):
     lines = features.feature_lines(fx.fields(spark, sf), ["field_id"])
     return quality.size_budget_check(lines, 90_000_000, "demo")

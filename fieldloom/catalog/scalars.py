@@ -70,7 +70,7 @@ def _(spark, sf):
     return fx.scenes(spark, sf).select("scene_id", S.month_day("date").alias("label"))
 
 
-@query("x8_dense_id", "fl", """SELECT field_id, CAST(row_number() OVER (ORDER BY field_id) - 1 AS INT) AS fid
+@query("x8_dense_id", "fl", """SELECT field_id, CAST(row_number() OVER (ORDER BY field_id) - 1 AS BIGINT) AS fid
   FROM fl""")
 def _(spark, sf):
     return ordered.dense_ids(fx.fields(spark, sf).select("field_id"), "field_id")

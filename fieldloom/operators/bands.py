@@ -25,7 +25,7 @@ def _range_sums(points: DataFrame, ranges: DataFrame, keys: list[str], ids: list
     the ``ranges`` (ids, keys, __lo, __hi), over all keys."""
     # at one position: range starts first, then points, then closed range ends
     end_tie = 0 if upper_open else 2
-    marks = ranges.select(*ids, *keys, F.inline(F.array(
+    marks = ranges.select(*dict.fromkeys([*ids, *keys]), F.inline(F.array(
         F.struct(F.col("__lo").alias("__at"), F.lit(0).alias("__tie"), F.lit(-1).alias("__sign")),
         F.struct(F.col("__hi").alias("__at"), F.lit(end_tie).alias("__tie"),
                  F.lit(1).alias("__sign")))))
@@ -58,14 +58,17 @@ def _finish(treated: DataFrame, sums: DataFrame, on: list[str], min_n: int) -> D
 
 
 def match_lat(treated: DataFrame, controls: DataFrame, band, min_n: int = 5,
-              upper_open: bool = False) -> DataFrame:
+              upper_open: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """Add ``ctrl_delta`` (null below ``min_n`` controls) and ``ctrl_n``:
-    the mean control delta with lat in ``[t - band, t + band]``."""
-    b = F.lit(band)
-    points = _weights(controls, [F.col("lat").alias("__at")])
-    bands = treated.select("lat").distinct().select(
-        "lat", (F.col("lat") - b).alias("__lo"), (F.col("lat") + b).alias("__hi"))
-    return _finish(treated, _range_sums(points, bands, [], ["lat"], upper_open), ["lat"], min_n)
+    the mean control delta with lat in ``[t - band, t + band]``.
+
+    Rows only meet within equal ``by`` columns; ``band`` may be a Column of them, so many
+    variants of a study are matched by one chain of running sums."""
+    ids = [*by, "lat"]
+    points = _weights(controls, [*map(F.col, by), F.col("lat").alias("__at")])
+    bands = treated.select(*ids, F.lit(band).alias("__b")).distinct().select(
+        *ids, (F.col("lat") - F.col("__b")).alias("__lo"), (F.col("lat") + F.col("__b")).alias("__hi"))
+    return _finish(treated, _range_sums(points, bands, list(by), ids, upper_open), ids, min_n)
 
 
 def match_lat_lon(treated: DataFrame, controls: DataFrame, lat_band, lon_band, min_n: int = 5,

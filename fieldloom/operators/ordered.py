@@ -55,7 +55,7 @@ def dense_ids(df: DataFrame, key: str, out: str = "fid") -> DataFrame:
     """0-based dense id in the order of ``key`` (unique, any type that sorts)."""
     numbered = running_sums(df.select(key).withColumn("__one", F.lit(1).cast("bigint")),
                             [], key, {"__rank": "__one"})
-    return df.join(numbered.select(key, (F.col("__rank") - 1).cast("int").alias(out)), key)
+    return df.join(numbered.select(key, (F.col("__rank") - 1).alias(out)), key)
 
 
 def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DEFAULTS
 from ..functions import scalars as S
+from .ordered import running_sums
 
 
 def on_date(day: str) -> Column:
@@ -91,6 +92,29 @@ def tile_index(lon: Column, lat: Column, zoom: Column) -> tuple[Column, Column]:
     return clip(x), clip(y)
 
 
+SPREAD = 4  # a tile's features are spread over 2^4 x 2^4 cells
+
+
+def budget_tiles(fields: DataFrame, z0: int, z1: int, budget: int, size: str = "bytes",
+                 key: str = "field_id", weight: str = "area_m2") -> DataFrame:
+    """Features per (zoom, tile) whose ``size`` adds up to ``budget`` bytes at most: z, tx,
+    ty, key, size.
+
+    The densest places lose first: a tile's cells (tiles four zooms deeper) take turns, largest
+    ``weight`` of each first, and the tile is filled in the order of these turns until the budget is
+    reached.  Both steps are running sums over range partitions, so the one tile that holds all
+    features at a low zoom is cut like any other."""
+    zoomed = fields.withColumn("z", F.explode(F.sequence(F.lit(z0), F.lit(z1))))
+    tx, ty = tile_index(F.col("lon"), F.col("lat"), F.col("z"))
+    cx, cy = tile_index(F.col("lon"), F.col("lat"), F.col("z") + SPREAD)
+    spots = zoomed.select("z", tx.alias("tx"), ty.alias("ty"), cx.alias("__cx"), cy.alias("__cy"), key,
+                          F.col(size).cast("bigint").alias(size), (-F.col(weight)).alias("__light"),
+                          F.lit(1).cast("bigint").alias("__one"))
+    turns = running_sums(spots, ["z", "tx", "ty", "__cx", "__cy"], "__light", {"__turn": "__one"}, [key])
+    filled = running_sums(turns, ["z", "tx", "ty"], "__turn", {"__upto": size}, ["__light", key])
+    return filled.filter(F.col("__upto") <= budget).select("z", "tx", "ty", key, size)
+
+
 def thin_tiles(fields: DataFrame, z0: int, z1: int, k: int, size: str = "area_m2",
                key: str = "field_id") -> DataFrame:
     """Features per (zoom, tile); a tile keeps its ``k`` largest.  Each map

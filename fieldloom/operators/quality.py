@@ -26,19 +26,20 @@ def failed_of(bad: Column, total: Column) -> Column:
 
 
 def coverage_check(coverage: DataFrame, scope: str, minimum: int = DEFAULTS.min_scenes) -> DataFrame:
-    """Every expected (season, tile) has enough selected scenes; the short
-    ones are named (their number is bounded by the scope)."""
-    short = F.col("n_selected") < minimum
-    pair = F.concat_ws("/", F.col("season"), F.col("mgrs_tile"))
-    got = coverage.agg(F.count(F.lit(1)).alias("n"), F.count_if(short).alias("bad"),
-                       F.sort_array(F.collect_list(F.when(short, pair))).alias("names"))
-    observed = F.when(F.col("bad") == 0, failed_of(F.col("bad"), F.col("n"))).otherwise(
-        F.concat(F.lit("missing: "), F.array_join("names", ", ")))
+    """Every expected (season, tile) has enough selected scenes; the row counts the short
+    ones, :func:`short_pairs` lists them."""
+    got = coverage.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_selected") < minimum).alias("bad"))
+    observed = failed_of(F.col("bad"), F.col("n"))
     return got.select(*_row("scenes_per_season_tile_min", scope,
                             f">= {minimum} selected scenes per (season, tile)", observed,
                             F.col("bad") == 0))
 
 
+def short_pairs(coverage: DataFrame, minimum: int = DEFAULTS.min_scenes) -> DataFrame:
+    """The (season, tile) pairs with too few selected scenes, a row each."""
+    return coverage.filter(F.col("n_selected") < minimum)
+
+
 def nonempty_scope_check(coverage: DataFrame, scope: str) -> DataFrame:
     got = coverage.agg(F.count(F.lit(1)).alias("n"))
     return got.select(*_row("scene_coverage_nonempty", scope,
@@ -159,9 +160,24 @@ def envelope_check(points: DataFrame, envelopes: DataFrame, key: str, scope: str
                             failed_of(F.col("bad"), F.col("n")), F.col("bad") == 0))
 
 
+def line_bytes(text: str | Column = "value") -> Column:
+    """Bytes of a line in a file: UTF-8, with its end."""
+    return F.octet_length(text) + 1
+
+
+def tile_budget_check(tiles: DataFrame, budget_bytes: int, scope: str) -> DataFrame:
+    """No map tile (z, tx, ty) holds features of more than ``budget_bytes``."""
+    got = (tiles.groupBy("z", "tx", "ty").agg(F.sum("bytes").alias("b"))
+           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("b") > budget_bytes).alias("bad"),
+                F.coalesce(F.max("b"), F.lit(0)).alias("most")))
+    observed = F.format_string("%d of %d tiles above, largest %d bytes", F.col("bad"), F.col("n"), F.col("most"))
+    return got.select(*_row("tile_size_budget", scope, f"<= {budget_bytes} bytes a tile", observed,
+                            F.col("bad") == 0))
+
+
 def size_budget_check(lines: DataFrame, budget_bytes: int, scope: str,
                       text: str = "value") -> DataFrame:
-    got = lines.agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("b"))
+    got = lines.agg(F.coalesce(F.sum(line_bytes(text)), F.lit(0)).alias("b"))
     return got.select(*_row("output_size_budget", scope, f"< {budget_bytes} bytes",
                             F.format_string("%d bytes", F.col("b")), F.col("b") < budget_bytes))
 

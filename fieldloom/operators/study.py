@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ def exact_avg(column: str) -> Column:
     return F.avg(F.col(column).cast("decimal(20,12)")).cast("double")
 
 
-def usable(frame: DataFrame, valid_min: float = DEFAULTS.valid_frac_min) -> DataFrame:
+def usable(frame: DataFrame, valid_min: float | Column = DEFAULTS.valid_frac_min) -> DataFrame:
     ok = (F.col("pre").isNotNull() & F.col("post").isNotNull()
           & (F.col("pre_vf") >= valid_min) & (F.col("post_vf") >= valid_min))
     return frame.withColumn("usable", F.coalesce(ok, F.lit(False)))
@@ -55,11 +53,11 @@ def matched(frame: DataFrame, lat_band, lon_band=None, min_n: int = DEFAULTS.min
             .withColumn("did", F.col("delta") - F.col("ctrl_delta")))
 
 
-def did_table(match: DataFrame) -> DataFrame:
-    """Per class: n, means and the standard error of the mean, to 4 places
+def did_table(match: DataFrame, *by: str) -> DataFrame:
+    """Per class (and ``by``): n, means and the standard error of the mean, to 4 places
     (halves to even)."""
     r = lambda c: F.bround(c, 4)
-    return (match.groupBy("wind").agg(
+    return (match.groupBy(*by, "wind").agg(
         F.count(F.lit(1)).alias("fields"), r(exact_avg("delta")).alias("mean_delta"),
         r(exact_avg("ctrl_delta")).alias("mean_ctrl"), r(exact_avg("did")).alias("did"),
         r(F.try_divide(F.stddev_samp("did"), F.sqrt(F.count(F.lit(1))))).alias("did_se"))
@@ -68,13 +66,17 @@ def did_table(match: DataFrame) -> DataFrame:
 
 def sensitivity(frame: DataFrame, variants: dict[str, tuple[float, float]],
                 min_n: int = DEFAULTS.min_controls) -> DataFrame:
-    """Effect per class for each labelled (validity threshold, lat band); the
-    frame is computed once for all of them."""
-    base = materialize(frame.drop("usable"), "frame")
-    out = [did_table(matched(usable(base, valid_min), band, min_n=min_n))
-           .select(F.lit(name).alias("label"), "wind", "fields", "did")
-           for name, (valid_min, band) in variants.items()]
-    return reduce(DataFrame.unionByName, out)
+    """Effect per class for each labelled (validity threshold, lat band).  The variant is a
+    key of the match: all of them share one pass, whatever their number."""
+    plans = F.array(*[F.struct(F.lit(name).alias("variant"), F.lit(float(least)).alias("least"),
+                               F.lit(float(band)).alias("band")) for name, (least, band) in variants.items()])
+    cases = frame.drop("usable").select("*", F.inline(plans))
+    ok = materialize(usable(cases, F.col("least")).filter("usable"), "usable")
+    pairs = match_lat(ok.filter(F.col("wind") > 0), ok.filter(F.col("wind") == 0), F.col("band"), min_n,
+                      by=("variant",))
+    match = (pairs.filter(F.col("ctrl_delta").isNotNull())
+             .withColumn("did", F.col("delta") - F.col("ctrl_delta")))
+    return did_table(match, "variant").select(F.col("variant").alias("label"), "wind", "fields", "did")
 
 
 def monotonic(table: DataFrame) -> DataFrame:
