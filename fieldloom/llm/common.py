@@ -43,5 +43,10 @@ def document_key(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", text_hash(F.col("text")).alias("text_key"))
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns of ``docs`` in one struct), doc_id and row_key, the text's hash."""
+    return docs.select(F.struct("*").alias("row"), "doc_id", text_hash(F.col("text")).alias("row_key"))
+
+
 def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])

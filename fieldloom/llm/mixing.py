@@ -124,7 +124,11 @@ def mixture(docs: DataFrame, **budget) -> DataFrame:
 
 def emitted(docs: DataFrame, **budget) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it, with ``copy``
-    (from 1).  Texts are not moved."""
+    (from 1).  Texts are not moved.  Where ``docs`` has a column of that name, the number is
+    called ``copy_`` (with more underscores until the name is free)."""
+    name = "copy"
+    while name in map(str.lower, docs.columns):
+        name += "_"
     rows = docs.select(F.struct("*").alias("__row"), "doc_id", "source")
     taken = with_copies(rows, mixing_plan(sizes(docs), **budget)).filter("copies > 0")
-    return taken.select("__row.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return taken.select("__row.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(name))

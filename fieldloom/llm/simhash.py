@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.shared import materialize
 
-from .common import WORD, document_key, map_rows
+from .common import WORD, document_key, keyed_rows, map_rows
 from .components import components
 
 SHINGLE = 4
@@ -208,15 +208,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     chosen = grouped(prints).groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
     chosen = materialize(chosen.select(F.col("k.doc_id").alias("__id"), "k.text_key"), "kept")
-    rows = docs.withColumn("__key", F.xxhash64("text"))
+    rows = keyed_rows(docs)  # the caller's columns in one, so no name can clash
     kept = rows.join(chosen, F.col("__id").eqNullSafe(rows["doc_id"])
-                     & (chosen["text_key"] == rows["__key"]), "left_semi")
+                     & (chosen["text_key"] == rows["row_key"]), "left_semi")
     # repeated rows of a kept document: only where there are any, for they cost a shuffle
     again = (prints.groupBy("doc_id", "text_key").count().filter("count > 1")
              .withColumnRenamed("doc_id", "__id"))
     if again.isEmpty():
-        return kept.drop("__key")
-    hit = F.col("__id").eqNullSafe(kept["doc_id"]) & (again["text_key"] == kept["__key"])
+        return kept.select("row.*")
+    hit = F.col("__id").eqNullSafe(kept["doc_id"]) & (again["text_key"] == kept["row_key"])
     return (kept.join(again, hit, "left_anti")
-            .unionByName(kept.join(again, hit, "left_semi").dropDuplicates(["doc_id", "__key"]))
-            .drop("__key"))
+            .unionByName(kept.join(again, hit, "left_semi").dropDuplicates(["doc_id", "row_key"]))
+            .select("row.*"))

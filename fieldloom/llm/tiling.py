@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from fieldloom.shared import fits, materialize
 
-from .common import document_key, map_rows
+from .common import document_key, keyed_rows, map_rows
 
 WINDOW = 5
 COVERAGE = 0.5
@@ -147,6 +147,6 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, coverage: float = COV
     """The rows of ``docs`` that leak no item."""
     leaks = materialize(benchmark_hits(docs, benchmark, coverage)
                         .select(F.col("doc_id").alias("__id"), "text_key").distinct(), "leaks")
-    rows = docs.withColumn("__key", F.xxhash64("text"))
+    rows = keyed_rows(docs)
     return rows.join(leaks, F.col("__id").eqNullSafe(rows["doc_id"])
-                     & (leaks["text_key"] == rows["__key"]), "left_anti").drop("__key")
+                     & (leaks["text_key"] == rows["row_key"]), "left_anti").select("row.*")

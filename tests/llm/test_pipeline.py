@@ -50,3 +50,19 @@ def test_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, SF, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_columns_pass_through(spark, tmp_path):
+    """Names the stages use inside: same rows, and the caller's columns stay as they were."""
+    extra = ["copy", "__key", "__id", "__row", "row", "row_key", "text_key", "fp", "component", "seed", "copies", "kept"]
+    docs = table(spark, SF, "documents")
+    wide = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in extra])
+    wide.write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        table(spark, SF, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == [*wide.columns, "copy_"]
+    rows = got.collect()
+    assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in extra)
+    want = corpus_pipeline.run(spark, SF).collect()
+    assert sorted((r.doc_id, r.text, r.copy_) for r in rows) == sorted((r.doc_id, r.text, r.copy) for r in want)
