@@ -8,9 +8,10 @@ what their length can hold.  The kernel of two tokens is the product of these
 (hashed) features, so an insult keeps most of its value under gaps and insertions.
 
 Nystroem landmarks are tokens that single out labelled documents: distinct ones, each
-the farthest from those before it, until every witness is near one, however rare; so
-their number follows from the words found in the sample.  A linear machine
-on K(x, landmarks) K(landmarks, landmarks)^-1/2 is trained on labelled sentences'
+the farthest from the span of those before it, until every witness is near the span, however rare;
+so their number follows from the words found in the sample (``FACTOR_CELLS`` bounds it).  A linear
+machine on the Nystroem features (a pivoted Cholesky factor, whose rows have the same products as
+K(x, landmarks) K(landmarks, landmarks)^-1/2) is trained on labelled sentences'
 tokens: only documents are labelled, so the token that speaks most for a
 toxic document is its witness (with others that several documents share) and the
 strongest tokens of clean ones are the counter-examples, in a few rounds; witnesses
@@ -52,7 +53,8 @@ WINDOW, DECAY = 6, 0.6
 GAPS = [*combinations(range(1, WINDOW), 3), (2, 4, 6)]
 BITS = 18            # of the hashed feature numbers
 DIMS = 1 << BITS
-COVERED = 0.75       # cosine (in the kernel) to some landmark that every witness must reach
+COVERED = 0.75       # cosine (in the kernel) to the landmarks' span that every witness must reach
+FACTOR_CELLS = 48 << 20  # numbers (of four bytes) of the landmarks' factor on the driver, at most
 CLEAN_LANDMARKS = 32
 ROUNDS = 4
 WITNESSES = 3        # tokens a document may put forward in a round
@@ -167,13 +169,23 @@ def features(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def machine(x: np.ndarray, y: np.ndarray, times: np.ndarray, steps: int = 400, cost: float = 10.0) -> np.ndarray:
     """Weights and offset of a linear machine: squared hinge loss, rows counted
     ``times`` each, both classes weighing the same, by accelerated gradient steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
     share = times * np.where(y > 0, 0.5 / max(1, times[y > 0].sum()), 0.5 / max(1, times[y < 0].sum()))
-    rate = 1 / (1e-3 + 2 * cost * np.linalg.norm(x * np.sqrt(share)[:, None], 2) ** 2)
-    w, ahead, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
+
+    def forward(w: np.ndarray) -> np.ndarray:  # the last weight is the offset's
+        return x @ w[:-1].astype(x.dtype) + w[-1]
+
+    def back(r: np.ndarray) -> np.ndarray:
+        return np.append(r.astype(x.dtype) @ x, r.sum()).astype(float)
+
+    top = np.ones(x.shape[1] + 1)  # largest eigenvalue of the weighted products, by power steps
+    for _ in range(30):
+        top /= np.linalg.norm(top)
+        top = back(share * forward(top))
+    rate = 1 / (1e-3 + 2.2 * cost * float(np.linalg.norm(top)))
+    w, ahead, t = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), 1.0
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ ahead))
-        after = ahead - rate * (1e-3 * ahead - 2 * cost * (share * slack * y) @ x)
+        slack = np.maximum(0, 1 - y * forward(ahead))
+        after = ahead - rate * (1e-3 * ahead - 2 * cost * back(share * slack * y))
         t, before = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
         ahead, w = after + (before - 1) / t * (after - w), after
     return w
@@ -187,45 +199,80 @@ def disguised(token: bytes) -> list[bytes]:
             token[:1] + extra.join(inner[i:i + 1] for i in range(len(inner))) + token[-1:]]
 
 
+class Kernel:
+    """Columns of the tokens' kernel matrix, from lists of the tokens that hold each feature."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.of, self.feature, self.value = features(tokens)
+        self.n = len(tokens)
+        self.ends = np.searchsorted(self.of, np.arange(self.n + 1))
+        self.own = np.bincount(self.of, self.value ** 2, self.n)  # of each token with itself
+        order = np.argsort(self.feature, kind="stable")
+        self.held_of, self.held_value = self.of[order], self.value[order]
+        held, self.which = np.unique(self.feature, return_inverse=True)
+        self.lists = np.searchsorted(self.feature[order], np.append(held, DIMS))
+
+    def column(self, i: int) -> np.ndarray:
+        mine = slice(self.ends[i], self.ends[i + 1])
+        first, last = self.lists[self.which[mine]], self.lists[self.which[mine] + 1]
+        sizes = last - first
+        at = np.repeat(first - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        return np.bincount(self.held_of[at], self.held_value[at] * np.repeat(self.value[mine], sizes), self.n)
+
+
+def landmarks(kernel: Kernel, n: int, spread_out: list[int], cells: int = FACTOR_CELLS) -> tuple[list[int], np.ndarray]:
+    """Tokens chosen one by one, and the factor (tokens, chosen) whose rows have the
+    products of the Nystroem features: an incremental pivoted Cholesky factor.
+
+    First comes, again and again, the token of the first ``n`` that the span of those before holds
+    least of, until it holds ``COVERED`` ** 2 of each (or the factor has ``cells``
+    numbers); then those of ``spread_out`` that are not in the span already."""
+    most = max(1, cells // max(1, kernel.n))
+    factor = np.zeros((kernel.n, 64), np.float32)
+    left, chosen = kernel.own.copy(), []
+    scale_of = np.maximum(kernel.own, 1e-12)
+    # some tokens are too short for a feature
+    rest = list(spread_out)
+    while len(chosen) < most:
+        share = left[:n] / scale_of[:n]
+        share[kernel.own[:n] == 0] = 0
+        i = int(share.argmax()) if n else -1
+        if n == 0 or share[i] <= 1 - COVERED ** 2:
+            while rest and left[rest[0]] <= 1e-4 * scale_of[rest[0]]:
+                rest.pop(0)
+            if not rest:
+                break
+            i = rest.pop(0)
+        k = len(chosen)
+        if k == factor.shape[1]:
+            factor = np.hstack([factor, np.zeros((kernel.n, min(k, most - k)), np.float32)])
+        column = kernel.column(i) - factor[:, :k] @ factor[i, :k]
+        column /= math.sqrt(max(left[i], 1e-12))
+        factor[:, k] = column
+        left = np.maximum(left - column ** 2, 0)
+        left[i] = 0
+        chosen.append(i)
+    return chosen, factor[:, :len(chosen)]
+
+
 def nystroem_machine(positive: list[bytes], negative: list[bytes]) -> np.ndarray:
     """One weight per feature, of the machine trained on the tokens; a positive token
     given several times weighs as often."""
     support = Counter(positive)
     tokens, n = [*support, *negative], len(support)
-    of, feature, value = features(tokens)
-    ends = np.searchsorted(of, np.arange(len(tokens) + 1))
-    length = np.sqrt(np.bincount(of, value ** 2, len(tokens)))
-
-    def dense(i: int) -> np.ndarray:
-        mine = slice(ends[i], ends[i + 1])
-        return np.bincount(feature[mine], value[mine], DIMS)
-
-    def kernel(i: int) -> np.ndarray:
-        """Of a token with all tokens."""
-        return np.bincount(of, value * dense(i)[feature], len(tokens))
-
-    chosen, columns = [], []
-    near = np.where(length[:n] > 0, 0.0, 1.0)  # cosine to the nearest landmark; some tokens are too short for a feature
-    while near.min() < COVERED:
-        i = int(near.argmin())
-        chosen.append(i), columns.append(kernel(i))
-        near = np.maximum(near, columns[-1][:n] / np.maximum(length[i] * length[:n], 1e-12))
-        near[i] = 1.0
-    spread_out = np.unique(np.linspace(n, len(tokens) - 1, min(CLEAN_LANDMARKS, len(negative))).astype(int))
-    chosen += spread_out.tolist()
-    columns += [kernel(i) for i in spread_out]
-    x = np.stack(columns, axis=1)
-    values, vectors = np.linalg.eigh(x[chosen])
-    good = values > 1e-4 * values.max()
-    root = vectors[:, good] / np.sqrt(values[good])  # K(landmarks, landmarks)^-1/2, its null space cut
+    kernel = Kernel(tokens)
+    spread_out = np.unique(np.linspace(n, len(tokens) - 1, min(CLEAN_LANDMARKS, len(negative))).astype(int)).tolist()
+    chosen, factor = landmarks(kernel, n, spread_out)
     y = np.array([1.0] * n + [-1.0] * len(negative))
     times = np.array([*support.values()] + [1] * len(negative), float)
-    share = root @ machine(x @ root, y, times)[:-1]
+    found = machine(factor, y, times)[:-1]
+    # the factor's rows at the landmarks are triangular: back to shares of the landmarks
+    share = np.linalg.solve(np.tril(factor[chosen].astype(float)).T, found)
     # no other feature has a part in the kernel with a landmark
     weights = np.zeros(DIMS)
     for i, s in zip(chosen, share):
-        mine = slice(ends[i], ends[i + 1])
-        weights[feature[mine]] += s * value[mine]
+        mine = slice(kernel.ends[i], kernel.ends[i + 1])
+        weights[kernel.feature[mine]] += s * kernel.value[mine]
     return weights
 
 

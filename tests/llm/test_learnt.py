@@ -128,3 +128,64 @@ def test_codewords_differ():
     for n in (2, 3, 6, 7, 40):
         code = language.codewords(n)
         assert len({tuple(w) for w in code.tolist()}) == n
+
+
+def plain_features(token):
+    """Feature -> value of a token by walking over all places."""
+    out = {}
+    for i in range(len(token)):
+        for a, b, c in toxicity.GAPS:
+            if i + c < len(token):
+                code = token[i] << 18 | token[i + a] << 12 | token[i + b] << 6 | token[i + c]
+                f = (code * 2654435761 & 0xFFFFFFFF) >> (32 - toxicity.BITS)
+                out[f] = out.get(f, 0) + toxicity.DECAY ** (c + 1)
+    return {f: v / float(toxicity.scale(np.array([len(token)]))[0]) for f, v in out.items()}
+
+
+def test_kernel_and_machine_against_plain_versions():
+    """Kernel columns by walking; decisions as those of K(x, L) K(L, L)^-1/2 by eigenvectors."""
+    rnd = random.Random(9)
+    positive = [bytes([toxicity.EDGE, *(rnd.randint(1, 9) for _ in range(rnd.randint(1, 9))), toxicity.EDGE]) for _ in range(60)]
+    positive += positive[:20]
+    negative = sorted({bytes([toxicity.EDGE, *(rnd.randint(5, 20) for _ in range(rnd.randint(1, 9))), toxicity.EDGE])
+                       for _ in range(80)} - set(positive))
+    tokens = [*dict.fromkeys(positive), *negative]
+    n = len(tokens) - len(negative)
+    kernel = toxicity.Kernel(tokens)
+    plain = [plain_features(t) for t in tokens]
+    whole = np.array([[sum(v * b.get(f, 0) for f, v in a.items()) for b in plain] for a in plain])
+    assert np.allclose(np.stack([kernel.column(i) for i in range(len(tokens))]), whole)
+    spread = np.unique(np.linspace(n, len(tokens) - 1, min(toxicity.CLEAN_LANDMARKS, len(negative))).astype(int)).tolist()
+    chosen, factor = toxicity.landmarks(kernel, n, spread)
+    inner = whole[np.ix_(chosen, chosen)]
+    assert np.allclose(factor @ factor.T, whole[:, chosen] @ np.linalg.inv(inner) @ whole[chosen], atol=1e-3)
+    held = (factor ** 2).sum(axis=1)[:n]  # every witness near the span
+    assert (held >= toxicity.COVERED ** 2 * np.diag(whole)[:n] - 1e-5).all()
+    values, vectors = np.linalg.eigh(inner)
+    x = whole[:, chosen] @ (vectors / np.sqrt(values)) @ vectors.T
+    y = np.array([1.0] * n + [-1.0] * len(negative))
+    times = np.array([positive.count(t) for t in tokens[:n]] + [1] * len(negative), float)
+    direct = toxicity.machine(x, y, times)
+    weights = toxicity.nystroem_machine(positive, negative)
+    mine = np.array([sum(v * weights[f] for f, v in p.items()) for p in plain])
+    assert np.corrcoef(mine, x @ direct[:-1])[0, 1] > 0.98
+    assert (np.sign(mine[:n] + direct[-1]) > 0).mean() > 0.9
+
+
+def test_many_witnesses_fit_in_bounded_time_and_memory():
+    import time
+    import tracemalloc
+    rnd = random.Random(4)
+
+    def token():
+        return bytes([toxicity.EDGE, *(rnd.randint(1, 26) for _ in range(rnd.randint(5, 11))), toxicity.EDGE])
+
+    insults = [token() for _ in range(2000)]
+    tracemalloc.start()
+    start = time.perf_counter()
+    weights = toxicity.nystroem_machine(insults + [v for t in insults for v in toxicity.disguised(t)], [token() for _ in range(2000)])
+    took, peak = time.perf_counter() - start, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 90 and peak < 600e6 and (weights != 0).sum() > 10_000
+    few, factor = toxicity.landmarks(toxicity.Kernel(insults), len(insults), [], cells=200 * len(insults))
+    assert len(few) == 200 and factor.shape == (2000, 200)
