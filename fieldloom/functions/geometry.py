@@ -64,6 +64,27 @@ def _sign(poly: Column, ring: Column, i: Column) -> Column:
     return F.when((F.size(poly) == 1) | (around % 2 == 0), F.lit(1.0)).otherwise(F.lit(-1.0))
 
 
+def parts(poly) -> Column:
+    """The polygon's parts, each an outline and the holes right inside it, as
+    array<array<ring>>: a ring inside an even number of others is an outline."""
+    def grouped(poly: Column) -> Column:
+        def place(ring: Column, i: Column) -> Column:
+            x, y = (ring[0]["x"] + ring[1]["x"]) / 2, (ring[0]["y"] + ring[1]["y"]) / 2
+            around = F.aggregate(F.sequence(F.lit(0), F.size(poly) - 1), F.lit(0), lambda n, j: n + F.when(
+                (j != i) & edges_contain(_edges(F.get(poly, j)), x, y), 1).otherwise(0))
+            return F.struct(ring.alias("ring"), around.alias("depth"), x.alias("x"), y.alias("y"))
+
+        def part(o: Column, placed: Column) -> Column:
+            holes = F.filter(placed, lambda h: (h["depth"] == o["depth"] + 1)
+                             & edges_contain(_edges(o["ring"]), h["x"], h["y"]))
+            return F.concat(F.array(o["ring"]), F.transform(holes, lambda h: h["ring"]))
+
+        return let(F.transform(poly, place), lambda placed: F.transform(
+            F.filter(placed, lambda o: o["depth"] % 2 == 0), lambda o: part(o, placed)))
+
+    return let(_col(poly), lambda p: F.when(F.size(p) > 1, grouped(p)).when(p.isNotNull(), F.array(p)))
+
+
 def area(poly) -> Column:
     """Area of all parts without their holes."""
     return let(_col(poly), lambda p: F.aggregate(
@@ -221,15 +242,28 @@ def as_text(poly) -> Column:
     def ring_text(ring):
         pts = F.transform(ring, lambda p: F.concat(_number(p["x"]), F.lit(" "), _number(p["y"])))
         return F.concat(F.lit("("), F.array_join(pts, ", "), F.lit(")"))
-    return F.concat(F.lit("POLYGON ("), F.array_join(F.transform(_col(poly), ring_text), ", "),
-                    F.lit(")"))
 
+    def part_text(rings):
+        return F.concat(F.lit("("), F.array_join(F.transform(rings, ring_text), ", "), F.lit(")"))
+
+    return let(F.transform(parts(poly), part_text), lambda texts: F.when(
+        F.size(texts) == 1, F.concat(F.lit("POLYGON "), texts[0])).otherwise(
+        F.concat(F.lit("MULTIPOLYGON ("), F.array_join(texts, ", "), F.lit(")"))))
+
+
+def _positions(rings: Column) -> Column:
+    return F.transform(rings, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+
+
+def as_geojson(poly, whole) -> Column:
+    """JSON text of ``whole(geometry)``: the geometry is a struct<type, coordinates>, a
+    Polygon, or a MultiPolygon if there are several parts."""
+    def geometry(kind: str, coordinates: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
 
-def as_geojson(poly) -> Column:
-    """struct<type, coordinates> ready for ``to_json``."""
-    rings = F.transform(_col(poly), lambda ring: F.transform(
-        ring, lambda p: F.array(p["x"], p["y"])))
-    return F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates"))
+    return let(parts(poly), lambda p: F.when(
+        F.size(p) > 1, F.to_json(whole(geometry("MultiPolygon", F.transform(p, _positions))))).otherwise(
+        F.to_json(whole(geometry("Polygon", _positions(F.get(p, F.lit(0))))))))
 
 
 def utm_zone(lon) -> Column:

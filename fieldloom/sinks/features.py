@@ -10,9 +10,8 @@ from ..functions import scalars as S
 
 
 def feature_json(props: list[str], poly: str = "poly") -> Column:
-    return F.to_json(F.struct(F.lit("Feature").alias("type"),
-                              F.struct(*props).alias("properties"),
-                              G.as_geojson(poly).alias("geometry")))
+    return G.as_geojson(poly, lambda geometry: F.struct(
+        F.lit("Feature").alias("type"), F.struct(*props).alias("properties"), geometry.alias("geometry")))
 
 
 def feature_lines(df: DataFrame, props: list[str], poly: str = "poly") -> DataFrame:

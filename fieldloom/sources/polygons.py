@@ -105,17 +105,23 @@ def _decode(blobs: pa.Array) -> pa.Array:
 
 
 def _encode(polys: pa.Array) -> pa.Array:
-    rings = polys.values
+    """Polygons given as parts of rings: one part a polygon, more a multipolygon."""
+    parts = polys.values
+    rings = parts.values
     points = rings.values
     xy = np.column_stack([points.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
                          ).astype("<f8")
-    first, at = polys.offsets.to_numpy(), rings.offsets.to_numpy()
+    first, ring, at = polys.offsets.to_numpy(), parts.offsets.to_numpy(), rings.offsets.to_numpy()
+
+    def part(p: int) -> bytes:
+        out = [struct.pack("<BII", 1, 3, ring[p + 1] - ring[p])]
+        for r in range(ring[p], ring[p + 1]):
+            out += [struct.pack("<I", at[r + 1] - at[r]), xy[at[r]:at[r + 1]].tobytes()]
+        return b"".join(out)
 
     def one(k: int) -> bytes:
-        parts = [struct.pack("<BII", 1, 3, first[k + 1] - first[k])]
-        for r in range(first[k], first[k + 1]):
-            parts += [struct.pack("<I", at[r + 1] - at[r]), xy[at[r]:at[r + 1]].tobytes()]
-        return b"".join(parts)
+        found = [part(p) for p in range(first[k], first[k + 1])]
+        return found[0] if len(found) == 1 else struct.pack("<BII", 1, 6, len(found)) + b"".join(found)
 
     return pa.array([one(k) if ok else None for k, ok in enumerate(polys.is_valid().to_pylist())],
                     pa.binary())
@@ -127,8 +133,9 @@ def decode_wkb(df: DataFrame, wkb: str, out: str = "poly") -> DataFrame:
 
 
 def encode_wkb(df: DataFrame, poly: str, out: str = "geometry") -> DataFrame:
-    """Replace rings by little-endian WKB polygons."""
-    return _swap_column(df, poly, out, T.BinaryType(), _encode)
+    """Replace rings by little-endian WKB polygons, or multipolygons where there are
+    several parts."""
+    return _swap_column(df.withColumn(poly, G.parts(poly)), poly, out, T.BinaryType(), _encode)
 
 
 def read_wkb_polygons(spark: SparkSession, path: str, wkb: str = "geometry") -> DataFrame:
