@@ -58,14 +58,14 @@ def season_pivot(narrow: DataFrame, dekads: list[int],
 
 def season_wide(obs: DataFrame, season: Column, dekads: list[int],
                 valid_min: float = DEFAULTS.valid_frac_min) -> DataFrame:
-    """best_row and season_pivot in one aggregation, so with one shuffle of
-    at most one row per field and map task."""
-    row = F.struct("valid_frac", "mean_ndvi")
-    best = (obs.filter(F.col("season") == season).groupBy("field_id")
-            .agg(*[F.max(F.when(F.col("dekad") == d, row)).alias(f"b{d}") for d in dekads]))
-    return best.select("field_id", *[
-        S.quantise(F.col(f"b{d}.mean_ndvi"), F.col(f"b{d}.valid_frac"), valid_min=valid_min)
-        .alias(f"d{d}") for d in dekads])
+    """best_row, then its codes gathered into one map per field (a dekad is one row there, so a
+    field has as many entries as the season has periods) and laid out as columns: two narrow
+    aggregations, whatever the number of periods."""
+    code = S.quantise("mean_ndvi", "valid_frac", valid_min=valid_min)
+    entry = F.when(F.col("dekad").isin(dekads), F.struct("dekad", code.alias("q")))
+    codes = best_row(obs, season).groupBy("field_id").agg(F.map_from_entries(F.collect_list(entry)).alias("codes"))
+    return codes.select("field_id", *[
+        F.coalesce(F.try_element_at("codes", F.lit(d)), F.lit(255)).alias(f"d{d}") for d in dekads])
 
 
 def first_dates(obs: DataFrame, season: Column | None = None) -> DataFrame:
