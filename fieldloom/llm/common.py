@@ -33,6 +33,19 @@ def map_rows(df: DataFrame, fn: Callable[[dict], dict], ddl: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def broadcast_tables(spark: SparkSession, tables):
+    """Broadcast what an object holds (arrays, dictionaries): a broadcast is pickled by
+    reference to its class, which executors without the package could not find."""
+    return spark.sparkContext.broadcast(vars(tables))
+
+
+def revived(kind: type, shared):
+    """The object again, in a task; it shares what it holds with the broadcast."""
+    tables = object.__new__(kind)
+    tables.__dict__.update(shared.value)
+    return tables
+
+
 def text_hash(text: Column) -> Column:
     """Tells rows of one id apart that differ in text."""
     return F.xxhash64(text)

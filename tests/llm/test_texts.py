@@ -219,6 +219,38 @@ def test_large_benchmarks_are_shuffled(spark, documents, monkeypatch):
     assert sorted(map(tuple, QUERIES["op2_decontamination"](spark, "/root/testdata/sf0.001").collect())) == before
 
 
+def test_diagonals_equal_pairs():
+    rnd = random.Random(8)
+    for _ in range(60):
+        a, b = ([rnd.choice("ab") for _ in range(rnd.randint(5, 60))] for _ in range(2))
+        places = [np.array([i for i in range(len(a) - 4) if a[i:i + 5] == b[j:j + 5]], np.int64) for j in range(len(b) - 4)]
+        if not sum(map(len, places)):
+            continue
+        one = tiling.diagonal_runs(places)
+        two = tiling.pair_runs(np.concatenate(places), np.repeat(np.arange(len(places)), [len(p) for p in places]))
+        assert sorted(zip(*(x.tolist() for x in one))) == sorted(zip(*(x.tolist() for x in two)))
+        assert tiling.marked(*one) == tiling.marked(*two)
+
+
+def test_repetitive_text_tiles_in_bounded_memory(monkeypatch):
+    """A million times one word against items that repeat it: millions of seeds, few tiles."""
+    import tracemalloc
+    texts = ["ha " * 59 + "ha", "ho hi " * 30, "one two three four five six"]
+    found = [tiling.window_hashes(t, {}) for t in texts]
+    items = tiling.Items(np.repeat(np.arange(3), [len(x) for x in found]), np.concatenate([np.arange(len(x)) for x in found]),
+                         np.concatenate(found))
+    tracemalloc.start()
+    hashes = tiling.window_hashes("ha " * 1_000_000 + "hi ho " * 1000 + "one two three four five", {})
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    assert items.covered(hashes, 0.5) == [(0, 60, 60, 1), (1, 60, 60, 1), (2, 6, 5, 1)]
+    assert tracemalloc.get_traced_memory()[1] - before < 400e6
+    tracemalloc.stop()
+    monkeypatch.setattr(tiling, "PAIRS", 0)
+    short = tiling.window_hashes("ha " * 300 + "hi ho " * 100 + "one two three four five", {})
+    assert items.covered(short, 0.5) == [(0, 60, 60, 1), (1, 60, 60, 1), (2, 6, 5, 1)]
+
+
 # mixing ---------------------------------------------------------------------
 
 def test_mixing_query(spark):
