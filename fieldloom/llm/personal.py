@@ -1,9 +1,10 @@
 """Personal data: patterns propose, checksums confirm, context words adjust.
 
 Emails, network addresses, payment cards (Luhn) and phone numbers are always
-reported when pattern and check hold.  Account numbers (IBAN, mod-97) and national
-identity numbers are added when their score, raised or lowered by words nearby,
-reaches ``REPORT``.  Patterns are written so that a long text is read once: runs
+reported when pattern and check hold; words nearby change their score only.  Account numbers
+(IBAN: length by country, mod-97) and national identity numbers (that can exist) are added when
+their score reaches ``REPORT``: an identity number needs a word that speaks for it, an account number
+is left out beside a word that speaks against it and none for it.  Patterns are written so that a long text is read once: runs
 are entered at their start only and never backtracked.
 
 Defined results: a null or empty text has no spans; spans of different kinds may
@@ -29,18 +30,30 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)"
             r"(?![A-Za-z0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    # areas 000, 666 and 900 up, group 00 and serial 0000 are never given out
+    "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 QUICK = {"email": lambda t: F.contains(t, F.lit("@")), "phone": lambda t: F.contains(t, F.lit("+"))}
-#: score of a confirmed match, words that raise it, words that lower it
+#: score of a confirmed match, words that raise it, words that lower it (whole words)
 SCORES = {
-    "email": (0.8, "mail|contact|write to|courriel|correo", "noreply|no-reply"),
-    "ip": (0.5, r"\bip\b|address|host|server|client", "version|release|section"),
-    "card": (0.8, "card|visa|master|amex|credit|debit|karte|carte|tarjeta", "order|serial|isbn"),
-    "phone": (0.7, "phone|tel|call|fax|mobil", "id|ref"),
-    "iban": (0.8, "iban|account|bank|konto|compte|cuenta", "example"),
+    "email": (0.8, "e?-?mail|contact|write to|courriel|correo", "noreply|no-reply"),
+    "ip": (0.5, "ip|address|host|server|client", "version|release|section"),
+    "card": (0.8, "card|visa|mastercard|amex|credit|debit|karte|carte|tarjeta", "order|serial|isbn"),
+    "phone": (0.7, "(?:tele)?phone|tel|call|fax|mobile?", "id|ref"),
+    "iban": (0.6, "iban|account|bank|konto|compte|cuenta", "example|sample|dummy|test"),
     "ssn": (0.3, "ssn|social security|tax|identity", "order|part|serial"),
 }
+# fixed values: characters of an account number by country
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21,
+    "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30,
+    "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24,
+    "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 REPORT = 0.5
 ORDER = ("email", "phone", "card", "iban", "ip", "ssn")  # wider kinds are replaced first
 
@@ -60,7 +73,11 @@ def mod_97(found: Column) -> Column:
     rest = F.aggregate(F.split(turned, ""), F.lit(0), lambda acc, c: (
         acc * F.when(c.between("0", "9"), 10).otherwise(100)
         + F.coalesce(F.conv(c, 36, 10).cast("int"), F.lit(0))) % 97)
-    return (F.char_length(plain).between(15, 34)) & (rest == 1)
+    size = F.char_length(plain)
+    # of other countries any length the standard allows
+    lengths = F.create_map(*[F.lit(v) for kv in IBAN_LENGTHS.items() for v in kv])
+    fits = F.coalesce(size == F.try_element_at(lengths, F.left(plain, F.lit(2))), size.between(15, 34))
+    return fits & (rest == 1)
 
 
 def octets(found: Column) -> Column:
@@ -83,8 +100,8 @@ def confirmed(kind: str, found: Column) -> Column:
 def score(kind: str, before: Column, after: Column) -> Column:
     value, raises, lowers = SCORES[kind]
     near = F.lower(F.concat_ws(" ", before, after))
-    return (F.lit(value) + F.when(near.rlike(raises), F.lit(0.2)).otherwise(F.lit(0.0))
-            - F.when(near.rlike(lowers), F.lit(0.2)).otherwise(F.lit(0.0)))
+    return (F.lit(value) + F.when(near.rlike(rf"\b(?:{raises})\b"), F.lit(0.2)).otherwise(F.lit(0.0))
+            - F.when(near.rlike(rf"\b(?:{lowers})\b"), F.lit(0.2)).otherwise(F.lit(0.0)))
 
 
 def reported(kind: str, found: Column, before: Column, after: Column) -> Column:
@@ -115,7 +132,8 @@ def personal_digest(found: DataFrame) -> DataFrame:
     counts = [count_of(F.col("spans"), k).alias(f"n_{k}") for k in BASE]
     base = F.filter("spans", lambda s: s["rank"] < len(BASE))
     return found.select("doc_id", *counts, F.sha2(digest_text(base), 256).alias("base_sha256"),
-                        digest_text(F.col("spans")).alias("spans"))
+                        digest_text(F.col("spans")).alias("spans"),
+                        F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 1)), ",").alias("scores"))
 
 
 def redacted(docs: DataFrame) -> DataFrame:

@@ -109,6 +109,26 @@ def test_added_personal_kinds(documents):
     assert got == ["iban:12:34", "", "ssn:4:15", "", "iban:0:27"]
 
 
+def iban(country, body):
+    """With the check digits that make it 1 modulo 97."""
+    digits = "".join(str(int(c, 36)) for c in f"{body}{country}00")
+    return f"{country}{98 - int(digits) % 97:02d}{body}"
+
+
+def test_context_and_validity_decide(documents):
+    good, short, other = iban("DE", "370400440532013000"), iban("DE", "3704004405320130"), iban("ZZ", "37AB04CD44053201")
+    texts = [f"pay {good}", f"pay {short}", f"pay {other}", f"a dummy: {good}", f"dummy account: {good}", f"contested {good}",
+             "ssn 000-12-3456", "ssn 666-12-3456", "ssn 987-65-4321", "ssn 123-00-4567", "ssn 123-45-0000",
+             "tax 123-45-6789", "taxes 123-45-6789", "order tax 123-45-6789"]
+    rows = personal.personal_digest(personal.personal_data(documents(texts))).orderBy("doc_id").collect()
+    assert [bool(r.spans) for r in rows] == [True, False, True, False, True, True, *[False] * 5, True, False, False]
+    assert [r.scores for r in rows][:6] == ["0.6", "", "0.6", "", "0.6", "0.6"]
+    # words that only contain a listed one change nothing
+    near = personal.personal_digest(personal.personal_data(documents(
+        ["did +1 (988) 555-2485", "id +1 (988) 555-2485", "call +1 (988) 555-2485"]))).orderBy("doc_id").collect()
+    assert [r.scores for r in near] == ["0.7", "0.5", "0.9"] and all(r.n_phone == 1 for r in near)
+
+
 def test_weak_parts_need_company(documents):
     key = "Zm9vYmFyMTIzNDU2Nzg5MGFiY2RlZg12"
     far = " word" * 100
