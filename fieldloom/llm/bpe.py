@@ -18,6 +18,7 @@ columns are kept by ``encoded`` and ``decoded``, which add ``ids`` and ``decoded
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -29,16 +30,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import broadcast_tables, revived
+
 REMEMBERED = 1 << 18   # words of at most LONGEST_REMEMBERED bytes
 LONGEST_REMEMBERED = 64
 BATCH_WORDS = 1 << 19  # words gathered before the new ones are coded
+ROWS = 1 << 10         # texts worked on at once
 INDEXED = 1 << 12       # new words under one index: its lists stay in the processor's cache
 MOST_ENTRIES = 1 << 21  # vocabulary entries a broadcast may hold
-# the byte-level pattern; white space is Unicode's, without the separators 1C to 1F
-WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+# the byte-level pattern (letters and digits first: no alternative before them can match where
+# they do); white space is Unicode's, without the separators 1C to 1F
+WORDS = (r" ?\p{L}+| ?\p{N}+|'(?:s|t|re|ve|m|ll|d)| ?[^\p{White_Space}\p{L}\p{N}]+"
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 
+def narrow_words() -> re.Pattern:
+    """The same pattern for texts of code points below 256, with plain classes, which the
+    standard library's engine reads much faster."""
+    space, letter, digit = ("".join(re.escape(chr(c)) for c in range(256) if regex.fullmatch(kind, chr(c)))
+                            for kind in (r"\p{White_Space}", r"\p{L}", r"\p{N}"))
+    return re.compile(rf" ?[{letter}]+| ?[{digit}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{space}{letter}{digit}]+"
+                      rf"|[{space}]+(?![^{space}])|[{space}]+")
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte: printable ones for themselves, the
     others in order from 256."""
@@ -147,7 +161,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.words = regex.compile(WORDS)
+        self.words, self.narrow = regex.compile(WORDS), narrow_words()
         names = sorted(vocabulary.added, key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
         self.known = vocabulary.known
@@ -156,14 +170,19 @@ class Encoder:
         """Words and added tokens of a text, in order."""
         if not text:
             return []
+        try:
+            text.encode("latin-1")
+            words = self.narrow.findall
+        except UnicodeEncodeError:
+            words = self.words.findall
         if self.added is None or self.added.search(text) is None:
-            return self.words.findall(text)
+            return words(text)
         out, at = [], 0
         for m in self.added.finditer(text):
-            out += self.words.findall(text[at:m.start()])
+            out += words(text[at:m.start()])
             out.append(m.group())
             at = m.end()
-        return out + self.words.findall(text[at:])
+        return out + words(text[at:])
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         waiting: list[tuple[list[str], list]] = []
@@ -210,19 +229,20 @@ def with_column(df: DataFrame, name: str, kind: T.DataType, fn) -> DataFrame:
 
     def run(batches):
         step = fn()
-        for batch in batches:
-            columns = [*batch.columns, step(batch)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, name])
+        for whole in batches:
+            for at in range(0, max(1, whole.num_rows), ROWS):
+                batch = whole.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([*batch.columns, step(batch)], names=[*kept, name])
 
     return rows.mapInArrow(run, schema)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``ids`` (array of int) of ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = broadcast_tables(docs.sparkSession, Vocabulary(path))
 
     def start():
-        encoder = Encoder(shared.value)
+        encoder = Encoder(revived(Vocabulary, shared))
 
         def step(batch: pa.RecordBatch) -> pa.Array:
             ids = list(encoder.encode(batch.column(batch.schema.get_field_index("text")).to_pylist()))
@@ -238,10 +258,10 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
 def decoded(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` with ``decoded``, the text of their ``ids``; bytes that are no UTF-8 become
     replacement characters."""
-    shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(path).text)
 
     def start():
-        text = shared.value.text
+        text = shared.value
 
         def step(batch: pa.RecordBatch) -> pa.Array:
             ids = batch.column(batch.schema.get_field_index("ids"))

@@ -32,6 +32,17 @@ def test_ids_equal_the_library(library):
     assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_narrow_texts_are_cut_alike(library):
+    """Texts of code points below 256 take another engine: same words, same ids."""
+    rnd = random.Random(12)
+    texts = ["".join(chr(rnd.choice((rnd.randrange(256), rnd.randrange(32, 127), 32, 39))) for _ in range(rnd.randint(1, 60)))
+             for _ in range(4000)] + ["it's we'll I'D 'tis x'", " '", "\xa0\xa0a", "\x85 \x1c\x1d b", "½²a1"]
+    encoder = bpe.Encoder(bpe.Vocabulary(PATH))
+    assert all(encoder.narrow.findall(t) == encoder.words.findall(t) for t in texts)
+    assert [x.tolist() for x in encoder.encode(texts)] == [
+        e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_small_memory_and_batches_change_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 50)
     monkeypatch.setattr(bpe, "BATCH_WORDS", 30)
