@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -140,18 +141,19 @@ def decomposed(s: str, grams: dict[str, int], longest: int) -> tuple[list[tuple[
 
 def affected(s: str, kept: list[tuple[int, int]], read: list[int], inner: set[str], longest: int) -> int:
     """The most grams of ``kept`` that one edit between the borders can change."""
-    worst, last = 0, len(s) - 1
+    worst, last, starts = 0, len(s) - 1, [p for p, _ in kept]
     for i in range(1, last + 1):
-        before = sum(1 for p, _ in kept if p < i and read[p] >= i)
-        here = sum(1 for p, _ in kept if p == i)
+        at = bisect_left(starts, i)  # only grams that begin near the edit can be changed
+        before = sum(1 for p in starts[bisect_left(starts, i - longest):at] if read[p] >= i)
+        here = int(at < len(starts) and starts[at] == i)
         # replaced or deleted at i; inserted in front of i
-        edits = [(i, i, before)] + ([(i + 1, i + 1, before + here)] if i < last else [])
+        edits = [(at, i, before)] + ([(at + here, i + 1, before + here)] if i < last else [])
         for first, cut, n in edits:
-            for p, e in kept:
-                if p >= first:
-                    if e - cut >= longest or s[cut:e] not in inner:
-                        break
-                    n += 1
+            for k in range(first, len(kept)):
+                e = kept[k][1]
+                if e - cut >= longest or s[cut:e] not in inner:
+                    break
+                n += 1
             worst = max(worst, n)
     return worst
 
