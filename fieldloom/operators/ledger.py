@@ -53,11 +53,12 @@ def _ddl(df: DataFrame) -> str:
 
 
 def note(keys: DataFrame, path: str, run: str | None = None) -> None:
-    """Note ``keys`` as done."""
+    """Note ``keys`` as done.  The distinct keys are written by the tasks that found them:
+    there may be as many as the table has rows."""
     spark = keys.sparkSession
     now = generation(spark, path)
     folder = _at(path, "done", f"g={now}")
-    keys.distinct().coalesce(1).write.mode("overwrite").parquet(f"{folder}/{run or 'run=' + uuid.uuid4().hex}")
+    keys.distinct().write.mode("overwrite").parquet(f"{folder}/{run or 'run=' + uuid.uuid4().hex}")
     if len(_runs(spark, folder)) >= COMPACT:
         whole = done(spark, path, _ddl(keys)).distinct()
         whole.write.mode("overwrite").parquet(_at(path, "done", f"g={now + 1}", BASE))
@@ -86,7 +87,7 @@ def add(rows: DataFrame, keys: DataFrame, path: str, parts: list[str]) -> None:
     """Append ``rows`` and note ``keys``, the distinct keys the run worked on."""
     spark, run = rows.sparkSession, "run=" + uuid.uuid4().hex
     begun = _at(path, "begun", run)
-    keys.distinct().coalesce(1).write.parquet(begun)
+    keys.distinct().write.parquet(begun)
     sink.append(rows, path, parts)
     note(spark.read.parquet(begun), path, run)
     sink.remove(spark, begun)

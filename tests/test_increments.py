@@ -41,6 +41,23 @@ def test_the_ledger_is_read_not_the_table(spark, monkeypatch):
     assert spark.read.parquet(path).count() == 5 and len(held(spark, path)) == 4
 
 
+def test_many_keys_are_noted_by_many_tasks(spark):
+    path = shared_folder(spark, "manykeys")
+    many = spark.range(4000).select(F.date_add(F.lit(day(0)), (F.col("id") % 500).cast("int")).alias("date"),
+                                    F.floor(F.col("id") / 500).cast("int").alias("mgrs_tile"))
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ledger.adopt(many.union(many), path, KEYS)
+        noted = ledger.done(spark, path, "date date, mgrs_tile int")
+        assert len(noted.inputFiles()) > 1 and noted.count() == 4000
+        ledger.add(many.withColumn("v", F.lit(1)).limit(0), many, f"{path}-b", ["mgrs_tile"])
+        noted = ledger.done(spark, f"{path}-b", "date date, mgrs_tile int")
+        assert len(noted.inputFiles()) > 1 and noted.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+
+
 def test_a_key_without_rows_is_not_tried_again(spark):
     path, tried = shared_folder(spark, "norows"), []
     todo = spark.createDataFrame([(1, day(0), 1), (2, day(1), 1)], "scene_id int, date date, mgrs_tile int")
