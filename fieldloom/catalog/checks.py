@@ -27,12 +27,14 @@ def manifest(spark, sf):
 
 COVER_ROW = "SELECT " + row(
     "scenes_per_season_tile_min", "'>= 1 selected scenes per (season, tile)'",
-    "count(*) FILTER (n_selected < 1) || ' of ' || count(*) || ' rows failed'", "count(*) FILTER (n_selected < 1) = 0") + f" FROM ({COVERAGE})"
+    """CASE WHEN count(*) FILTER (n_selected < 1) = 0 THEN '0 of ' || count(*) || ' rows failed' ELSE
+  'missing: ' || string_agg(season || '/' || mgrs_tile, ', ' ORDER BY season || '/' || mgrs_tile)
+  FILTER (n_selected < 1) END""", "count(*) FILTER (n_selected < 1) = 0") + f" FROM ({COVERAGE})"
 
 
 @query("q1_coverage", "sel", COVER_ROW)
 def _(spark, sf):
-    return quality.coverage_check(scenes.coverage(manifest(spark, sf), SEASONS), "demo")
+    return quality.coverage_check(scenes.coverage(manifest(spark, sf), SEASONS), "demo", named=True)
 
 
 @query("q1_short_pairs", "sel", f"SELECT * FROM ({COVERAGE}) WHERE n_selected < 1")

@@ -25,11 +25,19 @@ def failed_of(bad: Column, total: Column) -> Column:
     return F.format_string("%d of %d rows failed", bad, total)
 
 
-def coverage_check(coverage: DataFrame, scope: str, minimum: int = DEFAULTS.min_scenes) -> DataFrame:
+def coverage_check(coverage: DataFrame, scope: str, minimum: int = DEFAULTS.min_scenes,
+                   named: bool = False) -> DataFrame:
     """Every expected (season, tile) has enough selected scenes; the row counts the short
-    ones, :func:`short_pairs` lists them."""
-    got = coverage.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_selected") < minimum).alias("bad"))
+    ones, or, if ``named``, names them all (their number is bounded by the scope);
+    :func:`short_pairs` lists them as rows."""
+    short = F.col("n_selected") < minimum
+    pair = F.concat(F.col("season"), F.lit("/"), F.col("mgrs_tile"))
+    names = [F.sort_array(F.collect_list(F.when(short, pair))).alias("names")] if named else []
+    got = coverage.agg(F.count(F.lit(1)).alias("n"), F.count_if(short).alias("bad"), *names)
     observed = failed_of(F.col("bad"), F.col("n"))
+    if named:  # a tile without a number has no name
+        listed = F.when(F.size("names") > 0, F.concat(F.lit("missing: "), F.array_join("names", ", ")))
+        observed = F.when(F.col("bad") == 0, observed).otherwise(listed)
     return got.select(*_row("scenes_per_season_tile_min", scope,
                             f">= {minimum} selected scenes per (season, tile)", observed,
                             F.col("bad") == 0))

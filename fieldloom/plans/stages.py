@@ -124,7 +124,7 @@ def quality_stage(manifest: DataFrame, obs: DataFrame, scope: str, seasons: list
     delta = [] if runs is None else [quality.delta_check(obs, runs, scope)]
     return quality.audit([
         quality.nonempty_scope_check(cover, scope),
-        quality.coverage_check(cover, scope),
+        quality.coverage_check(cover, scope, named=True),
         quality.table_checks(obs, scope, {"mean_ndvi": (-1.0, 1.0), "valid_frac": (0.0, 1.0)}),
         quality.unique_check(obs, scope, ["field_id", "date", "mgrs_tile"],
                              "field_ndvi_no_duplicate_field_date"),

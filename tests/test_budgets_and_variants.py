@@ -70,3 +70,21 @@ def test_metrics_count_partitions(spark, rows):
     df = spark.range(5).limit(rows).withColumn("p", F.when(F.col("id") < 3, F.col("id") % 2))
     row = run_with_metrics(df, lambda d: d.filter("id > 0"), shared_folder(spark, "m"), "x", "s", "p").first()
     assert (row.rows_in, row.rows_out, row.partitions) == ((5, 4, 2) if rows else (0, 0, 0))
+
+
+def test_the_audit_names_every_short_pair(spark):
+    cover = spark.createDataFrame([(1996, 1, 0), (1996, 2, 5), (1997, 10, 0), (1997, 9, 0), (1997, None, 0)],
+                                  "season int, mgrs_tile int, n_selected long")
+    row = quality.coverage_check(cover, "s", named=True).first()
+    assert row.observed == "missing: 1996/1, 1997/10, 1997/9" and not row.passed
+    assert quality.coverage_check(cover.filter("n_selected > 0"), "s", named=True).first().observed == "0 of 1 rows failed"
+    assert quality.coverage_check(cover.filter("mgrs_tile is null"), "s", named=True).first().observed is None
+
+
+def test_coverage_queries_name_the_short_pairs(spark, sf):
+    from fieldloom.catalog import QUERIES
+    short = sorted(f"{r.season}/{r.mgrs_tile}" for r in QUERIES["q1_short_pairs"](spark, sf).collect())
+    want = "missing: " + ", ".join(short)
+    assert short and QUERIES["q1_coverage"](spark, sf).first().observed == want
+    audit = QUERIES["q6_audit"](spark, sf).filter("check_name = 'scenes_per_season_tile_min'")
+    assert audit.first().observed == want
