@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import geometry as G
-from ..shared import materialize
+from ..shared import materialize, spread
 
 FAN = 4
 CROWDED = 16      # edges a border cell may hold before it is split below the wanted size
@@ -95,6 +95,56 @@ def cells_of(edges: np.ndarray, cell: float) -> tuple[np.ndarray, list[Cell]]:
     return edges, done
 
 
+def few(edges: np.ndarray, starts: np.ndarray, cell: float):
+    """The covers of all polygons of a batch that are no larger than a cell and have few edges,
+    in one go: which polygons these are, and the columns source, cx, cy, base, jumps (with the number
+    of each row's), edges (likewise).  The same cells as :func:`cells_of`."""
+    of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    slanted = edges[:, 1] != edges[:, 3]
+    edges, of = edges[slanted], of[slanted]
+    n = np.bincount(of, minlength=len(starts) - 1)
+    begin = np.concatenate([[0], np.cumsum(n)])[:-1]
+    some, flat = np.flatnonzero(n), edges.reshape(-1, 2, 2)
+    spans = [np.zeros((len(n), 2)), np.zeros((len(n), 2))]
+    most = np.zeros(len(n))
+    if len(some):
+        spans[0][some] = np.minimum.reduceat(flat.min(axis=1), begin[some])
+        spans[1][some] = np.maximum.reduceat(flat.max(axis=1), begin[some])
+        most[some] = np.maximum.reduceat(np.abs(edges).max(axis=1), begin[some])
+    low, high = spans
+    simple = (n <= CROWDED) & np.isfinite(most) & (~((high - low).max(axis=1) > cell))
+    i = np.flatnonzero(simple & (n > 0))
+    margin = MARGIN * most
+    first, last = (np.floor(v / cell).astype(np.int64) for v in (low[i] - margin[i, None], high[i] + margin[i, None]))
+    count = last - first + 1
+    many = count.prod(axis=1)
+    at = np.repeat(np.arange(len(i)), many)              # the polygon of each cell
+    k = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+    cx, cy, own = first[at, 0] + k % count[at, 0], first[at, 1] + k // count[at, 0], i[at]
+    to = np.repeat(np.arange(len(at)), n[own])           # the cell of each (cell, edge)
+    e = np.repeat(begin[own] - (np.cumsum(n[own]) - n[own]), n[own]) + np.arange(len(to))
+    ax, ay, bx, by = edges[e].T
+    half, mx, my = cell / 2 + margin[own], (cx + 0.5) * cell, (cy + 0.5) * cell
+    floor, top = my - half, my + half
+    half, mx, my = half[to], mx[to], my[to]
+    e_low, e_high = np.minimum(ay, by), np.maximum(ay, by)
+    rows = (e_low <= my + half) & (e_high >= my - half)
+    dx, dy = bx - ax, by - ay
+    reach = (rows & (np.minimum(ax, bx) <= mx + half) & (np.maximum(ax, bx) >= mx - half)
+             & (np.abs(dx * (my - ay) - dy * (mx - ax)) <= (np.abs(dx) + np.abs(dy)) * half))
+    y = (np.maximum(e_low, my - half) + np.minimum(e_high, my + half)) / 2
+    right = rows & ~reach & (ax + dx * (y - ay) / dy > mx)
+    ends, spot = np.concatenate([ay[right], by[right]]), np.concatenate([to[right], to[right]])
+    base = np.bincount(spot[ends <= floor[spot]], minlength=len(at)) % 2 == 1
+    inner = (ends > floor[spot]) & (ends <= top[spot])
+    pairs, times = np.unique(np.column_stack([spot[inner].astype(float), ends[inner]]), axis=0, return_counts=True)
+    pairs = pairs[times % 2 == 1]
+    n_jumps = np.bincount(pairs[:, 0].astype(np.int64), minlength=len(at))
+    n_edges = np.bincount(to[reach], minlength=len(at))
+    kept = base | (n_jumps > 0) | (n_edges > 0)  # what is dropped holds neither jumps nor edges
+    return simple, own[kept], cx[kept], cy[kept], base[kept], (pairs[:, 1], n_jumps[kept]), (edges[e[reach]], n_edges[kept])
+
+
 def flat_edges(edges: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Edges of all rows (ax, ay, bx, by) and where each row's begin; null rows hold none."""
     flat = edges.flatten()
@@ -103,36 +153,39 @@ def flat_edges(edges: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return np.column_stack(columns), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def list_array(parts: list[np.ndarray], values: pa.Array) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), values)
+def list_array(sizes: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
 
 
 def covered(polygons: DataFrame, cell: float, poly: str = "poly") -> DataFrame:
     """The other columns of ``polygons`` for each cell of the polygon's cover, as a stored
-    table; ``cell``: the size border cells are split down to."""
+    table; ``cell``: the size border cells are split down to.  The polygons are spread over all
+    cores first, and so is the table: a file of them is often a single split."""
     attrs = [c for c in polygons.columns if c != poly]
-    rows = polygons.select(*attrs, G.all_edges(poly).alias("__edges"))
+    rows = spread(polygons).select(*attrs, G.all_edges(poly).alias("__edges"))
     schema = T.StructType([*rows.select(*attrs).schema.fields, *T.StructType.fromDDL(COVER).fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             edges, starts = flat_edges(batch.column(batch.schema.get_field_index("__edges")))
-            source, cells, held = [], [], []
-            for i in range(batch.num_rows):
+            simple, source, cx, cy, base, (jumps, n_jumps), (held, n_held) = few(edges, starts, cell)
+            more, cells, others = [], [], []
+            for i in np.flatnonzero(~simple).tolist():
                 own, found = cells_of(edges[starts[i]:starts[i + 1]], cell)
-                source += [i] * len(found)
+                more += [i] * len(found)
                 cells += found
-                held += [own[c.index] for c in found]
-            flat = np.concatenate(held) if held else np.empty((0, 4))
-            jumps = [c.jumps for c in cells]
-            out = [batch.column(i).take(pa.array(source, pa.int64())) for i in range(len(attrs))] + [
-                pa.array([c.level for c in cells], pa.int32()), pa.array([c.cx for c in cells], pa.int64()),
-                pa.array([c.cy for c in cells], pa.int64()), pa.array([c.base for c in cells], pa.bool_()),
-                list_array(jumps, pa.array(np.concatenate(jumps) if jumps else np.empty(0))),
-                list_array(held, pa.StructArray.from_arrays([pa.array(flat[:, k].copy()) for k in range(4)],
-                                                            ["ax", "ay", "bx", "by"]))]
+                others += [own[c.index] for c in found]
+            put = lambda x, y: np.concatenate([x, np.array(y, x.dtype)])
+            flat = np.concatenate([held, *others])
+            out = [batch.column(i).take(pa.array(put(source, more))) for i in range(len(attrs))] + [
+                pa.array(put(np.zeros(len(source), np.int32), [c.level for c in cells])),
+                pa.array(put(cx, [c.cx for c in cells])), pa.array(put(cy, [c.cy for c in cells])),
+                pa.array(put(base, [c.base for c in cells])),
+                list_array(put(n_jumps, [len(c.jumps) for c in cells]),
+                           pa.array(np.concatenate([jumps, *[c.jumps for c in cells]]))),
+                list_array(put(n_held, [len(c.index) for c in cells]), pa.StructArray.from_arrays(
+                    [pa.array(flat[:, k].copy()) for k in range(4)], ["ax", "ay", "bx", "by"]))]
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(out, arrow)], schema=arrow)
 
     return materialize(rows.mapInArrow(run, schema), "cover")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from . import cover
 from .cover import FAN, flat_edges
-from .sweep import Outline, shared_area
+from .sweep import MANY, Outline, shared_area, shared_areas
 
 CELL = ["__level", "__cx", "__cy"]
 INNER = [*CELL, "__base", "__jumps", "__edges"]
@@ -49,24 +49,34 @@ def inside(points: DataFrame, regions: DataFrame, key: str, cell: float) -> Data
     return points.join(hits, key, "left_semi")
 
 
+TOGETHER = 512  # boxes whose few edges are swept at once
+
+
 def _shared_areas(cell: float):
     @F.arrow_udf(T.DoubleType())
     def areas(a: pa.Array, ja: pa.Array, ba: pa.Array, b: pa.Array, jb: pa.Array, bb: pa.Array,
               level: pa.Array, cx: pa.Array, cy: pa.Array) -> pa.Array:
         sides = []
         for edges, jumps, base in ((a, ja, ba), (b, jb, bb)):
-            flat, at = flat_edges(edges)
-            heights, to = jumps.flatten().to_numpy(zero_copy_only=False), np.concatenate(
-                [[0], np.cumsum(jumps.value_lengths().to_numpy())])
-            sides.append([Outline(flat[at[i]:at[i + 1]], heights[to[i]:to[i + 1]], odd)
-                          for i, odd in enumerate(base.to_pylist())])
-        out = []
-        for one, two, k, x, y in zip(*sides, level.to_pylist(), cx.to_pylist(), cy.to_pylist()):
-            size = cell * float(FAN) ** k
-            if any(map(len, (one.edges, two.edges, one.jumps, two.jumps))):
-                out.append(shared_area(one, two, x * size, y * size, (x + 1) * size, (y + 1) * size))
-            else:  # the cell lies wholly inside both
-                out.append(size * size)
+            to = np.concatenate([[0], np.cumsum(jumps.value_lengths().to_numpy())])
+            sides.append((*flat_edges(edges), jumps.flatten().to_numpy(zero_copy_only=False), to,
+                          base.to_numpy(zero_copy_only=False).astype(np.int64)))
+        size = cell * float(FAN) ** level.to_numpy().astype(float)
+        left, low = cx.to_numpy() * size, cy.to_numpy() * size
+        out = np.empty(len(size))
+        for s in range(0, len(out), TOGETHER):
+            here = slice(s, s + TOGETHER)
+            parts = [(f, at[s:s + TOGETHER + 1], h, to[s:s + TOGETHER + 1], odd[here]) for f, at, h, to, odd in sides]
+            sizes = [np.diff(p[k]) for p in parts for k in (1, 3)]
+            if max(int(n.max(initial=0)) for n in sizes) <= MANY:
+                out[here] = shared_areas(parts, left[here], low[here], size[here])
+            else:
+                out[here] = np.nan
+            empty = sum(sizes) == 0  # the cell lies wholly inside both
+            out[here][empty] = size[here][empty] ** 2
+        for i in np.flatnonzero(np.isnan(out)).tolist():  # many edges, or lines that cross
+            one, two = (Outline(f[at[i]:at[i + 1]], h[to[i]:to[i + 1]], bool(odd[i])) for f, at, h, to, odd in sides)
+            out[i] = shared_area(one, two, left[i], low[i], left[i] + size[i], low[i] + size[i])
         return pa.array(out, pa.float64())
     return areas
 

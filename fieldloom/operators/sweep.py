@@ -70,6 +70,60 @@ def _crossed(xb: np.ndarray, xt: np.ndarray, bits: np.ndarray, start: int, depth
     return area, first, edge
 
 
+MANY = 16         # edges of a side, or jumps, up to which boxes are worked on together
+
+
+def shared_areas(sides: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], left: np.ndarray,
+                 low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """:func:`shared_area` of many boxes, each with few edges, at once (nan: a box where lines
+    cross).  A side: edges of all boxes, where each box's begin, jumps likewise, bases."""
+    n = len(left)
+    right, high = left + size, low + size
+    e, bits, jumps = [], [], []
+    for k, (edges, at, heights, to, _) in enumerate(sides):
+        for values, begin, out, blank in ((edges, at, e, np.full(4, np.inf)), (heights, to, jumps, np.inf)):
+            count = np.diff(begin)
+            own, within = np.repeat(np.arange(n), count), np.arange(begin[-1] - begin[0]) - np.repeat(begin[:-1] - begin[0], count)
+            grid = np.empty((n, int(count.max(initial=0)), *np.shape(blank)))
+            grid[:] = blank
+            grid[own, within] = values[begin[0]:begin[-1]]
+            out.append(grid)
+        bits.append(np.full(e[k].shape[1], k + 1, np.uint8))
+    e.append(np.stack([np.stack([x, low, x, high], axis=1) for x in (left, right)], axis=1))
+    e, bits = np.concatenate(e, axis=1), np.concatenate([*bits, np.full(2, 4, np.uint8)])
+    y0, y1 = np.minimum(e[..., 1], e[..., 3]), np.maximum(e[..., 1], e[..., 3])
+    there = (y0 < high[:, None]) & (y1 > low[:, None]) & (y0 != y1)
+    up = e[..., 1] <= e[..., 3]
+    x0 = np.where(there, np.where(up, e[..., 0], e[..., 2]), 0.0)
+    x1 = np.where(there, np.where(up, e[..., 2], e[..., 0]), 0.0)
+    y0, y1 = (np.where(there, v, high[:, None] + 1) for v in (y0, y1))  # beyond all heights
+    slope = (x1 - x0) / np.where(there, y1 - y0, 1.0)
+    ys = np.concatenate([low[:, None], high[:, None], y0, y1, *jumps], axis=1)
+    ys = np.sort(np.where((ys >= low[:, None]) & (ys <= high[:, None]), ys, high[:, None]), axis=1)
+    bottom, top, middle = ys[:, :-1, None], ys[:, 1:, None], (ys[:, 1:, None] + ys[:, :-1, None]) / 2
+    start = sum(((j[:, None] <= middle).sum(axis=2) + s[4][:, None]) % 2 << k
+                for k, (j, s) in enumerate(zip(jumps, sides))).astype(np.uint8)
+    far = 2 * np.maximum(np.maximum(np.abs(left), np.abs(right)), np.maximum(np.abs(x0), np.abs(x1)).max(axis=1)) + 1
+    far, tiny = far[:, None, None], 1e-13
+    active = (y0[:, None] <= bottom) & (y1[:, None] >= top)
+
+    def place(y: np.ndarray) -> np.ndarray:
+        return np.where(active, x0[:, None] + slope[:, None] * (y - y0[:, None]), far)
+
+    xb, xt, xm = place(bottom), place(top), place(middle)
+    order = np.argsort(xm, axis=2, kind="stable")
+    own = np.where(active, bits, 0).astype(np.uint8)
+    begin = start ^ np.bitwise_xor.reduce(own & 3, axis=2)  # parity left of all edges
+    state = np.bitwise_xor.accumulate(np.take_along_axis(own, order, 2), axis=2) ^ begin[..., None]
+    widths = (np.diff(np.take_along_axis(xm, order, 2), axis=2) * (state[..., :-1] == 7)).sum(axis=2)
+    thick = (top - bottom)[..., 0]
+    area = (widths * thick).sum(axis=1)
+    for x in (xb, xt):
+        bent = (np.diff(np.take_along_axis(x, order, 2), axis=2) < -tiny * far).any(axis=2)
+        area[(bent & (thick > 0)).any(axis=1)] = np.nan
+    return area
+
+
 def shared_area(one: Outline, two: Outline, left: float, low: float, right: float, high: float) -> float:
     """Area inside the box, inside ``one`` and inside ``two``."""
     sides = np.array([[left, low, left, high], [right, low, right, high]])

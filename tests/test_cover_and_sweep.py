@@ -133,3 +133,49 @@ def test_broadcast_is_decided_by_bytes(spark):
     n = cells.count()
     assert sum(sizes.values()) > 1000 * n
     assert cover.hinted(cells, {0: cover.BROADCAST_BYTES + 1}) is cells and cover.hinted(cells, sizes) is not cells
+
+
+def batch_of(seed, n, spread):
+    rnd, parts = np.random.default_rng(seed), [np.empty((0, 4))]
+    for k in range(n):
+        p = rnd.uniform(-300, 300, 2) + rnd.uniform(-spread, spread, (rnd.integers(3, 7), 2))
+        p = np.round(p / 10) * 10 if k % 3 == 0 else p
+        parts.append(np.column_stack([p, np.roll(p, -1, axis=0)]))
+    return parts, np.concatenate([[0], np.cumsum([len(p) for p in parts])]), np.concatenate(parts)
+
+
+def test_small_covers_in_one_go_equal_those_one_by_one():
+    parts, starts, flat = batch_of(3, 300, 60)
+    simple, source, cx, cy, base, (jumps, n_jumps), (held, n_held) = cover.few(flat, starts, 100.0)
+    j, h, got = np.concatenate([[0], np.cumsum(n_jumps)]), np.concatenate([[0], np.cumsum(n_held)]), {}
+    for k, i in enumerate(source.tolist()):
+        got.setdefault(i, []).append((0, cx[k], cy[k], base[k], jumps[j[k]:j[k + 1]].tolist(), held[h[k]:h[k + 1]].tolist()))
+    assert 100 < simple.sum() < 301
+    for i in np.flatnonzero(simple).tolist():
+        own, cells = cover.cells_of(parts[i], 100.0)
+        assert sorted(got.get(i, [])) == sorted(
+            (c.level, c.cx, c.cy, c.base, c.jumps.tolist(), own[c.index].tolist()) for c in cells)
+
+
+def test_boxes_swept_together_equal_boxes_one_by_one():
+    from fieldloom.operators.sweep import shared_areas
+    (_, at, one), (_, to, two) = batch_of(5, 400, 90), batch_of(6, 400, 90)
+    one[at[200]:] = np.round(one[at[200]:] / 50) * 50
+    none, n = np.empty(0), len(at) - 1
+    odd = np.arange(n) % 2
+    left, low = np.full(n, -200.), np.full(n, -200.)
+    sides = [(one, at, none, np.zeros(n + 1, int), odd), (two, to, np.array([-50., 50.]), np.minimum(np.arange(n + 1), 2), 1 - odd)]
+    got = shared_areas(sides, left, low, np.full(n, 400.))
+    for i in range(n):
+        want = shared_area(*[Outline(e[a[i]:a[i + 1]], v[b[i]:b[i + 1]], bool(o[i])) for e, a, v, b, o in sides],
+                           -200., -200., 200., 200.)
+        assert np.isnan(got[i]) or got[i] == pytest.approx(want, abs=1e-6)
+    assert (got > 0).sum() > 20
+
+
+def test_polygons_of_one_split_are_covered_by_many_tasks(spark):
+    from fieldloom.functions import geometry as G
+    x = F.col("id") % 100 * 7
+    rows = spark.range(0, 2000, 1, 1).select("id", G.rectangle(x, x, x + 5, x + 5).alias("poly"))
+    out = cover.covered(rows, 100.0)
+    assert len(out.inputFiles()) > 1 and out.select("id").distinct().count() == 2000
