@@ -80,25 +80,38 @@ def tile_sums(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str
     return zonal.pair_stats(masks, needed)
 
 
+JOBS = 8  # of a run in batches: what a stop can lose
+
+
 def zonal_batches(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: DataFrame, path: str,
                   most: int, pixel_m2: float = 100.0, engine: str = "arrow") -> DataFrame:
-    """:func:`zonal_stage` in batches of about ``most`` bytes of tiles, one job each.
+    """:func:`zonal_stage` in batches of about ``most`` bytes of tiles, ``JOBS`` jobs at most
+    however many batches there are: a job takes its share of them in a row.
 
-    A batch leaves its (tile, field) sums in a folder of its own under ``path`` and is passed
-    over when that is there, so a run that was stopped goes on where it was.  A field
+    A job leaves its (tile, field) sums in a folder under ``path`` that names its batches, and
+    these are passed over when it is there, so a run that was stopped goes on where it was.  A field
     may lie in tiles of several batches: the roll-up comes last, over all sums."""
     spark = tiles.sparkSession
     plan = materialize(incremental.batch_plan(tiles, most), "batches")
     last = plan.agg(F.max("batch")).first()[0]
-    for k in range(0 if last is None else last + 1):
-        folder = f"{path}/batch={k}"
-        if sink.exists(spark, f"{folder}/_SUCCESS"):
-            continue
-        part = sized_join(tiles, plan.filter(F.col("batch") == k).drop("batch"), incremental.BATCHED, "left_semi")
-        tile_sums(part, grids, masks, engine).write.mode("overwrite").parquet(folder)
     if last is None:
         return zonal_stage(tiles, meta, grids, masks, pixel_m2, engine)
-    return zonal.roll_up(spark.read.parquet(path).drop("batch"), meta, pixel_m2)
+    held = [tuple(map(int, n[6:].split("-"))) for n in sink.children(spark, path) if n.startswith("batch=")
+            and sink.exists(spark, f"{path}/{n}/_SUCCESS")]
+    share, k = -(-(last + 1) // JOBS), 0
+    while k <= last:
+        if through := [b for a, b in held if a <= k <= b]:
+            k = through[0] + 1
+            continue
+        end = min([k + share - 1, last, *[a - 1 for a, _ in held if a > k]])
+        part = sized_join(tiles, plan.filter(F.col("batch").between(k, end)).drop("batch"), incremental.BATCHED,
+                          "left_semi")
+        tile_sums(part, grids, masks, engine).write.mode("overwrite").parquet(f"{path}/batch={k}-{end}")
+        held.append((k, end))
+        k = end + 1
+    # what a stopped job left is not read
+    whole = [f"{path}/batch={a}-{b}" for a, b in held]
+    return zonal.roll_up(spark.read.parquet(*whole), meta, pixel_m2)
 
 
 def publish_stage(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: Column,

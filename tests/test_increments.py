@@ -163,6 +163,31 @@ def test_a_stopped_batch_run_goes_on(spark, sf, monkeypatch):
     assert r(got) == r(want) and got.count() > 0 and zonal
 
 
+def test_many_batches_take_few_jobs(spark, sf, monkeypatch):
+    from fieldloom import fixtures as fx
+    from fieldloom.catalog.zonal_parts import scene_grid
+    from fieldloom.functions import geometry as G
+    from fieldloom.plans import stages
+    from fieldloom.shared import materialize
+    fields = fx.fields(spark, sf).withColumn("epsg", F.lit(fx.EPSG)).withColumn("area_m2", G.area("poly"))
+    tiles, meta, grids = fx.tiles(spark, sf), fx.tile_meta(spark, sf), scene_grid(spark, sf)
+    masks = materialize(stages.zone_raster(grids, fields, fx.TILE_PX, 0.0, fx.CELL), "masks")
+    jobs, whole, path = [], stages.tile_sums, shared_folder(spark, "fewjobs")
+
+    def watched(part, *args):
+        jobs.append(part.count())
+        return whole(part, *args)
+
+    monkeypatch.setattr(stages, "tile_sums", watched)
+    n = tiles.count()
+    got = stages.zonal_batches(tiles, meta, grids, masks, path, 64 * 12)  # a batch holds one tile
+    assert n > 3 * stages.JOBS and len(jobs) <= stages.JOBS and sum(jobs) == n
+    assert stages.zonal_batches(tiles, meta, grids, masks, path, 64 * 12).count() == got.count() and sum(jobs) == n
+    monkeypatch.setattr(stages, "tile_sums", whole)
+    r = lambda df: sorted((x.field_id, x.date, x.valid_px, round(x.mean_ndvi, 9)) for x in df.collect())
+    assert r(got) == r(stages.zonal_stage(tiles, meta, grids, masks)) and got.count() > 0
+
+
 def test_arrivals_are_first_copy_or_late(spark):
     drop, out, mark = (shared_folder(spark, f"kinds-{x}") for x in ("drop", "out", "mark"))
     schema = "event_id int, ts timestamp, value int"
