@@ -67,7 +67,7 @@ def _(spark, sf):
 def _(spark, sf):
     grids = scene_grid(spark, sf)
     spots = assigned(spark, sf, grids=grids)
-    masks = grid.field_pixels(spots, fx.TILE_PX).select("grid_id", "x", "y", "field_id", "runs")
+    masks = materialize(grid.field_pixels(spots, fx.TILE_PX).select("grid_id", "x", "y", "field_id", "runs"), "masks")
     ones = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "w",
                                          F.transform("scl", lambda v: F.lit(1.0)).alias("one"))
     return zonal.pair_stats(masks, ones, "one").select(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions import raster as R
 from ..operators import grid, zonal
+from ..shared import materialize
 from .base import query
 from .zonal_parts import assigned, pairs, scene_grid, scene_tiles
 
@@ -77,7 +78,7 @@ def _(spark, sf):
 def _(spark, sf):
     grids = scene_grid(spark, sf)
     tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "ndvi")
-    stats = zonal.pixel_stats(tiles, assigned(spark, sf, True, grids), fx.TILE_PX)
+    stats = zonal.pixel_stats(tiles, materialize(assigned(spark, sf, True, grids), "spots"), fx.TILE_PX)
     return stats.select("scene_id", "field_id", "x", "y", F.col("count").alias("n"),
                         r6("sum").alias("total"))
 
@@ -114,5 +115,5 @@ def _(spark, sf):
     grids = scene_grid(spark, sf)
     dem = scene_tiles(spark, sf, grids).withColumn("data", F.col("red").cast("array<double>"))
     spots = assigned(spark, sf, True, grids)
-    out = zonal.terrain(dem, grid.field_pixels(spots, fx.TILE_PX))
+    out = zonal.terrain(dem, materialize(grid.field_pixels(spots, fx.TILE_PX), "masks"))
     return out.select("scene_id", "field_id", "n", r6("elev").alias("elev"), r6("slope").alias("slope"))

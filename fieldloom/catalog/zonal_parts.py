@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions import raster as R
 from ..operators import grid, zonal
+from ..shared import materialize
 
 
 def scene_grid(spark: SparkSession, sf: str) -> DataFrame:
@@ -39,4 +40,4 @@ def pairs(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
     grids = scene_grid(spark, sf)
     spots = assigned(spark, sf, ell, grids)
     tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "w", "ndvi")
-    return zonal.pair_stats(grid.field_pixels(spots, fx.TILE_PX), tiles)
+    return zonal.pair_stats(materialize(grid.field_pixels(spots, fx.TILE_PX), "masks"), tiles)

@@ -11,7 +11,7 @@ from ..contracts import SCL_MASKED
 from ..functions import geometry as G
 from ..functions import raster as R
 from ..functions import scalars as S
-from ..shared import sized_join
+from ..shared import materialize, sized_join
 
 TILE = ["scene_id", "x", "y"]
 SPOT = ["grid_id", "x", "y"]
@@ -74,15 +74,42 @@ def run_sums(sums: str, width: Column, runs: str = "runs") -> Column:
     return F.aggregate(runs, start, add)
 
 
+FIELDS_EACH, TILES_EACH = 1024, 512  # of a spot, that meet in one slice
+
+
+def sliced(masks: DataFrame, tiles: DataFrame) -> DataFrame:
+    """``masks`` joined with ``tiles`` by SPOT, in slices of bounded pairs.
+
+    All scenes of a spot meet all its fields, so a narrow input gives very many pairs, which
+    the size of the input doesn't show.  A spot's fields and its tiles are dealt over slices, every slice of
+    the one meets every slice of the other, and there are as many tasks as slices.  ``masks`` is
+    read twice: it should be stored."""
+    spark = masks.sparkSession
+    count = lambda df, n: df.groupBy(*SPOT).agg(F.count(F.lit(1)).alias(n))
+    plan = materialize(count(masks, "f").join(count(tiles, "t"), SPOT).select(
+        *SPOT, F.ceil(F.col("f") / FIELDS_EACH).alias("__fs"), F.ceil(F.col("t") / TILES_EACH).alias("__ts")), "slices")
+    total = plan.agg(F.sum(F.col("__fs") * F.col("__ts"))).first()[0] or 1
+    n = max(min(total, MOST_TASKS), spark.sparkContext.defaultParallelism)
+    deal = lambda key, k: F.pmod(F.xxhash64(key), F.col(k))
+    each = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(k) - 1))
+    one = (sized_join(masks, plan, SPOT).withColumn("__f", deal("field_id", "__fs")).withColumn("__t", each("__ts")))
+    two = (sized_join(tiles, plan, SPOT).withColumn("__t", deal("scene_id", "__ts")).withColumn("__f", each("__fs")))
+    on = [*SPOT, "__f", "__t"]
+    one, two = (df.drop("__fs", "__ts").repartition(n, *on) for df in (one, two))
+    return one.join(two, on).drop("__f", "__t")
+
+
+MOST_TASKS = 20_000
+
+
 def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi") -> DataFrame:
     """Sum and count of the valid pixels of every (tile, field) pair.
 
     ``masks``: SPOT, field_id, runs;  ``tiles``: SPOT, scene_id, w, value array
     (null = not valid).  Running sums along the tile's rows are made once per tile; a field
-    reads them at the ends of its runs, inside the join's own stage.  Adaptive execution splits
-    a spot that holds very many fields over several tasks."""
+    reads them at the ends of its runs, inside the join's own stage (see :func:`sliced`)."""
     summed = tiles.withColumn(value, R.row_sums(value, "w"))
-    pairs = masks.join(summed, SPOT)
+    pairs = sliced(masks, summed)
     kept = [c for c in pairs.columns if c not in ("runs", "w", value)]
     return (pairs.select(*kept, G.keep_if(run_sums(value, F.col("w")), lambda st: st["n"] > 0).alias("st"))
             .select(*kept, F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
@@ -94,9 +121,9 @@ def pixel_stats(tiles: DataFrame, assigned: DataFrame, tile_px: int,
     the assigned polygons and tested one by one.  Parity check for
     :func:`pair_stats`; it tests every pixel again for each scene."""
     px = F.col("stride") / tile_px
-    pixels = (tiles.select("scene_id", *SPOT, F.posexplode("ndvi").alias("at", "v"))
-              .filter(F.col("v").isNotNull()))
-    pairs = pixels.join(assigned, SPOT)
+    met = sliced(assigned, tiles.select("scene_id", *SPOT, "ndvi"))
+    pairs = (met.select(*[c for c in met.columns if c != "ndvi"], F.posexplode("ndvi").alias("at", "v"))
+             .filter(F.col("v").isNotNull()))
     px_x = F.col("x0") + F.col("x") * F.col("stride") + (F.col("at") % tile_px + 0.5) * px
     px_y = (F.col("y0") - F.col("y") * F.col("stride")
             - (F.floor(F.col("at") / tile_px) + 0.5) * px)
@@ -181,7 +208,7 @@ def terrain(dem: DataFrame, masks: DataFrame) -> DataFrame:
     ``dem``: elevation tiles with SPOT, w, h, scale_x and ``data``."""
     tiles = slope_per_tile(dem).select("scene_id", *SPOT, "w", R.row_sums("data", "w").alias("data"),
                                        R.row_sums("slope", "w").alias("slope"))
-    stats = masks.join(tiles, SPOT).select("scene_id", "field_id", run_sums("data", F.col("w")).alias("e"),
+    stats = sliced(masks, tiles).select("scene_id", "field_id", run_sums("data", F.col("w")).alias("e"),
                                            run_sums("slope", F.col("w")).alias("s"))
     return stats.groupBy("scene_id", "field_id").agg(
         F.sum("e.n").alias("n"), (F.sum("e.s") / F.sum("e.n")).alias("elev"),

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fieldloom.shared import materialize
+
 from fieldloom import shared
 
 
@@ -37,3 +39,18 @@ def test_shared_folder_follows_the_session(spark):
     a, b = (shared.shared_folder(spark, "t") for _ in range(2))
     assert a != b and a.startswith(root.rstrip("/"))
     assert shared.materialize(spark.range(3).toDF("a"), "t").count() == 3
+
+
+def test_one_spot_of_many_fields_and_scenes_takes_many_tasks(spark, monkeypatch):
+    from fieldloom.operators import zonal
+    for name, n in (("FIELDS_EACH", 8), ("TILES_EACH", 4)):
+        monkeypatch.setattr(zonal, name, n)
+    spot = [F.lit(0).alias("grid_id"), F.lit(1).alias("x"), F.lit(2).alias("y")]
+    run = F.struct((F.col("id") % 2).cast("int").alias("row"), F.lit(0).alias("first"), F.lit(1).alias("last"))
+    masks = materialize(spark.range(0, 60, 1, 1).select(*spot, F.col("id").alias("field_id"), F.array(run).alias("runs")), "m")
+    tiles = materialize(spark.range(0, 30, 1, 1).select(*spot, F.col("id").alias("scene_id"), F.lit(2).alias("w"), F.array(
+        *[F.col("id").cast("double") + k for k in range(4)]).alias("ndvi")), "t")
+    got = zonal.pair_stats(masks, tiles).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in got}) > 4
+    want = sorted((s, f, 2.0 * s + (5 if f % 2 else 1), 2) for s in range(30) for f in range(60))
+    assert sorted((r.scene_id, r.field_id, r["sum"], r["count"]) for r in got) == want
