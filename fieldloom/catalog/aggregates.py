@@ -11,7 +11,7 @@ from ..sources import tables
 from .base import DEKADS, DID, query
 from .joins import frame
 from .sources import RUNS_SQL, runs
-from .zonal_parts import assigned, pairs, scene_grid
+from .zonal_parts import assigned, index_tiles, scene_grid, stored_masks
 
 
 OBS = fx.observations
@@ -35,7 +35,9 @@ ROLLED = """SELECT field_id, date, dekad, season, mgrs_tile,
 
 @query("a1_zonal_rollup", "px fl meta", ROLLED)
 def _(spark, sf):
-    rolled = zonal.roll_up(pairs(spark, sf), fx.tile_meta(spark, sf), fx.PIXEL ** 2)
+    grids = scene_grid(spark, sf)
+    rolled = zonal.observe(stored_masks(spark, sf, grids), index_tiles(spark, sf, grids), fx.tile_meta(spark, sf),
+                           "ndvi", fx.PIXEL ** 2)
     return rolled.withColumn("mean_ndvi", r6("mean_ndvi")).withColumn("valid_frac", r6("valid_frac"))
 
 

@@ -35,9 +35,17 @@ def scene_tiles(spark: SparkSession, sf: str, grids: DataFrame | None = None) ->
     return named.withColumn("ndvi", R.tile_ndvi("red", "nir", "scl"))
 
 
+def stored_masks(spark: SparkSession, sf: str, grids: DataFrame, ell: bool = False) -> DataFrame:
+    """Zone raster of :func:`assigned`."""
+    return materialize(grid.field_pixels(assigned(spark, sf, ell, grids), fx.TILE_PX), "masks")
+
+
+def index_tiles(spark: SparkSession, sf: str, grids: DataFrame) -> DataFrame:
+    """What the zonal statistics need of :func:`scene_tiles`."""
+    return scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "w", "ndvi")
+
+
 def pairs(spark: SparkSession, sf: str, ell: bool = False) -> DataFrame:
     """Per (scene, tile, field) sum and count of the valid pixels."""
     grids = scene_grid(spark, sf)
-    spots = assigned(spark, sf, ell, grids)
-    tiles = scene_tiles(spark, sf, grids).select("scene_id", *zonal.SPOT, "w", "ndvi")
-    return zonal.pair_stats(materialize(grid.field_pixels(spots, fx.TILE_PX), "masks"), tiles)
+    return zonal.pair_stats(stored_masks(spark, sf, grids, ell), index_tiles(spark, sf, grids))

@@ -11,7 +11,7 @@ from ..contracts import SCL_MASKED
 from ..functions import geometry as G
 from ..functions import raster as R
 from ..functions import scalars as S
-from ..shared import materialize, sized_join
+from ..shared import cores, materialize, sized_join
 
 TILE = ["scene_id", "x", "y"]
 SPOT = ["grid_id", "x", "y"]
@@ -138,16 +138,24 @@ def pixel_stats(tiles: DataFrame, assigned: DataFrame, tile_px: int,
             .agg(F.sum("v").alias("sum"), F.count(F.lit(1)).alias("count")))
 
 
+OBSERVED = ["date", "dekad", "season", "mgrs_tile", "epsg"]
+
+
 def roll_up(pairs: DataFrame, meta: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
     """Pairs -> one row per field and scene date, with validity.
 
     ``meta``: scene_id, mgrs_tile, date, dekad, season, epsg."""
     # scene attributes are added in place when the manifest fits a broadcast,
     # so that the observation key below is the only shuffle
-    seen = sized_join(pairs, meta, ["scene_id"])
+    return _rolled(sized_join(pairs, meta, ["scene_id"]), [], pixel_m2)
+
+
+def _rolled(seen: DataFrame, dealt: list[str], pixel_m2: float) -> DataFrame:
+    """``dealt``: columns by which the rows are partitioned and that a field and date have once;
+    with them in the key nothing is shuffled."""
     total = F.struct(F.sum("sum").alias("value"), F.sum("count").alias("pixels"),
                      F.min("scene_id").alias("scene"), F.max("area_m2").alias("area"))
-    obs = seen.groupBy("field_id", "date", "dekad", "season", "mgrs_tile", "epsg").agg(total.alias("a"))
+    obs = seen.groupBy(*dealt, "field_id", *OBSERVED).agg(total.alias("a"))
     measured = obs.select(
         "field_id", "date", "dekad", "season", "mgrs_tile", F.col("a.scene").alias("scene_id"),
         (F.col("a.value") / F.col("a.pixels")).alias("mean_ndvi"),
@@ -156,6 +164,88 @@ def roll_up(pairs: DataFrame, meta: DataFrame, pixel_m2: float = 100.0) -> DataF
     return with_validity(measured, pixel_m2).drop("area_m2")
 
 
+BOX = ["grid_id", "__x0", "__y0", "__x1", "__y1"]  # a block of spots
+BLOCK_FIELDS, BLOCK_TILES = 4096, 128  # of a block, that meet in one slice
+SPOTS = 16        # of a block; mask rows of a field in it
+PAIR_BYTES = 128  # of a pair's row in a shuffle
+
+
+def observe(masks: DataFrame, tiles: DataFrame, meta: DataFrame, value: str = "ndvi",
+            pixel_m2: float = 100.0) -> DataFrame:
+    """:func:`roll_up` of :func:`pair_stats`, whose pairs stay where they are made.
+
+    There are as many observations as fields times scenes.  Fields that span the same block of spots
+    meet all tiles of the block there, dealt by field and by date, so an observation is complete in its slice
+    and the tiles travel instead: worth it where a block has many fields.  The others (few in their block,
+    over several grids, very large) go by pairs.  ``masks`` (with area_m2) should be stored."""
+    masks = masks.dropna(subset=SPOT)
+    blocks = _blocks(masks, tiles, value)
+    if blocks is None:
+        return roll_up(pair_stats(masks, tiles, value), meta, pixel_m2)
+    boxes, chosen, tasks, whole = blocks
+    picked = boxes.join(F.broadcast(chosen), BOX).withColumnRenamed("field_id", "__field").drop("grid_id")
+    own = F.col("field_id").eqNullSafe(F.col("__field"))
+    marks = (masks.join(picked, own).withColumn("__f", F.pmod(F.xxhash64("field_id"), "__fs"))
+             .withColumn("__t", F.explode(_numbers("__ts"))))
+    cells = chosen.withColumn("x", F.explode(F.sequence("__x0", "__x1"))).withColumn(
+        "y", F.explode(F.sequence("__y0", "__y1")))
+    seen = sized_join(tiles.select("scene_id", *SPOT, "w", R.row_sums(value, "w").alias("sums")),
+                      meta.select("scene_id", *OBSERVED), ["scene_id"])
+    spots = (seen.join(F.broadcast(cells), SPOT).withColumn("__t", F.pmod(F.xxhash64(*OBSERVED), "__ts"))
+             .withColumn("__f", F.explode(_numbers("__fs"))))
+    dealt = [*BOX, "__f", "__t"]
+    one = marks.select(*dealt, "x", "y", "field_id", "area_m2", "runs").repartition(tasks, *dealt)
+    two = spots.select(*dealt, F.col("x").alias("__x"), F.col("y").alias("__y"), "scene_id", *OBSERVED, "w", "sums").repartition(
+        tasks, *dealt)
+    # not equal keys: the slices are partitioned without the spot, and stay so for the roll-up
+    same = F.col("x").between(F.col("__x"), F.col("__x")) & F.col("y").between(F.col("__y"), F.col("__y"))
+    pairs = (one.alias("one").join(two.alias("two"), [F.col(f"one.{c}") == F.col(f"two.{c}") for c in dealt] + [same])
+             .select(*[f"one.{c}" for c in dealt], "field_id", "area_m2", "scene_id", *OBSERVED, G.keep_if(
+                 run_sums("sums", F.col("w")), lambda st: st["n"] > 0).alias("st"))
+             .select("*", F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
+    rolled = _rolled(pairs, dealt, pixel_m2)
+    if whole:
+        return rolled
+    rest = materialize(masks.join(picked, own, "left_anti"), "masks")
+    return rolled.unionByName(roll_up(pair_stats(rest, tiles, value), meta, pixel_m2))
+
+
+def _numbers(n: str) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+
+
+def _blocks(masks: DataFrame, tiles: DataFrame, value: str) -> tuple[DataFrame, DataFrame, int, bool] | None:
+    """The block of every field, the blocks whose fields are so many that their tiles weigh less than
+    their pairs (with the numbers of slices ``__fs``, ``__ts``), the number of tasks, and whether these
+    are all fields; None if there is no such block."""
+    first = tiles.select(F.size(value)).first()
+    if first is None:
+        return None
+    ends = [F.min("x").alias("__x0"), F.min("y").alias("__y0"), F.max("x").alias("__x1"), F.max("y").alias("__y1")]
+    boxes = materialize(masks.groupBy("field_id").agg(
+        F.min("grid_id").alias("grid_id"), F.max("grid_id").alias("__last"), *ends, F.count(F.lit(1)).alias("__marks")), "boxes")
+    area = (F.col("__x1") - F.col("__x0") + 1) * (F.col("__y1") - F.col("__y0") + 1)
+    narrow = boxes.filter((F.col("grid_id") == F.col("__last")) & (F.col("__marks") <= SPOTS) & (area <= SPOTS))
+    groups = narrow.groupBy(*BOX).agg(F.count(F.lit(1)).alias("n"), F.sum("__marks").alias("marks"))
+    fs = F.ceil(F.col("n") / BLOCK_FIELDS)
+    weighed = groups.filter(F.col("marks") * PAIR_BYTES > area * fs * 16 * max(first[0] or 0, 1))
+    cells = (weighed.withColumn("x", F.explode(F.sequence("__x0", "__x1")))
+             .withColumn("y", F.explode(F.sequence("__y0", "__y1"))))
+    seen = tiles.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("t"))
+    chosen = materialize(
+        cells.join(seen, SPOT, "left").groupBy(*BOX, "n").agg(F.coalesce(F.max("t"), F.lit(0)).alias("t"))
+        .select(*BOX, "n", "t", fs.alias("__fs"), F.greatest(F.ceil(F.col("t") / BLOCK_TILES), F.lit(1)).alias("__ts"))
+        .orderBy(F.desc("n"), *BOX).limit(MOST_BLOCKS), "blocks")
+    held, pairs = chosen.agg(F.sum("n"), F.sum(F.col("n") * F.col("t"))).first()
+    if not held:
+        return None
+    tasks = max(min(-(-pairs // (BLOCK_FIELDS * BLOCK_TILES)), MOST_TASKS), cores(masks.sparkSession))
+    return narrow, chosen.drop("n", "t"), tasks, held == boxes.count()
+
+
+MOST_BLOCKS = 100_000  # they are broadcast, with their spots
+
+
 def with_validity(df: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
     """Pixel total estimated from the area, and the valid share of it."""
     return (df.withColumn("total_px", S.total_pixels("area_m2", pixel_m2))

@@ -68,16 +68,20 @@ def zonal_stage(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: Data
                 pixel_m2: float = 100.0, engine: str = "arrow") -> DataFrame:
     """Stacked tiles + scene attributes + scene table + stored zone raster ->
     field observations.  Tiles that no field needs are dropped before the
-    index is computed; tile arrays are shuffled once, to their fields."""
-    return zonal.roll_up(tile_sums(tiles, grids, masks, engine), meta, pixel_m2)
+    index is computed; tile arrays are shuffled to their fields (see ``zonal.observe``)."""
+    return zonal.observe(masks, needed_tiles(tiles, grids, masks, engine), meta, "ndvi", pixel_m2)
 
 
-def tile_sums(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str = "arrow") -> DataFrame:
-    """Sum and count of every (tile, field) pair of ``tiles``."""
+def needed_tiles(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str = "arrow") -> DataFrame:
+    """The tiles that a field needs, with their spot and index."""
     named = sized_join(tiles, grids.select("scene_id", "grid_id"), ["scene_id"])
-    needed = zonal.keep_needed(named, masks).select(
+    return zonal.keep_needed(named, masks).select(
         "scene_id", *zonal.SPOT, "w", R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
-    return zonal.pair_stats(masks, needed)
+
+
+def tile_sums(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str = "arrow") -> DataFrame:
+    """Sum and count of every (tile, field) pair of ``tiles``."""
+    return zonal.pair_stats(masks, needed_tiles(tiles, grids, masks, engine))
 
 
 JOBS = 8  # of a run in batches: what a stop can lose

@@ -32,10 +32,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Hash the rows over all cores before work that is heavy per row: small
     files with few splits would otherwise do it in few tasks."""
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *by)
+    return df.repartition(cores(df.sparkSession), *by)
+
+
+def cores(spark: SparkSession) -> int:
+    """Number of tasks that keeps the whole cluster at work."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:

@@ -210,3 +210,28 @@ def test_stream_keeps_first_arrival(spark, sf):
         arrivals.drain(arrivals.first_arrivals(
             arrivals.read_stream(spark, root, ev.schema), "event_id"), out, mark)
     assert spark.read.parquet(out).count() == ev.count()
+
+
+def test_observations_of_shared_blocks_leave_no_pairs_to_shuffle(spark, monkeypatch):
+    """Fields of one or two spots, repeated and null fields, two scenes of a day, a second grid."""
+    from fieldloom.operators import zonal
+    monkeypatch.setattr(zonal, "BLOCK_FIELDS", 8)
+    monkeypatch.setattr(zonal, "BLOCK_TILES", 4)
+    run = [(0, 0, 1)]
+    masks = [(1, x, 0, f, f % 7 + 1.0, run) for f in range(120) for x in ((0, 1) if f % 2 else (f // 2 % 2,))]
+    masks += [(1, 0, 0, 5, 99.0, run), (1, 0, 0, None, 3.0, run), (2, 0, 0, 7, 1.0, run), (1, 5, 5, 300, 1.0, run), (None, 0, 0, 9, 1.0, run)]
+    masks = spark.createDataFrame(masks, "grid_id long, x int, y int, field_id long, area_m2 double, "
+                                  "runs array<struct<row: int, first: int, last: int>>")
+    tiles = spark.createDataFrame(
+        [(s, g, x, 0, 2, [float(s), None if (s + x) % 3 == 0 else 1.0] if s % 4 else [None, None]) for s in range(24)
+         for g in (1, 2) if (s % 6 == 0) == (g == 2) for x in (0, 1)] + [(3, 1, 0, 0, 2, [2.0, 2.0]), (4, 1, 1, 0, 2, None)],
+        "scene_id long, grid_id long, x int, y int, w int, ndvi array<double>")
+    meta = spark.createDataFrame([(s, f"2020-06-{s // 2 + 1:02d}", s % 5, 2020, None if s == 2 else "T", 32615) for s in range(22)],
+                                 "scene_id long, date string, dekad int, season int, mgrs_tile string, epsg int")
+    want = zonal.roll_up(zonal.pair_stats(masks, tiles), meta)
+    got = zonal.observe(masks, tiles, meta)
+    rows = lambda df: sorted((tuple(map(str, r)) for r in df.collect()))
+    assert rows(got) == rows(want) and got.count() > 500
+    most = zonal.observe(masks.filter("field_id < 120 and grid_id = 1 and field_id <> 7"), tiles, meta)
+    plan = most._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "date#" in line]
