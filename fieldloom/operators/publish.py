@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DEFAULTS
 from ..functions import scalars as S
+from ..shared import spread
 from .ordered import running_sums
 
 
@@ -117,11 +118,19 @@ def budget_tiles(fields: DataFrame, z0: int, z1: int, budget: int, size: str = "
 
 def thin_tiles(fields: DataFrame, z0: int, z1: int, k: int, size: str = "area_m2",
                key: str = "field_id") -> DataFrame:
-    """Features per (zoom, tile); a tile keeps its ``k`` largest.  Each map
-    task keeps k rows per tile before the shuffle, so dense tiles stay small."""
-    zoomed = fields.withColumn("z", F.explode(F.sequence(F.lit(z0), F.lit(z1))))
-    tx, ty = tile_index(F.col("lon"), F.col("lat"), F.col("z"))
-    order = Window.partitionBy("z", "tx", "ty").orderBy(F.desc(size), key)
-    return (zoomed.select("z", tx.alias("tx"), ty.alias("ty"), key, size)
-            .withColumn("__rn", F.row_number().over(order)).filter(F.col("__rn") <= k)
-            .drop("__rn"))
+    """Features per (zoom, tile); a tile keeps its ``k`` largest.
+
+    What a tile keeps is among what its parts at the next zoom keep: the deepest tiles choose first, among
+    rows spread over all cores, and only the rows they keep are laid out for every zoom.  Each
+    map task keeps k rows per tile before the shuffle, so dense tiles stay small."""
+    def largest(rows: DataFrame) -> DataFrame:
+        order = Window.partitionBy("z", "tx", "ty").orderBy(F.desc(size), key)
+        return rows.withColumn("__rn", F.row_number().over(order)).filter(F.col("__rn") <= k).drop("__rn")
+
+    z0, z1 = min(z0, z1), max(z0, z1)
+    tx, ty = tile_index(F.col("lon"), F.col("lat"), F.lit(z1))
+    deepest = largest(spread(fields.select(F.lit(z1).alias("z"), tx.alias("tx"), ty.alias("ty"), key, size)))
+    up = F.lit(z1) - F.col("zoom")
+    zoomed = deepest.withColumn("zoom", F.explode(F.sequence(F.lit(z0), F.lit(z1)))).select(
+        F.col("zoom").alias("z"), *[F.call_function("shiftright", F.col(c), up).alias(c) for c in ("tx", "ty")], key, size)
+    return largest(zoomed)

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldloom import fixtures as fx
@@ -235,3 +236,20 @@ def test_observations_of_shared_blocks_leave_no_pairs_to_shuffle(spark, monkeypa
     most = zonal.observe(masks.filter("field_id < 120 and grid_id = 1 and field_id <> 7"), tiles, meta)
     plan = most._jdf.queryExecution().executedPlan().toString()
     assert not [line for line in plan.splitlines() if "Exchange" in line and "date#" in line]
+
+
+def test_tiles_are_thinned_from_the_deepest_up(spark):
+    """The many rows choose once, spread over the cores; zooms are laid out from what is left."""
+    from fieldloom.operators import publish
+    fields = [(i % 90, float(i * 37 % 11) if i % 13 else None, -96.0 + (i * 7 % 50) / 40, 40.0 + (i * 11 % 60) / 50) for i in range(400)]
+    fields += [(1000, 5.0, None, 40.0), (None, 50.0, -500.0, 41.0), (1002, 1.0, 999.0, float("nan"))]
+    df = spark.createDataFrame(fields, "field_id long, area_m2 double, lon double, lat double").coalesce(1)
+    tx, ty = publish.tile_index(F.col("lon"), F.col("lat"), F.col("z"))
+    rows = df.withColumn("z", F.explode(F.sequence(F.lit(6), F.lit(12)))).select("z", tx.alias("tx"), ty.alias("ty"), "field_id", "area_m2")
+    rank = F.row_number().over(Window.partitionBy("z", "tx", "ty").orderBy(F.desc("area_m2"), "field_id"))
+    want = rows.withColumn("rn", rank).filter("rn <= 3").drop("rn")
+    got = publish.thin_tiles(df, 6, 12, 3)
+    shown = lambda d: sorted(str(tuple(r)) for r in d.collect())
+    assert shown(got) == shown(want) and got.schema.simpleString() == want.schema.simpleString()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(") < plan.index("Repartition")
