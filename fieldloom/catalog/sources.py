@@ -123,8 +123,9 @@ def _(spark, sf):
     pages = (items(spark, sf).groupBy(page.alias("page"))
              .agg(F.collect_list(F.struct("id", "collection", "properties", "assets"))
                   .alias("features")).select("features"))
-    pages.write.json(f"{root}/first")
-    pages.write.json(f"{root}/again")  # the same items on a second set of pages
+    pages.write.json(f"{root}/first", compression="lz4")
+    # the same items on a second set of pages
+    spark.read.text(f"{root}/first").write.text(f"{root}/again", compression="lz4")
     found = catalogue.search(
         catalogue.read_pages(spark, f"{root}/first", f"{root}/again"), COLLECTION,
         [f"{14 + t % 3}TV{chr(65 + t)}" for t in range(20)],

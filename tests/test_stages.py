@@ -253,3 +253,17 @@ def test_tiles_are_thinned_from_the_deepest_up(spark):
     assert shown(got) == shown(want) and got.schema.simpleString() == want.schema.simpleString()
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("explode(") < plan.index("Repartition")
+
+
+def test_pages_of_a_search_are_shuffled_once_and_compressed(spark, sf, monkeypatch):
+    from fieldloom.catalog import QUERIES, sources
+    roots = []
+    monkeypatch.setattr(sources, "shared_folder", lambda *a: roots.append(shared_folder(*a)) or roots[-1])
+    found = QUERIES["s6_item_search"](spark, sf)
+    assert found.count() == found.select("id").distinct().count() > 50
+    raw = sources.items(spark, sf).select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    for part in ("first", "again"):
+        path = f"{roots[0]}/{part}"
+        assert catalogue.read_pages(spark, path).select("id").distinct().count() == 1500
+        size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+        assert size < raw / 3
