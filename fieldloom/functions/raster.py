@@ -65,26 +65,6 @@ def tile_ndvi_arrow(red: pa.Array, nir: pa.Array, scl: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(starts, pa.array(out, mask=~keep), mask=missing)
 
 
-@F.arrow_udf(T.StructType().add("s", T.ArrayType(T.DoubleType())).add("n", T.ArrayType(T.IntegerType())))
-def row_sums(values: pa.Array, width: pa.Array) -> pa.Array:
-    """Running sums and counts of the non-null pixels of every row of a tile, a zero in front
-    of each row: pixels a to b of row r add up to ``s[r * (w + 1) + b + 1] - s[r * (w + 1) + a]``."""
-    flat, there = values.flatten(), values.flatten().is_valid().to_numpy(zero_copy_only=False)
-    pixels = np.where(there, flat.cast(pa.float64()).to_numpy(zero_copy_only=False), 0.0)
-    ends = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy())])
-    sums, counts = [np.empty(0)], [np.empty(0, np.int32)]
-    for i, w in enumerate(width.to_pylist()):
-        at = slice(ends[i], ends[i + 1])
-        rows, known = pixels[at].reshape(-1, w or 1), there[at].reshape(-1, w or 1)
-        for out, cells in ((sums, rows), (counts, known)):
-            running = np.zeros((len(cells), cells.shape[1] + 1), out[0].dtype)
-            np.cumsum(cells, axis=1, out=running[:, 1:])
-            out.append(running.ravel())
-    offsets = pa.array(np.cumsum([len(x) for x in sums]), pa.int32())
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (sums, counts)]
-    return pa.StructArray.from_arrays(lists, ["s", "n"], mask=values.is_null())
-
-
 ENGINES = {"column": tile_ndvi, "arrow": tile_ndvi_arrow}
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..contracts import SCL_MASKED
@@ -12,6 +14,7 @@ from ..functions import geometry as G
 from ..functions import raster as R
 from ..functions import scalars as S
 from ..shared import cores, materialize, sized_join
+from . import slices
 
 TILE = ["scene_id", "x", "y"]
 SPOT = ["grid_id", "x", "y"]
@@ -56,89 +59,81 @@ def drop_masked(tiles: DataFrame, scl: DataFrame | None = None,
                       max_rows=1_000_000)
 
 
-def run_sums(sums: str, width: Column, runs: str = "runs") -> Column:
-    """struct<s, n>: sum and count of a tile's non-null pixels on the runs of a mask, from
-    its ``row_sums``: two reads a run, whatever its length."""
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("bigint").alias("n"))
-
-    def add(acc, run):
-        at = run["row"] * (width + 1)
-        ends = F.struct((at + run["first"]).alias("a"), (at + run["last"] + 1).alias("b"))
-
-        def part(name, e):
-            return F.coalesce(F.get(F.col(sums)[name], e["b"]) - F.get(F.col(sums)[name], e["a"]), F.lit(0))
-
-        return G.let(ends, lambda e: F.struct((acc["s"] + part("s", e)).alias("s"),
-                                              (acc["n"] + part("n", e)).alias("n")))
-
-    return F.aggregate(runs, start, add)
-
-
-FIELDS_EACH, TILES_EACH = 1024, 512  # of a spot, that meet in one slice
+FIELDS_EACH, TILES_EACH = 8192, 2048  # of a spot, that meet in one slice
+MOST_TASKS = 20_000
+PAIRS = 1 << 22  # of a task
 
 
-def sliced(masks: DataFrame, tiles: DataFrame) -> DataFrame:
-    """``masks`` joined with ``tiles`` by SPOT, in slices of bounded pairs.
+def dealt(masks: DataFrame, tiles: DataFrame) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """``masks`` and ``tiles`` with the columns of the slice where they meet, these columns, the number of tasks.
 
     All scenes of a spot meet all its fields, so a narrow input gives very many pairs, which
     the size of the input doesn't show.  A spot's fields and its tiles are dealt over slices, every slice of
-    the one meets every slice of the other, and there are as many tasks as slices.  ``masks`` is
+    the one meets every slice of the other, and tasks are as many as the pairs need.  ``masks`` is
     read twice: it should be stored."""
     spark = masks.sparkSession
     count = lambda df, n: df.groupBy(*SPOT).agg(F.count(F.lit(1)).alias(n))
     plan = materialize(count(masks, "f").join(count(tiles, "t"), SPOT).select(
-        *SPOT, F.ceil(F.col("f") / FIELDS_EACH).alias("__fs"), F.ceil(F.col("t") / TILES_EACH).alias("__ts")), "slices")
-    total = plan.agg(F.sum(F.col("__fs") * F.col("__ts"))).first()[0] or 1
-    n = max(min(total, MOST_TASKS), spark.sparkContext.defaultParallelism)
+        *SPOT, F.ceil(F.col("f") / FIELDS_EACH).alias("__fs"), F.ceil(F.col("t") / TILES_EACH).alias("__ts"),
+        (F.col("f") * F.col("t")).cast("double").alias("__pairs")), "slices")
+    n = tasks(spark, plan.agg(F.sum("__pairs")).first()[0] or 0)
+    plan = plan.drop("__pairs")
     deal = lambda key, k: F.pmod(F.xxhash64(key), F.col(k))
-    each = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(k) - 1))
-    one = (sized_join(masks, plan, SPOT).withColumn("__f", deal("field_id", "__fs")).withColumn("__t", each("__ts")))
-    two = (sized_join(tiles, plan, SPOT).withColumn("__t", deal("scene_id", "__ts")).withColumn("__f", each("__fs")))
-    on = [*SPOT, "__f", "__t"]
-    one, two = (df.drop("__fs", "__ts").repartition(n, *on) for df in (one, two))
-    return one.join(two, on).drop("__f", "__t")
+    one = sized_join(masks, plan, SPOT).withColumn("__f", deal("field_id", "__fs")).withColumn("__t", F.explode(_numbers("__ts")))
+    two = sized_join(tiles, plan, SPOT).withColumn("__t", deal("scene_id", "__ts")).withColumn("__f", F.explode(_numbers("__fs")))
+    return one.drop("__fs", "__ts"), two.drop("__fs", "__ts"), [*SPOT, "__f", "__t"], n
 
 
-MOST_TASKS = 20_000
+def tasks(spark, pairs: float) -> int:
+    return max(min(int(-(-pairs // PAIRS)), MOST_TASKS), cores(spark))
 
 
 def pair_stats(masks: DataFrame, tiles: DataFrame, value: str = "ndvi") -> DataFrame:
     """Sum and count of the valid pixels of every (tile, field) pair.
 
     ``masks``: SPOT, field_id, runs;  ``tiles``: SPOT, scene_id, w, value array
-    (null = not valid).  Running sums along the tile's rows are made once per tile; a field
-    reads them at the ends of its runs, inside the join's own stage (see :func:`sliced`)."""
-    summed = tiles.withColumn(value, R.row_sums(value, "w"))
-    pairs = sliced(masks, summed)
-    kept = [c for c in pairs.columns if c not in ("runs", "w", value)]
-    return (pairs.select(*kept, G.keep_if(run_sums(value, F.col("w")), lambda st: st["n"] > 0).alias("st"))
-            .select(*kept, F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
+    (null = not valid).  Running sums along the tile's rows are made once per slice of tiles; a field
+    reads them at the ends of its runs (see :func:`slices.met`)."""
+    one, two, on, n = dealt(masks, tiles)
+    marks = [c for c in masks.columns if c not in (*SPOT, "runs")]
+    seen = [c for c in tiles.columns if c not in (*SPOT, "w", value)]
+    met = slices.met(one, two, slices.Job(tuple(on), (), "runs", (value,), tuple(marks), tuple(seen)), n)
+    return met.select(*SPOT, *marks, *seen, F.col(f"s_{value}").alias("sum"), F.col(f"n_{value}").alias("count"))
 
 
 def pixel_stats(tiles: DataFrame, assigned: DataFrame, tile_px: int,
                 inset: float = 0.0) -> DataFrame:
-    """The same statistics by the direct path: valid pixels as rows, joined to
-    the assigned polygons and tested one by one.  Parity check for
-    :func:`pair_stats`; it tests every pixel again for each scene."""
+    """The same statistics by the direct path: every pixel centre in a polygon's box is tested against its
+    edges, one by one, and the valid pixels of each scene are added up at the positions that passed.  Parity
+    check for :func:`pair_stats`; where a centre lies doesn't depend on the scene, so it is asked once."""
+    one, two, on, n = dealt(assigned.select(*SPOT, "field_id", pixels_inside(tile_px, inset).alias("pixels")),
+                            tiles.select("scene_id", *SPOT, "ndvi"))
+    job = slices.Job(tuple(on), (), "pixels", ("ndvi",), ("field_id",), ("scene_id",), by_field=True, by_seen=True)
+    return slices.met(one, two, job, n).select(
+        "scene_id", "field_id", *SPOT, F.col("s_ndvi").alias("sum"), F.col("n_ndvi").alias("count"))
+
+
+def pixels_inside(tile_px: int, inset: float = 0.0) -> Column:
+    """Positions of a tile's pixels whose centres lie in the polygon of an assigned row, at least ``inset`` from its edges."""
     px = F.col("stride") / tile_px
-    met = sliced(assigned, tiles.select("scene_id", *SPOT, "ndvi"))
-    pairs = (met.select(*[c for c in met.columns if c != "ndvi"], F.posexplode("ndvi").alias("at", "v"))
-             .filter(F.col("v").isNotNull()))
-    px_x = F.col("x0") + F.col("x") * F.col("stride") + (F.col("at") % tile_px + 0.5) * px
-    px_y = (F.col("y0") - F.col("y") * F.col("stride")
-            - (F.floor(F.col("at") / tile_px) + 0.5) * px)
-    spots = (pairs.withColumn("px_x", px_x).withColumn("px_y", px_y)
-             .filter(F.col("px_x").between(F.col("b.xmin"), F.col("b.xmax"))
-                     & F.col("px_y").between(F.col("b.ymin"), F.col("b.ymax"))))
-    inside = G.edges_contain(F.col("__edges"), F.col("px_x"), F.col("px_y"))
-    if inset > 0:
-        inside = inside & (G.edges_distance(F.col("__edges"), F.col("px_x"), F.col("px_y"))
-                           >= F.lit(float(inset)))
-    return (spots.filter(inside).groupBy("scene_id", "field_id", *SPOT)
-            .agg(F.sum("v").alias("sum"), F.count(F.lit(1)).alias("count")))
+    numbers = F.sequence(F.lit(0), F.lit(tile_px - 1))
+    columns = F.filter(F.transform(numbers, lambda c: F.struct(
+        c.alias("at"), (F.col("x0") + F.col("x") * F.col("stride") + (c + 0.5) * px).alias("m"))),
+        lambda c: c["m"].between(F.col("b.xmin"), F.col("b.xmax")))
+    rows = F.filter(F.transform(numbers, lambda r: F.struct(
+        r.alias("at"), (F.col("y0") - F.col("y") * F.col("stride") - (r + 0.5) * px).alias("m"))),
+        lambda r: r["m"].between(F.col("b.ymin"), F.col("b.ymax")))
+
+    def inside(r: Column, c: Column) -> Column:
+        hit = G.edges_contain(F.col("__edges"), c["m"], r["m"])
+        return hit & (G.edges_distance(F.col("__edges"), c["m"], r["m"]) >= F.lit(float(inset))) if inset > 0 else hit
+
+    return G.let(columns, lambda cs: F.flatten(F.transform(rows, lambda r: F.transform(
+        F.filter(cs, lambda c: inside(r, c)), lambda c: (r["at"] * tile_px + c["at"]).cast("int")))))
 
 
 OBSERVED = ["date", "dekad", "season", "mgrs_tile", "epsg"]
+TOTALS = ["field_id", *OBSERVED, "area_m2", "scene_id", "sum", "count"]
 
 
 def roll_up(pairs: DataFrame, meta: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
@@ -147,80 +142,97 @@ def roll_up(pairs: DataFrame, meta: DataFrame, pixel_m2: float = 100.0) -> DataF
     ``meta``: scene_id, mgrs_tile, date, dekad, season, epsg."""
     # scene attributes are added in place when the manifest fits a broadcast,
     # so that the observation key below is the only shuffle
-    return _rolled(sized_join(pairs, meta, ["scene_id"]), [], pixel_m2)
+    return measured(summed(sized_join(pairs, meta, ["scene_id"])), pixel_m2)
+
 
+def summed(seen: DataFrame) -> DataFrame:
+    """Rows of ``TOTALS`` added up, one for a field and OBSERVED."""
+    return seen.groupBy("field_id", *OBSERVED).agg(
+        F.max("area_m2").alias("area_m2"), F.min("scene_id").alias("scene_id"), F.sum("sum").alias("sum"),
+        F.sum("count").alias("count"))
 
-def _rolled(seen: DataFrame, dealt: list[str], pixel_m2: float) -> DataFrame:
-    """``dealt``: columns by which the rows are partitioned and that a field and date have once;
-    with them in the key nothing is shuffled."""
-    total = F.struct(F.sum("sum").alias("value"), F.sum("count").alias("pixels"),
-                     F.min("scene_id").alias("scene"), F.max("area_m2").alias("area"))
-    obs = seen.groupBy(*dealt, "field_id", *OBSERVED).agg(total.alias("a"))
-    measured = obs.select(
-        "field_id", "date", "dekad", "season", "mgrs_tile", F.col("a.scene").alias("scene_id"),
-        (F.col("a.value") / F.col("a.pixels")).alias("mean_ndvi"),
-        F.col("a.pixels").cast("int").alias("valid_px"), F.col("a.area").alias("area_m2"),
-        (F.col("epsg") % 100).cast("int").alias("utm_zone"))
-    return with_validity(measured, pixel_m2).drop("area_m2")
+
+def measured(totals: DataFrame, pixel_m2: float = 100.0) -> DataFrame:
+    """Observations of rows of ``TOTALS``, one for a field and OBSERVED."""
+    obs = totals.select(
+        "field_id", "date", "dekad", "season", "mgrs_tile", "scene_id", (F.col("sum") / F.col("count")).alias("mean_ndvi"),
+        F.col("count").cast("int").alias("valid_px"), "area_m2", (F.col("epsg") % 100).cast("int").alias("utm_zone"))
+    return with_validity(obs, pixel_m2).drop("area_m2")
 
 
 BOX = ["grid_id", "__x0", "__y0", "__x1", "__y1"]  # a block of spots
-BLOCK_FIELDS, BLOCK_TILES = 4096, 128  # of a block, that meet in one slice
+DEALT = ["__f", "__t"]
+BLOCK_FIELDS, BLOCK_TILES = 8192, 1024  # of a block, that meet in one slice
 SPOTS = 16        # of a block; mask rows of a field in it
 PAIR_BYTES = 128  # of a pair's row in a shuffle
 
 
 def observe(masks: DataFrame, tiles: DataFrame, meta: DataFrame, value: str = "ndvi",
             pixel_m2: float = 100.0) -> DataFrame:
-    """:func:`roll_up` of :func:`pair_stats`, whose pairs stay where they are made.
+    """:func:`roll_up` of :func:`pair_stats`, see :func:`totals`."""
+    planned = blocks(masks, tiles, tiles.select(F.size(value)).first())
+    whole, pairs = totals(masks, tiles, meta, planned, value)
+    found = [measured(df, pixel_m2) for df in (whole, None if pairs is None else summed(pairs)) if df is not None]
+    return reduce(DataFrame.unionByName, found)
+
+
+def totals(masks: DataFrame, tiles: DataFrame, meta: DataFrame, planned: Blocks,
+           value: str = "ndvi", also: Sequence[str] = ()) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of ``TOTALS`` of all fields: those whose pairs stay where they are made, a row for each observation
+    of ``tiles``, and those with a row for each pair.
 
     There are as many observations as fields times scenes.  Fields that span the same block of spots
     meet all tiles of the block there, dealt by field and by date, so an observation is complete in its slice
     and the tiles travel instead: worth it where a block has many fields.  The others (few in their block,
-    over several grids, very large) go by pairs.  ``masks`` (with area_m2) should be stored."""
-    masks = masks.dropna(subset=SPOT)
-    blocks = _blocks(masks, tiles, value)
-    if blocks is None:
-        return roll_up(pair_stats(masks, tiles, value), meta, pixel_m2)
-    boxes, chosen, tasks, whole = blocks
-    picked = boxes.join(F.broadcast(chosen), BOX).withColumnRenamed("field_id", "__field").drop("grid_id")
-    own = F.col("field_id").eqNullSafe(F.col("__field"))
-    marks = (masks.join(picked, own).withColumn("__f", F.pmod(F.xxhash64("field_id"), "__fs"))
-             .withColumn("__t", F.explode(_numbers("__ts"))))
-    cells = chosen.withColumn("x", F.explode(F.sequence("__x0", "__x1"))).withColumn(
-        "y", F.explode(F.sequence("__y0", "__y1")))
-    seen = sized_join(tiles.select("scene_id", *SPOT, "w", R.row_sums(value, "w").alias("sums")),
-                      meta.select("scene_id", *OBSERVED), ["scene_id"])
-    spots = (seen.join(F.broadcast(cells), SPOT).withColumn("__t", F.pmod(F.xxhash64(*OBSERVED), "__ts"))
-             .withColumn("__f", F.explode(_numbers("__fs"))))
-    dealt = [*BOX, "__f", "__t"]
-    one = marks.select(*dealt, "x", "y", "field_id", "area_m2", "runs").repartition(tasks, *dealt)
-    two = spots.select(*dealt, F.col("x").alias("__x"), F.col("y").alias("__y"), "scene_id", *OBSERVED, "w", "sums").repartition(
-        tasks, *dealt)
-    # not equal keys: the slices are partitioned without the spot, and stay so for the roll-up
-    same = F.col("x").between(F.col("__x"), F.col("__x")) & F.col("y").between(F.col("__y"), F.col("__y"))
-    pairs = (one.alias("one").join(two.alias("two"), [F.col(f"one.{c}") == F.col(f"two.{c}") for c in dealt] + [same])
-             .select(*[f"one.{c}" for c in dealt], "field_id", "area_m2", "scene_id", *OBSERVED, G.keep_if(
-                 run_sums("sums", F.col("w")), lambda st: st["n"] > 0).alias("st"))
-             .select("*", F.col("st.s").alias("sum"), F.col("st.n").alias("count")))
-    rolled = _rolled(pairs, dealt, pixel_m2)
-    if whole:
-        return rolled
-    rest = materialize(masks.join(picked, own, "left_anti"), "masks")
-    return rolled.unionByName(roll_up(pair_stats(rest, tiles, value), meta, pixel_m2))
+    over several grids, very large) go by pairs.  ``masks`` (with area_m2) should be stored.  ``also``: columns
+    of ``meta`` that are the same for all scenes of an observation."""
+    whole = pairs = None
+    dated = lambda df: sized_join(df, meta.select("scene_id", *OBSERVED, *also), ["scene_id"])
+    if planned.chosen is not None:
+        job = slices.Job(tuple(BOX + DEALT), ("x", "y"), "runs", (value,), ("field_id", "area_m2"), (*OBSERVED, *also),
+                         by_field=True, by_seen=True, first="scene_id", most="area_m2")
+        whole = planned.meet(masks, dated(tiles.select("scene_id", *SPOT, "w", value)), job).select(
+            *TOTALS[:-2], F.col(f"s_{value}").alias("sum"), F.col(f"n_{value}").alias("count"), *also)
+    if planned.rest is not None:
+        pairs = dated(pair_stats(planned.rest, tiles, value)).select(*TOTALS, *also)
+    return whole, pairs
 
 
 def _numbers(n: str) -> Column:
     return F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
 
 
-def _blocks(masks: DataFrame, tiles: DataFrame, value: str) -> tuple[DataFrame, DataFrame, int, bool] | None:
-    """The block of every field, the blocks whose fields are so many that their tiles weigh less than
-    their pairs (with the numbers of slices ``__fs``, ``__ts``), the number of tasks, and whether these
-    are all fields; None if there is no such block."""
-    first = tiles.select(F.size(value)).first()
+@dataclass(frozen=True)
+class Blocks:
+    """The blocks (BOX and numbers of slices) where fields meet all tiles, the fields in them (__field, BOX), the
+    number of tasks, and the masks of the other fields; None for none."""
+    chosen: DataFrame | None
+    of: DataFrame | None
+    tasks: int
+    rest: DataFrame | None
+
+    def meet(self, masks: DataFrame, tiles: DataFrame, job: slices.Job) -> DataFrame:
+        """Fields meet all tiles of their block, dealt by field and by ``job.seen``."""
+        marks = (masks.dropna(subset=SPOT).join(self.of, _own()).withColumn("__f", F.pmod(F.xxhash64("field_id"), "__fs"))
+                 .withColumn("__t", F.explode(_numbers("__ts"))))
+        cells = self.chosen.withColumn("x", F.explode(F.sequence("__x0", "__x1"))).withColumn(
+            "y", F.explode(F.sequence("__y0", "__y1")))
+        spots = (tiles.join(F.broadcast(cells), SPOT).withColumn("__t", F.pmod(F.xxhash64(*job.seen), "__ts"))
+                 .withColumn("__f", F.explode(_numbers("__fs"))))
+        return slices.met(marks, spots, job, self.tasks)
+
+
+def _own() -> Column:
+    return F.col("field_id").eqNullSafe(F.col("__field"))
+
+
+def blocks(masks: DataFrame, tiles: DataFrame, first: Row | None, parts: int = 1) -> Blocks:
+    """The blocks whose fields are so many that their tiles (SPOT; ``first``: pixels of one) weigh less than
+    their pairs.  ``parts``: equal parts of the tiles that come one after the other."""
+    masks = masks.dropna(subset=SPOT)
+    none = Blocks(None, None, 0, masks)
     if first is None:
-        return None
+        return none
     ends = [F.min("x").alias("__x0"), F.min("y").alias("__y0"), F.max("x").alias("__x1"), F.max("y").alias("__y1")]
     boxes = materialize(masks.groupBy("field_id").agg(
         F.min("grid_id").alias("grid_id"), F.max("grid_id").alias("__last"), *ends, F.count(F.lit(1)).alias("__marks")), "boxes")
@@ -233,14 +245,17 @@ def _blocks(masks: DataFrame, tiles: DataFrame, value: str) -> tuple[DataFrame,
              .withColumn("y", F.explode(F.sequence("__y0", "__y1"))))
     seen = tiles.groupBy(*SPOT).agg(F.count(F.lit(1)).alias("t"))
     chosen = materialize(
-        cells.join(seen, SPOT, "left").groupBy(*BOX, "n").agg(F.coalesce(F.max("t"), F.lit(0)).alias("t"))
-        .select(*BOX, "n", "t", fs.alias("__fs"), F.greatest(F.ceil(F.col("t") / BLOCK_TILES), F.lit(1)).alias("__ts"))
+        cells.join(seen, SPOT, "left").groupBy(*BOX, "n", "marks").agg(F.ceil(F.coalesce(F.max("t"), F.lit(0)) / parts).alias("t"))
+        .select(*BOX, "n", "t", (F.col("marks") * F.col("t")).cast("double").alias("__pairs"), fs.alias("__fs"),
+                F.greatest(F.ceil(F.col("t") / BLOCK_TILES), F.lit(1)).alias("__ts"))
         .orderBy(F.desc("n"), *BOX).limit(MOST_BLOCKS), "blocks")
-    held, pairs = chosen.agg(F.sum("n"), F.sum(F.col("n") * F.col("t"))).first()
+    held, pairs = chosen.agg(F.sum("n"), F.sum("__pairs")).first()
     if not held:
-        return None
-    tasks = max(min(-(-pairs // (BLOCK_FIELDS * BLOCK_TILES)), MOST_TASKS), cores(masks.sparkSession))
-    return narrow, chosen.drop("n", "t"), tasks, held == boxes.count()
+        return none
+    chosen = chosen.drop("n", "t", "__pairs")
+    of = materialize(narrow.select(F.col("field_id").alias("__field"), *BOX).join(F.broadcast(chosen), BOX).drop("grid_id"), "boxes")
+    rest = None if held == boxes.count() else materialize(masks.join(of, _own(), "left_anti"), "masks")
+    return Blocks(chosen, of, tasks(masks.sparkSession, pairs), rest)
 
 
 MOST_BLOCKS = 100_000  # they are broadcast, with their spots
@@ -295,11 +310,21 @@ def slope_per_tile(dem: DataFrame) -> DataFrame:
 def terrain(dem: DataFrame, masks: DataFrame) -> DataFrame:
     """Mean elevation and mean slope per (scene_id, field_id).
 
-    ``dem``: elevation tiles with SPOT, w, h, scale_x and ``data``."""
-    tiles = slope_per_tile(dem).select("scene_id", *SPOT, "w", R.row_sums("data", "w").alias("data"),
-                                       R.row_sums("slope", "w").alias("slope"))
-    stats = sliced(masks, tiles).select("scene_id", "field_id", run_sums("data", F.col("w")).alias("e"),
-                                           run_sums("slope", F.col("w")).alias("s"))
-    return stats.groupBy("scene_id", "field_id").agg(
-        F.sum("e.n").alias("n"), (F.sum("e.s") / F.sum("e.n")).alias("elev"),
-        F.try_divide(F.sum("s.s"), F.sum("s.n")).alias("slope"))
+    ``dem``: elevation tiles with SPOT, w, h, scale_x and ``data``.  A scene's tiles meet its fields in
+    blocks as in :func:`observe`, where a mean is complete; only fields that have none go by pairs."""
+    tiles = slope_per_tile(dem).select("scene_id", *SPOT, "w", "data", "slope")
+    masks = masks.select(*SPOT, "field_id", "runs")
+    planned = blocks(masks, dem, dem.select(F.size("data")).first())
+    values, shown = ("data", "slope"), (("field_id",), ("scene_id",))
+    found = []
+    if planned.chosen is not None:
+        found.append(planned.meet(masks, tiles, slices.Job(
+            tuple(BOX + DEALT), ("x", "y"), "runs", values, *shown, by_field=True, by_seen=True, empty=True)))
+    if planned.rest is not None:
+        one, two, on, n = dealt(planned.rest, tiles)
+        pairs = slices.met(one, two, slices.Job(tuple(on), (), "runs", values, *shown, empty=True), n)
+        found.append(pairs.groupBy("scene_id", "field_id").agg(
+            *[F.sum(c).alias(c) for c in ("s_data", "n_data", "s_slope", "n_slope")]))
+    means = [df.select("scene_id", "field_id", F.col("n_data").alias("n"), (F.col("s_data") / F.col("n_data")).alias("elev"),
+                       F.try_divide("s_slope", "n_slope").alias("slope")) for df in found]
+    return reduce(DataFrame.unionByName, means)
