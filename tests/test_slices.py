@@ -115,3 +115,30 @@ def test_pairs_are_no_rows_before_they_have_a_sum(spark):
     masks, tiles, _ = ring(spark, 5)
     plan = zonal.pair_stats(masks, tiles)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "SortMergeJoin" not in plan.split("MapInArrow")[0]
+
+
+def test_pixels_are_tested_once_a_spot_not_once_a_scene(spark, sf):
+    from fieldloom import fixtures as fx
+    from fieldloom.catalog.zonal_parts import assigned, scene_tiles
+    spots = materialize(assigned(spark, sf, ell=True), "spots")
+    tiles = scene_tiles(spark, sf).select("scene_id", *zonal.SPOT, "ndvi")
+    got = zonal.pixel_stats(tiles, spots, fx.TILE_PX)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan and not exchanges(got, "scene_id", "field_id")
+    # one centre after the other, in plain Python
+    want = {}
+    where = [r.asDict(True) for r in spots.collect()]
+    for t in tiles.collect():
+        for s in where:
+            if (s["grid_id"], s["x"], s["y"]) != (t.grid_id, t.x, t.y):
+                continue
+            for at, v in enumerate(t.ndvi):
+                cx = s["x0"] + s["x"] * s["stride"] + (at % 8 + 0.5) * s["stride"] / 8
+                cy = s["y0"] - s["y"] * s["stride"] - (at // 8 + 0.5) * s["stride"] / 8
+                odd = sum((e["ay"] > cy) != (e["by"] > cy) and cx < (e["bx"] - e["ax"]) * (cy - e["ay"]) / (e["by"] - e["ay"]) + e["ax"]
+                          for e in s["__edges"]) % 2
+                if v is not None and odd:
+                    a, n = want.get((t.scene_id, s["field_id"], t.x, t.y), (0.0, 0))
+                    want[t.scene_id, s["field_id"], t.x, t.y] = a + v, n + 1
+    rows = {(r.scene_id, r.field_id, r.x, r.y): (round(r["sum"], 9), r["count"]) for r in got.collect()}
+    assert rows == {k: (round(a, 9), n) for k, (a, n) in want.items()} and len(rows) == got.count() > 0
