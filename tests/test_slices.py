@@ -111,6 +111,17 @@ def exchanges(df, *names):
     return [line for line in plan if "Exchange" in line and all(n in line for n in names)]
 
 
+def test_terrain_of_shared_blocks_shuffles_no_pairs(spark, monkeypatch):
+    masks, tiles, _ = ring(spark, 100)
+    got = zonal.terrain(tiles.withColumnRenamed("ndvi", "data"), masks)
+    assert not exchanges(got, "scene_id", "field_id")
+    monkeypatch.setattr(zonal, "PAIR_BYTES", 0)
+    pairs = zonal.terrain(tiles.withColumnRenamed("ndvi", "data"), masks)
+    assert exchanges(pairs, "scene_id", "field_id")
+    show = lambda df: sorted(str(tuple(r)) for r in df.collect())
+    assert show(got) == show(pairs) and len(show(got)) == 1200
+
+
 def test_pairs_are_no_rows_before_they_have_a_sum(spark):
     masks, tiles, _ = ring(spark, 5)
     plan = zonal.pair_stats(masks, tiles)._jdf.queryExecution().executedPlan().toString()
