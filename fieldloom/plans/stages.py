@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import DEFAULTS, Thresholds
@@ -79,9 +81,13 @@ def needed_tiles(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: s
         "scene_id", *zonal.SPOT, "w", R.ENGINES[engine]("red", "nir", "scl").alias("ndvi"))
 
 
-def tile_sums(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str = "arrow") -> DataFrame:
-    """Sum and count of every (tile, field) pair of ``tiles``."""
-    return zonal.pair_stats(masks, needed_tiles(tiles, grids, masks, engine))
+def tile_sums(tiles: DataFrame, grids: DataFrame, masks: DataFrame, engine: str, dates: DataFrame,
+              planned: zonal.Blocks) -> DataFrame:
+    """Sum and count of ``tiles`` for every field and date; ``whole`` rows are all there is of theirs.  ``dates``:
+    scene attributes and whether all tiles of the date are here (``alone``)."""
+    sums = zonal.totals(masks, needed_tiles(tiles, grids, masks, engine), dates, planned, also=["alone"])
+    return reduce(DataFrame.unionByName, [df.withColumn("whole", F.col("alone") & F.lit(one)).drop("alone")
+                                          for df, one in zip(sums, (True, False), strict=True) if df is not None])
 
 
 JOBS = 8  # of a run in batches: what a stop can lose
@@ -92,16 +98,21 @@ def zonal_batches(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: Da
     """:func:`zonal_stage` in batches of about ``most`` bytes of tiles, ``JOBS`` jobs at most
     however many batches there are: a job takes its share of them in a row.
 
-    A job leaves its (tile, field) sums in a folder under ``path`` that names its batches, and
+    A job leaves its sums per field and date in a folder under ``path`` that names its batches, and
     these are passed over when it is there, so a run that was stopped goes on where it was.  A field
-    may lie in tiles of several batches: the roll-up comes last, over all sums."""
+    may lie in tiles of several batches: the roll-up comes last, and only dates of several jobs are added up."""
     spark = tiles.sparkSession
     plan = materialize(incremental.batch_plan(tiles, most), "batches")
     last = plan.agg(F.max("batch")).first()[0]
     if last is None:
         return zonal_stage(tiles, meta, grids, masks, pixel_m2, engine)
-    held = [tuple(map(int, n[6:].split("-"))) for n in sink.children(spark, path) if n.startswith("batch=")
+    held = [tuple(map(int, n[len(SUMS):].split("-"))) for n in sink.children(spark, path) if n.startswith(SUMS)
             and sink.exists(spark, f"{path}/{n}/_SUCCESS")]
+    spots = sized_join(plan, grids.select("scene_id", "grid_id"), ["scene_id"])
+    planned = zonal.blocks(masks, spots, tiles.select(F.size("red")).first(), min(last + 1, JOBS))
+    date = Window.partitionBy(*zonal.OBSERVED)
+    dates = sized_join(meta, plan.groupBy("scene_id").agg(F.min("batch").alias("lo"), F.max("batch").alias("hi")), ["scene_id"])
+    dates = materialize(dates.withColumns({"lo": F.min("lo").over(date), "hi": F.max("hi").over(date)}), "dates")
     share, k = -(-(last + 1) // JOBS), 0
     while k <= last:
         if through := [b for a, b in held if a <= k <= b]:
@@ -110,12 +121,17 @@ def zonal_batches(tiles: DataFrame, meta: DataFrame, grids: DataFrame, masks: Da
         end = min([k + share - 1, last, *[a - 1 for a, _ in held if a > k]])
         part = sized_join(tiles, plan.filter(F.col("batch").between(k, end)).drop("batch"), incremental.BATCHED,
                           "left_semi")
-        tile_sums(part, grids, masks, engine).write.mode("overwrite").parquet(f"{path}/batch={k}-{end}")
+        here = dates.withColumn("alone", (F.col("lo") >= k) & (F.col("hi") <= end))
+        tile_sums(part, grids, masks, engine, here, planned).write.mode("overwrite").parquet(f"{path}/{SUMS}{k}-{end}")
         held.append((k, end))
         k = end + 1
     # what a stopped job left is not read
-    whole = [f"{path}/batch={a}-{b}" for a, b in held]
-    return zonal.roll_up(spark.read.parquet(*whole), meta, pixel_m2)
+    sums = spark.read.parquet(*[f"{path}/{SUMS}{a}-{b}" for a, b in held])
+    rest = zonal.summed(sums.filter("not whole"))
+    return zonal.measured(sums.filter("whole").drop("whole").unionByName(rest), pixel_m2)
+
+
+SUMS = "observed="  # folders of a run in batches
 
 
 def publish_stage(obs: DataFrame, fields: DataFrame, zones: DataFrame, before: Column,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.operators import slices, zonal
-from fieldloom.shared import materialize
+from fieldloom.shared import materialize, shared_folder
 
 RUN = pa.struct([("row", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
 MASK = pa.struct([("x", pa.int32()), ("field_id", pa.int64()), ("area", pa.float64()), ("runs", pa.list_(RUN)), ("pixels", pa.list_(pa.int32()))])
@@ -153,3 +153,24 @@ def test_pixels_are_tested_once_a_spot_not_once_a_scene(spark, sf):
                     want[t.scene_id, s["field_id"], t.x, t.y] = a + v, n + 1
     rows = {(r.scene_id, r.field_id, r.x, r.y): (round(r["sum"], 9), r["count"]) for r in got.collect()}
     assert rows == {k: (round(a, 9), n) for k, (a, n) in want.items()} and len(rows) == got.count() > 0
+
+
+def test_jobs_leave_a_row_for_each_field_and_date(spark, monkeypatch):
+    """Pairs are not stored, and only dates of several jobs are added up."""
+    from fieldloom.plans import stages
+    masks, tiles, meta = ring(spark, 100)
+    masks = materialize(masks, "masks")
+    bands = tiles.withColumns({"red": F.transform("ndvi", lambda v: v * 0 + 1), "nir": F.transform("ndvi", lambda v: v + 2),
+                               "scl": F.array(*[F.lit(4)] * 4)}).drop("grid_id", "ndvi")
+    grids = spark.range(12).select(F.col("id").alias("scene_id"), F.lit(1).alias("grid_id"))
+    path = shared_folder(spark, "jobs")
+    got = stages.zonal_batches(bands, meta, grids, masks, path, 5 * 2 * 48)  # of five tiles: a date is cut
+    stored = spark.read.parquet(*[f"{path}/{n}" for n in stages.sink.children(spark, path)])
+    assert 600 < stored.count() < 1000 and 0 < stored.filter("not whole").count() < 600
+    show = lambda df: sorted(str(r.asDict()) for r in df.withColumn("mean_ndvi", F.round("mean_ndvi", 9)).select(
+        sorted(df.columns)).collect())
+    want = stages.zonal_stage(bands, meta, grids, masks)
+    assert show(got) == show(want) and got.count() == 600
+    again = []
+    monkeypatch.setattr(stages, "tile_sums", lambda *a: again.append(1))
+    assert stages.zonal_batches(bands, meta, grids, masks, path, 5 * 2 * 48).count() == 600 and not again
