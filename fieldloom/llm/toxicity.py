@@ -255,6 +255,17 @@ def landmarks(kernel: Kernel, n: int, spread_out: list[int], cells: int = FACTOR
     return chosen, factor[:, :len(chosen)]
 
 
+def solved(factor: np.ndarray, chosen: list[int], right: np.ndarray, step: int = 512) -> np.ndarray:
+    """The solution for the transposed lower triangle of ``factor[chosen]``, from the last columns up:
+    ``step`` of them are held in eight bytes at a time."""
+    out = np.array(right, float)
+    for a in reversed(range(0, len(chosen), step)):
+        b = min(a + step, len(chosen))
+        panel = factor[chosen[a:], a:b].astype(float)
+        out[a:b] = np.linalg.solve(np.tril(panel[:b - a]).T, out[a:b] - panel[b - a:].T @ out[b:])
+    return out
+
+
 def nystroem_machine(positive: list[bytes], negative: list[bytes]) -> np.ndarray:
     """One weight per feature, of the machine trained on the tokens; a positive token
     given several times weighs as often."""
@@ -267,7 +278,7 @@ def nystroem_machine(positive: list[bytes], negative: list[bytes]) -> np.ndarray
     times = np.array([*support.values()] + [1] * len(negative), float)
     found = machine(factor, y, times)[:-1]
     # the factor's rows at the landmarks are triangular: back to shares of the landmarks
-    share = np.linalg.solve(np.tril(factor[chosen].astype(float)).T, found)
+    share = solved(factor, chosen, found)
     # no other feature has a part in the kernel with a landmark
     weights = np.zeros(DIMS)
     for i, s in zip(chosen, share):
